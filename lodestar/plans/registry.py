@@ -1,0 +1,28 @@
+"""Registry of named queries and their DuckDB oracle SQL.
+
+A query is a callable ``(spark, sf_dir) -> DataFrame`` that reads the driver
+tables (or data Spark derives from them).  Its oracle, when one exists, is an
+ANSI SQL string over the same tables that DuckDB runs; column names match.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, QueryFn] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryFn]:
+    def deco(fn: QueryFn) -> QueryFn:
+        if name in QUERIES:
+            raise ValueError(f"query {name!r} registered twice")
+        QUERIES[name] = fn
+        if oracle is not None:
+            ORACLES[name] = oracle.strip()
+        return fn
+    return deco
