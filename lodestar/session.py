@@ -35,6 +35,8 @@ def get_session(master: str | None = None, app: str = "lodestar",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = os.environ.get("LODESTAR_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
