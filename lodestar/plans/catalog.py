@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import edge_queries, rank_queries  # noqa: F401
+from . import edge_queries, rank_queries, sort_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
