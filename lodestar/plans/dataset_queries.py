@@ -229,3 +229,22 @@ def src_boxes(spark, sf_dir):
     path = scratch_path(spark, "boxes")
     box_records(spark, sf_dir).write.partitionBy("split").parquet(path)
     return X.boxes(X.get_box_split(spark, path, "validation"), ["l_orderkey", "chunk"])
+
+
+# ------------------------------------------------------------ epochs
+BATCH_NUM, BATCH_SIZE = 10, 128
+
+
+@query("src_epochs", oracle=f"""WITH H AS ({HOLDOUT_SQL}),
+T AS (SELECT doc_id FROM H WHERE split = 'train'),
+E AS (SELECT ({BATCH_NUM} * {BATCH_SIZE} + count(*) - 1) // count(*) AS epochs FROM T)
+SELECT doc_id, CAST(unnest(range(1, (SELECT epochs FROM E) + 1)) AS INTEGER) AS epoch FROM T""")
+def src_epochs(spark, sf_dir):
+    """SRC-13: train examples repeated for ``ceil(batch_num · batch_size / n)``
+    epochs (``explode(sequence(1, epochs))``); evaluation reads once."""
+    train = document_records(spark, sf_dir).where(F.col("split") == "train").select("doc_id")
+    n = train.count()
+    epochs = -(-BATCH_NUM * BATCH_SIZE // n) if n else 0      # SCL-14 ceil division
+    if epochs == 0:
+        return train.select("doc_id", F.lit(1).alias("epoch")).limit(0)
+    return train.select("doc_id", F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"))

@@ -274,9 +274,11 @@ def softmax_fit_sync(spark, sf_dir):
 
 @query("softmax_fit_batches")
 def softmax_fit_batches(spark, sf_dir):
-    """ML-6: single-machine schedule – batches of 32, 20 epochs, one job per step."""
-    tr = train_rows(spark, sf_dir)
-    res = LIN.fit_sync(tr, epochs=LIN.EPOCHS, batch_size=LIN.BATCH_SIZE, workers=1)
+    """ML-6: the single-machine schedule (batches of 32, 20 epochs, rate 0.01) run
+    sequentially inside each partition, one job per epoch; partition models are
+    averaged after each epoch.  On a one-partition table this is exactly the
+    single-machine run."""
+    res = LIN.fit_local(train_rows(spark, sf_dir), epochs=LIN.EPOCHS, batch_size=LIN.BATCH_SIZE)
     return _round_model(res.model.to_frame(spark))
 
 
@@ -514,3 +516,24 @@ def lr_schedule(spark, sf_dir):
         lr = F.when(F.col("group") == p, A.staircase_decay(start, f, n, total, "step")).otherwise(lr)
     return pp.join(matched.select("param", "group"), "param").select(
         "param", "step", F.round(lr, 9).alias("learning_rate"))
+
+
+# ------------------------------------------------------------- streaming
+@query("stream_precision", oracle=FEAT_ONLY + f""",
+NUM AS (SELECT id, {F10}[label + 1] >= list_max({F10}) AS hit, row_number() OVER (ORDER BY id) - 1 AS pos,
+  count(*) OVER () AS n FROM FEAT)
+SELECT sum(CAST(hit AS BIGINT)) AS hits, count(*) AS examples,
+  round(sum(CAST(hit AS BIGINT)) / count(*), 6) AS precision
+FROM NUM WHERE pos < (n // {EVAL_BATCH}) * {EVAL_BATCH}""")
+def stream_precision(spark, sf_dir):
+    """STR-1: scored batches (100 rows by id, rest dropped) written as files, drained
+    by a stream with a stateful global aggregate; the final cumulative row."""
+    from ..streaming.precision import final_row, stream_running_precision
+    f = features(spark, sf_dir).select("id", A.top1_hit(first10(), "label").alias("hit"))
+    b = S.fixed_batches(f, "id", EVAL_BATCH)
+    src = scratch_path(spark, "scored-batches")
+    b.write.partitionBy("batch_id").parquet(src)
+    schema = spark.read.parquet(src).schema
+    cum = stream_running_precision(spark, src, schema)
+    fr = final_row(cum)
+    return fr.select("hits", "examples", F.round("precision", 6).alias("precision"))
