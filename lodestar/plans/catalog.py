@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import dataset_queries, edge_queries, ml_queries, rank_queries, sort_queries  # noqa: F401
+from . import (dataset_queries, edge_queries, image_queries, ml_queries, rank_queries,  # noqa: F401
+               sort_queries)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

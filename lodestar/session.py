@@ -81,3 +81,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the checkpoint folder for a written table."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"lodestar-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def local_path(uri: str) -> str:
+    """A path Python file IO inside tasks can use: ``file:`` URIs and plain
+    paths only.  Other schemes must be mounted on the executors first."""
+    if uri.startswith("file://"):
+        return uri[len("file://"):]
+    if uri.startswith("file:"):
+        return uri[len("file:"):]
+    if "://" in uri:
+        raise ValueError(f"{uri!r}: Python tasks can only write to a mounted file system")
+    return uri
