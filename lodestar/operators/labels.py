@@ -57,8 +57,8 @@ def read_label_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
     parsed = lines.select(
         F.regexp_extract("value", r"^([^:]*):", 1).alias("key"),
         F.regexp_extract("value", r"^[^:]*:(.*)$", 1).alias("name"),
-        F.col("value").contains(":").alias("ok"), "line_no")
-    bad = parsed.where(~F.col("ok") | F.col("key").try_cast("int").isNull())
+        F.col("value").contains(":").alias("ok"), "line_no", "value")
+    bad = parsed.where(~F.col("ok") | F.col("key").try_cast("int").isNull()).select("line_no", "value")
     good = parsed.where(F.col("ok")).select(F.col("key").try_cast("int").alias("label"), "name", "line_no")
     good = good.where(F.col("label").isNotNull())
     last = good.groupBy("label").agg(F.max_by("name", "line_no").alias("name"))
