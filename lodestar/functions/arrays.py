@@ -31,18 +31,33 @@ def top1_hit(scores: Column | str, label: Column | str) -> Column:
     return F.element_at(s, _c(label).cast("int") + 1) >= F.array_max(s)
 
 
+def _with_row_const(arr: Column, const: Column, fn) -> Column:
+    """``fn(x, c)`` for every element with ``const`` evaluated once per row.
+
+    A value written inside a lambda body is evaluated per element (and the
+    optimizer may inline a precomputed column back into it), so per-row
+    constants travel next to the elements instead.
+    """
+    return F.zip_with(arr, F.array_repeat(const, F.size(arr)), fn)
+
+
+def _sum_shifted_exp(s: Column) -> Column:
+    """``struct(m = max(s), t = Σ exp(x - m))`` in one pass; ``m`` is computed once."""
+    init = F.struct(F.array_max(s).alias("m"), F.lit(0.0).alias("t"))
+    return F.aggregate(s, init, lambda acc, x: F.struct(
+        acc.getField("m").alias("m"), (acc.getField("t") + F.exp(x - acc.getField("m"))).alias("t")))
+
+
 def log_sum_exp(scores: Column | str) -> Column:
-    s = to_double_array(scores)
-    m = F.array_max(s)
-    return m + F.log(F.aggregate(s, F.lit(0.0), lambda acc, x: acc + F.exp(x - m)))
+    st = _sum_shifted_exp(to_double_array(scores))
+    return st.getField("m") + F.log(st.getField("t"))
 
 
 def softmax(scores: Column | str) -> Column:
-    """SCL-9: class probabilities, largest score subtracted for stability."""
+    """SCL-9: class probabilities, largest score subtracted for stability (O(n) per row)."""
     s = to_double_array(scores)
-    m = F.array_max(s)
-    total = F.aggregate(s, F.lit(0.0), lambda acc, x: acc + F.exp(x - m))
-    return F.transform(s, lambda x: F.exp(x - m) / total)
+    return _with_row_const(s, _sum_shifted_exp(s),
+                           lambda x, c: F.exp(x - c.getField("m")) / c.getField("t"))
 
 
 def cross_entropy(scores: Column | str, label: Column | str) -> Column:
@@ -58,13 +73,21 @@ def row_mean(arr: Column | str) -> Column:
 
 
 def standardize(arr: Column | str) -> Column:
-    """SCL-12: ``(x - mean) / max(stddev, 1/sqrt(n))`` over the row's own values."""
+    """SCL-12: ``(x - mean) / max(stddev, 1/sqrt(n))`` over the row's own values.
+
+    Two-pass variance; the mean rides in the accumulator and the bounded
+    stddev next to the elements, so every pass is O(n).
+    """
     a = to_double_array(arr)
-    n = F.size(a)
-    mean = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x) / n
-    var = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean)) / n
-    adj = F.greatest(F.sqrt(var), F.lit(1.0) / F.sqrt(n.cast("double")))
-    return F.transform(a, lambda x: (x - mean) / adj)
+    n = F.size(a).cast("double")
+    mean = row_mean(a)
+    init = F.struct(mean.alias("mu"), F.lit(0.0).alias("ss"))
+    st = F.aggregate(a, init, lambda acc, x: F.struct(
+        acc.getField("mu").alias("mu"),
+        (acc.getField("ss") + (x - acc.getField("mu")) * (x - acc.getField("mu"))).alias("ss")))
+    const = F.struct(st.getField("mu").alias("mu"),
+                     F.greatest(F.sqrt(st.getField("ss") / n), F.lit(1.0) / F.sqrt(n)).alias("sd"))
+    return _with_row_const(a, const, lambda x, c: (x - c.getField("mu")) / c.getField("sd"))
 
 
 def l2_term(values: Column | str) -> Column:
