@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from ..sinks.tables import drop_table, write_bucketed
+from ..sinks.tables import drop_table, write_bucketed, write_table
 
 # Fixed values of the rank recurrence (reference defaults).
 DEFAULT_ROUNDS = 10
@@ -44,7 +44,7 @@ DEFAULT_DAMPING = 0.85
 
 DEFAULT_HOT_SPLIT = 200_000        # edges per salt bucket of one source
 MAX_HOT_SOURCES = 100_000          # rows allowed in the broadcast hot table
-DEFAULT_CHECKPOINT_EVERY = 2
+DEFAULT_CHECKPOINT_EVERY = 1
 
 
 def dedupe_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -182,7 +182,8 @@ def rank_round(prep: Links, ranks: DataFrame, damping: float = DEFAULT_DAMPING)
 def rank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float = DEFAULT_DAMPING,
          partitions: int | None = None, cache: bool = True, dedupe: bool = True,
          checkpoint_every: int | None = DEFAULT_CHECKPOINT_EVERY,
-         hot_split: int = DEFAULT_HOT_SPLIT, max_hot: int = MAX_HOT_SOURCES) -> DataFrame:
+         hot_split: int = DEFAULT_HOT_SPLIT, max_hot: int = MAX_HOT_SOURCES,
+         as_table: bool = False) -> DataFrame:
     """GR-2/3/4: ``rounds`` rounds of link ranking; returns ``(id, rank)``.
 
     ``partitions`` fixes the hash partitioning of the prepared links (GR-3,
@@ -200,7 +201,7 @@ def rank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float = DEFAUL
     for i in range(1, rounds + 1):
         ranks = rank_round(prep, ranks, damping)
         if checkpoint_every and (i % checkpoint_every == 0 or i == rounds):
-            ranks = ranks.checkpoint(eager=True)
+            ranks = write_table(ranks, "ranks") if as_table else ranks.checkpoint(eager=True)
     return ranks.select("id", "rank")
 
 

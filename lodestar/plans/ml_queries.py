@@ -532,7 +532,8 @@ def stream_precision(spark, sf_dir):
     f = features(spark, sf_dir).select("id", A.top1_hit(first10(), "label").alias("hit"))
     b = S.fixed_batches(f, "id", EVAL_BATCH)
     src = scratch_path(spark, "scored-batches")
-    b.write.partitionBy("batch_id").parquet(src)
+    # one file per batch, so one trigger (maxFilesPerTrigger=1) is one batch
+    b.repartition("batch_id").write.partitionBy("batch_id").parquet(src)
     schema = spark.read.parquet(src).schema
     cum = stream_running_precision(spark, src, schema)
     fr = final_row(cum)
