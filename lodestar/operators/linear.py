@@ -238,9 +238,28 @@ def batch_of(id_col: Column | str, epoch: int, num_batches: int) -> Column:
 
 
 # --------------------------------------------------------------------- fits
+class _Cached:
+    """Persist a feature table for the duration of a fit (every step re-reads it)."""
+
+    def __init__(self, df: DataFrame):
+        from pyspark import StorageLevel
+        self.df = df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def __enter__(self) -> DataFrame:
+        return self.df
+
+    def __exit__(self, *exc) -> None:
+        self.df.unpersist()
+
+
 def fit_full(features: DataFrame, steps: int, lr: float = LEARNING_RATE, classes: int = 10,
              model: Model | None = None, on_step: Callable[[Model], None] | None = None) -> FitResult:
     """ML-5: full-batch gradient descent from zeros, one job per step."""
+    with _Cached(features) as features:
+        return _fit_full(features, steps, lr, classes, model, on_step)
+
+
+def _fit_full(features, steps, lr, classes, model, on_step) -> FitResult:
     m = model or Model.zeros(feature_dim(features), classes)
     res = FitResult(m)
     for s in range(steps):
@@ -266,6 +285,11 @@ def fit_sync(features: DataFrame, epochs: int = EPOCHS, batch_size: int = SYNC_B
     ``workers=1`` with ``batch_size=32`` is the single-machine schedule (ML-6).
     One job per update: the filter reads the cached feature partitions.
     """
+    with _Cached(features) as features:
+        return _fit_sync(features, epochs, batch_size, workers, lr, classes, on_step)
+
+
+def _fit_sync(features, epochs, batch_size, workers, lr, classes, on_step) -> FitResult:
     n = features.count()
     per_step = batch_size * workers
     nb = max(n // per_step, 1)
@@ -336,6 +360,11 @@ def fit_local(features: DataFrame, epochs: int = EPOCHS, batch_size: int = BATCH
     """
     if replicas:
         features = features.repartition(replicas, "id")
+    with _Cached(features) as features:
+        return _fit_local(features, epochs, batch_size, lr, classes)
+
+
+def _fit_local(features, epochs, batch_size, lr, classes) -> FitResult:
     m = Model.zeros(feature_dim(features), classes)
     res = FitResult(m)
     dim = m.W.shape[0]

@@ -79,6 +79,7 @@ def fit_momentum(features: DataFrame, steps: int, groups: DataFrame, replicas: i
     """ML-11: per step, the replicas' gradients are averaged (AGG-11) and one
     momentum update is applied with the matched group rates."""
     spark = features.sparkSession
+    features = features.persist()
     model = Model.zeros(feature_dim(features), classes)
     params = model.to_frame(spark).withColumn("velocity", F.lit(0.0))
     hyper = match_params(params, groups)
@@ -87,6 +88,7 @@ def fit_momentum(features: DataFrame, steps: int, groups: DataFrame, replicas: i
         m = Model.from_frame(params)
         grads = replica_average(features, m, replicas)
         params = _relocalise(apply_momentum(params, grads, hyper, nesterov=nesterov))
+    features.unpersist()
     return params.select("param", "i", "j", "value", "velocity")
 
 
@@ -98,6 +100,7 @@ def fit_centroids_sparse(features: DataFrame, steps: int, lr: float, momentum: f
     only for classes present in the batch, so the others are not touched.
     """
     spark = features.sparkSession
+    features = features.persist()
     dim = feature_dim(features)
     nb = max(features.count() // batch_size, 1)
     cent = spark.createDataFrame(
@@ -113,6 +116,7 @@ def fit_centroids_sparse(features: DataFrame, steps: int, lr: float, momentum: f
                  .groupBy("label", "i").agg((F.sum(F.col("value") - F.col("x")) / F.lit(float(max(n, 1)))).alias("g")))
         p = cent.withColumn("param", F.lit("c"))
         cent = _relocalise(apply_momentum(p, grads, hyper, keys=("label", "i")))
+    features.unpersist()
     return cent
 
 

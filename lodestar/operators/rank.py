@@ -202,6 +202,8 @@ def rank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float = DEFAUL
         ranks = rank_round(prep, ranks, damping)
         if checkpoint_every and (i % checkpoint_every == 0 or i == rounds):
             ranks = write_table(ranks, "ranks") if as_table else ranks.checkpoint(eager=True)
+    if checkpoint_every and rounds:
+        prep.release()          # final ranks are materialised; forget the links table
     return ranks.select("id", "rank")
 
 

@@ -39,7 +39,7 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_rows(spark, sf_dir) -> DataFrame:
-    return features(spark, sf_dir).where(F.col("split") == "train").persist()
+    return features(spark, sf_dir).where(F.col("split") == "train")
 
 
 def first10(c="features"):
