@@ -88,22 +88,27 @@ def variable_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def variable_histogram(df: DataFrame, cols: Sequence[str], buckets: int = 10) -> DataFrame:
-    """AGG-8 histogram: exact counts in ``buckets`` equal-width bins between the
-    column's min and max (the max falls in the last bin)."""
-    out = None
-    for c in cols:
-        r = df.agg(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).first()
-        lo, hi = r["lo"], r["hi"]
-        x = df.select(F.col(c).cast("double").alias("x"))
+    """AGG-8 histogram: exact counts in ``buckets`` equal-width bins between each
+    column's min and max (the max falls in the last bin).
+
+    Two scans for all columns together: one aggregate for the bounds (scalars),
+    one pass that tags every value with ``(variable, bucket)`` and counts.
+    """
+    r = df.agg(*[F.min(c).cast("double").alias(f"lo_{k}") for k, c in enumerate(cols)],
+               *[F.max(c).cast("double").alias(f"hi_{k}") for k, c in enumerate(cols)]).first()
+    tags = []
+    for k, c in enumerate(cols):
+        lo, hi = r[f"lo_{k}"], r[f"hi_{k}"]
+        x = F.col(c).cast("double")
         if lo is None or hi == lo:
             b = F.lit(0)
         else:
-            b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit((hi - lo) / buckets)), F.lit(buckets - 1))
-        b = b.cast("int")
-        h = x.where(F.col("x").isNotNull()).groupBy(b.alias("bucket")).agg(F.count(F.lit(1)).alias("count"))
-        h = h.select(F.lit(c).alias("variable"), "bucket", "count")
-        out = h if out is None else out.unionByName(h)
-    return out
+            b = F.least(F.floor((x - F.lit(lo)) / F.lit((hi - lo) / buckets)), F.lit(buckets - 1))
+        b = F.when(x.isNotNull(), b.cast("int"))
+        tags.append(F.struct(F.lit(c).alias("variable"), b.alias("bucket")))
+    t = df.select(F.inline(F.array(*tags)))
+    return (t.where(F.col("bucket").isNotNull())
+            .groupBy("variable", "bucket").agg(F.count(F.lit(1)).alias("count")))
 
 
 def l2_penalty(values: DataFrame, col: str = "value", decay: float = WEIGHT_DECAY) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .sorting import sort_by_keys, with_position
 
-TOP_K_LIMIT = 100_000      # above this a hold-out uses a global sort, not top-k
+TOP_K_LIMIT = 10_000       # top-k merges tasks × k rows in one task; above, a global sort
 
 
 def key_hash(c: Column | str) -> Column:
