@@ -80,7 +80,7 @@ def softmax_scores(spark, sf_dir):
 
 @query("ml_accuracy", oracle=FEAT_ONLY + f"""
 SELECT split, count(*) AS examples,
-  sum(CASE WHEN list_position({F10}, list_max({F10})) - 1 = label THEN 1 ELSE 0 END) AS correct,
+  CAST(sum(CASE WHEN list_position({F10}, list_max({F10})) - 1 = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
   round(avg(CASE WHEN list_position({F10}, list_max({F10})) - 1 = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
 FROM FEAT GROUP BY split""")
 def ml_accuracy(spark, sf_dir):
@@ -336,10 +336,10 @@ EVAL_SQL = Q.full_batch_fit(FIT_STEPS) + ",\n" + Q.scores_cte(FIT_STEPS, "(SELEC
 HIT AS (SELECT SC.id, max(CASE WHEN SC.j = F.label THEN s END) >= max(s) AS hit
   FROM SC JOIN FEAT F ON SC.id = F.id GROUP BY SC.id),
 NUM AS (SELECT id, hit, row_number() OVER (ORDER BY id) - 1 AS pos, count(*) OVER () AS n FROM HIT),
-BATCH AS (SELECT CAST(pos // {EVAL_BATCH} AS BIGINT) AS batch_id, sum(CAST(hit AS BIGINT)) AS hits, count(*) AS examples
+BATCH AS (SELECT CAST(pos // {EVAL_BATCH} AS BIGINT) AS batch_id, CAST(sum(CAST(hit AS BIGINT)) AS BIGINT) AS hits, count(*) AS examples
   FROM NUM WHERE pos < (n // {EVAL_BATCH}) * {EVAL_BATCH} GROUP BY 1)
-SELECT batch_id, hits, examples, sum(hits) OVER (ORDER BY batch_id) AS cum_hits,
-  sum(examples) OVER (ORDER BY batch_id) AS cum_examples,
+SELECT batch_id, hits, examples, CAST(sum(hits) OVER (ORDER BY batch_id) AS BIGINT) AS cum_hits,
+  CAST(sum(examples) OVER (ORDER BY batch_id) AS BIGINT) AS cum_examples,
   round(sum(hits) OVER (ORDER BY batch_id) / sum(examples) OVER (ORDER BY batch_id), 6) AS precision FROM BATCH"""
 
 
@@ -365,10 +365,10 @@ def evaluate_running(spark, sf_dir):
 RUNNING_SQL = FEAT_ONLY + f""",
 NUM AS (SELECT id, {F10}[label + 1] >= list_max({F10}) AS hit, row_number() OVER (ORDER BY id) - 1 AS pos,
   count(*) OVER () AS n FROM FEAT),
-BATCH AS (SELECT CAST(pos // {EVAL_BATCH} AS BIGINT) AS batch_id, sum(CAST(hit AS BIGINT)) AS hits, count(*) AS examples
+BATCH AS (SELECT CAST(pos // {EVAL_BATCH} AS BIGINT) AS batch_id, CAST(sum(CAST(hit AS BIGINT)) AS BIGINT) AS hits, count(*) AS examples
   FROM NUM WHERE pos < (n // {EVAL_BATCH}) * {EVAL_BATCH} GROUP BY 1)
-SELECT batch_id, hits, examples, sum(hits) OVER (ORDER BY batch_id) AS cum_hits,
-  sum(examples) OVER (ORDER BY batch_id) AS cum_examples,
+SELECT batch_id, hits, examples, CAST(sum(hits) OVER (ORDER BY batch_id) AS BIGINT) AS cum_hits,
+  CAST(sum(examples) OVER (ORDER BY batch_id) AS BIGINT) AS cum_examples,
   round(sum(hits) OVER (ORDER BY batch_id) / sum(examples) OVER (ORDER BY batch_id), 6) AS precision FROM BATCH"""
 
 
@@ -522,7 +522,7 @@ def lr_schedule(spark, sf_dir):
 @query("stream_precision", oracle=FEAT_ONLY + f""",
 NUM AS (SELECT id, {F10}[label + 1] >= list_max({F10}) AS hit, row_number() OVER (ORDER BY id) - 1 AS pos,
   count(*) OVER () AS n FROM FEAT)
-SELECT sum(CAST(hit AS BIGINT)) AS hits, count(*) AS examples,
+SELECT CAST(sum(CAST(hit AS BIGINT)) AS BIGINT) AS hits, count(*) AS examples,
   round(sum(CAST(hit AS BIGINT)) / count(*), 6) AS precision
 FROM NUM WHERE pos < (n // {EVAL_BATCH}) * {EVAL_BATCH}""")
 def stream_precision(spark, sf_dir):
