@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 # The image extensions scanned and the reference's target size.
 IMAGE_GLOB = "*.{png,jpg,jpeg,PNG,JPG,JPEG}"
 TARGET_SIZE = 256
+OUTPUT_CHUNK = 64          # images per output Arrow batch when full arrays are returned
 
 
 def encode_png(rgb: np.ndarray) -> bytes:
@@ -81,32 +82,40 @@ def crop_or_pad(images: DataFrame, height: int = TARGET_SIZE, width: int = TARGE
                 keep: list[str] | None = None, summary: bool = False) -> DataFrame:
     """SCL-11 (+ SCL-10 to float): RGB ``float`` arrays of ``height × width × 3``.
 
-    With ``summary`` each image is reduced in the same task to
+    Lower ``spark.sql.execution.arrow.maxRecordsPerBatch`` for large images: it
+    bounds the input batch; the output is emitted in chunks of
+    ``OUTPUT_CHUNK`` images.  With ``summary`` each image is reduced in the same task to
     ``(total, row_moment, col_moment)`` – sum of values and sums weighted by
     the row / column index – instead of returning the full array.
     """
     keep = keep or ["path"]
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for h, w, c, data in zip(pdf["height"], pdf["width"], pdf["channels"], pdf["data"]):
-                bgr = np.frombuffer(data, dtype=np.uint8).reshape(int(h), int(w), int(c))
-                out = _crop_pad(int(h), int(w), height, width, bgr[:, :, ::-1].astype(np.float32))
-                if summary:
-                    rr = np.arange(height, dtype=np.float64)[:, None, None]
-                    cc = np.arange(width, dtype=np.float64)[None, :, None]
-                    o = out.astype(np.float64)
-                    rows.append((float(o.sum()), float((o * rr).sum()), float((o * cc).sum())))
-                else:
-                    rows.append(out.ravel())
-            res = pdf[keep].copy()
+        for whole in batches:
+            # bounded output batches: a full 256×256×3 float image is 786 KB
+            step = len(whole) if summary else OUTPUT_CHUNK
+            for lo in range(0, len(whole), max(step, 1)):
+                yield _one(whole.iloc[lo:lo + step])
+
+    def _one(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for h, w, c, data in zip(pdf["height"], pdf["width"], pdf["channels"], pdf["data"]):
+            bgr = np.frombuffer(data, dtype=np.uint8).reshape(int(h), int(w), int(c))
+            out = _crop_pad(int(h), int(w), height, width, bgr[:, :, ::-1].astype(np.float32))
             if summary:
-                res["total"], res["row_moment"], res["col_moment"] = zip(*rows) if rows else ([], [], [])
+                rr = np.arange(height, dtype=np.float64)[:, None, None]
+                cc = np.arange(width, dtype=np.float64)[None, :, None]
+                o = out.astype(np.float64)
+                rows.append((float(o.sum()), float((o * rr).sum()), float((o * cc).sum())))
             else:
-                res["pixels"] = rows
-            res["out_height"], res["out_width"] = height, width
-            yield res
+                rows.append(out.ravel())
+        res = pdf[keep].copy()
+        if summary:
+            res["total"], res["row_moment"], res["col_moment"] = zip(*rows) if rows else ([], [], [])
+        else:
+            res["pixels"] = rows
+        res["out_height"], res["out_width"] = height, width
+        return res
 
     fields = {f.name: f.dataType.simpleString() for f in images.schema.fields}
     cols = ", ".join(f"{k} {fields[k]}" for k in keep)
