@@ -45,6 +45,7 @@ DEFAULT_DAMPING = 0.85
 DEFAULT_HOT_SPLIT = 200_000        # edges per salt bucket of one source
 MAX_HOT_SOURCES = 100_000          # rows allowed in the broadcast hot table
 DEFAULT_CHECKPOINT_EVERY = 1
+ENCODE_MIN_NAME_LENGTH = 16        # mean name length from which ids are encoded
 
 
 def dedupe_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -89,26 +90,48 @@ class Links:
     start: DataFrame    # id, rank = 1.0, out_degree, n_salts (every source)
     hot_split: int
     table: str | None = None
+    names: DataFrame | None = None     # node dictionary when ids are encoded
 
     def release(self) -> None:
         if self.table:
             drop_table(self.links.sparkSession, self.table)
 
 
+def _graph_stats(deg: DataFrame) -> tuple[int, float]:
+    """Edge count and mean source-name length, one small aggregate."""
+    r = deg.agg(F.sum("out_degree").alias("e"), F.avg(F.length("src")).alias("l")).first()
+    return int(r["e"] or 0), float(r["l"] or 0.0)
+
+
 def choose_hot_split(deg: DataFrame, hot_split: int = DEFAULT_HOT_SPLIT,
-                     max_hot: int = MAX_HOT_SOURCES) -> int:
+                     max_hot: int = MAX_HOT_SOURCES, total: int | None = None) -> int:
     """Raise ``hot_split`` until at most ``max_hot`` sources exceed it.
 
-    One small aggregate over the node table: the total edge count bounds the
-    number of hot sources by ``E / hot_split``.
+    The total edge count bounds the number of hot sources by ``E / hot_split``.
     """
-    total = deg.agg(F.sum("out_degree").alias("e")).first()["e"] or 0
+    if total is None:
+        total = _graph_stats(deg)[0]
     return max(int(hot_split), -(-int(total) // int(max_hot)), 1)
 
 
+def node_dictionary(e: DataFrame, meta: DataFrame) -> DataFrame:
+    """``(name, nid, out_degree, n_salts)`` for every node, ids unique longs.
+
+    ``monotonically_increasing_id`` needs no sort or global numbering; the
+    dictionary is materialised by a reliable checkpoint so the ids never
+    change when a task is recomputed.
+    """
+    targets_only = (e.select(F.col("dst").alias("name")).distinct()
+                    .join(meta.select(F.col("src").alias("name")), "name", "left_anti")
+                    .select("name", F.lit(None).cast("long").alias("out_degree"),
+                            F.lit(None).cast("int").alias("n_salts")))
+    nodes = meta.select(F.col("src").alias("name"), "out_degree", "n_salts").unionByName(targets_only)
+    return nodes.withColumn("nid", F.monotonically_increasing_id()).checkpoint(eager=True)
+
+
 def prepare_links(edges: DataFrame, partitions: int | None = None, cache: bool = True,
                   dedupe: bool = True, hot_split: int = DEFAULT_HOT_SPLIT,
-                  max_hot: int = MAX_HOT_SOURCES) -> Links:
+                  max_hot: int = MAX_HOT_SOURCES, encode_ids: bool | None = None) -> Links:
     """Distinct edges with salt buckets and target metadata, placed for repeated joins.
 
     Each link row carries its target's out-degree and salt count, so the
@@ -120,25 +143,45 @@ def prepare_links(edges: DataFrame, partitions: int | None = None, cache: bool =
     only the node-sized share side, and a lost executor re-reads files instead
     of recomputing the edge lineage.  ``partitions`` sets the bucket / hash
     partition count (GR-3).
+
+    ``encode_ids`` replaces node names by long ids from a node dictionary
+    before the rounds (names come back in one node-sized join at the end);
+    ``None`` decides by the mean name length (long names: URLs, titles).
     """
     spark = edges.sparkSession
     e = dedupe_edges(edges) if dedupe else edges.select("src", "dst")
     if cache:
         e = e.persist(StorageLevel.MEMORY_AND_DISK)  # read by the degree and the links
     deg = out_degree(e).persist(StorageLevel.MEMORY_AND_DISK)
-    split = choose_hot_split(deg, hot_split, max_hot)
+    total, mean_len = _graph_stats(deg)
+    split = choose_hot_split(deg, hot_split, max_hot, total)
+    if encode_ids is None:
+        encode_ids = mean_len >= ENCODE_MIN_NAME_LENGTH
     meta = deg.select("src", "out_degree",
                       F.ceil(F.col("out_degree") / F.lit(split)).cast("int").alias("n_salts"))
-    hot = _bounded_hot(meta, "n_salts")            # |hot| <= E / split <= max_hot
-    target = meta.select(F.col("src").alias("dst"), F.col("out_degree").alias("dst_degree"),
-                         F.col("n_salts").alias("dst_salts"))
-    links = (e.join(F.broadcast(hot), "src", "left")
-             .join(target, "dst", "left")
-             .select("src",
-                     F.pmod(F.xxhash64("dst"), F.coalesce("n_salts", F.lit(1))).cast("int").alias("salt"),
-                     "dst", "dst_degree", "dst_salts"))
+    names = None
+    if encode_ids:
+        names = node_dictionary(e, meta)
+        src_side = names.select(F.col("name").alias("src"), F.col("nid").alias("sid"), "n_salts")
+        dst_side = names.select(F.col("name").alias("dst"), F.col("nid").alias("did"),
+                                F.col("out_degree").alias("dst_degree"), F.col("n_salts").alias("dst_salts"))
+        links = (e.join(src_side, "src").join(dst_side, "dst")
+                 .select(F.col("sid").alias("src"),
+                         F.pmod(F.xxhash64("did"), F.col("n_salts")).cast("int").alias("salt"),
+                         F.col("did").alias("dst"), "dst_degree", "dst_salts"))
+        start = names.where(F.col("out_degree").isNotNull()).select(
+            F.col("nid").alias("id"), F.lit(1.0).alias("rank"), "out_degree", "n_salts")
+    else:
+        hot = _bounded_hot(meta, "n_salts")            # |hot| <= E / split <= max_hot
+        target = meta.select(F.col("src").alias("dst"), F.col("out_degree").alias("dst_degree"),
+                             F.col("n_salts").alias("dst_salts"))
+        links = (e.join(F.broadcast(hot), "src", "left")
+                 .join(target, "dst", "left")
+                 .select("src",
+                         F.pmod(F.xxhash64("dst"), F.coalesce("n_salts", F.lit(1))).cast("int").alias("salt"),
+                         "dst", "dst_degree", "dst_salts"))
+        start = meta.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"), "out_degree", "n_salts")
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    start = meta.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"), "out_degree", "n_salts")
     table = None
     if cache:
         links, table = write_bucketed(links, n, ["src", "salt"], "links")
@@ -148,7 +191,15 @@ def prepare_links(edges: DataFrame, partitions: int | None = None, cache: bool =
     if cache:
         e.unpersist()
     deg.unpersist()
-    return Links(links=links, start=start, hot_split=split, table=table)
+    return Links(links=links, start=start, hot_split=split, table=table, names=names)
+
+
+def decode_ids(prep: Links, ranks: DataFrame) -> DataFrame:
+    """Node names back for encoded ranks (one node-sized join)."""
+    if prep.names is None:
+        return ranks
+    d = prep.names.select(F.col("nid").alias("id"), F.col("name"))
+    return ranks.join(d, "id").select(F.col("name").alias("id"), "rank")
 
 
 def initial_ranks(prep: Links) -> DataFrame:
@@ -183,7 +234,7 @@ def rank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float = DEFAUL
          partitions: int | None = None, cache: bool = True, dedupe: bool = True,
          checkpoint_every: int | None = DEFAULT_CHECKPOINT_EVERY,
          hot_split: int = DEFAULT_HOT_SPLIT, max_hot: int = MAX_HOT_SOURCES,
-         as_table: bool = False) -> DataFrame:
+         as_table: bool = False, encode_ids: bool | None = None) -> DataFrame:
     """GR-2/3/4: ``rounds`` rounds of link ranking; returns ``(id, rank)``.
 
     ``partitions`` fixes the hash partitioning of the prepared links (GR-3,
@@ -196,7 +247,7 @@ def rank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float = DEFAUL
         raise ValueError("rounds must be >= 0")
     checkpoint_dir(edges.sparkSession)
     prep = prepare_links(edges, partitions=partitions, cache=cache, dedupe=dedupe,
-                         hot_split=hot_split, max_hot=max_hot)
+                         hot_split=hot_split, max_hot=max_hot, encode_ids=encode_ids)
     ranks = initial_ranks(prep)
     for i in range(1, rounds + 1):
         ranks = rank_round(prep, ranks, damping)
@@ -204,7 +255,7 @@ def rank(edges: DataFrame, rounds: int = DEFAULT_ROUNDS, damping: float = DEFAUL
             ranks = write_table(ranks, "ranks") if as_table else ranks.checkpoint(eager=True)
     if checkpoint_every and rounds:
         prep.release()          # final ranks are materialised; forget the links table
-    return ranks.select("id", "rank")
+    return decode_ids(prep, ranks.select("id", "rank"))
 
 
 def top_ranks(ranks: DataFrame, k: int = 5) -> DataFrame:

@@ -98,6 +98,13 @@ def rank_hot_split(spark, sf_dir):
     return _rank(spark, sf_dir, 10, hot_split=7)
 
 
+@query("rank_encoded", oracle=rank_sql(SUPPLY_EDGES_CTE, 10))
+def rank_encoded(spark, sf_dir):
+    """Same ranks with node names replaced by long ids for the rounds (the
+    automatic choice for long names such as URLs), names restored at the end."""
+    return _rank(spark, sf_dir, 10, encode_ids=True)
+
+
 @query("rank_one_way", oracle=rank_sql(ONE_WAY_EDGES_CTE, 10))
 def rank_one_way(spark, sf_dir):
     """Rule 3: a one-way bipartite graph leaves no node after 10 rounds."""

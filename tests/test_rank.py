@@ -41,6 +41,8 @@ def test_duplicates_count_once_and_self_loop_counts(spark):
     dict(checkpoint_every=None),
     dict(hot_split=1),
     dict(hot_split=2, max_hot=3),
+    dict(encode_ids=True),
+    dict(encode_ids=True, hot_split=2, cache=False),
 ])
 def test_placement_does_not_change_result(spark, kw):
     pairs = [(f"n{i}", f"n{(i * 7 + 3) % 23}") for i in range(40)] + \
