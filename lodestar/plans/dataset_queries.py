@@ -182,15 +182,19 @@ def split_counts(spark, sf_dir):
                                     F.count("label").alias("labelled"))
 
 
-@query("src_split_defaults", oracle=f"""SELECT d.doc_id, md5(d.text) AS encoded,
+@query("src_split_defaults", oracle=f"""SELECT d.doc_id, h.split, md5(d.text) AS encoded,
   coalesce(CASE WHEN l.toxic = 1 THEN 'jpeg' END, 'png') AS format,
   coalesce(CAST(l.quality AS BIGINT), 0) AS label, d.n_chars AS height, CAST(l.toxic AS BIGINT) AS width
-FROM documents d LEFT JOIN labels l USING (doc_id) JOIN ({HOLDOUT_SQL}) h USING (doc_id)
-WHERE h.split = 'train'""")
+FROM documents d LEFT JOIN labels l USING (doc_id) JOIN ({HOLDOUT_SQL}) h USING (doc_id)""")
 def src_split_defaults(spark, sf_dir):
-    """SRC-8: the train split with ``'' / 'png' / 0`` defaults for missing fields."""
-    rec = X.get_split(spark, written_records(spark, sf_dir), "train")
-    return rec.select("doc_id", "encoded", "format", "label", "height", "width")
+    """SRC-8: each split read by name with ``'' / 'png' / 0`` defaults for missing fields."""
+    path = written_records(spark, sf_dir)
+    out = None
+    for split in X.FLOWER_SPLITS:
+        rec = X.get_split(spark, path, split).select(
+            "doc_id", "split", "encoded", "format", "label", "height", "width")
+        out = rec if out is None else out.unionByName(rec)
+    return out
 
 
 # ---------------------------------------------------------- box records
@@ -218,17 +222,22 @@ def box_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     list_sort(list(CAST(l_quantity AS FLOAT))) AS ymax, list_sort(list(CAST(l_extendedprice AS FLOAT))) AS xmax,
     list_sort(list(CAST(l_linenumber AS BIGINT))) AS object_label,
     max(CASE WHEN l_returnflag = 'A' THEN 'returned' END) AS text,
-    CAST(max(CASE WHEN l_linestatus = 'F' THEN 1 END) AS BIGINT) AS label
-  FROM lineitem WHERE {HASH_SQL.format(c='l_orderkey')} < 429496730 GROUP BY 1, 2),
+    CAST(max(CASE WHEN l_linestatus = 'F' THEN 1 END) AS BIGINT) AS label,
+    CASE WHEN {HASH_SQL.format(c='l_orderkey')} < 429496730 THEN 'validation' ELSE 'train' END AS split
+  FROM lineitem GROUP BY 1, 2, l_orderkey),
 b AS (SELECT *, unnest(range(len(ymin))) AS i FROM rec)
-SELECT l_orderkey, chunk, coalesce(text, '') AS text, 'jpeg' AS format, coalesce(label, -1) AS label,
+SELECT l_orderkey, chunk, split, coalesce(text, '') AS text, 'jpeg' AS format, coalesce(label, -1) AS label,
   CAST(i AS INTEGER) AS box, ymin[i + 1] AS ymin, xmin[i + 1] AS xmin, ymax[i + 1] AS ymax,
   xmax[i + 1] AS xmax, object_label[i + 1] AS object_label FROM b""")
 def src_boxes(spark, sf_dir):
-    """SRC-9: box records (validation split) with defaults, one row per box."""
+    """SRC-9: box records of every split with defaults, one row per box."""
     path = scratch_path(spark, "boxes")
     box_records(spark, sf_dir).write.partitionBy("split").parquet(path)
-    return X.boxes(X.get_box_split(spark, path, "validation"), ["l_orderkey", "chunk"])
+    out = None
+    for split in ("train", "validation"):
+        b = X.boxes(X.get_box_split(spark, path, split), ["l_orderkey", "chunk", "split"])
+        out = b if out is None else out.unionByName(b)
+    return out
 
 
 # ------------------------------------------------------------ epochs

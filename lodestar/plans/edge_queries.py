@@ -131,18 +131,18 @@ def edge_line_report(spark, sf_dir):
     return ED.line_report(ED.classify_tab_lines(lines))
 
 
-@query("pipeline_small", oracle=rank_ctes(WS_EDGES_CTE, 10) + """
+@query("text_rank_small", oracle=rank_ctes(WS_EDGES_CTE, 10) + """
 SELECT id, round(rank, 6) AS rank, printf('%s has rank: %.6f', id, round(rank, 6)) AS line
 FROM r10 ORDER BY rank DESC, id LIMIT 5""")
-def pipeline_small(spark, sf_dir):
+def text_rank_small(spark, sf_dir):
     """GR-5: text → comment filter → whitespace parse → distinct → 10 rounds → top 5."""
     lines = read_lines(spark, TG.write_whitespace_file(spark, sf_dir))
     return R.top_ranks(R.rank(ED.parse_whitespace_edges(lines), rounds=10), 5)
 
 
-@query("pipeline_large", oracle=rank_ctes(TAB_EDGES_CTE, 10) +
+@query("text_rank_large", oracle=rank_ctes(TAB_EDGES_CTE, 10) +
        "\nSELECT id, round(rank, 6) AS rank FROM r10")
-def pipeline_large(spark, sf_dir):
+def text_rank_large(spark, sf_dir):
     """GR-6: several files → namespace filter → tab parse → distinct → 10 rounds."""
     lines = read_lines(spark, TG.write_tab_files(spark, sf_dir))
     return R.round_rank(R.rank(ED.parse_tab_edges(lines), rounds=10))
