@@ -91,10 +91,14 @@ class Links:
     hot_split: int
     table: str | None = None
     names: DataFrame | None = None     # node dictionary when ids are encoded
+    path: str | None = None
 
     def release(self) -> None:
+        """Drop the links table and delete its files (call once the ranks that
+        used it are materialised)."""
         if self.table:
-            drop_table(self.links.sparkSession, self.table)
+            drop_table(self.links.sparkSession, self.table, self.path)
+            self.table = None
 
 
 def _graph_stats(deg: DataFrame) -> tuple[int, float]:
@@ -182,16 +186,16 @@ def prepare_links(edges: DataFrame, partitions: int | None = None, cache: bool =
                          "dst", "dst_degree", "dst_salts"))
         start = meta.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"), "out_degree", "n_salts")
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = None
+    table = path = None
     if cache:
-        links, table = write_bucketed(links, n, ["src", "salt"], "links")
+        links, table, path = write_bucketed(links, n, ["src", "salt"], "links")
         start = start.checkpoint(eager=True)
     elif partitions:
         links = links.repartition(n, "src", "salt")
     if cache:
         e.unpersist()
     deg.unpersist()
-    return Links(links=links, start=start, hot_split=split, table=table, names=names)
+    return Links(links=links, start=start, hot_split=split, table=table, names=names, path=path)
 
 
 def decode_ids(prep: Links, ranks: DataFrame) -> DataFrame:

@@ -16,8 +16,9 @@ from ..session import scratch_path
 
 
 def write_bucketed(df: DataFrame, buckets: int, cols: list[str],
-                   hint: str = "t") -> tuple[DataFrame, str]:
-    """Write ``df`` as a parquet table bucketed on ``cols``; return its scan and name.
+                   hint: str = "t") -> tuple[DataFrame, str, str]:
+    """Write ``df`` as a parquet table bucketed on ``cols``; return its scan,
+    table name and path.
 
     The rows are first hash-partitioned with the same function and count as
     the buckets, so each writing task produces exactly one file per bucket.
@@ -27,13 +28,22 @@ def write_bucketed(df: DataFrame, buckets: int, cols: list[str],
     path = scratch_path(spark, hint)
     (df.repartition(buckets, *cols).write.format("parquet")
        .bucketBy(buckets, *cols).option("path", path).saveAsTable(name))
-    return spark.table(name), name
+    return spark.table(name), name, path
 
 
-def drop_table(spark: SparkSession, name: str) -> None:
-    """Forget a table made by :func:`write_bucketed`; being external, its files
-    stay in the checkpoint folder, so readers still running are not disturbed."""
+def drop_table(spark: SparkSession, name: str, path: str | None = None) -> None:
+    """Forget a table made by :func:`write_bucketed` and, with ``path``, delete
+    its files from the shared folder (only once nothing reads them any more)."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if path:
+        delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursive delete through the Hadoop file system of ``path``'s scheme."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def write_table(df: DataFrame, hint: str = "t") -> DataFrame:
