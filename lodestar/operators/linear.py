@@ -37,6 +37,7 @@ SYNC_WORKERS = 3
 WEIGHTS = "softmax/weights"
 BIASES = "softmax/biases"
 EPOCH_STRIDE = 1000003          # epoch offset inside the batch hash
+DIRECT_COMBINE_MAX = 64         # partitions whose partial sums the driver may add itself
 
 PARTIAL_SCHEMA = "grp int, param string, i int, j int, v double"
 LOCAL_SCHEMA = "param string, i int, j int, v double"
@@ -168,19 +169,33 @@ def partial_gradients(features: DataFrame, model: Model, group: Column | None =
     return parts.groupBy("grp", "param", "i", "j").agg(F.sum("v").alias("v"))
 
 
-def gradient(features: DataFrame, model: Model) -> Gradient:
+def direct_combine(features: DataFrame) -> bool:
+    """Sum partition partials on the driver when there are few partitions
+    (at most ``DIRECT_COMBINE_MAX`` × model-size numbers); otherwise let Spark's
+    partial + final aggregate combine them on the executors."""
+    return features.rdd.getNumPartitions() <= DIRECT_COMBINE_MAX
+
+
+def gradient(features: DataFrame, model: Model, direct: bool | None = None) -> Gradient:
     """One job: the mean-able gradient sums (bounded: dim × classes values)."""
     dim, classes = model.W.shape
     gW = np.zeros((dim, classes))
     gb = np.zeros(classes)
     stats = {"loss": 0.0, "n": 0.0, "hits": 0.0}
-    for r in partial_gradients(features, model).collect():
+    if direct is None:
+        direct = direct_combine(features)
+    if direct:
+        rows = (features.select("features", "label")
+                .mapInPandas(_partials(model.W, model.b), PARTIAL_SCHEMA).collect())
+    else:
+        rows = partial_gradients(features, model).collect()
+    for r in rows:
         if r["param"] == WEIGHTS:
-            gW[r["i"], r["j"]] = r["v"]
+            gW[r["i"], r["j"]] += r["v"]
         elif r["param"] == BIASES:
-            gb[r["j"]] = r["v"]
+            gb[r["j"]] += r["v"]
         else:
-            stats[r["param"]] = r["v"]
+            stats[r["param"]] += r["v"]
     return Gradient(gW, gb, stats["loss"], int(stats["n"]), int(stats["hits"]))
 
 
@@ -262,9 +277,10 @@ def fit_full(features: DataFrame, steps: int, lr: float = LEARNING_RATE, classes
 def _fit_full(features, steps, lr, classes, model, on_step) -> FitResult:
     m = model or Model.zeros(feature_dim(features), classes)
     res = FitResult(m)
+    direct = direct_combine(features)
     for s in range(steps):
         t0 = time.time()
-        g = gradient(features, m)
+        g = gradient(features, m, direct)
         m = apply_sgd(m, g, lr)
         res.metrics.append(dict(step=s, epoch=0, loss=g.mean_loss, examples=g.n,
                                 seconds=time.time() - t0, hits=g.hits))
@@ -296,11 +312,12 @@ def _fit_sync(features, epochs, batch_size, workers, lr, classes, on_step) -> Fi
     m = Model.zeros(feature_dim(features), classes)
     res = FitResult(m)
     step = 0
+    direct = direct_combine(features)
     for e in range(epochs):
         tagged = features.withColumn("_batch", batch_of("id", e, nb))
         for k in range(nb):
             t0 = time.time()
-            g = gradient(tagged.where(F.col("_batch") == k), m)
+            g = gradient(tagged.where(F.col("_batch") == k), m, direct)
             if g.n:
                 m = apply_sgd(m, g, lr)
             res.metrics.append(dict(step=step, epoch=e, loss=g.mean_loss, examples=g.n,
@@ -366,23 +383,29 @@ def fit_local(features: DataFrame, epochs: int = EPOCHS, batch_size: int = BATCH
 
 def _fit_local(features, epochs, batch_size, lr, classes) -> FitResult:
     m = Model.zeros(feature_dim(features), classes)
+    direct = direct_combine(features)
     res = FitResult(m)
     dim = m.W.shape[0]
     for e in range(epochs):
         t0 = time.time()
         parts = features.select("id", "features", "label").mapInPandas(
             _local_sgd(m.W, m.b, batch_size, lr, e), LOCAL_SCHEMA)
-        rows = parts.groupBy("param", "i", "j").agg(F.sum("v").alias("v")).collect()
-        stats = {r["param"]: r["v"] for r in rows if r["param"] in ("loss", "n", "replicas")}
+        if not direct:
+            parts = parts.groupBy("param", "i", "j").agg(F.sum("v").alias("v"))
+        rows = parts.collect()
+        stats = {"loss": 0.0, "n": 0.0, "replicas": 0.0}
+        for r in rows:
+            if r["param"] in stats:
+                stats[r["param"]] += r["v"]
         k = stats.get("replicas", 0.0)
         if k:
             W = np.zeros((dim, classes))
             b = np.zeros(classes)
             for r in rows:
                 if r["param"] == WEIGHTS:
-                    W[r["i"], r["j"]] = r["v"] / k
+                    W[r["i"], r["j"]] += r["v"] / k
                 elif r["param"] == BIASES:
-                    b[r["j"]] = r["v"] / k
+                    b[r["j"]] += r["v"] / k
             m = Model(W, b, m.step + 1)
         seen = stats.get("n", 0.0)
         res.metrics.append(dict(step=e, epoch=e, loss=stats.get("loss", 0.0) / seen if seen else float("nan"),

@@ -45,6 +45,13 @@ def test_gradient_matches_numpy_and_finite_difference(feats):
     assert abs((loss2 - loss) / eps - gW[2, 1]) < 1e-3
 
 
+def test_direct_and_aggregated_combine_agree(feats):
+    m = LIN.Model(RNG.standard_normal((D, K)) * 0.1, np.zeros(K))
+    a, b = LIN.gradient(feats, m, direct=True), LIN.gradient(feats, m, direct=False)
+    np.testing.assert_allclose(a.gW, b.gW, atol=1e-12)
+    assert (a.n, a.hits) == (b.n, b.hits) and abs(a.loss - b.loss) < 1e-9
+
+
 def test_replica_average_equals_full_gradient(feats):
     m = LIN.Model.zeros(D, K)
     full = {(r["param"], r["i"], r["j"]): r["g"] for r in LIN.gradient_frame(feats, m).collect()}
