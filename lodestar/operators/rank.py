@@ -46,6 +46,7 @@ DEFAULT_HOT_SPLIT = 200_000        # edges per salt bucket of one source
 MAX_HOT_SOURCES = 100_000          # rows allowed in the broadcast hot table
 DEFAULT_CHECKPOINT_EVERY = 1
 ENCODE_MIN_NAME_LENGTH = 16        # mean name length from which ids are encoded
+LINKS_PER_BUCKET = 100_000         # target links per bucket of the links table
 
 
 def dedupe_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -118,6 +119,16 @@ def choose_hot_split(deg: DataFrame, hot_split: int = DEFAULT_HOT_SPLIT,
     return max(int(hot_split), -(-int(total) // int(max_hot)), 1)
 
 
+def bucket_count(spark, edges_total: int, per_bucket: int | None = None) -> int:
+    """Buckets for the links: about ``LINKS_PER_BUCKET`` links each, at least
+    the cluster's default parallelism (every core gets a bucket), at most
+    ``spark.sql.shuffle.partitions`` (the cluster's sizing of a stage)."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    floor = spark.sparkContext.defaultParallelism
+    per = per_bucket or LINKS_PER_BUCKET
+    return max(1, min(cap, max(floor, -(-int(edges_total) // per))))
+
+
 def node_dictionary(e: DataFrame, meta: DataFrame) -> DataFrame:
     """``(name, nid, out_degree, n_salts)`` for every node, ids unique longs.
 
@@ -185,7 +196,7 @@ def prepare_links(edges: DataFrame, partitions: int | None = None, cache: bool =
                          F.pmod(F.xxhash64("dst"), F.coalesce("n_salts", F.lit(1))).cast("int").alias("salt"),
                          "dst", "dst_degree", "dst_salts"))
         start = meta.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"), "out_degree", "n_salts")
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or bucket_count(spark, total)
     table = path = None
     if cache:
         links, table, path = write_bucketed(links, n, ["src", "salt"], "links")
