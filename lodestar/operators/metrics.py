@@ -70,7 +70,7 @@ def throughput(batches: DataFrame) -> DataFrame:
     aggregate computed first and added as a literal.
     """
     per = batches.select("batch_id", "examples", "seconds",
-                         (F.col("examples") / F.col("seconds")).alias("examples_per_sec"),
+                         F.try_divide(F.col("examples"), F.col("seconds")).alias("examples_per_sec"),
                          F.col("seconds").alias("sec_per_batch"))
     mean = per.agg(F.avg("examples_per_sec").alias("m")).first()["m"]
     return per.withColumn("mean_examples_per_sec", F.lit(mean).cast("double"))

@@ -58,7 +58,7 @@ def write_embedding_images(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _vec_id(c="file_name"):
-    return F.regexp_extract(F.col(c), r"^(\d+)\.", 1).cast("long")
+    return F.regexp_extract(F.col(c), r"^(\d+)\.", 1).try_cast("long")
 
 
 IMAGE_CLASS_SQL = """SELECT vec_id, 'digit_' || label AS class_name FROM embeddings"""
@@ -83,7 +83,7 @@ def src_image_dims(spark, sf_dir):
     """SRC-7: decode with the built-in image source; 3 channels asserted."""
     ok, _bad = IM.read_images(spark, write_embedding_images(spark, sf_dir))
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    return ok.select(F.regexp_extract(name, r"^(\d+)\.", 1).cast("long").alias("vec_id"),
+    return ok.select(F.regexp_extract(name, r"^(\d+)\.", 1).try_cast("long").alias("vec_id"),
                      "height", "width", "channels")
 
 
@@ -106,7 +106,7 @@ def image_crop_pad(spark, sf_dir):
     ok, _bad = IM.read_images(spark, write_embedding_images(spark, sf_dir))
     out = IM.crop_or_pad(ok, keep=["path"], summary=True)
     return out.select(F.regexp_extract(F.regexp_extract("path", r"([^/]+)$", 1), r"^(\d+)\.", 1)
-                      .cast("long").alias("vec_id"),
+                      .try_cast("long").alias("vec_id"),
                       "total", "row_moment", "col_moment", "out_height", "out_width")
 
 

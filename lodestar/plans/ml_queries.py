@@ -405,9 +405,11 @@ SELECT batch_id, examples, round(seconds, 6) AS seconds, round(examples / second
   round(seconds, 6) AS sec_per_batch, round(avg(examples / seconds) OVER (), 6) AS mean_examples_per_sec FROM PB""")
 def throughput(spark, sf_dir):
     """AGG-10: examples/s and s/batch per batch of events (span of ``ts``), and the mean rate."""
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    # zone-free span of the wall-clock timestamps (a cast to TIMESTAMP would
+    # depend on the session time zone across daylight-saving changes)
     per = event_batches(spark, sf_dir).groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("examples"), ((F.max(us) - F.min(us)) / F.lit(1e6)).alias("seconds"))
+        F.count(F.lit(1)).alias("examples"),
+        (F.timestamp_diff("MICROSECOND", F.min("ts"), F.max("ts")) / F.lit(1e6)).alias("seconds"))
     t = MET.throughput(per)
     return t.select("batch_id", "examples", *[F.round(c, 6).alias(c) for c in
                                              ["seconds", "examples_per_sec", "sec_per_batch", "mean_examples_per_sec"]])
