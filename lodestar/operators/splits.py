@@ -83,6 +83,22 @@ def shards_complete(df_written: DataFrame, splits: list[str], num_shards: int) -
     return have == len(splits) * num_shards
 
 
+def path_exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def write_shards_once(df: DataFrame, path: str, splits: list[str], num_shards: int) -> bool:
+    """SNK-5: skip everything when the complete shard set already exists,
+    otherwise (re)write it.  Returns whether anything was written."""
+    spark = df.sparkSession
+    if path_exists(spark, path) and shards_complete(spark.read.parquet(path), splits, num_shards):
+        return False
+    write_shards(df, path, num_shards, mode="overwrite")
+    return True
+
+
 def fixed_batches(df: DataFrame, order: str, batch_size: int) -> DataFrame:
     """ML-13: batches of ``batch_size`` in ``order``; the trailing partial batch
     is dropped (``int(n / batch)`` batches)."""

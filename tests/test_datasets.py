@@ -78,6 +78,12 @@ def test_holdout_and_shards(spark, tmpdir_path):
     # SNK-5: a second write with mode ignore leaves the set as it is
     S.write_shards(sh.drop("_h").limit(1), path, 5)
     assert spark.read.parquet(path).count() == 1000
+    # complete set: skipped; incomplete set: rewritten
+    assert not S.write_shards_once(sh.drop("_h"), path, ["train", "validation"], 5)
+    part = os.path.join(tmpdir_path, "partial")
+    S.write_shards(sh.drop("_h").where("shard < 2"), part, 5)
+    assert S.write_shards_once(sh.drop("_h"), part, ["train", "validation"], 5)
+    assert spark.read.parquet(part).count() == 1000
 
 
 def test_fixed_batches_drop_remainder(spark):
