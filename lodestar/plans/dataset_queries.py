@@ -141,7 +141,7 @@ def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def written_records(spark: SparkSession, sf_dir: str) -> str:
     rec = _sharded(spark, sf_dir)
     path = scratch_path(spark, "records")
-    S.write_shards(rec, path, NUM_SHARDS)
+    S.write_shards_once(rec, path, list(X.FLOWER_SPLITS), NUM_SHARDS)
     return path
 
 
