@@ -329,33 +329,40 @@ def _fit_sync(features, epochs, batch_size, workers, lr, classes, on_step) -> Fi
     return res
 
 
-def _local_sgd(W: np.ndarray, b: np.ndarray, batch_size: int, lr: float, epoch: int):
+def _local_sgd(W: np.ndarray, b: np.ndarray, batch_size: int, lr: float):
+    """Sequential mini-batch SGD over one partition, streamed.
+
+    Rows arrive already sorted by the epoch's seeded hash (a spillable sort
+    inside the partition); Arrow batches are consumed in order and only the
+    leftover partial mini-batch is carried, so memory stays at one Arrow batch
+    plus the model however large the partition is.  The last partial
+    mini-batch of the partition is dropped (``int(n / batch)`` steps).
+    """
     dim, classes = W.shape
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames = [p for p in batches if not p.empty]
-        if not frames:
-            return
-        # One partition's own rows: local SGD over them in batches, in id order
-        # permuted by the seeded hash (the partition is processed as one task
-        # anyway; nothing is gathered across partitions).
-        pdf = pd.concat(frames, ignore_index=True)
-        ids = pdf["id"].to_numpy().astype(np.int64)
-        h = ((ids + epoch * EPOCH_STRIDE) * 2654435761) % 4294967296
-        pdf = pdf.iloc[np.argsort(h, kind="stable")]
-        X = _matrix(pdf["features"])
-        y = pdf["label"].to_numpy().astype(np.int64)
         Wl, bl = W.copy(), b.copy()
-        loss, seen = 0.0, 0
-        for s in range(len(y) // batch_size):
-            xb, yb = X[s * batch_size:(s + 1) * batch_size], y[s * batch_size:(s + 1) * batch_size]
-            P, nlp = _probs(xb, Wl, bl)
-            idx = np.arange(len(yb))
-            loss += float(nlp[idx, yb].sum())
-            seen += len(yb)
-            P[idx, yb] -= 1.0
-            Wl -= lr * (xb.T @ P) / len(yb)
-            bl -= lr * P.sum(axis=0) / len(yb)
+        loss, seen, got = 0.0, 0, False
+        cx, cy = np.zeros((0, dim)), np.zeros(0, dtype=np.int64)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            got = True
+            X = np.vstack([cx, _matrix(pdf["features"])])
+            y = np.concatenate([cy, pdf["label"].to_numpy().astype(np.int64)])
+            full = len(y) // batch_size
+            for s in range(full):
+                xb, yb = X[s * batch_size:(s + 1) * batch_size], y[s * batch_size:(s + 1) * batch_size]
+                P, nlp = _probs(xb, Wl, bl)
+                idx = np.arange(len(yb))
+                loss += float(nlp[idx, yb].sum())
+                seen += len(yb)
+                P[idx, yb] -= 1.0
+                Wl -= lr * (xb.T @ P) / len(yb)
+                bl -= lr * P.sum(axis=0) / len(yb)
+            cx, cy = X[full * batch_size:], y[full * batch_size:]
+        if not got:
+            return
         ii, jj = np.meshgrid(np.arange(dim), np.arange(classes), indexing="ij")
         yield pd.DataFrame({
             "param": [WEIGHTS] * (dim * classes) + [BIASES] * classes + ["loss", "n", "replicas"],
@@ -370,10 +377,11 @@ def fit_local(features: DataFrame, epochs: int = EPOCHS, batch_size: int = BATCH
               lr: float = LEARNING_RATE, classes: int = 10, replicas: int | None = None) -> FitResult:
     """ML-8 re-aimed: local SGD with model averaging, one job per epoch.
 
-    Each partition (a replica) runs mini-batch SGD over its own rows from the
-    current global model; the round's model is the mean of the replicas'
-    models (a partial + final aggregate).  ``replicas`` fixes the partition
-    count by a hash of the id.
+    Each partition (a replica) runs mini-batch SGD over its own rows, in the
+    epoch's seeded order, from the current global model; the round's model is
+    the mean of the replicas' models.  ``replicas`` fixes the partition count
+    by a hash of the id (use about one per core); ``None`` keeps the input
+    partitioning.
     """
     if replicas:
         features = features.repartition(replicas, "id")
@@ -388,8 +396,10 @@ def _fit_local(features, epochs, batch_size, lr, classes) -> FitResult:
     dim = m.W.shape[0]
     for e in range(epochs):
         t0 = time.time()
-        parts = features.select("id", "features", "label").mapInPandas(
-            _local_sgd(m.W, m.b, batch_size, lr, e), LOCAL_SCHEMA)
+        order = key_hash(F.col("id") + F.lit(e * EPOCH_STRIDE))
+        parts = (features.select("id", "features", "label", order.alias("_h"))
+                 .sortWithinPartitions("_h")
+                 .mapInPandas(_local_sgd(m.W, m.b, batch_size, lr), LOCAL_SCHEMA))
         if not direct:
             parts = parts.groupBy("param", "i", "j").agg(F.sum("v").alias("v"))
         rows = parts.collect()

@@ -72,9 +72,16 @@ def test_full_fit_matches_numpy(feats):
     assert len(res.metrics) == 3
 
 
-def test_local_sgd_one_partition_is_sequential_sgd(spark, feats):
+@pytest.mark.parametrize("arrow_rows", [10000, 7])
+def test_local_sgd_one_partition_is_sequential_sgd(spark, feats, arrow_rows):
     one = feats.coalesce(1)
-    res = LIN.fit_local(one, epochs=2, batch_size=16, lr=0.05, classes=K)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(arrow_rows))        # 7: mini-batches straddle Arrow batches
+    try:
+        res = LIN.fit_local(one, epochs=2, batch_size=16, lr=0.05, classes=K)
+    finally:
+        spark.conf.set(key, old)
     W, b = np.zeros((D, K)), np.zeros(K)
     ids = np.arange(N)
     for e in range(2):
