@@ -47,10 +47,12 @@ def running_precision(batches: DataFrame, order: str = "batch_id", hits: str = "
     return rt.withColumn("precision", F.col(f"cum_{hits}") / F.col(f"cum_{examples}"))
 
 
-def epoch_mean_loss(batch_losses: DataFrame) -> DataFrame:
-    """AGG-5: per epoch, the sum of batch losses over the number of batches."""
+def epoch_mean_loss(batch_losses: DataFrame, batches_per_epoch: int | None = None) -> DataFrame:
+    """AGG-5: per epoch, the sum of batch losses over the number of batches
+    (``batches_per_epoch`` when the schedule fixes it, else the batches seen)."""
+    div = F.lit(float(batches_per_epoch)) if batches_per_epoch else F.count(F.lit(1))
     return batch_losses.groupBy("epoch").agg(
-        (F.sum("loss") / F.count(F.lit(1))).alias("avg_cost"), F.count(F.lit(1)).alias("batches"))
+        (F.sum("loss") / div).alias("avg_cost"), F.count(F.lit(1)).alias("batches"))
 
 
 def block_mean_loss(step_losses: DataFrame, total_steps: int, blocks: int = 20) -> DataFrame:

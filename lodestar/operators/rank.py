@@ -286,9 +286,11 @@ def top_ranks(ranks: DataFrame, k: int = 5) -> DataFrame:
         F.format_string("%s has rank: %.6f", F.col("id"), F.round("rank", 6)).alias("line"))
 
 
-def rank_text_lines(ranks: DataFrame) -> DataFrame:
-    """SNK-2 text form: Python tuple text ``('id', rank)`` per node."""
-    return ranks.select(F.format_string("('%s', %s)", F.col("id"), F.col("rank").cast("string")).alias("value"))
+def rank_text_lines(ranks: DataFrame, decimals: int = 6) -> DataFrame:
+    """SNK-2 text form: Python tuple text ``('id', rank)`` per node, the rank
+    with a fixed number of decimals (stable across engines)."""
+    return ranks.select(F.format_string(f"('%s', %.{decimals}f)", F.col("id"),
+                                        F.round("rank", decimals)).alias("value"))
 
 
 def round_rank(ranks: DataFrame, places: int = 6) -> DataFrame:

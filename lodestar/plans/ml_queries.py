@@ -455,8 +455,7 @@ def ml_epoch_loss(spark, sf_dir):
         bl = tr.groupBy(LIN.batch_of("id", e, nb).alias("k")).agg(F.avg("ce").alias("loss")) \
             .select(F.lit(e).cast("int").alias("epoch"), "loss")
         out = bl if out is None else out.unionByName(bl)
-    agg = out.groupBy("epoch").agg((F.sum("loss") / F.lit(float(nb))).alias("avg_cost"),
-                                   F.count(F.lit(1)).alias("batches"))
+    agg = MET.epoch_mean_loss(out, batches_per_epoch=nb)
     return agg.select("epoch", F.round("avg_cost", 6).alias("avg_cost"), "batches")
 
 

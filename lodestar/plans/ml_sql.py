@@ -23,11 +23,6 @@ B0 AS MATERIALIZED (SELECT CAST(r AS INTEGER) AS j, CAST(0.0 AS DOUBLE) AS b, CA
   FROM range(10) t(r))"""
 
 
-def batch_filter(epoch: int, num_batches_sql: str, k: int) -> str:
-    h = HASH.format(c=f"id + {epoch * EPOCH_STRIDE}")
-    return f"floor({h} * ({num_batches_sql}) / 4294967296) = {k}"
-
-
 def step_ctes(t: int, rows_filter: str = "TRUE", lr_w: float = 0.01, lr_b: float = 0.01,
               momentum: float | None = None) -> list[str]:
     """CTEs that turn ``W{t}, B{t}`` into ``W{t+1}, B{t+1}``."""

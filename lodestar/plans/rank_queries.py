@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import rank as R
 from ..session import scratch_path
 from ..sinks.files import write_lines
@@ -152,6 +150,5 @@ def snk_rank_text(spark, sf_dir):
     """SNK-2: rank lines as Python tuple text (6 decimals for a stable compare),
     written as text files and read back."""
     ranks = R.rank(supply_edges(spark, sf_dir), rounds=10, dedupe=False)
-    lines = ranks.select(F.format_string("('%s', %.6f)", F.col("id"), F.round("rank", 6)).alias("value"))
-    path = write_lines(lines, scratch_path(spark, "rank-text"))
+    path = write_lines(R.rank_text_lines(ranks), scratch_path(spark, "rank-text"))
     return read_lines(spark, path)

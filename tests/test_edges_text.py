@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import functions as F
+
 from lodestar.operators import edges as ED
 from lodestar.sources.text import read_lines, read_lines_numbered
 
@@ -61,3 +63,15 @@ def test_multi_path_read_and_numbered_lines(spark, tmpdir_path):
     assert sorted(r["value"] for r in read_lines(spark, paths).collect()) == [f"l{i}" for i in range(6)]
     numbered = read_lines_numbered(spark, paths).collect()
     assert sorted((r["line_no"], r["value"]) for r in numbered) == [(i, f"l{i}") for i in range(6)]
+
+
+def test_full_split_and_strip_match_python(spark):
+    import re
+
+    from lodestar.functions.text import py_split_ws, py_strip
+    samples = [" a  b\tc ", "x y z", "", "　lead", "tail\x1c"]
+    rows = lines(spark, samples).select("value", py_split_ws(F.col("value")).alias("parts"),
+                                        py_strip(F.col("value")).alias("stripped")).collect()
+    for r in rows:
+        assert list(r["parts"]) == re.split(r"\s+", r["value"]), r["value"]
+        assert r["stripped"] == r["value"].strip(), r["value"]
