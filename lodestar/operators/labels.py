@@ -25,13 +25,15 @@ def index_sorted_names(names: DataFrame, col: str = "name", start: int = 0) -> D
 
 
 def number_in_file_order(spark: SparkSession, path: str, start: int = 1) -> DataFrame:
-    """SRT-3 (file order): one id per line, numbered from ``start`` as listed."""
+    """SRT-3 (file order): every line (stripped) is one id, numbered from
+    ``start`` as listed – the file order, not a sorted order."""
+    from ..functions.text import py_strip
     lines = read_lines_numbered(spark, path)
-    return lines.where(F.length("value") > 0).select(
-        (F.col("line_no") + start).cast("int").alias("label"), F.col("value").alias("synset"))
+    return lines.select((F.col("line_no") + start).cast("int").alias("label"),
+                        py_strip(F.col("value")).alias("synset"))
 
 
-def with_background(ids: DataFrame, name_col: str = "synset") -> DataFrame:
+def with_background(ids: DataFrame, name_col: str = "name") -> DataFrame:
     """SET-3: the constant ``0 → background`` row in front of the numbering."""
     spark = ids.sparkSession
     bg = spark.createDataFrame([BACKGROUND], f"label int, {name_col} string")

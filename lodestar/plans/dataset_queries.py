@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators import labels as L
 from ..operators import splits as S
+from ..operators.joins import lookup
 from ..session import scratch_path
 from ..sources import examples as X
 from ..sources.tables import table
@@ -97,12 +98,15 @@ def write_synset_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 SYNSET_SQL = "SELECT printf('n%08d', n_nationkey) AS synset, n_nationkey AS k, n_name AS name FROM nation"
 
 
-@query("synset_ids", oracle=f"""SELECT 0 AS label, 'background' AS synset
-UNION ALL SELECT CAST(row_number() OVER (ORDER BY k) AS INTEGER) AS label, synset FROM ({SYNSET_SQL})""")
+@query("synset_ids", oracle=f"""SELECT 0 AS label, 'background' AS name
+UNION ALL SELECT CAST(row_number() OVER (ORDER BY k) AS INTEGER) AS label, name FROM ({SYNSET_SQL})""")
 def synset_ids(spark, sf_dir):
-    """SRT-3 (file order) + SET-3: synsets numbered from 1, ``0 = background``."""
-    syn, _ = write_synset_files(spark, sf_dir)
-    return L.with_background(L.number_in_file_order(spark, syn, start=1))
+    """SRT-3 (file order) + JN-4 + SET-3: synsets numbered from 1 as listed,
+    mapped to their readable names, ``0 = background`` in front."""
+    syn, names = write_synset_files(spark, sf_dir)
+    ids = L.number_in_file_order(spark, syn, start=1)
+    named = lookup(ids, L.read_tsv_pairs(spark, names), "synset")   # size-checked broadcast
+    return L.with_background(named.select("label", "name"))
 
 
 @query("synset_join", oracle=f"SELECT synset, name FROM ({SYNSET_SQL})")
@@ -110,7 +114,6 @@ def synset_join(spark, sf_dir):
     """JN-4: synset ids looked up in the (larger) names table."""
     syn, names = write_synset_files(spark, sf_dir)
     ids = read_lines(spark, syn).select(F.col("value").alias("synset"))
-    from ..operators.joins import lookup
     return lookup(ids, L.read_tsv_pairs(spark, names), "synset")
 
 
