@@ -38,6 +38,7 @@ WEIGHTS = "softmax/weights"
 BIASES = "softmax/biases"
 EPOCH_STRIDE = 1000003          # epoch offset inside the batch hash
 DIRECT_COMBINE_MAX = 64         # partitions whose partial sums the driver may add itself
+EPOCH_LAYOUT_MIN_BATCHES = 8    # batches per epoch from which epochs are laid out by batch
 
 PARTIAL_SCHEMA = "grp int, param string, i int, j int, v double"
 LOCAL_SCHEMA = "param string, i int, j int, v double"
@@ -292,20 +293,24 @@ def _fit_full(features, steps, lr, classes, model, on_step) -> FitResult:
 
 def fit_sync(features: DataFrame, epochs: int = EPOCHS, batch_size: int = SYNC_BATCH_SIZE,
              workers: int = SYNC_WORKERS, lr: float = LEARNING_RATE, classes: int = 10,
-             on_step: Callable[[Model], None] | None = None) -> FitResult:
+             on_step: Callable[[Model], None] | None = None,
+             layout: bool | None = None) -> FitResult:
     """ML-7 / ML-6: synchronous data-parallel SGD.
 
     Each update averages the gradients of ``workers`` batches of
     ``batch_size`` rows (one batch of ``workers · batch_size`` rows drawn by
     the seeded hash); ``int(n / (workers · batch_size))`` updates per epoch.
     ``workers=1`` with ``batch_size=32`` is the single-machine schedule (ML-6).
-    One job per update: the filter reads the cached feature partitions.
+    One job per update.  With many batches per epoch (``layout``; automatic
+    from ``EPOCH_LAYOUT_MIN_BATCHES``) each epoch's rows are cached sorted by
+    batch id, so the cache's per-batch min/max statistics let every update
+    skip all but its own batch instead of filtering every row.
     """
     with _Cached(features) as features:
-        return _fit_sync(features, epochs, batch_size, workers, lr, classes, on_step)
+        return _fit_sync(features, epochs, batch_size, workers, lr, classes, on_step, layout)
 
 
-def _fit_sync(features, epochs, batch_size, workers, lr, classes, on_step) -> FitResult:
+def _fit_sync(features, epochs, batch_size, workers, lr, classes, on_step, layout=None) -> FitResult:
     n = features.count()
     per_step = batch_size * workers
     nb = max(n // per_step, 1)
@@ -313,8 +318,13 @@ def _fit_sync(features, epochs, batch_size, workers, lr, classes, on_step) -> Fi
     res = FitResult(m)
     step = 0
     direct = direct_combine(features)
+    if layout is None:
+        layout = nb >= EPOCH_LAYOUT_MIN_BATCHES
     for e in range(epochs):
         tagged = features.withColumn("_batch", batch_of("id", e, nb))
+        if layout:
+            from pyspark import StorageLevel
+            tagged = tagged.sortWithinPartitions("_batch").persist(StorageLevel.MEMORY_AND_DISK)
         for k in range(nb):
             t0 = time.time()
             g = gradient(tagged.where(F.col("_batch") == k), m, direct)
@@ -325,6 +335,8 @@ def _fit_sync(features, epochs, batch_size, workers, lr, classes, on_step) -> Fi
             step += 1
             if on_step:
                 on_step(m)
+        if layout:
+            tagged.unpersist()
     res.model = m
     return res
 

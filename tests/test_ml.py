@@ -103,6 +103,13 @@ def test_sync_fit_uses_every_row_once_per_epoch(feats):
     assert per_epoch == {0: N, 1: N}
 
 
+def test_sync_fit_epoch_layout_gives_same_model(feats):
+    a = LIN.fit_sync(feats, epochs=2, batch_size=5, workers=2, classes=K, layout=True)
+    b = LIN.fit_sync(feats, epochs=2, batch_size=5, workers=2, classes=K, layout=False)
+    np.testing.assert_allclose(a.model.W, b.model.W, atol=1e-12)
+    assert sum(m["examples"] for m in a.metrics) == 2 * N
+
+
 def test_array_functions(spark):
     df = spark.createDataFrame([([1.0, 3.0, 3.0, 0.0], 2)], "s array<double>, y int")
     r = df.select(A.argmax("s").alias("a"), A.top1_hit("s", "y").alias("h"),
