@@ -112,6 +112,7 @@ def fit_centroids_sparse(features: DataFrame, steps: int, lr: float, momentum: f
         batch = features.where(batch_of("id", 0, nb) == s)
         n = batch.count()
         x = batch.select("label", F.posexplode("features").alias("i", "x"))
+        # centroids: classes × dim rows, bounded by the model, not the data
         grads = (x.join(F.broadcast(cent), ["label", "i"])
                  .groupBy("label", "i").agg((F.sum(F.col("value") - F.col("x")) / F.lit(float(max(n, 1)))).alias("g")))
         p = cent.withColumn("param", F.lit("c"))

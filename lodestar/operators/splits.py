@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import broadcast_if_small
 from .sorting import sort_by_keys, with_position
 
 TOP_K_LIMIT = 10_000       # top-k merges tasks × k rows in one task; above, a global sort
@@ -54,7 +55,8 @@ def position_in_group(df: DataFrame, group: str, order: str, name: str = "pos")
     """
     pos = with_position(sort_by_keys(df, [group, order]), "_gpos")
     start = pos.groupBy(group).agg(F.min("_gpos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    return (pos.join(F.broadcast(start), group)
+    # one row per group: broadcast only when the group count is small
+    return (pos.join(broadcast_if_small(start), group)
             .select(*df.columns, (F.col("_gpos") - F.col("_start")).alias(name), F.col("_n").alias("group_size")))
 
 
