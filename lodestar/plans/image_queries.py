@@ -145,3 +145,22 @@ def src_synthetic(spark, sf_dir):
     of the real set); image reported by its sum."""
     n = table(spark, sf_dir, "embeddings").count()
     return synthetic_images(spark, n, summary=True)
+
+
+@query("image_standardize", oracle=f"""WITH P AS (
+  SELECT vec_id, CAST(floor(sqrt(len(embedding))) AS INTEGER) AS side,
+    CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS k, unnest(embedding) AS v FROM embeddings),
+Q AS (SELECT vec_id, side, {_byte_sql('v')} AS r, {_byte_sql('-v')} AS g,
+    {_byte_sql('CAST(v AS DOUBLE) / 2.0')} AS b FROM P WHERE k < side * side),
+S AS (SELECT vec_id, sum(r + g + b) AS s1, sum(r * r + g * g + b * b) AS s2, 256.0 * 256.0 * 3.0 AS n
+  FROM Q GROUP BY vec_id)
+SELECT vec_id, round(s1 / n, 6) AS pixel_mean,
+  round(greatest(sqrt(s2 / n - (s1 / n) * (s1 / n)), 1.0 / sqrt(n)), 6) AS pixel_scale FROM S""")
+def image_standardize(spark, sf_dir):
+    """SRC-13 feed: decode → float → crop/pad to 256×256 → per-image
+    standardisation (SCL-10/11/12); the mean and bounded std used per image."""
+    ok, _bad = IM.read_images(spark, write_embedding_images(spark, sf_dir))
+    out = IM.crop_or_pad(ok, keep=["path"], summary=True, standardize=True)
+    return out.select(F.regexp_extract(F.regexp_extract("path", r"([^/]+)$", 1), r"^(\d+)\.", 1)
+                      .try_cast("long").alias("vec_id"),
+                      F.round("pixel_mean", 6).alias("pixel_mean"), F.round("pixel_scale", 6).alias("pixel_scale"))

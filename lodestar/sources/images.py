@@ -79,7 +79,8 @@ def _crop_pad(h: int, w: int, th: int, tw: int, img: np.ndarray) -> np.ndarray:
 
 
 def crop_or_pad(images: DataFrame, height: int = TARGET_SIZE, width: int = TARGET_SIZE,
-                keep: list[str] | None = None, summary: bool = False) -> DataFrame:
+                keep: list[str] | None = None, summary: bool = False,
+                standardize: bool = False) -> DataFrame:
     """SCL-11 (+ SCL-10 to float): RGB ``float`` arrays of ``height × width × 3``.
 
     Lower ``spark.sql.execution.arrow.maxRecordsPerBatch`` for large images: it
@@ -87,6 +88,10 @@ def crop_or_pad(images: DataFrame, height: int = TARGET_SIZE, width: int = TARGE
     ``OUTPUT_CHUNK`` images.  With ``summary`` each image is reduced in the same task to
     ``(total, row_moment, col_moment)`` – sum of values and sums weighted by
     the row / column index – instead of returning the full array.
+
+    ``standardize`` (SCL-12, as the input provider does after crop/pad):
+    ``(x - mean) / max(std, 1/sqrt(N))`` over the padded image; the mean and
+    the bounded std are returned as ``pixel_mean`` / ``pixel_scale``.
     """
     keep = keep or ["path"]
 
@@ -99,9 +104,16 @@ def crop_or_pad(images: DataFrame, height: int = TARGET_SIZE, width: int = TARGE
 
     def _one(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
+        stats = []
         for h, w, c, data in zip(pdf["height"], pdf["width"], pdf["channels"], pdf["data"]):
             bgr = np.frombuffer(data, dtype=np.uint8).reshape(int(h), int(w), int(c))
             out = _crop_pad(int(h), int(w), height, width, bgr[:, :, ::-1].astype(np.float32))
+            o64 = out.astype(np.float64)
+            mu = float(o64.mean())
+            scale = max(float(o64.std()), 1.0 / np.sqrt(o64.size))
+            stats.append((mu, scale))
+            if standardize:
+                out = ((o64 - mu) / scale).astype(np.float32)
             if summary:
                 rr = np.arange(height, dtype=np.float64)[:, None, None]
                 cc = np.arange(width, dtype=np.float64)[None, :, None]
@@ -114,10 +126,13 @@ def crop_or_pad(images: DataFrame, height: int = TARGET_SIZE, width: int = TARGE
             res["total"], res["row_moment"], res["col_moment"] = zip(*rows) if rows else ([], [], [])
         else:
             res["pixels"] = rows
+        res["pixel_mean"] = [m for m, _ in stats]
+        res["pixel_scale"] = [c for _, c in stats]
         res["out_height"], res["out_width"] = height, width
         return res
 
     fields = {f.name: f.dataType.simpleString() for f in images.schema.fields}
     cols = ", ".join(f"{k} {fields[k]}" for k in keep)
     tail = ("total double, row_moment double, col_moment double" if summary else "pixels array<float>")
-    return images.mapInPandas(fn, f"{cols}, {tail}, out_height int, out_width int")
+    return images.mapInPandas(fn, f"{cols}, {tail}, pixel_mean double, pixel_scale double, "
+                                  "out_height int, out_width int")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lodestar.sources import images as IM
@@ -33,6 +34,10 @@ def test_image_dir_scan_decode_and_crop_pad(spark, tmpdir_path):
     # rows cropped (10 → 6, offset 2), columns padded (12 → 16, offset 2)
     np.testing.assert_array_equal(arr[:, 2:14], big[2:8].astype(np.float32))
     assert arr[:, :2].sum() == 0 and arr[:, 14:].sum() == 0
+    std = IM.crop_or_pad(ok, 6, 16, standardize=True).first()
+    z = np.asarray(std["pixels"], dtype=np.float64)
+    assert abs(z.mean()) < 1e-5 and abs(z.std() - 1.0) < 1e-4
+    assert std["pixel_mean"] == pytest.approx(arr.mean())
 
 
 def test_stream_drains_queue_to_final_totals(spark, tmpdir_path):
