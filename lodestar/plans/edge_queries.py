@@ -146,3 +146,15 @@ def text_rank_large(spark, sf_dir):
     """GR-6: several files → namespace filter → tab parse → distinct → 10 rounds."""
     lines = read_lines(spark, TG.write_tab_files(spark, sf_dir))
     return R.round_rank(R.rank(ED.parse_tab_edges(lines), rounds=10))
+
+
+PAGE_EDGES_CTE = ("page_parsed AS (" + tab_parse_sql(PAGE_LINES_SQL, "page_id, pos, ") + ")"
+                  + ",\nedges AS MATERIALIZED (SELECT DISTINCT src, dst FROM page_parsed WHERE status = 'edge')")
+
+
+@query("rank_pages", oracle=rank_ctes(PAGE_EDGES_CTE, 1) + "\nSELECT id, round(rank, 6) AS rank FROM r1")
+def rank_pages(spark, sf_dir):
+    """Page host → href graph (tab form, cleaned, distinct), one round: hosts and
+    link targets are disjoint, so a second round would leave nothing (rule 3)."""
+    edges = ED.parse_tab_edges(TG.page_link_lines(spark, sf_dir))
+    return R.round_rank(R.rank(edges, rounds=1))
