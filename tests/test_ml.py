@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from lodestar.functions import arrays as A
 from lodestar.operators import linear as LIN
@@ -165,4 +164,3 @@ def test_block_loss_and_checkpoint_steps(spark):
     assert MET.checkpoint_steps(251) == [0, 100, 200, 250]
     saved = spark.createDataFrame([(0, 1.0), (2, 3.0)], "step int, value double")
     assert [r["value"] for r in MET.latest(saved).collect()] == [3.0]
-    assert F is not None
