@@ -11,13 +11,15 @@ Semantics (kept exactly, they differ from textbook PageRank):
 
 Plan shape (per round, no shuffle of the edge table):
 
-* ``links``  = distinct edges ``(src, salt, dst)`` hash-partitioned on
-  ``(src, salt)`` and persisted once;
-* ``nodes``  = ``(src, out_degree, n_salts)``, one row per source;
-* ``ranks ⋈ nodes`` (one row per key on both sides) gives each source's share
-  ``rank / out_degree``; the share is replicated ``n_salts`` times and joined
-  to ``links`` on ``(src, salt)``; ``groupBy(dst).sum`` is partial + final, so
-  a hub with huge in-degree is combined map-side.
+* ``links``  = distinct edges ``(src, salt, dst, dst_degree, dst_salts)``
+  written once as a table bucketed on ``(src, salt)``;
+* ``ranks``  = ``(id, rank, out_degree, n_salts)``: each node's rank travels
+  with its own degree and salt count;
+* a round turns every rank into ``n_salts`` share rows ``rank / out_degree``
+  (node-sized, the only exchange besides the sums), joins them to the
+  bucketed links on ``(src, salt)`` without moving the links, and sums per
+  ``dst`` with a partial + final aggregate that also hands on the target's
+  degree and salt count, so a hub with huge in-degree is combined map-side.
 
 Hot sources: a source with more than ``hot_split`` out-links has its edges
 spread over ``ceil(out_degree / hot_split)`` salt buckets by a hash of the
