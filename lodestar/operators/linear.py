@@ -7,8 +7,9 @@ and reaches the tasks inside the closure (a broadcast of a few KB).
 
 One gradient evaluation is one Spark job: every partition computes its partial
 sums with numpy over Arrow batches (``mapInPandas``) and emits them in long
-form ``(param, i, j, v)``; a ``groupBy(...).sum`` (partial + final aggregate,
-AGG-11) combines the partitions; ``dim × classes + classes + 3`` numbers come
+form ``(param, i, j, v)``; with few partitions the driver adds the partials
+itself, otherwise a ``groupBy(...).sum`` (partial + final aggregate, AGG-11)
+combines them on the executors; ``dim × classes + classes + 3`` numbers come
 back to the driver.  That is Spark's natural barrier for synchronous
 data-parallel training (ML-7).  The asynchronous trainer (ML-8) is re-aimed as
 local SGD per partition with model averaging once per round, because Spark
