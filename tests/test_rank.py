@@ -74,3 +74,14 @@ def test_top_ranks_line(spark):
     e = edges(spark, [("a", "b"), ("b", "a"), ("c", "a")])
     rows = R.top_ranks(R.rank(e, rounds=1), 1).collect()
     assert rows[0]["id"] == "a" and rows[0]["line"] == "a has rank: 1.850000"
+
+
+def test_long_names_are_encoded_automatically(spark):
+    base = [("a", "b"), ("b", "a"), ("c", "a"), ("a", "c")]
+    long = [(f"https://example.org/page/{s}" * 2, f"https://example.org/page/{d}" * 2) for s, d in base]
+    prep = R.prepare_links(edges(spark, long), cache=False)
+    assert prep.names is not None                      # mean name length >= 16
+    short = R.prepare_links(edges(spark, base), cache=False)
+    assert short.names is None
+    got = {k[len("https://example.org/page/"):][0]: v for k, v in as_dict(R.rank(edges(spark, long), rounds=3)).items()}
+    assert got == as_dict(R.rank(edges(spark, base), rounds=3))
