@@ -85,3 +85,14 @@ def test_long_names_are_encoded_automatically(spark):
     assert short.names is None
     got = {k[len("https://example.org/page/"):][0]: v for k, v in as_dict(R.rank(edges(spark, long), rounds=3)).items()}
     assert got == as_dict(R.rank(edges(spark, base), rounds=3))
+
+
+def test_adjacency_splits_large_lists_without_losing_targets(spark):
+    pairs = [("hub", f"t{i:02d}") for i in range(25)] + [("x", "hub")]
+    rows = R.adjacency(edges(spark, pairs), max_list=10).collect()
+    hub = [r for r in rows if r["src"] == "hub"]
+    assert all(r["n_parts"] == 3 for r in hub) and 1 <= len(hub) <= 3
+    got = sorted(t for r in hub for t in r["targets"])
+    assert got == sorted(f"t{i:02d}" for i in range(25))
+    assert all(list(r["targets"]) == sorted(r["targets"]) for r in hub)
+    assert [list(r["targets"]) for r in rows if r["src"] == "x"] == [["hub"]]
