@@ -91,3 +91,12 @@ def test_fixed_batches_drop_remainder(spark):
     b = S.fixed_batches(df, "k", 100)
     assert b.count() == 1000
     assert b.select("batch_id").distinct().count() == 10
+
+
+def test_large_holdout_uses_global_sort_and_matches_brute_force(spark):
+    n, k = 30000, 12000                                  # k above the top-k ceiling
+    assert k > S.TOP_K_LIMIT
+    df = spark.range(n).select(F.col("id").alias("doc_id"))
+    got = {r["doc_id"] for r in S.holdout(df, S.key_hash("doc_id"), k).where("split = 'validation'").collect()}
+    h = sorted(range(n), key=lambda i: (i * 2654435761) % 4294967296)
+    assert got == set(h[:k])
