@@ -64,3 +64,10 @@ def test_csv_sink_refuses_existing_path(spark, tmpdir_path):
         assert "already exists" in str(exc).lower() or "path" in str(exc).lower()
     else:
         raise AssertionError("second write should fail")
+
+
+def test_next_in_order_skips_empty_partitions(spark):
+    rows = [(k, k * 10) for k in (3, 40, 41, 900, 5000)]
+    df = spark.createDataFrame(rows, "k long, u long")
+    got = {r["k"]: r["next_u"] for r in next_in_order(df, ["k"], ["u"], partitions=16).collect()}
+    assert got == {3: 400, 40: 410, 41: 9000, 900: 50000, 5000: None}
