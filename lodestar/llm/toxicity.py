@@ -34,8 +34,8 @@ FIT_ROWS = 20_000        # labelled rows that a fit may use
 FEATURES = 512
 MIN_DOCS = 5             # documents that hold a feature
 MIN_Z = 4.0
-BEGINNINGS = (4, 5, 6)   # characters of the word beginnings that are features
-RIDGE = 0.05
+BEGINNINGS = (4, 5, 6, 7, 8)   # characters of the word beginnings that are features
+RIDGE = 0.02
 COUNTERFACTUAL = 4.0     # weight of a squared change of score by a swap
 SWAPS = 4
 THRESHOLD = 0.7
