@@ -435,6 +435,21 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             .where(_may_link("a", "b", percent)).select("p.x", "p.y").distinct())
 
 
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, without those whose component is named by another id.
+
+    Rows with the same id stand or fall together; rows without an id stay.  A filter of fixed size lets most staying rows pass
+    without a shuffle; what it cannot tell apart is decided by a join."""
+    found = similar_documents(docs, doc_id, text)
+    path = scratch_path(docs.sparkSession, "copies")
+    (found.where(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
+     .write.parquet(path))
+    gone = docs.sparkSession.read.schema("doc_id long").parquet(path)
+    perhaps = F.col(doc_id).isNotNull() & _bloom(gone, "doc_id", docs.sparkSession)(F.coalesce(F.col(doc_id).cast("long"), F.lit(0)))
+    decided = docs.where(perhaps).join(gone.withColumnRenamed("doc_id", "_gone"), F.col(doc_id) == F.col("_gone"), "left_anti")
+    return docs.where(~perhaps).unionByName(decided)
+
+
 @query("op7_jaccard_join")
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""

@@ -7,8 +7,8 @@ so there are at most ``1 / SUPPORT`` of them; languages with less than ``LANG_SH
 reference of all documents, so there are at most ``1 / LANG_SHARE`` references.  Both bounds make the broadcast
 table small whatever the corpus.
 
-Distances of short texts are mostly noise: texts under ``MIN_WORDS`` words are not judged by word distance, and
-below the base limit of 50 words they fail the base rules anyway.
+Distances of short texts are mostly noise, falling with the root of the length: the limits are wider for short texts, and
+texts under ``MIN_WORDS`` words are not judged by distance at all (they fail the base rules anyway).
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from ..sources.tables import table
 from .arrow_text import distinct, segment_sums, slices, texts_of, words
 from .registry import query
@@ -30,8 +31,9 @@ LANG_SHARE = 0.001
 MIN_WORDS = 50
 BASE_MIN_WORDS = 50
 BASE_MAX_REPEAT_PERCENT = 50
-MAX_CLASS_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.62
+MAX_CLASS_DISTANCE = 0.20    # limits for long texts; STRAY / sqrt(words) is added
+MAX_WORD_DISTANCE = 0.28
+STRAY = 1.0
 SYMBOLS = b"#*$%&|<>"
 POOLED = ""    # the reference of all documents
 
@@ -133,7 +135,6 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang",
 
     counts = (docs.select(F.col(text), F.col(lang)).mapInArrow(count, "lang string, word string, n long")
               .groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    from ..session import checkpoint_dir
     checkpoint_dir(docs.sparkSession)
     counts = counts.checkpoint(eager=True)
     is_class = F.startswith("word", F.lit(" "))
@@ -188,48 +189,69 @@ def _word_distances(texts: pa.Array, names: list[str], refs: dict) -> np.ndarray
     return out
 
 
-def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-                  max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE,
-                  min_words: int = MIN_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+def class_limit(n_words: np.ndarray) -> np.ndarray:
+    """Largest class distance of a kept text; short texts stray more."""
+    return MAX_CLASS_DISTANCE + STRAY / np.sqrt(np.maximum(n_words, 1))
+
+
+def word_limit(n_words: np.ndarray) -> np.ndarray:
+    """Largest word distance of a kept text."""
+    return MAX_WORD_DISTANCE + STRAY / np.sqrt(np.maximum(n_words, 1))
+
+
+def judged(texts: pa.Array, langs: list[str], refs: dict) -> dict[str, np.ndarray]:
+    """Counts, distances and verdict of each text, by column name."""
+    n, flat = words(texts, lower=False)
+    _, index = distinct(flat)
+    ends = np.cumsum(n)
+    repeats = np.array([repeated_words(np.unique(index[e - k:e], return_inverse=True)[1].astype(np.int64))
+                        for e, k in zip(ends.tolist(), n.tolist())], np.int64)
+    classes = class_counts(texts)
+    has_lines = pc.match_substring(texts, "\n").to_numpy(zero_copy_only=False)
+    lines = np.array([duplicate_lines(t.as_py()) if x else 0 for t, x in zip(texts, has_lines)], np.int64)
+    of_lang = np.array([refs[x if x in refs else POOLED][2] for x in langs]).reshape(len(langs), -1)
+    by_class = _js(classes.astype(float), of_lang) if len(langs) else np.zeros(0)
+    by_word = _word_distances(texts, langs, refs)
+    failed = (n < BASE_MIN_WORDS) | (100 * repeats > BASE_MAX_REPEAT_PERCENT * n)
+    far = (n >= MIN_WORDS) & ((by_class > class_limit(n)) | (by_word > word_limit(n)))
+    return {"n_words": n.astype(np.int64), "word_chars": segment_sums(pc.utf8_length(flat).to_numpy(zero_copy_only=False), n).astype(np.int64),
+            "n_symbols": classes[:, CLASSES.index("symbol")].astype(np.int64), "n_dup_lines": lines, "n_repeat_words": repeats,
+            "base_failed": failed, "kept": ~failed & ~far, "class_distance": by_class, "word_distance": by_word}
+
+
+def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Counts, distances and verdict of every row's whole text.
 
     Null or empty texts have no words and fail the base rules.  A null or rare language uses the reference of all
-    documents.  Repeated rows are judged alike, each in a row of its own; columns other than ``carry`` are dropped;
-    an empty table gives an empty table.
+    documents.  Repeated rows are judged alike, each in a row of its own; other columns are not read; an empty table
+    gives an empty table.
     """
-    spark = docs.sparkSession
-    refs = spark.sparkContext.broadcast(references(docs, text, lang))
-    kept_cols = [F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)]
+    refs = docs.sparkSession.sparkContext.broadcast(references(docs, text, lang))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = refs.value
         for batch in batches:
-            langs = pc.fill_null(batch.column(2).cast(pa.string()), POOLED)
+            langs = pc.fill_null(batch.column(2), POOLED)
             for at, texts in slices(texts_of(batch.column(1))):
-                names = langs.slice(at, len(texts)).to_pylist()
-                n, flat = words(texts, lower=False)
-                _, index = distinct(flat)
-                ends = np.cumsum(n)
-                repeats = np.array([repeated_words(np.unique(index[e - k:e], return_inverse=True)[1].astype(np.int64))
-                                    for e, k in zip(ends.tolist(), n.tolist())], np.int64)
-                chars = segment_sums(pc.utf8_length(flat).to_numpy(zero_copy_only=False), n)
-                classes = class_counts(texts)
-                has_lines = pc.match_substring(texts, "\n").to_numpy(zero_copy_only=False)
-                lines = np.array([duplicate_lines(t.as_py()) if x else 0 for t, x in zip(texts, has_lines)], np.int64)
-                by_class = _js(classes.astype(float), np.array([known[x if x in known else POOLED][2] for x in names]))
-                by_word = _word_distances(texts, names, known)
-                failed = (n < BASE_MIN_WORDS) | (100 * repeats > BASE_MAX_REPEAT_PERCENT * n)
-                far = (by_class > max_class_distance) | ((n >= min_words) & (by_word > max_word_distance))
-                out = [batch.column(0).slice(at, len(texts)), pa.array(n.astype(np.int64)), pa.array(chars.astype(np.int64)),
-                       pa.array(classes[:, CLASSES.index("symbol")].astype(np.int64)), pa.array(lines), pa.array(repeats),
-                       pa.array(failed), pa.array(~failed & ~far), pa.array(by_class), pa.array(by_word)]
-                out += [batch.column(3 + i).slice(at, len(texts)) for i in range(len(carry))]
-                yield pa.RecordBatch.from_arrays(out, [*NAMES, *(f"_c{i}" for i in range(len(carry)))])
-
-    read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
-                       F.col(lang).cast("string").alias("lang"), *kept_cols)
-    schema = SCHEMA + "".join(f", _c{i} {read.schema[f'_c{i}'].dataType.simpleString()}" for i in range(len(carry)))
-    return read.mapInArrow(judge, schema)
+                out = judged(texts, langs.slice(at, len(texts)).to_pylist(), refs.value)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), *[pa.array(out[c]) for c in NAMES[1:]]], NAMES)
+
+    return (docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string"), F.col(lang).cast("string"))
+            .mapInArrow(judge, SCHEMA))
+
+
+def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that the rules keep."""
+    refs = docs.sparkSession.sparkContext.broadcast(references(docs, text, lang))
+    at_text, at_lang = docs.columns.index(text), docs.columns.index(lang)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = pc.fill_null(batch.column(at_lang).cast(pa.string()), POOLED)
+            for at, texts in slices(texts_of(batch.column(at_text))):
+                kept = judged(texts, langs.slice(at, len(texts)).to_pylist(), refs.value)["kept"]
+                yield batch.slice(at, len(texts)).filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 NAMES = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",

@@ -95,20 +95,22 @@ def encode_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
             for at, texts in slices(texts_of(batch.column(1))):
                 counts, ids = encode_texts(texts, path, cache)
                 ends = np.cumsum(counts)
-                n, digests, decoded, lists, plain = [], [], [], [], []
+                digests, decoded, lists, plain = [], [], [], []
                 for e, k in zip(ends.tolist(), counts.tolist()):
                     own = np.concatenate([begin, ids[e - k:e], end])
-                    n.append(len(own))
                     digests.append(hashlib.sha256(own.tobytes()).hexdigest())
                     back = sp.decode(own.tolist())
                     decoded.append(hashlib.sha256(back.encode()).hexdigest())
                     if with_ids:
-                        lists.append(own.tolist())
+                        lists.append(own)
                         plain.append(back)
-                out = [batch.column(0).slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(digests), pa.array(decoded)]
+                out = [batch.column(0).slice(at, len(texts)), pa.array(counts + 2, pa.int64()), pa.array(digests, pa.string()),
+                       pa.array(decoded, pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    out, names = [*out, pa.array(lists, pa.list_(pa.int32())), pa.array(plain)], [*names, "ids", "decoded"]
+                    offsets = pa.array(np.concatenate([[0], np.cumsum(counts + 2)]), pa.int32())
+                    out += [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(lists).astype(np.int32))), pa.array(plain, pa.string())]
+                    names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(out, names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

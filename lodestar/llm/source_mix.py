@@ -143,6 +143,12 @@ def mix(docs: DataFrame, budget_share: float = BUDGET_SHARE, max_epochs: int = M
     return full.unionByName(partial)
 
 
+def select_mix(docs: DataFrame, doc_id: str = "doc_id", **settings) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that the mix selects in one epoch at most."""
+    chosen = mix(docs, max_epochs=1, doc_id=doc_id, **settings).select(F.col("doc_id").alias("_chosen")).distinct()
+    return docs.join(chosen, F.col(doc_id) == F.col("_chosen"), "left_semi")
+
+
 def _case(column: str, weights: Mapping[str, float]) -> str:
     whens = " ".join(f"WHEN {column} = '{k}' THEN {float(v)!r}" for k, v in weights.items())
     return f"(CASE {whens} ELSE {DEFAULT_WEIGHT!r} END)" if whens else repr(DEFAULT_WEIGHT)

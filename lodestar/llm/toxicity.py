@@ -219,40 +219,53 @@ def _names(text: str, terms: frozenset[str]) -> bool:
     return not terms.isdisjoint(_LETTERS.findall(text.lower()))
 
 
-def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
-          carry: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` of every row's whole text, then the columns ``carry``.
+def scores_of(texts: pa.Array, model: Model) -> np.ndarray:
+    """Score of each text."""
+    n, flat = words(texts, lower=False)
+    kinds, index = distinct(flat)
+    # Only words with a weighted feature matter; a text's features are the union over its words.
+    live = [[f for f in fs if f in model.weights] for fs in features_of_words(kinds.to_pylist())]
+    marked = np.fromiter(map(bool, live), bool, len(live))
+    hit = marked[index]
+    row = np.repeat(np.arange(len(texts)), n)[hit]
+    found: dict[int, set[str]] = {}
+    for r, i in zip(row.tolist(), index[hit].tolist()):
+        found.setdefault(r, set()).update(live[i])
+    nothing: set[str] = set()
+    return np.array([model.score(found.get(r, nothing)) for r in range(len(texts))])
+
+
+def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``(doc_id, held_out, score, predicted)`` of every row's whole text.
 
     Null texts are empty and get the score of a text without features.  Null ids are not held out.  Repeated rows stay;
     other columns are not read; an empty table gives an empty table."""
     known = docs.sparkSession.sparkContext.broadcast(model)
-    names = ["doc_id", "held_out", "score", "predicted", *(f"_c{i}" for i in range(len(carry)))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = known.value
         for batch in batches:
             for at, texts in slices(texts_of(batch.column(2))):
-                n, flat = words(texts, lower=False)
-                kinds, index = distinct(flat)
-                # Only words with a weighted feature matter; a text's features are the union over its words.
-                live = [[f for f in fs if f in m.weights] for fs in features_of_words(kinds.to_pylist())]
-                marked = np.fromiter(map(bool, live), bool, len(live))
-                hit = marked[index]
-                row = np.repeat(np.arange(len(texts)), n)[hit]
-                found: dict[int, set[str]] = {}
-                for r, i in zip(row.tolist(), index[hit].tolist()):
-                    found.setdefault(r, set()).update(live[i])
-                scores = np.array([m.score(found.get(r, set())) for r in range(len(texts))])
-                cut = slice(at, at + len(texts))
+                scores = scores_of(texts, known.value)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[cut], batch.column(1)[cut], pa.array(scores), pa.array((scores >= threshold).astype(np.int32)),
-                     *[batch.column(3 + i)[cut] for i in range(len(carry))]], names)
+                    [batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), pa.array(scores),
+                     pa.array((scores >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (~in_fit(doc_id) & F.col(doc_id).isNotNull()).alias("held_out"),
-                       F.col(text).cast("string").alias("text"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
-    schema = "doc_id long, held_out boolean, score double, predicted int" + \
-        "".join(f", _c{i} {read.schema[f'_c{i}'].dataType.simpleString()}" for i in range(len(carry)))
-    return read.mapInArrow(run, schema)
+                       F.col(text).cast("string").alias("text"))
+    return read.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose whole text scores below the threshold."""
+    known = docs.sparkSession.sparkContext.broadcast(model)
+    at_text = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in slices(texts_of(batch.column(at_text))):
+                yield batch.slice(at, len(texts)).filter(pa.array(scores_of(texts, known.value) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 @query("op2_toxicity")
