@@ -84,15 +84,18 @@ def ragged_take(pool: np.ndarray, starts: np.ndarray, lens: np.ndarray, index: n
 
 
 class PieceCache:
-    """Codes of distinct pieces, kept by a worker; forgotten when ``cap`` pieces are held, so memory is bounded."""
+    """Codes of distinct pieces: from a fixed table, else from what the worker holds, else encoded.
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], cap: int = 600_000, longest: int = 64,
-                 fixed: dict[str, bytes] | None = None):
+    ``held`` may outlive a task, as a worker serves many; it takes new pieces until it has ``cap`` of them, so its
+    memory is bounded, and the frequent pieces, which come first, stay."""
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], held: dict[str, bytes] | None = None,
+                 cap: int = 1_000_000, longest: int = 64, fixed: dict[str, bytes] | None = None):
         self.encode, self.cap, self.longest, self.fixed = encode, cap, longest, fixed or {}
-        self.held: dict[str, bytes] = {}
+        self.held: dict[str, bytes] = {} if held is None else held
 
     def codes(self, pieces: list[str]) -> list[bytes]:
-        """One code for each of the (distinct) pieces: from the fixed table, else the cache, else encoded."""
+        """One code for each of the (distinct) pieces."""
         fixed, held = self.fixed, self.held
         if fixed:
             out = [fixed.get(x) or held.get(x) for x in pieces]
@@ -101,10 +104,10 @@ class PieceCache:
         missing = [i for i, x in enumerate(out) if x is None]
         if missing:
             new = self.encode([pieces[i] for i in missing])
-            if len(held) + len(new) > self.cap:
-                held.clear()
+            room = self.cap - len(held)
             for i, code in zip(missing, new):
                 out[i] = code
-                if len(pieces[i]) <= self.longest and len(held) < self.cap:
+                if room > 0 and len(pieces[i]) <= self.longest:
                     held[pieces[i]] = code
+                    room -= 1
         return out

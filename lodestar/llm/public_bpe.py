@@ -33,16 +33,45 @@ def load(path: str):
     return t
 
 
+@lru_cache(maxsize=8)
+def held(path: str, kind: str) -> dict[str, bytes]:
+    """What this worker has encoded so far."""
+    return {}
+
+
+AT_ONCE = 2000   # pieces that are encoded in one call
+
+
+def _encoded(path: str, pieces: list[str]) -> list[np.ndarray]:
+    """Ids of each piece.  Many are encoded at once, parted by a special string: the library takes that out first, so
+    the pieces stay apart, and its id parts theirs."""
+    t = load(path)
+    specials = t.get_added_tokens_decoder()
+    parting = next(((i, x.content) for i, x in specials.items()
+                    if not (x.lstrip or x.rstrip or x.single_word or x.normalized) and t.encode(x.content, add_special_tokens=False).ids == [i]), None)
+    own = [any(x.content in p for x in specials.values()) for p in pieces] if parting else [True] * len(pieces)
+    out: list[np.ndarray | None] = [None] * len(pieces)
+    alone = [i for i, x in enumerate(own) if x]
+    for i, got in zip(alone, t.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False)):
+        out[i] = np.array(got.ids, "<u4")
+    rest = [i for i, x in enumerate(own) if not x]
+    for at in range(0, len(rest), AT_ONCE):
+        some = rest[at:at + AT_ONCE]
+        ids = np.array(t.encode_batch_fast([parting[1].join(pieces[i] for i in some)], add_special_tokens=False)[0].ids, "<u4")
+        cut = np.flatnonzero(ids == parting[0]).tolist()
+        for i, start, end in zip(some, [0, *[c + 1 for c in cut]], [*cut, len(ids)]):
+            out[i] = ids[start:end]
+    return out
+
+
 def encode_pieces(path: str, pieces: list[str]) -> list[bytes]:
     """Ids of each piece as little-endian unsigned 32-bit integers."""
-    got = load(path).encode_batch_fast(pieces, add_special_tokens=False)
-    return [np.array(x.ids, "<u4").tobytes() for x in got]
+    return [x.tobytes() for x in _encoded(path, pieces)]
 
 
 def encode_lengths(path: str, pieces: list[str]) -> list[bytes]:
     """Number of ids of each piece, as 4 bytes."""
-    got = load(path).encode_batch_fast(pieces, add_special_tokens=False)
-    return [len(x.ids).to_bytes(4, "little") for x in got]
+    return [len(x).to_bytes(4, "little") for x in _encoded(path, pieces)]
 
 
 def _special_strings(path: str) -> list[str]:

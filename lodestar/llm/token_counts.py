@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from .arrow_text import PieceCache, distinct, slices, texts_of
-from .public_bpe import _split, count_ids, encode_lengths
+from .public_bpe import _split, count_ids, encode_lengths, held
 from .registry import query
 
 TABLE_SIZE = 32_768      # entries of the broadcast table
@@ -34,19 +34,19 @@ def frequent_pieces(docs: DataFrame, path: str, text: str = "text", size: int =
     """The (about) ``size`` most frequent pre-tokens of all texts; at most ``size`` strings reach the driver."""
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[str] = Counter()
+        often: Counter[str] = Counter()
         for batch in batches:
             for _, texts in slices(texts_of(batch.column(0))):
                 _, flat = _split(texts, path)
                 pieces, index = distinct(flat)
                 n = np.bincount(index, minlength=len(pieces))
-                often = np.flatnonzero(n > 1)
-                for piece, count in zip(pieces.take(pa.array(often)).to_pylist(), n[often].tolist()):
+                again = np.flatnonzero(n > 1)
+                for piece, count in zip(pieces.take(pa.array(again)).to_pylist(), n[again].tolist()):
                     if len(piece) <= LONGEST:
-                        held[piece] += count
-                if len(held) > HELD_BY_TASK:
-                    held = Counter(dict(held.most_common(HELD_BY_TASK // 4)))
-        top = held.most_common(PER_TASK)
+                        often[piece] += count
+                if len(often) > HELD_BY_TASK:
+                    often = Counter(dict(often.most_common(HELD_BY_TASK // 4)))
+        top = often.most_common(PER_TASK)
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in top], pa.string()),
                                           pa.array([n for _, n in top], pa.int64())], ["piece", "n"])
 
@@ -68,7 +68,7 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     fixed = spark.sparkContext.broadcast(dict(zip(pieces, encode_lengths(path, pieces))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = PieceCache(lambda xs: encode_lengths(path, xs), longest=LONGEST, fixed=fixed.value)
+        cache = PieceCache(lambda xs: encode_lengths(path, xs), held(path, "lengths"), longest=LONGEST, fixed=fixed.value)
         for batch in batches:
             texts = texts_of(batch.column(1))
             n = [count_ids(part, path, cache) for _, part in slices(texts)]

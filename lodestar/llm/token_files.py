@@ -24,7 +24,7 @@ from ..sources.tables import table
 from . import rans
 from .arrow_text import PieceCache, slices, texts_of
 from .order_parts import LEAST, order_key, parts_of
-from .public_bpe import encode_pieces, ids_of
+from .public_bpe import encode_pieces, held as held_ids, ids_of
 from .registry import query
 
 BLOCK_IDS = 1 << 19   # a block is closed by the document that brings it to so many ids
@@ -57,7 +57,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
     known = spark.sparkContext.broadcast(parts)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = PieceCache(lambda xs: encode_pieces(tokenizer, xs))
+        cache = PieceCache(lambda xs: encode_pieces(tokenizer, xs), held_ids(tokenizer, "ids"))
         end = np.array([] if end_id is None else [end_id], np.uint32)
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
