@@ -49,7 +49,10 @@ def _encoded(path: str, pieces: list[str]) -> list[np.ndarray]:
     specials = t.get_added_tokens_decoder()
     parting = next(((i, x.content) for i, x in specials.items()
                     if not (x.lstrip or x.rstrip or x.single_word or x.normalized) and t.encode(x.content, add_special_tokens=False).ids == [i]), None)
-    own = [any(x.content in p for x in specials.values()) for p in pieces] if parting else [True] * len(pieces)
+    own = [not parting] * len(pieces)
+    whole = "\n".join(pieces)
+    if parting and any(x.content in whole for x in specials.values()):
+        own = [any(x.content in p for x in specials.values()) for p in pieces]
     out: list[np.ndarray | None] = [None] * len(pieces)
     alone = [i for i, x in enumerate(own) if x]
     for i, got in zip(alone, t.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False)):

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +33,20 @@ BLOCK_IDS = 1 << 19   # a block is closed by the document that brings it to so m
 BLOCK_SCHEMA = ("part int, first_key long, uid long, n_ids long, keys array<long>, lens array<long>, payload binary")
 
 
-def _pack(ids: np.ndarray) -> bytes:
+@lru_cache(maxsize=1)
+def _zstd():
     import zstandard
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def _pack(ids: np.ndarray) -> bytes:
     small = len(ids) == 0 or int(ids.max()) < 1 << 16
     raw = ids.astype("<u2" if small else "<u4").tobytes()
-    return (b"2" if small else b"4") + zstandard.ZstdCompressor(level=1).compress(raw)
+    return (b"2" if small else b"4") + _zstd()[0].compress(raw)
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    import zstandard
-    raw = zstandard.ZstdDecompressor().decompress(data[1:])
+    raw = _zstd()[1].decompress(data[1:])
     return np.frombuffer(raw, "<u2" if data[:1] == b"2" else "<u4")
 
 
