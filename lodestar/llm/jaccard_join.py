@@ -27,7 +27,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from ..session import scratch_path
 from ..sources.tables import table
@@ -271,11 +270,8 @@ def _stand_in():
 
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """Edges ``(a, b)`` between class ids, of the key pairs ``(x, y)`` whose sets reach the similarity."""
-    spark = docs.sparkSession
     wanted = (pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct()
               .join(classes.select("key", "id"), "key"))
-    keep = _bloom(wanted, "id", spark)
-
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in slices(texts_of(batch.column(1))):
@@ -287,7 +283,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
                      pa.array([s.astype("<u8").tobytes() for s in own], pa.binary())], ["doc_id", "key", "items"])
 
     # The set of each class comes from the document that names it, once.
-    items = (docs.where(F.col("doc_id").isNull() | keep(F.coalesce(F.col("doc_id"), F.lit(0))))
+    items = (_with_perhaps(docs, wanted.select(F.col("id").alias("doc_id")), "doc_id")
+             .where(F.col("doc_id").isNull() | F.col("_perhaps")).select("doc_id", "text")
              .mapInArrow(sets, "doc_id long, key long, items binary")
              .select("key", F.coalesce("doc_id", _stand_in()).alias("id"), "items")
              .join(wanted, ["key", "id"], "left_semi").groupBy("key").agg(F.first("items").alias("items")))
@@ -311,29 +308,19 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
             .select("a", "b"))
 
 
-BLOOM_WORDS = 1 << 17    # of 64 bits: 8 million bits, 1 MB, whatever the input
-
+BLOOM_WORDS = 1 << 18    # of 64 bits: 16 million bits in at most so many rows, whatever the input
 
-def _bloom(ids: DataFrame, column: str, spark: SparkSession):
-    """A filter of fixed size that passes all these ids (and, the fuller it is, more of the others)."""
-    spots = ids.select(F.explode(F.array(*[F.pmod(F.xxhash64(F.col(column), F.lit(i)), F.lit(BLOOM_WORDS * 64)) for i in range(2)])).alias("p"))
-    rows = (spots.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("bits")).collect())
-    filled = np.zeros(BLOOM_WORDS, np.int64)
-    for r in rows:
-        filled[r["w"]] = r["bits"]
-    known = spark.sparkContext.broadcast(filled)
 
-    @pandas_udf("boolean")
-    def hit(p, q):
-        import pandas as pd
-        out = np.ones(len(p), bool)
-        for spot in (p.to_numpy(), q.to_numpy()):
-            out &= (known.value[spot >> 6] >> (spot & 63)) & 1 == 1
-        return pd.Series(out)
+def _with_perhaps(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """``docs`` with ``_perhaps``: true for every row whose id is among ``ids``, and, the more ids, for more of the others.
 
-    def keep(column):
-        return hit(*[F.pmod(F.xxhash64(column, F.lit(i)), F.lit(BLOOM_WORDS * 64)) for i in range(2)])
-    return keep
+    The bits are a table of bounded size, so it is broadcast."""
+    spot = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(BLOOM_WORDS * 64))
+    bits = (ids.select(spot.alias("p")).groupBy(F.shiftright("p", 6).alias("_word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("_bits")))
+    own = F.coalesce(F.expr("shiftright(_bits, cast(_spot & 63 AS int))").bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return (docs.withColumn("_spot", spot).join(F.broadcast(bits), F.shiftright("_spot", 6) == F.col("_word"), "left")
+            .withColumn("_perhaps", own).drop("_spot", "_word", "_bits"))
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS,
@@ -445,9 +432,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     (found.where(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
      .write.parquet(path))
     gone = docs.sparkSession.read.schema("doc_id long").parquet(path)
-    perhaps = F.col(doc_id).isNotNull() & _bloom(gone, "doc_id", docs.sparkSession)(F.coalesce(F.col(doc_id).cast("long"), F.lit(0)))
-    decided = docs.where(perhaps).join(gone.withColumnRenamed("doc_id", "_gone"), F.col(doc_id) == F.col("_gone"), "left_anti")
-    return docs.where(~perhaps).unionByName(decided)
+    marked = _with_perhaps(docs, gone.withColumnRenamed("doc_id", doc_id), doc_id)
+    perhaps = F.col(doc_id).isNotNull() & F.col("_perhaps")
+    decided = marked.where(perhaps).join(gone.withColumnRenamed("doc_id", "_gone"), F.col(doc_id) == F.col("_gone"), "left_anti")
+    return marked.where(~perhaps).unionByName(decided).select(*docs.columns)
 
 
 @query("op7_jaccard_join")
