@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .arrow_text import PieceCache, distinct, has_space_runs, ragged_take, segment_sums, split_spaces
+from .arrow_text import PieceCache, distinct, has_space_runs, ragged_take, segment_sums, split_spaces, strings
 
 # A piece: an optional space, then anything up to a space before a character other than white space.
 PIECE = re.compile(r" ?(?:[^ ]+| (?![^\s\x85\u180e\u200b]))+")
@@ -42,8 +42,8 @@ def held(path: str, kind: str) -> dict[str, bytes]:
 AT_ONCE = 2000   # pieces that are encoded in one call
 
 
-def _encoded(path: str, pieces: list[str]) -> list[np.ndarray]:
-    """Ids of each piece.  Many are encoded at once, parted by a special string: the library takes that out first, so
+def encode_pieces(path: str, pieces: list[str]) -> list[bytes]:
+    """Ids of each piece as little-endian unsigned 32-bit integers.  Many are encoded at once, parted by a special string: the library takes that out first, so
     the pieces stay apart, and its id parts theirs."""
     t = load(path)
     specials = t.get_added_tokens_decoder()
@@ -53,28 +53,24 @@ def _encoded(path: str, pieces: list[str]) -> list[np.ndarray]:
     whole = "\n".join(pieces)
     if parting and any(x.content in whole for x in specials.values()):
         own = [any(x.content in p for x in specials.values()) for p in pieces]
-    out: list[np.ndarray | None] = [None] * len(pieces)
+    out = [b""] * len(pieces)
     alone = [i for i, x in enumerate(own) if x]
     for i, got in zip(alone, t.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False)):
-        out[i] = np.array(got.ids, "<u4")
+        out[i] = np.array(got.ids, "<u4").tobytes()
     rest = [i for i, x in enumerate(own) if not x]
     for at in range(0, len(rest), AT_ONCE):
         some = rest[at:at + AT_ONCE]
         ids = np.array(t.encode_batch_fast([parting[1].join(pieces[i] for i in some)], add_special_tokens=False)[0].ids, "<u4")
-        cut = np.flatnonzero(ids == parting[0]).tolist()
-        for i, start, end in zip(some, [0, *[c + 1 for c in cut]], [*cut, len(ids)]):
-            out[i] = ids[start:end]
+        cut = (4 * np.flatnonzero(ids == parting[0])).tolist()
+        data = ids.tobytes()
+        for i, start, end in zip(some, [0, *[c + 4 for c in cut]], [*cut, len(data)]):
+            out[i] = data[start:end]
     return out
 
 
-def encode_pieces(path: str, pieces: list[str]) -> list[bytes]:
-    """Ids of each piece as little-endian unsigned 32-bit integers."""
-    return [x.tobytes() for x in _encoded(path, pieces)]
-
-
 def encode_lengths(path: str, pieces: list[str]) -> list[bytes]:
     """Number of ids of each piece, as 4 bytes."""
-    return [len(x).to_bytes(4, "little") for x in _encoded(path, pieces)]
+    return [(len(x) // 4).to_bytes(4, "little") for x in encode_pieces(path, pieces)]
 
 
 def _special_strings(path: str) -> list[str]:
@@ -116,7 +112,7 @@ def count_ids(texts: pa.Array, path: str, cache: PieceCache) -> np.ndarray:
     """Number of ids of every text; ``cache`` holds lengths (``encode_lengths``)."""
     counts, flat = _split(texts, path)
     table, index = distinct(flat)
-    lens = np.frombuffer(b"".join(cache.codes(table.to_pylist())), "<u4").astype(np.int64)
+    lens = np.frombuffer(b"".join(cache.codes(strings(table))), "<u4").astype(np.int64)
     return segment_sums(lens[index], counts)
 
 
@@ -124,7 +120,7 @@ def ids_of(texts: pa.Array, path: str, cache: PieceCache) -> tuple[np.ndarray, n
     """``(ids per text, ids)`` of all texts; ``cache`` holds ids (``encode_pieces``)."""
     counts, flat = _split(texts, path)
     table, index = distinct(flat)
-    codes = cache.codes(table.to_pylist())
+    codes = cache.codes(strings(table))
     lens = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
     pool = np.frombuffer(b"".join(codes), "<u4")
     ids = ragged_take(pool, np.cumsum(lens) - lens, lens, index)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from ..sources.tables import table
-from .arrow_text import distinct, segment_sums, slices, texts_of, words
+from .arrow_text import distinct, segment_sums, slices, strings, texts_of, words
 from .registry import query
 
 SUPPORT = 0.002
@@ -175,7 +175,7 @@ def _word_distances(texts: pa.Array, names: list[str], refs: dict) -> np.ndarray
     n, flat = words(texts, lower=True)
     kinds, index = distinct(flat)
     own = np.repeat(np.arange(len(texts)), n)
-    out, kind_list = np.zeros(len(texts)), kinds.to_pylist()
+    out, kind_list = np.zeros(len(texts)), strings(kinds)
     which = np.array([x if x in refs else POOLED for x in names], object)
     for name in set(which.tolist()):
         place, ref, _ = refs[name]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from .arrow_text import PieceCache, distinct, ragged_take, segment_sums, slices, split_spaces, texts_of
+from .arrow_text import PieceCache, distinct, ragged_take, segment_sums, slices, split_spaces, strings, texts_of
 from .registry import query
 
 MARK = "▁"
@@ -76,7 +76,7 @@ def encode_texts(texts: pa.Array, path: str, cache: PieceCache) -> tuple[np.ndar
     counts, starts = np.empty(len(texts), np.int64), np.empty(len(texts), np.int64)
     counts[order], starts[order] = n, np.cumsum(n) - n
     words, index = distinct(flat)
-    codes = cache.codes(words.to_pylist())
+    codes = cache.codes(strings(words))
     lens = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
     pool = np.frombuffer(b"".join(codes), "<u4")
     index = ragged_take(index, starts, counts, np.arange(len(texts)))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from .arrow_text import PieceCache, distinct, slices, texts_of
+from .arrow_text import PieceCache, distinct, slices, strings, texts_of
 from .public_bpe import _split, count_ids, encode_lengths, held
 from .registry import query
 
@@ -41,7 +41,7 @@ def frequent_pieces(docs: DataFrame, path: str, text: str = "text", size: int =
                 pieces, index = distinct(flat)
                 n = np.bincount(index, minlength=len(pieces))
                 again = np.flatnonzero(n > 1)
-                for piece, count in zip(pieces.take(pa.array(again)).to_pylist(), n[again].tolist()):
+                for piece, count in zip(strings(pieces.take(pa.array(again))), n[again].tolist()):
                     if len(piece) <= LONGEST:
                         often[piece] += count
                 if len(often) > HELD_BY_TASK:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from .arrow_text import distinct, slices, texts_of, words
+from .arrow_text import distinct, slices, strings, texts_of, words
 from .registry import query
 
 FIT_ROWS = 20_000        # labelled rows that a fit may use
@@ -82,7 +82,7 @@ def _sets(texts: pa.Array) -> Iterator[set[str]]:
     """Features of each text."""
     n, flat = words(texts, lower=False)
     kinds, index = distinct(flat)
-    of_kind = features_of_words(kinds.to_pylist())
+    of_kind = features_of_words(strings(kinds))
     at = 0
     for k in n.tolist():
         own: set[str] = set()
@@ -224,7 +224,7 @@ def scores_of(texts: pa.Array, model: Model) -> np.ndarray:
     n, flat = words(texts, lower=False)
     kinds, index = distinct(flat)
     # Only words with a weighted feature matter; a text's features are the union over its words.
-    live = [[f for f in fs if f in model.weights] for fs in features_of_words(kinds.to_pylist())]
+    live = [[f for f in fs if f in model.weights] for fs in features_of_words(strings(kinds))]
     marked = np.fromiter(map(bool, live), bool, len(live))
     hit = marked[index]
     row = np.repeat(np.arange(len(texts)), n)[hit]
