@@ -8,14 +8,17 @@ element (two units), make ``h + 1`` units, then a partner ``r`` agrees with ``s`
 * Index: for each set, the hash of its elements in every segment of its band, and for the first few segments of the band
   also the hashes with one element left out (the one-deletion neighbourhood).
 * Lookup: a set looks into its own band and the bands below that can hold partners, with as many units as its size there
-  asks for.  Units are allocated by cost: the expected number of sets that share a segment with so few elements, from the number of
-  sets in the band; empty segments are the dearest, and one-deletion lookups come in when they are cheaper.
+  asks for.  Units are allocated by cost: the number of sets expected to hold the same elements in a segment, from the number
+  of sets in the band and the shares of the elements (measured for elements of many sets, assumed for the others).  Empty segments
+  and segments of passages that many sets share are dear; one-deletion lookups come in when they are cheaper.
 * Rows meet by their hash; only hashes with a lookup and two different sets are kept (``groups``).
 * Candidates are verified exactly on the sets.  To spare work on groups of copies, equal sets are one class from the start;
-  round one verifies each class against one leader (the one that it shares most hashes with) and joins them to components; round two
-  verifies all pairs of a group that are still in different components, unless their sizes or parity sketches already rule
-  them out (the parities of two sets' 256-bit sketches differ in no more bits than the sets do in elements).  Pairs inside a
-  component need no test, so no group is expanded into all its pairs, and no link between components is lost.
+  round one verifies each class against one leader (the one that it shares most hashes with) and joins them to components; round
+  two verifies, in each group that still has several components, one member of each against one of the main component; round three
+  verifies all pairs of a group that are still in different components.  In every round, pairs whose sizes or parity sketches
+  already rule a link out are left (the parities of two sets' 256-bit sketches differ in no more bits than the sets do in
+  elements).  Pairs inside a component need no test, so no group is expanded into all its pairs, and no link between
+  components is lost.
 """
 
 from __future__ import annotations
@@ -36,7 +39,10 @@ from .registry import query
 
 WORDS = 5
 PERCENT = 80             # similarity, in percent
-SHARED = 0.15            # assumed chance that an element is shared by unlike sets, for the costs
+SHARED = 0.01            # assumed share of the sets that hold an element, for the costs, where it is not measured
+OFTEN_IN_SLICE = 3       # sets of a slice that hold an element which is then counted
+OFTEN_SHARE = 0.0005     # share of all sets above which an element's share is kept
+OFTEN_MOST = 200_000     # elements whose shares are kept
 SEEN = 500_000           # sets that a task remembers, so that copies in its part are indexed once
 INDEX, PROBE = 1, 2
 NO_ID = 1 << 62          # ids from here on stand for null ids
@@ -53,42 +59,50 @@ def _mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def shingle_sets(texts: pa.Array, size: int = WORDS) -> Iterator[np.ndarray]:
-    """Sorted distinct hashes of each text's word ``size``-grams (A-Z lower-cased); of all its words if it has fewer."""
+def shingle_sets(texts: pa.Array, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """``(elements, elements per text)``: each text's sorted distinct hashes of its word ``size``-grams (A-Z lower-cased), or of
+    all its words if it has fewer; one text after another."""
     import pandas as pd
     n, flat = words(texts, lower=True)
     kinds, index = distinct(flat)
-    hashed = pd.util.hash_array(np.array(kinds.to_pylist(), object), categorize=False) if len(kinds) else np.zeros(0, np.uint64)
+    hashed = pd.util.hash_array(kinds.to_numpy(zero_copy_only=False), categorize=False) if len(kinds) else np.zeros(0, np.uint64)
     w = hashed[index]
     factors = [_U(int(_FACTORS[j % 5]) + 2 * (j // 5)) for j in range(size)]
     grams = np.zeros(max(0, len(w) - size + 1), np.uint64)
     for j, f in enumerate(factors):
         grams += w[j:len(w) - size + 1 + j] * f
     grams = _mix(grams, 1)
-    at = 0
+    at, out = 0, []
     for k in n.tolist():
         if k >= size:
-            yield np.unique(grams[at:at + k - size + 1])
+            own = np.sort(grams[at:at + k - size + 1])
+            out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
         elif k:
-            yield _mix(np.array([sum(int(v) * int(f) for v, f in zip(w[at:at + k], factors)) + k * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF], np.uint64), 2)
+            whole = sum(int(v) * int(f) for v, f in zip(w[at:at + k], factors)) + k * 0x632BE59BD9B4E019
+            out.append(_mix(np.array([whole & 0xFFFFFFFFFFFFFFFF], np.uint64), 2))
         else:
-            yield np.zeros(0, np.uint64)
+            out.append(grams[:0])
         at += k
+    return (np.concatenate(out) if out else grams[:0]), np.fromiter(map(len, out), np.int64, len(out))
 
 
-def set_keys(own: np.ndarray) -> tuple[int, int]:
-    """Two independent 64-bit hashes of a set, as signed integers."""
-    out = []
-    for k in range(2):
-        v = (int(_mix(own, 3 + k).sum(dtype=np.uint64)) + len(own) * int(_FACTORS[k])) & 0xFFFFFFFFFFFFFFFF
-        out.append(v - (1 << 64) if v >> 63 else v)
-    return out[0], out[1]
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of each consecutive group of values; integers wrap around."""
+    ends = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values, dtype=values.dtype)])
+    at = np.concatenate([[0], np.cumsum(counts)])
+    return ends[at[1:]] - ends[at[:-1]]
 
 
-def sketch(own: np.ndarray) -> np.ndarray:
-    """256 parities, as four signed integers: bit i tells whether an odd number of elements fall on it."""
-    bits = np.bincount((_mix(own, 7) >> _U(56)).astype(np.int64), minlength=256) & 1
-    return np.packbits(bits.astype(np.uint8)).view("<i8")
+def set_keys(elements: np.ndarray, counts: np.ndarray, which: int = 0) -> np.ndarray:
+    """One of two independent 64-bit hashes of each set, signed."""
+    return (_sums(_mix(elements, 3 + which), counts) + counts.astype(np.uint64) * _FACTORS[which]).view(np.int64)
+
+
+def sketches(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """256 parities of each set, as four signed integers: bit i tells whether an odd number of elements fall on it."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    bits = np.bincount(row * 256 + (_mix(elements, 7) >> _U(56)).astype(np.int64), minlength=256 * len(counts)) & 1
+    return np.packbits(bits.astype(np.uint8)).view("<i8").reshape(-1, 4)
 
 
 @lru_cache(maxsize=64)
@@ -116,106 +130,157 @@ def band_of(size, percent: int = PERCENT, most: int = 1 << 40):
     return np.searchsorted(_bands(percent, most)[0], size, side="right") - 1
 
 
-def signatures(own: np.ndarray, per_band: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """``(hashes, roles)`` of a set: its index rows and its lookups.  ``per_band`` is the number of sets in each band."""
+class Shares:
+    """Logarithms of the shares of sets that hold an element, and the number of sets in each size band."""
+
+    def __init__(self, per_band: np.ndarray, often: np.ndarray, shares: np.ndarray):
+        order = np.argsort(often)
+        self.per_band, self.often, self.logs = per_band, often[order], np.log(np.maximum(shares[order], SHARED))
+
+    def of(self, elements: np.ndarray) -> np.ndarray:
+        out = np.full(len(elements), np.log(SHARED))
+        if len(self.often):
+            at = np.minimum(np.searchsorted(self.often, elements), len(self.often) - 1)
+            known = self.often[at] == elements
+            out[known] = self.logs[at[known]]
+        return out
+
+
+def signatures(elements: np.ndarray, counts: np.ndarray, shares: Shares, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(hashes, roles, position of the set)`` of non-empty sets: their index rows and their lookups."""
     firsts, segments, doubles = _bands(percent, 1 << 40)
-    n = len(own)
-    home = int(band_of(n, percent))
-    low = int(band_of(-(-n * percent // 100), percent))
-    high = own >> _U(32)
-    mixed = _mix(own, 5)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
-    out, roles = [], []
-    for band in range(low, home + 1):
-        m, d = int(segments[band]), int(doubles[band])
-        # The hashes are sorted and a segment is a range of them.
-        edge = np.searchsorted((high * _U(m)) >> _U(32), np.arange(m + 1, dtype=np.uint64))
-        k = np.diff(edge)
-        part = sums[edge[1:]] - sums[edge[:-1]]
-        where = np.arange(m, dtype=np.uint64) + (_U(band) << _U(40))
-        exact = _mix(part + _mix(where, 9), 10)
-        top = int(firsts[band + 1]) - 1 if band + 1 < len(firsts) else n
-        units = difference(n, min(n, top), percent) + 1
-        sets = float(per_band[band]) if band < len(per_band) else 1.0
-        cost = np.where(k > 0, 1 + sets * SHARED ** k, 1 + sets)
-        dk = k[:d]
-        more = np.maximum(cost[:d], dk + 2 + sets * np.maximum(dk, 1) * SHARED ** np.maximum(dk - 1, 0))
-        order = np.argsort(np.concatenate([cost, more]), kind="stable")[:units]
-        probe = np.zeros(m, bool)
-        probe[order[order < m]] = True
-        near = order[order >= m] - m
-        if band == home:
-            out.append(exact)
-            roles.append(np.where(probe, INDEX | PROBE, INDEX))
+    home = band_of(counts, percent)
+    low = band_of(-(-counts * percent // 100), percent)
+    mixed, logs = _mix(elements, 5), shares.of(elements)
+    begin = np.cumsum(counts) - counts
+    out, roles, sets = [], [], []
+
+    def add(hashes: np.ndarray, role, position: np.ndarray) -> None:
+        out.append(hashes)
+        roles.append(np.broadcast_to(np.asarray(role, np.int32), hashes.shape))
+        sets.append(position)
+
+    for down in range(int((home - low).max()) + 1 if len(counts) else 0):
+        who = np.flatnonzero(home - down >= low)
+        n = counts[who]
+        at = np.repeat(begin[who] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        own, mix, log = elements[at], mixed[at], logs[at]
+        band = home[who] - down
+        m, d = segments[band], doubles[band]
+        first_seg = np.cumsum(m) - m
+        # The hashes of a set are sorted and a segment is a range of them, so segments ascend over the slice.
+        of_own = np.repeat(np.arange(len(who)), n)
+        local_own = (((own >> _U(32)) * m[of_own].astype(np.uint64)) >> _U(32)).astype(np.int64)
+        seg = first_seg[of_own] + local_own
+        total = int(m.sum())
+        k = np.bincount(seg, minlength=total)
+        part = _sums(mix, k)
+        of_seg = np.repeat(np.arange(len(who)), m)
+        local = np.arange(total) - first_seg[of_seg]
+        where = local.astype(np.uint64) + (band[of_seg].astype(np.uint64) << _U(40))
+        exact_salt, near_salt = _mix(where, 9), _mix(where, 11)
+        exact = _mix(part + exact_salt, 10)
+        # Units: exact lookups of all segments and second units of the first ones, the cheapest for each set.
+        expected = shares.per_band[np.minimum(band, len(shares.per_band) - 1)][of_seg]
+        log_share = _sums(log, k)
+        cost = 1 + expected * np.exp(log_share)
+        double = np.flatnonzero(local < d[of_seg])
+        dk = k[double]
+        more = np.maximum(cost[double], dk + 2 + expected[double] * np.maximum(dk, 1) * np.exp(np.minimum(0, log_share[double] - np.log(SHARED))))
+        high = firsts[np.minimum(band + 1, len(firsts) - 1)] - 1
+        units = (100 - percent) * (n + np.minimum(n, high)) // (100 + percent) + 1
+        unit_set = np.concatenate([of_seg, of_seg[double]])
+        order = np.lexsort((np.concatenate([cost, more]), unit_set))
+        per_set = m + np.bincount(of_seg[double], minlength=len(who))
+        rank = np.arange(len(order)) - np.repeat(np.cumsum(per_set) - per_set, per_set)
+        chosen = np.zeros(len(order), bool)
+        chosen[order] = rank < units[unit_set[order]]
+        probe, near = chosen[:total], double[chosen[total:]]
+        if down == 0:
+            add(exact, np.where(probe, INDEX | PROBE, INDEX), who[of_seg])
             # Index of one-deletion neighbourhoods: each element of the band's first segments left out in turn.
-            e = int(edge[d])
-            if e:
-                seg = np.repeat(np.arange(d), dk)
-                out.append(_mix(part[seg] - mixed[:e] + _mix(where[seg], 11), 12))
-                roles.append(np.full(e, INDEX))
+            e = np.flatnonzero(local_own < d[of_own])
+            add(_mix(part[seg[e]] - mix[e] + near_salt[seg[e]], 12), INDEX, who[of_own[e]])
         else:
-            out.append(exact[probe])
-            roles.append(np.full(int(probe.sum()), PROBE))
-        for j in near.tolist():
-            # A partner with one element more has this segment among its deletions; one with an element less has a deletion of this.
-            less = part[j] - mixed[edge[j]:edge[j + 1]]
-            out.append(np.concatenate([_mix(part[j:j + 1] + _mix(where[j:j + 1], 11), 12), _mix(less + _mix(where[j:j + 1], 9), 10)]))
-            roles.append(np.full(len(less) + 1, PROBE))
-    return np.concatenate(out), np.concatenate(roles)
+            add(exact[probe], PROBE, who[of_seg[probe]])
+        if len(near):
+            # A partner with one element more has this segment among its deletions; one with an element less is a deletion of it.
+            add(_mix(part[near] + near_salt[near], 12), PROBE, who[of_seg[near]])
+            mark = np.zeros(total, bool)
+            mark[near] = True
+            e = np.flatnonzero(mark[seg])
+            add(_mix(part[seg[e]] - mix[e] + exact_salt[seg[e]], 10), PROBE, who[of_own[e]])
+    if not out:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+    return np.concatenate(out), np.concatenate(roles), np.concatenate(sets)
+
+
+SETS = ("doc_id long, n long, key long, key2 long, s0 long, s1 long, s2 long, s3 long, often array<long>, often_n array<long>")
 
 
 def _sets_table(docs: DataFrame, size: int, path: str) -> DataFrame:
-    """``(doc_id, n, key, key2, s0..s3)`` of every row, written and read again."""
+    """A row ``SETS`` for every row, written and read again; the first row of a slice also counts the slice's frequent elements."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in slices(texts_of(batch.column(1))):
-                n, keys, marks = [], [], []
-                for own in shingle_sets(texts, size):
-                    n.append(len(own))
-                    keys.append(set_keys(own))
-                    marks.append(sketch(own))
-                k, s = np.array(keys, np.int64).reshape(-1, 2), np.array(marks, np.int64).reshape(-1, 4)
+                elements, n = shingle_sets(texts, size)
+                marks = sketches(elements, n)
+                kinds, times = np.unique(elements, return_counts=True)
+                again = times >= OFTEN_IN_SLICE
+                lists = [pa.array([x[again].tolist(), *[[]] * (len(n) - 1)], pa.list_(pa.int64())) for x in (kinds.view(np.int64), times)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(k[:, 0]), pa.array(k[:, 1]),
-                     *[pa.array(s[:, i].copy()) for i in range(4)]], ["doc_id", "n", "key", "key2", "s0", "s1", "s2", "s3"])
+                    [batch.column(0).slice(at, len(texts)), pa.array(n), pa.array(set_keys(elements, n)), pa.array(set_keys(elements, n, 1)),
+                     *[pa.array(marks[:, i].copy()) for i in range(4)], *lists],
+                    ["doc_id", "n", "key", "key2", "s0", "s1", "s2", "s3", "often", "often_n"])
+
+    docs.mapInArrow(run, SETS).write.parquet(path)
+    return docs.sparkSession.read.schema(SETS).parquet(path)
+
 
-    schema = "doc_id long, n long, key long, key2 long, s0 long, s1 long, s2 long, s3 long"
-    docs.mapInArrow(run, schema).write.parquet(path)
-    return docs.sparkSession.read.schema(schema).parquet(path)
+def _shares(sets: DataFrame, classes: DataFrame, percent: int) -> Shares:
+    """Sets in each band, and the shares of elements that many sets hold: at most ``OFTEN_MOST`` rows reach the driver.
+
+    They steer costs only; whatever they are, the lookups of a set make enough units."""
+    firsts = _bands(percent, 1 << 40)[0]
+    per_band = np.ones(len(firsts))
+    step = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(1.05))))   # some hundred values
+    for r in classes.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("sets"), F.min("n").alias("n")).collect():
+        per_band[int(band_of(r["n"], percent))] += r["sets"]
+    total = per_band.sum()
+    often = (sets.where(F.size("often") > 0).select(F.explode(F.arrays_zip("often", "often_n")).alias("e"))
+             .groupBy(F.col("e.often").alias("element")).agg(F.sum("e.often_n").alias("n"))
+             .where(F.col("n") >= OFTEN_SHARE * total).orderBy(F.desc("n"), "element").limit(OFTEN_MOST).toArrow())
+    return Shares(per_band, often.column("element").to_numpy().view(np.uint64), often.column("n").to_numpy() / total)
 
 
-def _signature_rows(docs: DataFrame, per_band: np.ndarray, size: int, percent: int) -> DataFrame:
+def _signature_rows(docs: DataFrame, shares: Shares, size: int, percent: int) -> DataFrame:
     """``(sig, role, key)`` of every set; copies of a set in the same part are indexed once."""
-    known = docs.sparkSession.sparkContext.broadcast(per_band)
+    known = docs.sparkSession.sparkContext.broadcast(shares)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for _, texts in slices(texts_of(batch.column(1))):
-                sigs, roles, keys, counts = [], [], [], []
-                for own in shingle_sets(texts, size):
-                    if not len(own):
-                        continue
-                    key = set_keys(own)[0]
-                    if key in seen:
-                        continue
-                    if len(seen) < SEEN:
-                        seen.add(key)
-                    s, r = signatures(own, known.value, percent)
-                    sigs.append(s)
-                    roles.append(r)
-                    keys.append(key)
-                    counts.append(len(s))
-                if sigs:
-                    all_sigs, all_roles = np.concatenate(sigs).view(np.int64), np.concatenate(roles).astype(np.int32)
-                    all_keys = np.repeat(np.array(keys, np.int64), counts)
-                    for at in range(0, len(all_sigs), 1 << 18):
-                        to = at + (1 << 18)
-                        yield pa.RecordBatch.from_arrays([pa.array(all_sigs[at:to]), pa.array(all_roles[at:to]), pa.array(all_keys[at:to])],
-                                                         ["sig", "role", "key"])
-
-    return docs.mapInArrow(run, "sig long, role int, key long")
+            for _, texts in slices(texts_of(batch.column(0))):
+                elements, n = shingle_sets(texts, size)
+                keys = set_keys(elements, n)
+                new = []
+                for i, key in enumerate(keys.tolist()):
+                    if n[i] and key not in seen:
+                        new.append(i)
+                        if len(seen) < SEEN:
+                            seen.add(key)
+                if not new:
+                    continue
+                fresh = np.zeros(len(n), bool)
+                fresh[new] = True
+                sigs, roles, position = signatures(elements[np.repeat(fresh, n)], n[fresh], known.value, percent)
+                sigs, own = sigs.view(np.int64), keys[fresh][position]
+                for at in range(0, len(sigs), 1 << 18):
+                    to = at + (1 << 18)
+                    yield pa.RecordBatch.from_arrays([pa.array(sigs[at:to]), pa.array(roles[at:to]), pa.array(own[at:to])], ["sig", "role", "key"])
+
+    return docs.select("text").mapInArrow(run, "sig long, role int, key long")
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,12 +340,13 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in slices(texts_of(batch.column(1))):
-                own = list(shingle_sets(texts, size))
-                full = np.array([len(s) > 0 for s in own], bool)
-                own = [s for s in own if len(s)]
+                elements, n = shingle_sets(texts, size)
+                full = pa.array(n > 0)
+                data, ends = elements.astype("<u8").tobytes(), (8 * np.cumsum(n)).tolist()
+                items = [data[e - 8 * k:e] for e, k in zip(ends, n.tolist()) if k]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)).filter(pa.array(full)), pa.array([set_keys(s)[0] for s in own], pa.int64()),
-                     pa.array([s.astype("<u8").tobytes() for s in own], pa.binary())], ["doc_id", "key", "items"])
+                    [batch.column(0).slice(at, len(texts)).filter(full), pa.array(set_keys(elements, n)).filter(full),
+                     pa.array(items, pa.binary())], ["doc_id", "key", "items"])
 
     # The set of each class comes from the document that names it, once.
     items = (_with_perhaps(docs, wanted.select(F.col("id").alias("doc_id")), "doc_id")
@@ -342,15 +408,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
      .write.parquet(class_path))
     classes = spark.read.parquet(class_path)
 
-    firsts = _bands(percent, 1 << 40)[0]
-    per_band = np.ones(len(firsts))
-    # log of the size against the band edges: one row for each size that occurs, folded to bands (at most some hundred)
-    step = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(1.05))))
-    for r in classes.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("sets"), F.min("n").alias("n")).collect():
-        per_band[int(band_of(r["n"], percent))] += r["sets"]
-
     group_path = scratch_path(spark, "shingle-groups")
-    rows = _signature_rows(read, per_band, size, percent)
+    rows = _signature_rows(read, _shares(sets, classes, percent), size, percent)
     (rows.repartition("sig").sortWithinPartitions("sig", F.desc(F.col("role").bitwiseAND(PROBE)), "key")
      .mapInArrow(_shared, "sig long, role int, key long").dropDuplicates(["sig", "role", "key"])
      .write.parquet(group_path))
@@ -365,41 +424,50 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     chosen = (groups.join(leaders, "sig").select(F.col("key").alias("x"), leader.alias("y")).where(F.col("x") != F.col("y"))
               .groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
               .groupBy("x").agg(F.max_by("y", F.struct("c", "y")).alias("y")))
-    pairs = _possible(chosen, classes, percent)
-    pair_path = scratch_path(spark, "shingle-pairs")
-    pairs.write.parquet(f"{pair_path}/1")
-    pairs = spark.read.schema("x long, y long").parquet(f"{pair_path}/1")
-    edge_path = scratch_path(spark, "shingle-edges")
-    _verified(read, pairs, classes, size, percent).write.parquet(f"{edge_path}/1")
-    edges = spark.read.schema("a long, b long").parquet(f"{edge_path}/1")
-    parts = connected_components(edges)
-
-    # Round two: what shares a hash but is still apart.
-    named = classes.select("key", "id").join(parts.withColumnRenamed("node", "id"), "id", "left") \
-        .select("key", F.coalesce("component", "id").alias("component"))
-    placed = groups.join(named, "key")
-    apart = (placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                       F.min_by("component", "key").alias("main")).where(F.col("lo") != F.col("hi")))
-    apart_path = scratch_path(spark, "shingle-apart")
-    (placed.join(apart.select("sig", "main"), "sig").join(classes.select("key", "n", "s0", "s1", "s2", "s3"), "key")
-     .write.parquet(apart_path))
-    members = spark.read.parquet(apart_path)
-    # Of a pair in different components at least one is outside the group's main component.
-    a = members.where(F.col("component") != F.col("main")).alias("a")
-    b = members.alias("b")
+    step_path = scratch_path(spark, "shingle-rounds")
+    tested, parts = None, None
+
+    def link(pairs: DataFrame, name: str) -> None:
+        """Verify the pairs that were not tested before, and join what they link to the components so far."""
+        nonlocal tested, parts
+        pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["x", "y"], "left_anti")
+        pairs.write.parquet(f"{step_path}/pairs-{name}")
+        pairs = spark.read.schema("x long, y long").parquet(f"{step_path}/pairs-{name}")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        _verified(read, pairs, classes, size, percent).write.parquet(f"{step_path}/links-{name}")
+        links = spark.read.schema("a long, b long").parquet(f"{step_path}/links-{name}")
+        if parts is None:
+            parts = connected_components(links)
+        elif not links.isEmpty():
+            parts = connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
+
+    def members(rows: DataFrame, name: str) -> DataFrame:
+        """Rows of the groups that still have several components, with their component, the group's main one and a leader in it."""
+        named = (classes.select("key", "id", "n", "s0", "s1", "s2", "s3").join(parts.withColumnRenamed("node", "id"), "id", "left")
+                 .select("key", F.coalesce("component", "id").alias("component"), "n", "s0", "s1", "s2", "s3"))
+        placed = rows.select("sig", "role", "key").join(named, "key")
+        apart = (placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                           F.min_by("component", "key").alias("main"), F.min("key").alias("leader"))
+                 .where(F.col("lo") != F.col("hi")).select("sig", "main", "leader"))
+        placed.join(apart, "sig").write.parquet(f"{step_path}/apart-{name}")
+        return spark.read.parquet(f"{step_path}/apart-{name}")
+
+    link(_possible(chosen, classes, percent), "1")
+    # Round two: of each other component of a group, one member against the main component's leader.
+    apart = members(groups, "2")
+    delegates = (apart.where(F.col("component") != F.col("main")).groupBy("sig", "component")
+                 .agg(F.min("key").alias("x"), F.first("leader").alias("y")).select("x", "y").distinct())
+    link(_possible(delegates, classes, percent), "2")
+    # Round three: all pairs of a group that are still apart; at least one of them is outside the main component.
+    apart = members(apart, "3")
+    a, b = apart.where(F.col("component") != F.col("main")).alias("a"), apart.alias("b")
     roles = ((F.col("a.role").bitwiseAND(PROBE) > 0) & (F.col("b.role").bitwiseAND(INDEX) > 0)) | \
         ((F.col("a.role").bitwiseAND(INDEX) > 0) & (F.col("b.role").bitwiseAND(PROBE) > 0))
     once = (F.col("b.component") == F.col("b.main")) | (F.col("a.key") < F.col("b.key"))
-    rest = (a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.component") != F.col("b.component")) & roles & once
-                   & _may_link("a", "b", percent))
-            .select(F.least("a.key", "b.key").alias("x"), F.greatest("a.key", "b.key").alias("y")).distinct()
-            .join(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), ["x", "y"], "left_anti"))
-    rest.write.parquet(f"{pair_path}/2")
-    rest = spark.read.schema("x long, y long").parquet(f"{pair_path}/2")
-    _verified(read, rest, classes, size, percent).write.parquet(f"{edge_path}/2")
-    more = spark.read.schema("a long, b long").parquet(f"{edge_path}/2")
-    if not more.isEmpty():
-        parts = connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    link(a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.component") != F.col("b.component")) & roles & once
+                & _may_link("a", "b", percent)).select(F.col("a.key").alias("x"), F.col("b.key").alias("y")), "3")
 
     component = F.coalesce("component", "id")
     of_class = (classes.select("key", "key2", "n", "id").join(parts.withColumnRenamed("node", "id"), "id", "left")
