@@ -37,10 +37,11 @@ from .arrow_text import distinct, slices, texts_of, words
 from .components import connected_components
 from .registry import query
 
+SLICE = 4 << 20          # bytes of text that a task works on at once
 WORDS = 5
 PERCENT = 80             # similarity, in percent
 SHARED = 0.01            # assumed share of the sets that hold an element, for the costs, where it is not measured
-OFTEN_IN_SLICE = 3       # sets of a slice that hold an element which is then counted
+OFTEN_IN_SLICE = 2       # sets of a slice that hold an element which is then counted
 OFTEN_SHARE = 0.0005     # share of all sets above which an element's share is kept
 OFTEN_MOST = 200_000     # elements whose shares are kept
 SEEN = 500_000           # sets that a task remembers, so that copies in its part are indexed once
@@ -223,7 +224,7 @@ def _sets_table(docs: DataFrame, size: int, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, texts in slices(texts_of(batch.column(1))):
+            for at, texts in slices(texts_of(batch.column(1)), SLICE):
                 elements, n = shingle_sets(texts, size)
                 marks = sketches(elements, n)
                 kinds, times = np.unique(elements, return_counts=True)
@@ -261,7 +262,7 @@ def _signature_rows(docs: DataFrame, shares: Shares, size: int, percent: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for _, texts in slices(texts_of(batch.column(0))):
+            for _, texts in slices(texts_of(batch.column(0)), SLICE):
                 elements, n = shingle_sets(texts, size)
                 keys = set_keys(elements, n)
                 new = []
@@ -339,7 +340,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
               .join(classes.select("key", "id"), "key"))
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, texts in slices(texts_of(batch.column(1))):
+            for at, texts in slices(texts_of(batch.column(1)), SLICE):
                 elements, n = shingle_sets(texts, size)
                 full = pa.array(n > 0)
                 data, ends = elements.astype("<u8").tobytes(), (8 * np.cumsum(n)).tolist()

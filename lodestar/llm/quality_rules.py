@@ -26,6 +26,7 @@ from ..sources.tables import table
 from .arrow_text import distinct, segment_sums, slices, strings, texts_of, words
 from .registry import query
 
+SLICE = 2 << 20          # bytes of text that a task works on at once; a character takes some ten bytes there
 SUPPORT = 0.002
 LANG_SHARE = 0.001
 MIN_WORDS = 50
@@ -54,7 +55,7 @@ def _class_table() -> np.ndarray:
     return t
 
 
-_CLASS_OF = _class_table()
+_CLASS_OF = _class_table().astype(np.int8)
 
 
 def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -68,9 +69,8 @@ def class_counts(texts: pa.Array) -> np.ndarray:
     """Characters of each class in each text, one row per text."""
     data, n = _bytes_of(texts)
     kind = _CLASS_OF[data]
-    row = np.repeat(np.arange(len(n)), n)
-    real = kind >= 0
-    return np.bincount(row[real] * len(CLASSES) + kind[real], minlength=len(n) * len(CLASSES)).reshape(len(n), -1)
+    cell = np.repeat(np.arange(len(n), dtype=np.int32) * len(CLASSES), n) + kind
+    return np.bincount(cell[kind >= 0], minlength=len(n) * len(CLASSES)).reshape(len(n), -1)
 
 
 def repeated_words(ids: np.ndarray) -> int:
@@ -116,7 +116,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang",
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = pc.fill_null(batch.column(1).cast(pa.string()), POOLED)
-            for at, texts in slices(texts_of(batch.column(0))):
+            for at, texts in slices(texts_of(batch.column(0)), SLICE):
                 names, code = distinct(langs.slice(at, len(texts)))
                 n, flat = words(texts, lower=True)
                 kinds, index = distinct(flat)
@@ -231,7 +231,7 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = pc.fill_null(batch.column(2), POOLED)
-            for at, texts in slices(texts_of(batch.column(1))):
+            for at, texts in slices(texts_of(batch.column(1)), SLICE):
                 out = judged(texts, langs.slice(at, len(texts)).to_pylist(), refs.value)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), *[pa.array(out[c]) for c in NAMES[1:]]], NAMES)
 
@@ -247,7 +247,7 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = pc.fill_null(batch.column(at_lang).cast(pa.string()), POOLED)
-            for at, texts in slices(texts_of(batch.column(at_text))):
+            for at, texts in slices(texts_of(batch.column(at_text)), SLICE):
                 kept = judged(texts, langs.slice(at, len(texts)).to_pylist(), refs.value)["kept"]
                 yield batch.slice(at, len(texts)).filter(pa.array(kept))
 
