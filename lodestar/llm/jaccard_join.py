@@ -350,7 +350,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
                      pa.array(items, pa.binary())], ["doc_id", "key", "items"])
 
     # The set of each class comes from the document that names it, once.
-    items = (_with_perhaps(docs, wanted.select(F.col("id").alias("doc_id")), "doc_id")
+    items = (_with_perhaps(docs, wanted.select("id"), "doc_id", "_perhaps")
              .where(F.col("doc_id").isNull() | F.col("_perhaps")).select("doc_id", "text")
              .mapInArrow(sets, "doc_id long, key long, items binary")
              .select("key", F.coalesce("doc_id", _stand_in()).alias("id"), "items")
@@ -378,16 +378,28 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
 BLOOM_WORDS = 1 << 18    # of 64 bits: 16 million bits in at most so many rows, whatever the input
 
 
-def _with_perhaps(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """``docs`` with ``_perhaps``: true for every row whose id is among ``ids``, and, the more ids, for more of the others.
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have (nor one that differs in case only)."""
+    have = {c.lower() for c in docs.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
+def _with_perhaps(docs: DataFrame, ids: DataFrame, column: str, flag: str) -> DataFrame:
+    """``docs`` with ``flag``: true for every row whose id is in the only column of ``ids``, and, the more ids, for more of the others.
 
     The bits are a table of bounded size, so it is broadcast."""
-    spot = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(BLOOM_WORDS * 64))
-    bits = (ids.select(spot.alias("p")).groupBy(F.shiftright("p", 6).alias("_word"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("_bits")))
-    own = F.coalesce(F.expr("shiftright(_bits, cast(_spot & 63 AS int))").bitwiseAND(F.lit(1)) == 1, F.lit(False))
-    return (docs.withColumn("_spot", spot).join(F.broadcast(bits), F.shiftright("_spot", 6) == F.col("_word"), "left")
-            .withColumn("_perhaps", own).drop("_spot", "_word", "_bits"))
+    spot, word, bits = (unused(docs, n) for n in ("_spot", "_word", "_bits"))
+
+    def place(c: str):
+        return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(BLOOM_WORDS * 64))
+
+    known = (ids.select(place(ids.columns[0]).alias("p")).groupBy(F.shiftright("p", 6).alias(word))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias(bits)))
+    own = F.coalesce(F.expr(f"shiftright(`{bits}`, cast(`{spot}` & 63 AS int))").bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return (docs.withColumn(spot, place(column)).join(F.broadcast(known), F.shiftright(spot, 6) == F.col(word), "left")
+            .withColumn(flag, own).drop(spot, word, bits))
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS,
@@ -449,9 +461,13 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         named = (classes.select("key", "id", "n", "s0", "s1", "s2", "s3").join(parts.withColumnRenamed("node", "id"), "id", "left")
                  .select("key", F.coalesce("component", "id").alias("component"), "n", "s0", "s1", "s2", "s3"))
         placed = rows.select("sig", "role", "key").join(named, "key")
+        # Groups of the same rows would give the same pairs: one of them is enough.
+        rows_of = [F.bit_xor(F.xxhash64("key", "role", F.lit(i))).alias(f"f{i}") for i in range(2)]
         apart = (placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                           F.min_by("component", "key").alias("main"), F.min("key").alias("leader"))
-                 .where(F.col("lo") != F.col("hi")).select("sig", "main", "leader"))
+                                           F.min_by("component", "key").alias("main"), F.min("key").alias("leader"),
+                                           F.count(F.lit(1)).alias("c"), *rows_of)
+                 .where(F.col("lo") != F.col("hi")).groupBy("c", "f0", "f1")
+                 .agg(F.min_by(F.struct("sig", "main", "leader"), "sig").alias("g")).select("g.*"))
         placed.join(apart, "sig").write.parquet(f"{step_path}/apart-{name}")
         return spark.read.parquet(f"{step_path}/apart-{name}")
 
@@ -501,9 +517,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     (found.where(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
      .write.parquet(path))
     gone = docs.sparkSession.read.schema("doc_id long").parquet(path)
-    marked = _with_perhaps(docs, gone.withColumnRenamed("doc_id", doc_id), doc_id)
-    perhaps = F.col(doc_id).isNotNull() & F.col("_perhaps")
-    decided = marked.where(perhaps).join(gone.withColumnRenamed("doc_id", "_gone"), F.col(doc_id) == F.col("_gone"), "left_anti")
+    flag, name = unused(docs, "_perhaps"), unused(docs, "_gone")
+    marked = _with_perhaps(docs, gone, doc_id, flag)
+    perhaps = F.col(doc_id).isNotNull() & F.col(flag)
+    decided = marked.where(perhaps).join(gone.withColumnRenamed("doc_id", name), F.col(doc_id) == F.col(name), "left_anti")
     return marked.where(~perhaps).unionByName(decided).select(*docs.columns)
 
 

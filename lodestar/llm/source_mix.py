@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
+from .jaccard_join import unused
 from .registry import query
 
 DOMAINS = 4
@@ -145,8 +146,9 @@ def mix(docs: DataFrame, budget_share: float = BUDGET_SHARE, max_epochs: int = M
 
 def select_mix(docs: DataFrame, doc_id: str = "doc_id", **settings) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that the mix selects in one epoch at most."""
-    chosen = mix(docs, max_epochs=1, doc_id=doc_id, **settings).select(F.col("doc_id").alias("_chosen")).distinct()
-    return docs.join(chosen, F.col(doc_id) == F.col("_chosen"), "left_semi")
+    name = unused(docs, "_chosen")
+    chosen = mix(docs, max_epochs=1, doc_id=doc_id, **settings).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(chosen, F.col(doc_id) == F.col(name), "left_semi")
 
 
 def _case(column: str, weights: Mapping[str, float]) -> str:
