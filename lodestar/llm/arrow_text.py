@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # Characters that are white space to Python or to a tokenizer's \s; a space before one of them, or before the
 # end of the text, does not start a word of its own.
 _SPACE_RUN = r" (?:[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"

@@ -16,7 +16,7 @@ element (two units), make ``h + 1`` units, then a partner ``r`` agrees with ``s`
   round one verifies each class against one leader (the one that it shares most hashes with) and joins them to components; round
   two verifies, in each group that still has several components, one member of each against one of the main component; round three
   verifies all pairs of a group that are still in different components.  In every round, pairs whose sizes or parity sketches
-  already rule a link out are left (the parities of two sets' 256-bit sketches differ in no more bits than the sets do in
+  already rule a link out are left (the parities of two sets' 1,024-bit sketches differ in no more bits than the sets do in
   elements).  Pairs inside a component need no test, so no group is expanded into all its pairs, and no link between
   components is lost.
 """
@@ -100,10 +100,10 @@ def set_keys(elements: np.ndarray, counts: np.ndarray, which: int = 0) -> np.nda
 
 
 def sketches(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """256 parities of each set, as four signed integers: bit i tells whether an odd number of elements fall on it."""
+    """1,024 parities of each set, as signed integers: bit i tells whether an odd number of elements fall on it."""
     row = np.repeat(np.arange(len(counts)), counts)
-    bits = np.bincount(row * 256 + (_mix(elements, 7) >> _U(56)).astype(np.int64), minlength=256 * len(counts)) & 1
-    return np.packbits(bits.astype(np.uint8)).view("<i8").reshape(-1, 4)
+    bits = np.bincount(row * 1024 + (_mix(elements, 7) >> _U(54)).astype(np.int64), minlength=1024 * len(counts)) & 1
+    return np.packbits(bits.astype(np.uint8)).view("<i8").reshape(-1, 16)
 
 
 @lru_cache(maxsize=64)
@@ -216,7 +216,8 @@ def signatures(elements: np.ndarray, counts: np.ndarray, shares: Shares, percent
     return np.concatenate(out), np.concatenate(roles), np.concatenate(sets)
 
 
-SETS = ("doc_id long, n long, key long, key2 long, s0 long, s1 long, s2 long, s3 long, often array<long>, often_n array<long>")
+MARKS = [f"s{i}" for i in range(16)]
+SETS = "doc_id long, n long, key long, key2 long, " + ", ".join(f"{s} long" for s in MARKS) + ", often array<long>, often_n array<long>"
 
 
 def _sets_table(docs: DataFrame, size: int, path: str) -> DataFrame:
@@ -232,8 +233,8 @@ def _sets_table(docs: DataFrame, size: int, path: str) -> DataFrame:
                 lists = [pa.array([x[again].tolist(), *[[]] * (len(n) - 1)], pa.list_(pa.int64())) for x in (kinds.view(np.int64), times)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(texts)), pa.array(n), pa.array(set_keys(elements, n)), pa.array(set_keys(elements, n, 1)),
-                     *[pa.array(marks[:, i].copy()) for i in range(4)], *lists],
-                    ["doc_id", "n", "key", "key2", "s0", "s1", "s2", "s3", "often", "often_n"])
+                     *[pa.array(marks[:, i].copy()) for i in range(len(MARKS))], *lists],
+                    ["doc_id", "n", "key", "key2", *MARKS, "often", "often_n"])
 
     docs.mapInArrow(run, SETS).write.parquet(path)
     return docs.sparkSession.read.schema(SETS).parquet(path)
@@ -417,7 +418,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     full = sets.where(F.col("n") > 0)
     class_path = scratch_path(spark, "shingle-classes")
     (full.groupBy("key", "key2", "n").agg(F.min(F.coalesce("doc_id", _stand_in())).alias("id"),
-                                          *[F.first(f"s{i}").alias(f"s{i}") for i in range(4)])
+                                          *[F.first(m).alias(m) for m in MARKS])
      .write.parquet(class_path))
     classes = spark.read.parquet(class_path)
 
@@ -458,8 +459,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     def members(rows: DataFrame, name: str) -> DataFrame:
         """Rows of the groups that still have several components, with their component, the group's main one and a leader in it."""
-        named = (classes.select("key", "id", "n", "s0", "s1", "s2", "s3").join(parts.withColumnRenamed("node", "id"), "id", "left")
-                 .select("key", F.coalesce("component", "id").alias("component"), "n", "s0", "s1", "s2", "s3"))
+        named = (classes.select("key", "id").join(parts.withColumnRenamed("node", "id"), "id", "left")
+                 .select("key", F.coalesce("component", "id").alias("component")))
         placed = rows.select("sig", "role", "key").join(named, "key")
         # Groups of the same rows would give the same pairs: one of them is enough.
         rows_of = [F.bit_xor(F.xxhash64("key", "role", F.lit(i))).alias(f"f{i}") for i in range(2)]
@@ -478,7 +479,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                  .agg(F.min("key").alias("x"), F.first("leader").alias("y")).select("x", "y").distinct())
     link(_possible(delegates, classes, percent), "2")
     # Round three: all pairs of a group that are still apart; at least one of them is outside the main component.
-    apart = members(apart, "3")
+    apart = members(apart, "3").join(classes.select("key", "n", *MARKS), "key")
     a, b = apart.where(F.col("component") != F.col("main")).alias("a"), apart.alias("b")
     roles = ((F.col("a.role").bitwiseAND(PROBE) > 0) & (F.col("b.role").bitwiseAND(INDEX) > 0)) | \
         ((F.col("a.role").bitwiseAND(INDEX) > 0) & (F.col("b.role").bitwiseAND(PROBE) > 0))
@@ -497,12 +498,12 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 def _may_link(a: str, b: str, percent: int):
     """Sizes and sketches that do not rule a link out."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    differ = sum((F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(4)), F.lit(0))
+    differ = sum((F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in MARKS), F.lit(0))
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (differ * (100 + percent) <= (100 - percent) * (na + nb))
 
 
 def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    marks = classes.select("key", "n", "s0", "s1", "s2", "s3")
+    marks = classes.select("key", "n", *MARKS)
     return (pairs.alias("p").join(marks.alias("a"), F.col("p.x") == F.col("a.key")).join(marks.alias("b"), F.col("p.y") == F.col("b.key"))
             .where(_may_link("a", "b", percent)).select("p.x", "p.y").distinct())
 

@@ -96,7 +96,7 @@ def encode_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp, _ = load(path)
         begin, end = np.array([sp.bos_id()], "<u4"), np.array([sp.eos_id()], "<u4")
-        cache = PieceCache(lambda xs: encode_words(path, xs), held(path))
+        cache = PieceCache(lambda xs: encode_words(path, xs), held(path), cap=300_000)
         for batch in batches:
             for at, texts in slices(texts_of(batch.column(1))):
                 counts, ids = encode_texts(texts, path, cache)

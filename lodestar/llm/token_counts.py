@@ -36,7 +36,7 @@ def frequent_pieces(docs: DataFrame, path: str, text: str = "text", size: int =
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often: Counter[str] = Counter()
         for batch in batches:
-            for _, texts in slices(texts_of(batch.column(0))):
+            for _, texts in slices(texts_of(batch.column(0)), 8 << 20):
                 _, flat = _split(texts, path)
                 pieces, index = distinct(flat)
                 n = np.bincount(index, minlength=len(pieces))
@@ -71,7 +71,7 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
         cache = PieceCache(lambda xs: encode_lengths(path, xs), held(path, "lengths"), longest=LONGEST, fixed=fixed.value)
         for batch in batches:
             texts = texts_of(batch.column(1))
-            n = [count_ids(part, path, cache) for _, part in slices(texts)]
+            n = [count_ids(part, path, cache) for _, part in slices(texts, 8 << 20)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pc.binary_length(texts).cast(pa.int64()),
                  pa.array(np.concatenate(n) if n else np.zeros(0, np.int64), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])

@@ -67,7 +67,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             part = known.value.of(keys).astype(np.int32)
-            for at, texts in slices(texts_of(batch.column(1))):
+            for at, texts in slices(texts_of(batch.column(1)), 8 << 20):
                 n, ids = ids_of(texts, tokenizer, cache)
                 ends = np.cumsum(n)
                 packed = [_pack(np.concatenate([ids[e - k:e], end])) for e, k in zip(ends.tolist(), n.tolist())]
