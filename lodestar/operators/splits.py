@@ -22,7 +22,11 @@ def key_hash(c: Column | str) -> Column:
     DuckDB computes the same value, which makes the split checkable.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.pmod(c.cast("long") * F.lit(2654435761), F.lit(4294967296))
+    # In halves of 16 bits, so that no product leaves the 64-bit range whatever the key.
+    key = F.pmod(c.cast("long"), F.lit(4294967296))
+    high = F.pmod(F.shiftright(key, 16) * F.lit(2654435761), F.lit(65536)) * F.lit(65536)
+    low = key.bitwiseAND(F.lit(65535)) * F.lit(2654435761)
+    return F.pmod(high + low, F.lit(4294967296))
 
 
 def holdout(df: DataFrame, order: Column, n_validation: int,

@@ -100,3 +100,10 @@ def test_large_holdout_uses_global_sort_and_matches_brute_force(spark):
     got = {r["doc_id"] for r in S.holdout(df, S.key_hash("doc_id"), k).where("split = 'validation'").collect()}
     h = sorted(range(n), key=lambda i: (i * 2654435761) % 4294967296)
     assert got == set(h[:k])
+
+
+def test_key_hash_takes_any_key(spark):
+    from lodestar.operators.splits import key_hash
+    keys = [0, 1, 77, 65_535, 65_536, 3_470_000_000, 4_000_000_000, 1 << 41, (1 << 62) + 5, -3]
+    got = spark.createDataFrame([(k,) for k in keys], "id long").select("id", key_hash("id").alias("h")).collect()
+    assert {r["id"]: r["h"] for r in got} == {k: k * 2654435761 % (1 << 32) for k in keys}
