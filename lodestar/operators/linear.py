@@ -348,40 +348,47 @@ def _local_sgd(W: np.ndarray, b: np.ndarray, batch_size: int, lr: float):
     Rows arrive already sorted by the epoch's seeded hash (a spillable sort
     inside the partition); Arrow batches are consumed in order and only the
     leftover partial mini-batch is carried, so memory stays at one Arrow batch
-    plus the model however large the partition is.  The last partial
-    mini-batch of the partition is dropped (``int(n / batch)`` steps).
+    plus the model however large the partition is.  The last, short
+    mini-batch of the partition is trained on too, divided by its real size.
+    Parameters are emitted times the rows seen, so that the sum over replicas
+    divided by all rows is their mean weighted by rows.
     """
     dim, classes = W.shape
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         Wl, bl = W.copy(), b.copy()
-        loss, seen, got = 0.0, 0, False
+        loss, seen = 0.0, 0
         cx, cy = np.zeros((0, dim)), np.zeros(0, dtype=np.int64)
+
+        def step(xb: np.ndarray, yb: np.ndarray) -> None:
+            nonlocal Wl, bl, loss, seen
+            P, nlp = _probs(xb, Wl, bl)
+            idx = np.arange(len(yb))
+            loss += float(nlp[idx, yb].sum())
+            seen += len(yb)
+            P[idx, yb] -= 1.0
+            Wl -= lr * (xb.T @ P) / len(yb)
+            bl -= lr * P.sum(axis=0) / len(yb)
+
         for pdf in batches:
             if pdf.empty:
                 continue
-            got = True
             X = np.vstack([cx, _matrix(pdf["features"])])
             y = np.concatenate([cy, pdf["label"].to_numpy().astype(np.int64)])
             full = len(y) // batch_size
             for s in range(full):
-                xb, yb = X[s * batch_size:(s + 1) * batch_size], y[s * batch_size:(s + 1) * batch_size]
-                P, nlp = _probs(xb, Wl, bl)
-                idx = np.arange(len(yb))
-                loss += float(nlp[idx, yb].sum())
-                seen += len(yb)
-                P[idx, yb] -= 1.0
-                Wl -= lr * (xb.T @ P) / len(yb)
-                bl -= lr * P.sum(axis=0) / len(yb)
+                step(X[s * batch_size:(s + 1) * batch_size], y[s * batch_size:(s + 1) * batch_size])
             cx, cy = X[full * batch_size:], y[full * batch_size:]
-        if not got:
+        if len(cy):
+            step(cx, cy)
+        if not seen:
             return
         ii, jj = np.meshgrid(np.arange(dim), np.arange(classes), indexing="ij")
         yield pd.DataFrame({
             "param": [WEIGHTS] * (dim * classes) + [BIASES] * classes + ["loss", "n", "replicas"],
             "i": np.concatenate([ii.ravel(), np.zeros(classes, dtype=int), [0, 0, 0]]).astype(np.int32),
             "j": np.concatenate([jj.ravel(), np.arange(classes), [0, 0, 0]]).astype(np.int32),
-            "v": np.concatenate([Wl.ravel(), bl, [loss, float(seen), 1.0]]),
+            "v": np.concatenate([seen * Wl.ravel(), seen * bl, [loss, float(seen), 1.0]]),
         })
     return fn
 
@@ -392,9 +399,9 @@ def fit_local(features: DataFrame, epochs: int = EPOCHS, batch_size: int = BATCH
 
     Each partition (a replica) runs mini-batch SGD over its own rows, in the
     epoch's seeded order, from the current global model; the round's model is
-    the mean of the replicas' models.  ``replicas`` fixes the partition count
-    by a hash of the id (use about one per core); ``None`` keeps the input
-    partitioning.
+    the mean of the replicas' models, weighted by their rows.  ``replicas``
+    fixes the partition count by a hash of the id, so that the model does not
+    depend on the cluster; ``None`` keeps the input partitioning.
     """
     if replicas:
         features = features.repartition(replicas, "id")
@@ -420,7 +427,7 @@ def _fit_local(features, epochs, batch_size, lr, classes) -> FitResult:
         for r in rows:
             if r["param"] in stats:
                 stats[r["param"]] += r["v"]
-        k = stats.get("replicas", 0.0)
+        k = stats.get("n", 0.0)
         if k:
             W = np.zeros((dim, classes))
             b = np.zeros(classes)

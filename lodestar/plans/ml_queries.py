@@ -24,6 +24,7 @@ from .registry import query
 TEST_CUT = Q.TEST_CUT
 FIT_STEPS = 3
 EVAL_BATCH = 100
+LOCAL_REPLICAS = 8     # replicas of local SGD, whatever the cluster
 EVENT_BATCH = 1000
 # Per-group rates and momentum of the reference's optimizer.
 GROUP_RATES = {LIN.WEIGHTS: 0.001, LIN.BIASES: 0.002}
@@ -279,7 +280,7 @@ def softmax_fit_batches(spark, sf_dir):
     partition models are averaged after each epoch.  On a one-partition table
     this is exactly the single-machine run (tested)."""
     res = LIN.fit_local(train_rows(spark, sf_dir), epochs=LIN.EPOCHS, batch_size=LIN.BATCH_SIZE,
-                        replicas=spark.sparkContext.defaultParallelism)
+                        replicas=LOCAL_REPLICAS)
     return _round_model(res.model.to_frame(spark))
 
 
@@ -287,7 +288,7 @@ def softmax_fit_batches(spark, sf_dir):
 def softmax_fit_local(spark, sf_dir):
     """ML-8 re-aimed: local SGD (batch 32) on one replica per core, models
     averaged each epoch (no replica holds a fixed share of the data)."""
-    res = LIN.fit_local(train_rows(spark, sf_dir), replicas=spark.sparkContext.defaultParallelism)
+    res = LIN.fit_local(train_rows(spark, sf_dir), replicas=LOCAL_REPLICAS)
     return _round_model(res.model.to_frame(spark))
 
 

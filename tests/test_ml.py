@@ -86,14 +86,22 @@ def test_local_sgd_one_partition_is_sequential_sgd(spark, feats, arrow_rows):
     for e in range(2):
         h = ((ids + e * LIN.EPOCH_STRIDE) * 2654435761) % 4294967296
         order = np.argsort(h, kind="stable")
-        for s in range(N // 16):
+        for s in range(-(-N // 16)):
             idx = order[s * 16:(s + 1) * 16]
             gW, gb, _ = np_grad(W, b, XS[idx], YS[idx])
-            W -= 0.05 * gW / 16
-            b -= 0.05 * gb / 16
+            W -= 0.05 * gW / len(idx)
+            b -= 0.05 * gb / len(idx)
     np.testing.assert_allclose(res.model.W, W, atol=1e-10)
 
 
+@pytest.mark.parametrize("replicas", [1, 4, 16])
+def test_local_sgd_sees_every_row(spark, replicas):
+    from pyspark.sql import functions as F
+    rows = spark.createDataFrame([(i, XS[i].tolist(), int(YS[i])) for i in range(N)], "id long, features array<double>, label int")
+    res = LIN.fit_local(rows, epochs=1, batch_size=32, lr=0.05, classes=K, replicas=replicas)
+    assert res.metrics[0]["examples"] == rows.agg(F.count("*")).first()[0] and np.abs(res.model.W).sum() > 0
+
+
 def test_sync_fit_uses_every_row_once_per_epoch(feats):
     res = LIN.fit_sync(feats, epochs=2, batch_size=20, workers=2, classes=K)
     per_epoch = {}
