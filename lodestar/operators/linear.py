@@ -37,7 +37,6 @@ SYNC_BATCH_SIZE = 128
 SYNC_WORKERS = 3
 WEIGHTS = "softmax/weights"
 BIASES = "softmax/biases"
-EPOCH_STRIDE = 1000003          # epoch offset inside the batch hash
 DIRECT_COMBINE_MAX = 64         # partitions whose partial sums the driver may add itself
 EPOCH_LAYOUT_MIN_BATCHES = 8    # batches per epoch from which epochs are laid out by batch
 
@@ -71,6 +70,8 @@ class Model:
     @staticmethod
     def from_frame(df: DataFrame) -> "Model":
         rows = df.select("param", "i", "j", "value").collect()   # dim × classes + classes rows
+        if not rows:
+            raise ValueError("no checkpoint: the model table has no rows")
         dim = 1 + max(r["i"] for r in rows if r["param"] == WEIGHTS)
         classes = 1 + max(r["j"] for r in rows)
         m = Model.zeros(dim, classes)
@@ -217,15 +218,14 @@ def _all():
 
 def replica_average(features: DataFrame, model: Model, replicas: int) -> DataFrame:
     """AGG-11 across replicas: rows split by a key hash into ``replicas``
-    parts; each part's gradient sum and row count are kept apart, then
-    ``sum_r g_r / sum_r n_r`` per parameter – the row-weighted mean of the
-    replicas' mean gradients (equal to the plain mean for equal parts)."""
-    rep = F.pmod(key_hash("id"), F.lit(replicas))
+    parts; each part's mean gradient is taken over its own rows, then the
+    plain mean over the parts that have rows."""
+    rep = F.pmod(key_hash("id", "replica"), F.lit(replicas))
     parts = partial_gradients(features, model, rep)
-    tot = parts.groupBy("param", "i", "j").agg(F.sum("v").alias("v"))
-    n = F.sum(F.when(F.col("param") == "n", F.col("v"))).over(_all())
-    return (tot.select("param", "i", "j", (F.col("v") / n).alias("g"))
-            .where(F.col("param").isin(WEIGHTS, BIASES)))
+    # replicas × model-size rows
+    sizes = parts.where(F.col("param") == "n").select("grp", F.col("v").alias("rows"))
+    return (parts.where(F.col("param").isin(WEIGHTS, BIASES)).join(F.broadcast(sizes), "grp")
+            .groupBy("param", "i", "j").agg(F.avg(F.col("v") / F.col("rows")).alias("g")))
 
 
 def apply_sgd(model: Model, g: Gradient, lr: float) -> Model:
@@ -246,12 +246,11 @@ def feature_dim(features: DataFrame) -> int:
 
 # ------------------------------------------------------------------ batches
 def batch_of(id_col: Column | str, epoch: int, num_batches: int) -> Column:
-    """Seeded batch of a row in an epoch: hash of (id, epoch) scaled to
-    ``[0, num_batches)``; every row is used once per epoch, batch sizes are
+    """Seeded batch of a row in an epoch: hash of (id, epoch) modulo
+    ``num_batches``; every row is used once per epoch, batch sizes are
     ``n / num_batches`` on average.  DuckDB computes the same number."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    h = key_hash(c + F.lit(epoch * EPOCH_STRIDE))
-    return F.floor(h * F.lit(num_batches) / F.lit(4294967296)).cast("int")
+    return F.pmod(key_hash(c, "batch", epoch), F.lit(num_batches)).cast("int")
 
 
 # --------------------------------------------------------------------- fits
@@ -416,7 +415,7 @@ def _fit_local(features, epochs, batch_size, lr, classes) -> FitResult:
     dim = m.W.shape[0]
     for e in range(epochs):
         t0 = time.time()
-        order = key_hash(F.col("id") + F.lit(e * EPOCH_STRIDE))
+        order = key_hash("id", "batch", e)
         parts = (features.select("id", "features", "label", order.alias("_h"))
                  .sortWithinPartitions("_h")
                  .mapInPandas(_local_sgd(m.W, m.b, batch_size, lr), LOCAL_SCHEMA))

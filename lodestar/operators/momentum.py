@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .joins import broadcast_if_small
-from .linear import BIASES, WEIGHTS, Model, batch_of, feature_dim, replica_average
+from .linear import BIASES, WEIGHTS, Model, feature_dim, replica_average
+from .splits import epoch_batches
 
 # The default group used when no pattern matches.
 DEFAULT_LEARNING_RATE = 0.02
@@ -92,32 +93,34 @@ def fit_momentum(features: DataFrame, steps: int, groups: DataFrame, replicas: i
     return params.select("param", "i", "j", "value", "velocity")
 
 
-def fit_centroids_sparse(features: DataFrame, steps: int, lr: float, momentum: float,
+def fit_centroids_sparse(features: DataFrame, lr: float, momentum: float,
                          batch_size: int = 32, classes: int = 10) -> DataFrame:
-    """ML-10 on class centroids ``C[label, i]`` with loss ``Σ ||x − C[label]||² / 2``.
+    """ML-10 on class centroids ``C[label, i]`` with loss ``Σ ||x − C[label]||² / 2``,
+    one whole epoch of mini-batches in the order of the seeded hash.
 
-    Step ``s`` uses batch ``s`` of epoch 0 (seeded hash); the gradient exists
-    only for classes present in the batch, so the others are not touched.
+    The gradient exists only for classes present in the batch, so the others are
+    not touched.  Rows and sums per (batch, class, dimension) are taken in one
+    pass; a step reads those of its batch.
     """
     spark = features.sparkSession
-    features = features.persist()
     dim = feature_dim(features)
-    nb = max(features.count() // batch_size, 1)
+    total = features.count()
+    batches = epoch_batches(features.select("id", "label", "features"), "id", batch_size)
+    sums = (batches.select("batch_id", "label", F.posexplode("features").alias("i", "x"))
+            .groupBy("batch_id", "label", "i").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("x").cast("double")).alias("x"))
+            .persist())
     cent = spark.createDataFrame(
         [(lab, i, 0.0, 0.0) for lab in range(classes) for i in range(dim)],
         "label int, i int, value double, velocity double")
     hyper = spark.createDataFrame([("c", float(lr), float(momentum))],
                                   "param string, learning_rate double, momentum double")
-    for s in range(steps):
-        batch = features.where(batch_of("id", 0, nb) == s)
-        n = batch.count()
-        x = batch.select("label", F.posexplode("features").alias("i", "x"))
+    for s in range(-(-total // batch_size)):
+        n = min(batch_size, total - s * batch_size)
         # centroids: classes × dim rows, bounded by the model, not the data
-        grads = (x.join(F.broadcast(cent), ["label", "i"])
-                 .groupBy("label", "i").agg((F.sum(F.col("value") - F.col("x")) / F.lit(float(max(n, 1)))).alias("g")))
-        p = cent.withColumn("param", F.lit("c"))
-        cent = _relocalise(apply_momentum(p, grads, hyper, keys=("label", "i")))
-    features.unpersist()
+        grads = (sums.where(F.col("batch_id") == s).join(F.broadcast(cent), ["label", "i"])
+                 .select("label", "i", ((F.col("rows") * F.col("value") - F.col("x")) / F.lit(float(n))).alias("g")))
+        cent = _relocalise(apply_momentum(cent.withColumn("param", F.lit("c")), grads, hyper, keys=("label", "i")))
+    sums.unpersist()
     return cent
 
 

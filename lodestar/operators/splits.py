@@ -12,52 +12,44 @@ from pyspark.sql import functions as F
 from .joins import broadcast_if_small
 from .sorting import sort_by_keys, with_position
 
-TOP_K_LIMIT = 10_000       # top-k merges tasks × k rows in one task; above, a global sort
+HASH_RANGE = 1 << 60
 
 
-def key_hash(c: Column | str) -> Column:
-    """Portable multiplicative hash of an integer key into [0, 2^32).
+def key_hash(c: Column | str, seed: str, epoch: Column | int = 0) -> Column:
+    """60 bits of ``md5("key:epoch:seed")``: the same on every cluster, for any key.
 
-    Odd multiplier → a bijection on keys below 2^32, so hashes never tie.
-    DuckDB computes the same value, which makes the split checkable.
+    Splits, batches, replicas and shards use seeds of their own, so that none
+    of them is a function of another; DuckDB computes the same number.
     """
     c = F.col(c) if isinstance(c, str) else c
-    # In halves of 16 bits, so that no product leaves the 64-bit range whatever the key.
-    key = F.pmod(c.cast("long"), F.lit(4294967296))
-    high = F.pmod(F.shiftright(key, 16) * F.lit(2654435761), F.lit(65536)) * F.lit(65536)
-    low = key.bitwiseAND(F.lit(65535)) * F.lit(2654435761)
-    return F.pmod(high + low, F.lit(4294967296))
+    epoch = F.lit(epoch) if isinstance(epoch, int) else epoch
+    text = F.concat_ws(":", c.cast("string"), epoch.cast("string"), F.lit(seed))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def holdout(df: DataFrame, order: Column, n_validation: int,
+def holdout(df: DataFrame, key: str, n_validation: int, seed: str = "holdout",
             names: tuple[str, str] = ("validation", "train")) -> DataFrame:
-    """SRT-4 / SET-4: the first ``n_validation`` rows in ``order`` are validation,
-    the rest train (the complement needs no anti join: one threshold decides).
-
-    ``order`` must be unique.  For small ``n`` the threshold is the n-th value of
-    a top-k; otherwise rows are numbered by a global sort.
-    """
-    keyed = df.withColumn("_h", order)
+    """SRT-4 / SET-4: the first ``n_validation`` rows by ``(key hash, key)`` are
+    validation, the rest train (the complement needs no anti join: one
+    threshold decides).  Rows with the same key stay together."""
+    hashed = df.withColumn("_h", key_hash(key, seed))
     if n_validation <= 0:
-        return keyed.withColumn("split", F.lit(names[1])).drop("_h")
-    if n_validation <= TOP_K_LIMIT:
-        thr = (keyed.select("_h").orderBy("_h").limit(n_validation)
-               .agg(F.max("_h").alias("t")).first()["t"])
-        split = F.when(F.col("_h") <= F.lit(thr), names[0]).otherwise(names[1]) if thr is not None \
-            else F.lit(names[1])
-        return keyed.withColumn("split", split).drop("_h")
-    pos = with_position(sort_by_keys(keyed, ["_h"]), "_pos")
-    return pos.withColumn("split", F.when(F.col("_pos") < n_validation, names[0])
-                          .otherwise(names[1])).drop("_h", "_pos")
-
-
-def position_in_group(df: DataFrame, group: str, order: str, name: str = "pos") -> DataFrame:
+        return hashed.withColumn("split", F.lit(names[1])).drop("_h")
+    ranked = with_position(sort_by_keys(hashed.select("_h", F.col(key).alias("_k")), ["_h", "_k"]), "_pos")
+    last = ranked.where(F.col("_pos") == n_validation - 1).first()
+    if last is None:
+        return hashed.withColumn("split", F.lit(names[0])).drop("_h")
+    first = (F.col("_h") < F.lit(last["_h"])) | ((F.col("_h") == F.lit(last["_h"])) & (F.col(key) <= F.lit(last["_k"])))
+    return hashed.withColumn("split", F.when(first, names[0]).otherwise(names[1])).drop("_h")
+
+
+def position_in_group(df: DataFrame, group: str, order: str | list[str], name: str = "pos") -> DataFrame:
     """0-based position inside ``group`` in ``order`` without a window over a group.
 
     Global sort by (group, order) + per-partition offsets, minus the group's
     first position (one row per group).
     """
-    pos = with_position(sort_by_keys(df, [group, order]), "_gpos")
+    pos = with_position(sort_by_keys(df, [group, *([order] if isinstance(order, str) else order)]), "_gpos")
     start = pos.groupBy(group).agg(F.min("_gpos").alias("_start"), F.count(F.lit(1)).alias("_n"))
     # one row per group: broadcast only when the group count is small
     return (pos.join(broadcast_if_small(start), group)
@@ -113,3 +105,14 @@ def fixed_batches(df: DataFrame, order: str, batch_size: int) -> DataFrame:
     full = (total // batch_size) * batch_size
     return (pos.where(F.col("_pos") < full)
             .withColumn("batch_id", F.floor(F.col("_pos") / batch_size).cast("long")).drop("_pos"))
+
+
+def epoch_batches(df: DataFrame, key: str, batch_size: int, epochs: int = 1) -> DataFrame:
+    """Every row once per ``epoch``, in batches of ``batch_size`` (the last one may
+    be short) in the epoch's own order of the key hash."""
+    rows = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    rows = rows.withColumn("_h", key_hash(key, "batch", F.col("epoch")))
+    pos = with_position(sort_by_keys(rows, ["epoch", "_h", key]), "_pos")
+    n = pos.agg(F.count(F.lit(1)).alias("n")).first()["n"] // epochs
+    place = F.col("_pos") - F.col("epoch") * F.lit(n)
+    return pos.withColumn("batch_id", F.floor(place / batch_size).cast("long")).drop("_h", "_pos")

@@ -5,8 +5,8 @@
   from ``n_name``; the name file is a superset (regions as ``r%08d``);
 * flower-style records: ``documents ⟕ labels`` (missing labels → defaults),
   hold-out of 350 by the key hash, 5 shards per split;
-* box records: ``lineitem`` grouped per order (in chunks of at most 64 lines)
-  into four sorted coordinate arrays.
+* box records: ``lineitem`` grouped per order in chunks of a few lines
+  (by position in the order) into four coordinate arrays.
 """
 
 from __future__ import annotations
@@ -27,8 +27,10 @@ from .registry import query
 
 N_VALIDATION = 350
 NUM_SHARDS = 5
-BOX_CHUNK = 64
-HASH_SQL = "((CAST({c} AS BIGINT) * 2654435761) % 4294967296)"
+BOX_CHUNK = 4            # boxes of a record
+BOX_VALIDATION = S.HASH_RANGE // 10
+BOX_LINE = ["l_linenumber", "l_discount", "l_tax", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"]
+HASH_SQL = "CAST('0x' || substr(md5({c} || ':0:{seed}'), 1, 15) AS BIGINT)"
 
 
 # ------------------------------------------------------------ class names
@@ -138,7 +140,7 @@ def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("toxic") == 1, F.lit("jpeg")).alias("format"),
         F.col("quality").cast("long").alias("label"),
         F.col("n_chars").alias("height"), F.col("toxic").cast("long").alias("width"))
-    return S.holdout(rec, S.key_hash("doc_id"), N_VALIDATION)
+    return S.holdout(rec, "doc_id", N_VALIDATION)
 
 
 def written_records(spark: SparkSession, sf_dir: str) -> str:
@@ -149,13 +151,13 @@ def written_records(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rec = document_records(spark, sf_dir).withColumn("_h", S.key_hash("doc_id"))
+    rec = document_records(spark, sf_dir).withColumn("_h", S.key_hash("doc_id", "holdout"))
     sh = S.assign_shards(rec, "split", "_h", NUM_SHARDS).drop("_h")
     return sh.withColumn("shard_name", S.shard_name("flowers", F.col("split"), F.col("shard"), NUM_SHARDS))
 
 
-HOLDOUT_SQL = f"""SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY {HASH_SQL.format(c='doc_id')}) <= {N_VALIDATION}
-  THEN 'validation' ELSE 'train' END AS split, {HASH_SQL.format(c='doc_id')} AS h FROM documents"""
+HOLDOUT_SQL = f"""SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY {HASH_SQL.format(c='doc_id', seed='holdout')}) <= {N_VALIDATION}
+  THEN 'validation' ELSE 'train' END AS split, {HASH_SQL.format(c='doc_id', seed='holdout')} AS h FROM documents"""
 
 SHARD_SQL = f"""SELECT doc_id, split,
   CAST(floor((row_number() OVER (PARTITION BY split ORDER BY h) - 1)
@@ -202,36 +204,33 @@ def src_split_defaults(spark, sf_dir):
 
 # ---------------------------------------------------------- box records
 def box_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_discount", "l_tax", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus")
-    chunk = F.floor(F.col("l_linenumber") / BOX_CHUNK).cast("int")
-    rec = li.groupBy("l_orderkey", chunk.alias("chunk")).agg(
-        F.sort_array(F.collect_list(F.col("l_discount").cast("float"))).alias("ymin"),
-        F.sort_array(F.collect_list(F.col("l_tax").cast("float"))).alias("xmin"),
-        F.sort_array(F.collect_list(F.col("l_quantity").cast("float"))).alias("ymax"),
-        F.sort_array(F.collect_list(F.col("l_extendedprice").cast("float"))).alias("xmax"),
-        F.sort_array(F.collect_list(F.col("l_linenumber").cast("long"))).alias("object_label"),
+    """Lines of an order in a fixed total order, ``BOX_CHUNK`` of them to a record: no group
+    grows with an order, and the i-th entries of all arrays come from the same line."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", *BOX_LINE)
+    placed = S.position_in_group(li, "l_orderkey", BOX_LINE)
+    line = F.struct("pos", F.col("l_discount").cast("float").alias("ymin"), F.col("l_tax").cast("float").alias("xmin"),
+                    F.col("l_quantity").cast("float").alias("ymax"), F.col("l_extendedprice").cast("float").alias("xmax"),
+                    F.col("l_linenumber").cast("long").alias("object_label"))
+    chunk = F.floor(F.col("pos") / BOX_CHUNK).cast("int")
+    rec = placed.groupBy("l_orderkey", chunk.alias("chunk")).agg(
+        F.sort_array(F.collect_list(line)).alias("lines"),
         F.max(F.when(F.col("l_returnflag") == "A", F.lit("returned"))).alias("text"),
         F.max(F.when(F.col("l_linestatus") == "F", F.lit(1))).cast("long").alias("label"))
-    split = F.when(S.key_hash("l_orderkey") < F.lit(429496730), "validation").otherwise("train")
-    return rec.select("*", F.lit(None).cast("string").alias("format"),
+    split = F.when(S.key_hash("l_orderkey", "boxes") < F.lit(BOX_VALIDATION), "validation").otherwise("train")
+    return rec.select("l_orderkey", "chunk", *[F.col(f"lines.{c}").alias(c) for c in (*X.BOX_ORDER, "object_label")],
+                      "text", "label", F.lit(None).cast("string").alias("format"),
                       F.lit(None).cast("string").alias("encoded"), split.alias("split"))
 
 
-@query("src_boxes", oracle=f"""WITH rec AS (
-  SELECT l_orderkey, CAST(l_linenumber // {BOX_CHUNK} AS INTEGER) AS chunk,
-    list_sort(list(CAST(l_discount AS FLOAT))) AS ymin, list_sort(list(CAST(l_tax AS FLOAT))) AS xmin,
-    list_sort(list(CAST(l_quantity AS FLOAT))) AS ymax, list_sort(list(CAST(l_extendedprice AS FLOAT))) AS xmax,
-    list_sort(list(CAST(l_linenumber AS BIGINT))) AS object_label,
-    max(CASE WHEN l_returnflag = 'A' THEN 'returned' END) AS text,
-    CAST(max(CASE WHEN l_linestatus = 'F' THEN 1 END) AS BIGINT) AS label,
-    CASE WHEN {HASH_SQL.format(c='l_orderkey')} < 429496730 THEN 'validation' ELSE 'train' END AS split
-  FROM lineitem GROUP BY 1, 2, l_orderkey),
-b AS (SELECT *, unnest(range(len(ymin))) AS i FROM rec)
-SELECT l_orderkey, chunk, split, coalesce(text, '') AS text, 'jpeg' AS format, coalesce(label, -1) AS label,
-  CAST(i AS INTEGER) AS box, ymin[i + 1] AS ymin, xmin[i + 1] AS xmin, ymax[i + 1] AS ymax,
-  xmax[i + 1] AS xmax, object_label[i + 1] AS object_label FROM b""")
+@query("src_boxes", oracle=f"""WITH p AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(c + ' NULLS FIRST' for c in BOX_LINE)}) - 1 AS pos FROM lineitem)
+SELECT l_orderkey, CAST(pos // {BOX_CHUNK} AS INTEGER) AS chunk,
+  CASE WHEN {HASH_SQL.format(c='l_orderkey', seed='boxes')} < {BOX_VALIDATION} THEN 'validation' ELSE 'train' END AS split,
+  coalesce(max(CASE WHEN l_returnflag = 'A' THEN 'returned' END) OVER w, '') AS text, 'jpeg' AS format,
+  coalesce(CAST(max(CASE WHEN l_linestatus = 'F' THEN 1 END) OVER w AS BIGINT), -1) AS label,
+  CAST(pos % {BOX_CHUNK} AS INTEGER) AS box, CAST(l_discount AS FLOAT) AS ymin, CAST(l_tax AS FLOAT) AS xmin,
+  CAST(l_quantity AS FLOAT) AS ymax, CAST(l_extendedprice AS FLOAT) AS xmax, CAST(l_linenumber AS BIGINT) AS object_label
+FROM p WINDOW w AS (PARTITION BY l_orderkey, pos // {BOX_CHUNK})""")
 def src_boxes(spark, sf_dir):
     """SRC-9: box records of every split with defaults, one row per box."""
     path = scratch_path(spark, "boxes")

@@ -100,11 +100,12 @@ def src_multi_file(spark, sf_dir):
     return read_lines(spark, TG.write_tab_files(spark, sf_dir))
 
 
-@query("edges_whitespace", oracle="SELECT doc_id, status, src, dst FROM (" +
-       ws_parse_sql("(SELECT doc_id, text AS value FROM documents)", "doc_id, ") + ")")
+@query("edges_whitespace", oracle="SELECT doc_id, line, status, src, dst FROM (" +
+       ws_parse_sql("""(SELECT doc_id, CAST(generate_subscripts(lines, 1) - 1 AS INTEGER) AS line, unnest(lines) AS value
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))""", "doc_id, line, ") + ")")
 def edges_whitespace(spark, sf_dir):
-    """PRJ-3 / FLT-1 over whole document texts: first two blank-separated fields."""
-    return ED.classify_whitespace_lines(TG.document_lines(spark, sf_dir)).select("doc_id", "status", "src", "dst")
+    """PRJ-3 / FLT-1 over every line of the documents: first two blank-separated fields."""
+    return ED.classify_whitespace_lines(TG.document_lines(spark, sf_dir)).select("doc_id", "line", "status", "src", "dst")
 
 
 @query("edges_tab", oracle="SELECT page_id, pos, src, dst FROM (" +

@@ -139,14 +139,6 @@ def synthetic_images(spark: SparkSession, rows: int, height: int = 256, width: i
     return spark.range(rows).mapInPandas(_synthetic(seed, height, width, summary), schema)
 
 
-@query("src_synthetic")
-def src_synthetic(spark, sf_dir):
-    """SRC-12: as many synthetic rows as there are embeddings (batch_num × batch_size
-    of the real set); image reported by its sum."""
-    n = table(spark, sf_dir, "embeddings").count()
-    return synthetic_images(spark, n, summary=True)
-
-
 @query("image_standardize", oracle=f"""WITH P AS (
   SELECT vec_id, CAST(floor(sqrt(len(embedding))) AS INTEGER) AS side,
     CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS k, unnest(embedding) AS v FROM embeddings),

@@ -1,8 +1,8 @@
 """Model-fitting and scoring queries over ``embeddings``.
 
 Features: ``embeddings`` as ``(id, features, label, split)``; a fifth of the ids
-(by the key hash) are test rows.  "Scores without a model" are the first ten
-feature values.  Fitted models come from Spark jobs (numpy inside tasks); the
+(by the key hash) are test rows.  "Scores without a model" are all feature
+values of a row.  Fitted models come from Spark jobs (numpy inside tasks); the
 oracles replay the same fixed number of steps in SQL.
 """
 
@@ -25,6 +25,7 @@ TEST_CUT = Q.TEST_CUT
 FIT_STEPS = 3
 EVAL_BATCH = 100
 LOCAL_REPLICAS = 8     # replicas of local SGD, whatever the cluster
+REPLICAS = 3           # replicas whose gradients are averaged
 EVENT_BATCH = 1000
 # Per-group rates and momentum of the reference's optimizer.
 GROUP_RATES = {LIN.WEIGHTS: 0.001, LIN.BIASES: 0.002}
@@ -34,7 +35,7 @@ MOMENTUM = 0.9
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-5: ``(id, features, label, split)`` – test rows by seeded key hash."""
     e = table(spark, sf_dir, "embeddings")
-    split = F.when(S.key_hash("vec_id") < F.lit(TEST_CUT), "test").otherwise("train")
+    split = F.when(S.key_hash("vec_id", "split") < F.lit(TEST_CUT), "test").otherwise("train")
     return e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"), "label",
                     split.alias("split"))
 
@@ -43,10 +44,6 @@ def train_rows(spark, sf_dir) -> DataFrame:
     return features(spark, sf_dir).where(F.col("split") == "train")
 
 
-def first10(c="features"):
-    return F.slice(F.col(c), 1, 10)
-
-
 def _round_model(df: DataFrame, cols=("value",)) -> DataFrame:
     return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -56,10 +53,9 @@ def fit3(spark, sf_dir, on_step=None) -> LIN.FitResult:
 
 
 # ---------------------------------------------------------- SQL fragments
-F10 = "list_slice(features, 1, 10)"
 FEAT_ONLY = "WITH " + Q.FEAT_CTE
 SCORES_LONG = f"""SC AS (SELECT id, label, split, CAST(generate_subscripts(f, 1) - 1 AS INTEGER) AS j,
-  CAST(unnest(f) AS DOUBLE) AS s FROM (SELECT id, label, split, {F10} AS f FROM FEAT))"""
+  CAST(unnest(f) AS DOUBLE) AS s FROM (SELECT id, label, split, features AS f FROM FEAT))"""
 
 
 # ------------------------------------------------------------ scoring queries
@@ -73,28 +69,29 @@ def src_features(spark, sf_dir):
 ZZ AS (SELECT id, j, s - max(s) OVER (PARTITION BY id) AS z FROM SC)
 SELECT id, j, round(exp(z) / sum(exp(z)) OVER (PARTITION BY id), 6) AS p FROM ZZ""")
 def softmax_scores(spark, sf_dir):
-    """SCL-9: softmax of the first ten values, long form ``(id, j, p)``."""
+    """SCL-9: softmax of all feature values, long form ``(id, j, p)``."""
     f = features(spark, sf_dir)
-    return f.select("id", F.posexplode(A.softmax(first10())).alias("j", "p")) \
+    return f.select("id", F.posexplode(A.softmax("features")).alias("j", "p")) \
         .select("id", "j", F.round("p", 6).alias("p"))
 
 
-@query("ml_accuracy", oracle=FEAT_ONLY + f"""
-SELECT split, count(*) AS examples,
-  CAST(sum(CASE WHEN list_position({F10}, list_max({F10})) - 1 = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
-  round(avg(CASE WHEN list_position({F10}, list_max({F10})) - 1 = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
-FROM FEAT GROUP BY split""")
+@query("ml_accuracy", oracle=Q.full_batch_fit(FIT_STEPS) + ",\n" + Q.scores_cte(FIT_STEPS) + """,
+BEST AS (SELECT id, min(j) AS j FROM (SELECT id, j, s, max(s) OVER (PARTITION BY id) AS m FROM SC) WHERE s = m GROUP BY id)
+SELECT split, count(*) AS examples, CAST(sum(CASE WHEN j = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
+  round(avg(CASE WHEN j = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+FROM FEAT JOIN BEST ON FEAT.id = BEST.id GROUP BY split""")
 def ml_accuracy(spark, sf_dir):
-    """AGG-7 / SCL-7: argmax (first of ties) against the label, per split."""
-    f = features(spark, sf_dir).withColumn("ok", (A.argmax(first10()) == F.col("label")).cast("int"))
+    """AGG-7 / SCL-7: accuracy of the three-step model, argmax (first of ties) against the label, per split."""
+    scored = LIN.linear_scores(features(spark, sf_dir), fit3(spark, sf_dir).model)
+    f = scored.withColumn("ok", (A.argmax("scores") == F.col("label")).cast("int"))
     return f.groupBy("split").agg(F.count(F.lit(1)).alias("examples"), F.sum("ok").alias("correct"),
                                   F.round(F.avg(F.col("ok").cast("double")), 6).alias("accuracy"))
 
 
-@query("ml_top1", oracle=FEAT_ONLY + f"\nSELECT id, {F10}[label + 1] >= list_max({F10}) AS hit FROM FEAT")
+@query("ml_top1", oracle=FEAT_ONLY + f"\nSELECT id, features[label + 1] >= list_max(features) AS hit FROM FEAT")
 def ml_top1(spark, sf_dir):
     """SCL-8: ``in_top_k(k=1)`` – ties count as hits."""
-    return features(spark, sf_dir).select("id", A.top1_hit(first10(), "label").alias("hit"))
+    return features(spark, sf_dir).select("id", A.top1_hit("features", "label").alias("hit"))
 
 
 @query("cross_entropy", oracle=FEAT_ONLY + ",\n" + SCORES_LONG + """,
@@ -102,8 +99,8 @@ LSE AS (SELECT id, split, label, max(s) + ln(sum(exp(s - m))) AS lse, max(CASE W
   FROM (SELECT *, max(s) OVER (PARTITION BY id) AS m FROM SC) GROUP BY id, split, label)
 SELECT split, count(*) AS examples, round(avg(lse - sl), 6) AS loss FROM LSE GROUP BY split""")
 def cross_entropy(spark, sf_dir):
-    """ML-2: mean cross-entropy (log-sum-exp form) of the first-ten scores per split."""
-    f = features(spark, sf_dir).withColumn("ce", A.cross_entropy(first10(), "label"))
+    """ML-2: mean cross-entropy (log-sum-exp form) of all feature values as scores, per split."""
+    f = features(spark, sf_dir).withColumn("ce", A.cross_entropy("features", "label"))
     return f.groupBy("split").agg(F.count(F.lit(1)).alias("examples"), F.round(F.avg("ce"), 6).alias("loss"))
 
 
@@ -157,14 +154,14 @@ def l2_penalty(spark, sf_dir):
 
 
 # ------------------------------------------------------------- gradients
-GRAD_SQL = Q.full_batch_fit(1) + """
-SELECT 'softmax/weights' AS param, i, j, round(G.g / (SELECT count(*) FROM R0), 6) AS g
+GRAD_ROWS = """
+SELECT 'softmax/weights' AS param, i, j, round(G.g, 6) AS g
 FROM (SELECT X.i, D.j, sum(X.x * D.d) AS g FROM X JOIN D0 D ON X.id = D.id GROUP BY X.i, D.j) G
 UNION ALL
-SELECT 'softmax/biases', 0, j, round(sum(d) / (SELECT count(*) FROM R0), 6) FROM D0 GROUP BY j"""
+SELECT 'softmax/biases', 0, j, round(sum(d), 6) FROM D0 GROUP BY j"""
 
 
-@query("softmax_gradient", oracle=GRAD_SQL)
+@query("softmax_gradient", oracle=Q.full_batch_fit(1) + GRAD_ROWS)
 def softmax_gradient(spark, sf_dir):
     """ML-4: mean gradient of the cross-entropy at the zero model, train rows."""
     tr = train_rows(spark, sf_dir)
@@ -172,11 +169,11 @@ def softmax_gradient(spark, sf_dir):
     return g.select("param", "i", "j", F.round("g", 6).alias("g"))
 
 
-@query("gradient_average", oracle=GRAD_SQL)
+@query("gradient_average", oracle=Q.momentum_fit(1, 0.0, 0.0, 0.0, REPLICAS) + GRAD_ROWS)
 def gradient_average(spark, sf_dir):
-    """AGG-11: three replicas' gradients averaged (row-weighted) – equals ML-4."""
+    """AGG-11: mean of three replicas' mean gradients, each over its own rows."""
     tr = train_rows(spark, sf_dir)
-    g = LIN.replica_average(tr, LIN.Model.zeros(LIN.feature_dim(tr), 10), 3)
+    g = LIN.replica_average(tr, LIN.Model.zeros(LIN.feature_dim(tr), 10), REPLICAS)
     return g.select("param", "i", "j", F.round("g", 6).alias("g"))
 
 
@@ -235,26 +232,19 @@ def momentum_step(spark, sf_dir):
     return _round_model(params, ("value", "velocity"))
 
 
-CENTROID_SQL = f"""WITH {Q.FEAT_CTE},
-NB AS (SELECT count(*) // 32 AS nb FROM TR),
-BT AS MATERIALIZED (SELECT X.id, X.label, X.i, X.x,
-  floor({Q.HASH.format(c='X.id')} * (SELECT nb FROM NB) / 4294967296) AS k
-  FROM X JOIN TR ON X.id = TR.id),
-C0 AS (SELECT CAST(r // 64 AS INTEGER) AS label, CAST(r % 64 AS INTEGER) AS i, 0.0 AS value, 0.0 AS velocity
-  FROM range(10 * (SELECT max(i) + 1 FROM X)) t(r)),
-G0 AS (SELECT BT.label, BT.i, sum(C0.value - BT.x) / (SELECT count(DISTINCT id) FROM BT WHERE k = 0) AS g
-  FROM BT JOIN C0 ON BT.label = C0.label AND BT.i = C0.i WHERE k = 0 GROUP BY 1, 2),
-C1 AS MATERIALIZED (SELECT C0.label, C0.i,
-  CASE WHEN G0.g IS NULL THEN C0.value ELSE C0.value - 0.01 * ({MOMENTUM} * C0.velocity + G0.g) END AS value,
-  CASE WHEN G0.g IS NULL THEN C0.velocity ELSE {MOMENTUM} * C0.velocity + G0.g END AS velocity
-  FROM C0 LEFT JOIN G0 ON C0.label = G0.label AND C0.i = G0.i),
-G1 AS (SELECT BT.label, BT.i, sum(C1.value - BT.x) / (SELECT count(DISTINCT id) FROM BT WHERE k = 1) AS g
-  FROM BT JOIN C1 ON BT.label = C1.label AND BT.i = C1.i WHERE k = 1 GROUP BY 1, 2),
-C2 AS (SELECT C1.label, C1.i,
-  CASE WHEN G1.g IS NULL THEN C1.value ELSE C1.value - 0.01 * ({MOMENTUM} * C1.velocity + G1.g) END AS value,
-  CASE WHEN G1.g IS NULL THEN C1.velocity ELSE {MOMENTUM} * C1.velocity + G1.g END AS velocity
-  FROM C1 LEFT JOIN G1 ON C1.label = G1.label AND C1.i = G1.i)
-SELECT label, i, round(value, 6) AS value, round(velocity, 6) AS velocity FROM C2"""
+CENTROID_SQL = f"""WITH RECURSIVE {Q.FEAT_CTE},
+BT AS MATERIALIZED (SELECT id, (row_number() OVER (ORDER BY {Q.HASH.format(c='id', epoch=0, seed='batch')}, id) - 1) // {LIN.BATCH_SIZE} AS k
+  FROM TR),
+N AS MATERIALIZED (SELECT k, count(*) AS n FROM BT GROUP BY k),
+G AS MATERIALIZED (SELECT k, label, i, count(*) AS rows, sum(x) AS sx FROM X JOIN BT ON X.id = BT.id GROUP BY k, label, i),
+C AS (SELECT CAST(0 AS BIGINT) AS k, CAST(l AS INTEGER) AS label, CAST(d AS INTEGER) AS i, CAST(0.0 AS DOUBLE) AS value,
+    CAST(0.0 AS DOUBLE) AS velocity FROM range(10) a(l), range((SELECT max(i) + 1 FROM X)) b(d)
+  UNION ALL
+  SELECT C.k + 1, C.label, C.i,
+    CASE WHEN rows IS NULL THEN value ELSE value - 0.01 * ({MOMENTUM} * velocity + (rows * value - sx) / n) END,
+    CASE WHEN rows IS NULL THEN velocity ELSE {MOMENTUM} * velocity + (rows * value - sx) / n END
+  FROM C JOIN N ON N.k = C.k LEFT JOIN G ON G.k = C.k AND G.label = C.label AND G.i = C.i)
+SELECT label, i, round(value, 6) AS value, round(velocity, 6) AS velocity FROM C WHERE k = (SELECT count(*) FROM N)"""
 
 
 @query("momentum_sparse", oracle=CENTROID_SQL)
@@ -262,7 +252,7 @@ def momentum_sparse(spark, sf_dir):
     """ML-10: sparse momentum on class centroids – only classes present in the
     mini-batch are touched; the others keep value and velocity."""
     tr = train_rows(spark, sf_dir)
-    return _round_model(MOM.fit_centroids_sparse(tr, steps=2, lr=0.01, momentum=MOMENTUM),
+    return _round_model(MOM.fit_centroids_sparse(tr, lr=0.01, momentum=MOMENTUM),
                         ("value", "velocity"))
 
 
@@ -273,17 +263,6 @@ def softmax_fit_sync(spark, sf_dir):
     return _round_model(LIN.fit_sync(train_rows(spark, sf_dir)).model.to_frame(spark))
 
 
-@query("softmax_fit_batches")
-def softmax_fit_batches(spark, sf_dir):
-    """ML-6: the single-machine schedule (batches of 32, 20 epochs, rate 0.01) run
-    sequentially inside each partition (one per core), one job per epoch;
-    partition models are averaged after each epoch.  On a one-partition table
-    this is exactly the single-machine run (tested)."""
-    res = LIN.fit_local(train_rows(spark, sf_dir), epochs=LIN.EPOCHS, batch_size=LIN.BATCH_SIZE,
-                        replicas=LOCAL_REPLICAS)
-    return _round_model(res.model.to_frame(spark))
-
-
 @query("softmax_fit_local")
 def softmax_fit_local(spark, sf_dir):
     """ML-8 re-aimed: local SGD (batch 32) on one replica per core, models
@@ -292,13 +271,14 @@ def softmax_fit_local(spark, sf_dir):
     return _round_model(res.model.to_frame(spark))
 
 
-@query("softmax_fit_momentum")
+@query("softmax_fit_momentum", oracle=Q.momentum_fit(10, GROUP_RATES[LIN.WEIGHTS], GROUP_RATES[LIN.BIASES], MOMENTUM, REPLICAS)
+       + "\n" + Q.model_rows(10, with_velocity=True))
 def softmax_fit_momentum(spark, sf_dir):
     """ML-11: replicas' gradients averaged, momentum update per group, 10 steps."""
     tr = train_rows(spark, sf_dir)
     groups = MOM.param_groups(spark, [(LIN.WEIGHTS, GROUP_RATES[LIN.WEIGHTS], MOMENTUM),
                                       (LIN.BIASES, GROUP_RATES[LIN.BIASES], MOMENTUM)])
-    return _round_model(MOM.fit_momentum(tr, steps=10, groups=groups), ("value", "velocity"))
+    return _round_model(MOM.fit_momentum(tr, steps=10, groups=groups, replicas=REPLICAS), ("value", "velocity"))
 
 
 @query("ml_metrics")
@@ -366,7 +346,7 @@ def evaluate_running(spark, sf_dir):
 
 
 RUNNING_SQL = FEAT_ONLY + f""",
-NUM AS (SELECT id, {F10}[label + 1] >= list_max({F10}) AS hit, row_number() OVER (ORDER BY id) - 1 AS pos,
+NUM AS (SELECT id, features[label + 1] >= list_max(features) AS hit, row_number() OVER (ORDER BY id) - 1 AS pos,
   count(*) OVER () AS n FROM FEAT),
 BATCH AS (SELECT CAST(pos // {EVAL_BATCH} AS BIGINT) AS batch_id, CAST(sum(CAST(hit AS BIGINT)) AS BIGINT) AS hits, count(*) AS examples
   FROM NUM WHERE pos < (n // {EVAL_BATCH}) * {EVAL_BATCH} GROUP BY 1)
@@ -377,8 +357,8 @@ SELECT batch_id, hits, examples, CAST(sum(hits) OVER (ORDER BY batch_id) AS BIGI
 
 @query("running_precision", oracle=RUNNING_SQL)
 def running_precision(spark, sf_dir):
-    """AGG-9: cumulative hits / examples after each batch of 100 (first-ten scores)."""
-    f = features(spark, sf_dir).select("id", "label", first10().alias("scores"))
+    """AGG-9: cumulative hits / examples after each batch of 100 (feature values as scores)."""
+    f = features(spark, sf_dir).select("id", "label", F.col("features").alias("scores"))
     return _batch_precision(f, EVAL_BATCH)
 
 
@@ -435,28 +415,19 @@ def ml_block_loss(spark, sf_dir):
 
 
 @query("ml_epoch_loss", oracle=f"""WITH {Q.FEAT_CTE},
-NB AS (SELECT count(*) // {LIN.BATCH_SIZE} AS nb FROM TR),
-CE AS (SELECT F.id, list_max(l) + ln(list_sum(list_transform(l, lambda v: exp(v - list_max(l))))) - l[F.label + 1] AS ce
-  FROM (SELECT id, label, CAST({F10} AS DOUBLE[]) AS l FROM FEAT WHERE split = 'train') F),
-BL AS (SELECT 0 AS epoch, floor({Q.HASH.format(c='CE.id + 0 * ' + str(Q.EPOCH_STRIDE))} * (SELECT nb FROM NB) / 4294967296) AS k,
-  avg(ce) AS loss FROM CE GROUP BY 1, 2
-  UNION ALL SELECT 1 AS epoch, floor({Q.HASH.format(c='CE.id + 1 * ' + str(Q.EPOCH_STRIDE))} * (SELECT nb FROM NB) / 4294967296) AS k,
-  avg(ce) AS loss FROM CE GROUP BY 1, 2
-  UNION ALL SELECT 2 AS epoch, floor({Q.HASH.format(c='CE.id + 2 * ' + str(Q.EPOCH_STRIDE))} * (SELECT nb FROM NB) / 4294967296) AS k,
-  avg(ce) AS loss FROM CE GROUP BY 1, 2),
-SELECT CAST(epoch AS INTEGER) AS epoch, round(sum(loss) / (SELECT nb FROM NB), 6) AS avg_cost, count(*) AS batches
-FROM BL GROUP BY 1""")
+CE AS (SELECT id, list_max(l) + ln(list_sum(list_transform(l, lambda v: exp(v - list_max(l))))) - l[label + 1] AS ce
+  FROM (SELECT id, label, CAST(features AS DOUBLE[]) AS l FROM FEAT WHERE split = 'train')),
+E AS (SELECT CAST(e AS INTEGER) AS epoch, ce,
+  (row_number() OVER (PARTITION BY e ORDER BY {Q.HASH.format(c='id', epoch='e', seed='batch')}, id) - 1) // {LIN.BATCH_SIZE} AS k
+  FROM CE, range({LIN.EPOCHS}) t(e)),
+BL AS (SELECT epoch, k, avg(ce) AS loss FROM E GROUP BY epoch, k)
+SELECT epoch, round(avg(loss), 6) AS avg_cost, count(*) AS batches FROM BL GROUP BY epoch""")
 def ml_epoch_loss(spark, sf_dir):
-    """AGG-5: per epoch, Σ batch-mean loss / number of batches (first-ten scores,
-    3 epochs, batches of 32 drawn by the seeded hash)."""
-    tr = train_rows(spark, sf_dir).select("id", A.cross_entropy(first10(), "label").alias("ce"))
-    nb = max(tr.count() // LIN.BATCH_SIZE, 1)
-    out = None
-    for e in range(3):
-        bl = tr.groupBy(LIN.batch_of("id", e, nb).alias("k")).agg(F.avg("ce").alias("loss")) \
-            .select(F.lit(e).cast("int").alias("epoch"), "loss")
-        out = bl if out is None else out.unionByName(bl)
-    agg = MET.epoch_mean_loss(out, batches_per_epoch=nb)
+    """AGG-5: per epoch, Σ batch-mean loss / number of batches (all feature values as
+    scores, 20 epochs, batches of 32 in the order of the seeded hash)."""
+    tr = train_rows(spark, sf_dir).select("id", A.cross_entropy("features", "label").alias("ce"))
+    batches = S.epoch_batches(tr, "id", LIN.BATCH_SIZE, LIN.EPOCHS)
+    agg = MET.epoch_mean_loss(batches.groupBy("epoch", "batch_id").agg(F.avg("ce").alias("loss")))
     return agg.select("epoch", F.round("avg_cost", 6).alias("avg_cost"), "batches")
 
 
@@ -524,7 +495,7 @@ def lr_schedule(spark, sf_dir):
 
 # ------------------------------------------------------------- streaming
 @query("stream_precision", oracle=FEAT_ONLY + f""",
-NUM AS (SELECT id, {F10}[label + 1] >= list_max({F10}) AS hit, row_number() OVER (ORDER BY id) - 1 AS pos,
+NUM AS (SELECT id, features[label + 1] >= list_max(features) AS hit, row_number() OVER (ORDER BY id) - 1 AS pos,
   count(*) OVER () AS n FROM FEAT)
 SELECT CAST(sum(CAST(hit AS BIGINT)) AS BIGINT) AS hits, count(*) AS examples,
   round(sum(CAST(hit AS BIGINT)) / count(*), 6) AS precision
@@ -533,7 +504,7 @@ def stream_precision(spark, sf_dir):
     """STR-1: scored batches (100 rows by id, rest dropped) written as files, drained
     by a stream with a stateful global aggregate; the final cumulative row."""
     from ..streaming.precision import final_row, stream_running_precision
-    f = features(spark, sf_dir).select("id", A.top1_hit(first10(), "label").alias("hit"))
+    f = features(spark, sf_dir).select("id", A.top1_hit("features", "label").alias("hit"))
     b = S.fixed_batches(f, "id", EVAL_BATCH)
     src = scratch_path(spark, "scored-batches")
     # one file per batch, so one trigger (maxFilesPerTrigger=1) is one batch

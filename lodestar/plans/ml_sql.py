@@ -7,12 +7,11 @@ table ``X(id, label, split, i, x)``: scores, max-shifted softmax, residual
 
 from __future__ import annotations
 
-HASH = "((CAST({c} AS BIGINT) * 2654435761) % 4294967296)"
-TEST_CUT = 858993459            # floor(0.2 · 2^32): ids hashing below are test rows
-EPOCH_STRIDE = 1000003
+HASH = "CAST('0x' || substr(md5({c} || ':' || {epoch} || ':{seed}'), 1, 15) AS BIGINT)"
+TEST_CUT = (1 << 60) // 5       # ids hashing below are test rows
 
 FEAT_CTE = f"""FEAT AS MATERIALIZED (SELECT vec_id AS id, embedding AS features, label,
-  CASE WHEN {HASH.format(c='vec_id')} < {TEST_CUT} THEN 'test' ELSE 'train' END AS split FROM embeddings),
+  CASE WHEN {HASH.format(c='vec_id', epoch=0, seed='split')} < {TEST_CUT} THEN 'test' ELSE 'train' END AS split FROM embeddings),
 X AS MATERIALIZED (SELECT id, label, split, CAST(generate_subscripts(features, 1) - 1 AS INTEGER) AS i,
   CAST(unnest(features) AS DOUBLE) AS x FROM FEAT),
 TR AS MATERIALIZED (SELECT id, label FROM FEAT WHERE split = 'train')"""
@@ -24,25 +23,28 @@ B0 AS MATERIALIZED (SELECT CAST(r AS INTEGER) AS j, CAST(0.0 AS DOUBLE) AS b, CA
 
 
 def step_ctes(t: int, rows_filter: str = "TRUE", lr_w: float = 0.01, lr_b: float = 0.01,
-              momentum: float | None = None) -> list[str]:
-    """CTEs that turn ``W{t}, B{t}`` into ``W{t+1}, B{t+1}``."""
-    n = f"(SELECT count(*) FROM R{t})"
+              momentum: float | None = None, replicas: int = 1) -> list[str]:
+    """CTEs that turn ``W{t}, B{t}`` into ``W{t+1}, B{t+1}``.
+
+    A row weighs one over the rows of its replica and the number of replicas."""
+    rep = f"({HASH.format(c='id', epoch=0, seed='replica')} % {replicas})"
     if momentum is None:
-        w_new = f"W.w - {lr_w} * G.g / {n} AS w, W.v AS v"
-        b_new = f"B.b - {lr_b} * G.g / {n} AS b, B.v AS v"
+        w_new = f"W.w - {lr_w} * G.g AS w, W.v AS v"
+        b_new = f"B.b - {lr_b} * G.g AS b, B.v AS v"
     else:
-        w_new = (f"W.w - {lr_w} * ({momentum} * W.v + G.g / {n}) AS w, "
-                 f"{momentum} * W.v + G.g / {n} AS v")
-        b_new = (f"B.b - {lr_b} * ({momentum} * B.v + G.g / {n}) AS b, "
-                 f"{momentum} * B.v + G.g / {n} AS v")
+        w_new = (f"W.w - {lr_w} * ({momentum} * W.v + G.g) AS w, "
+                 f"{momentum} * W.v + G.g AS v")
+        b_new = (f"B.b - {lr_b} * ({momentum} * B.v + G.g) AS b, "
+                 f"{momentum} * B.v + G.g AS v")
     return [
-        f"R{t} AS MATERIALIZED (SELECT id, label FROM TR WHERE {rows_filter})",
+        f"R{t} AS MATERIALIZED (SELECT id, label, 1.0 / (count(*) OVER (PARTITION BY rep)) / "
+        f"(SELECT count(DISTINCT {rep}) FROM TR WHERE {rows_filter}) AS wt FROM (SELECT *, {rep} AS rep FROM TR WHERE {rows_filter}))",
         f"S{t} AS (SELECT X.id, W.j, sum(X.x * W.w) AS s FROM X JOIN R{t} R ON X.id = R.id "
         f"JOIN W{t} W ON X.i = W.i GROUP BY X.id, W.j)",
         f"Z{t} AS (SELECT S.id, S.j, S.s + B.b - max(S.s + B.b) OVER (PARTITION BY S.id) AS z "
         f"FROM S{t} S JOIN B{t} B ON S.j = B.j)",
-        f"D{t} AS MATERIALIZED (SELECT Z.id, Z.j, exp(Z.z) / sum(exp(Z.z)) OVER (PARTITION BY Z.id) "
-        f"- CASE WHEN R.label = Z.j THEN 1.0 ELSE 0.0 END AS d FROM Z{t} Z JOIN R{t} R ON Z.id = R.id)",
+        f"D{t} AS MATERIALIZED (SELECT Z.id, Z.j, R.wt * (exp(Z.z) / sum(exp(Z.z)) OVER (PARTITION BY Z.id) "
+        f"- CASE WHEN R.label = Z.j THEN 1.0 ELSE 0.0 END) AS d FROM Z{t} Z JOIN R{t} R ON Z.id = R.id)",
         f"W{t + 1} AS MATERIALIZED (SELECT W.i, W.j, {w_new} FROM W{t} W JOIN "
         f"(SELECT X.i, D.j, sum(X.x * D.d) AS g FROM X JOIN D{t} D ON X.id = D.id GROUP BY X.i, D.j) G "
         f"ON W.i = G.i AND W.j = G.j)",
@@ -59,10 +61,10 @@ def full_batch_fit(steps: int, lr: float = 0.01) -> str:
     return "WITH " + ",\n".join(parts)
 
 
-def momentum_fit(steps: int, lr_w: float, lr_b: float, momentum: float) -> str:
+def momentum_fit(steps: int, lr_w: float, lr_b: float, momentum: float, replicas: int = 1) -> str:
     parts = [FEAT_CTE, ZERO_MODEL]
     for t in range(steps):
-        parts += step_ctes(t, "TRUE", lr_w, lr_b, momentum)
+        parts += step_ctes(t, "TRUE", lr_w, lr_b, momentum, replicas)
     return "WITH " + ",\n".join(parts)
 
 

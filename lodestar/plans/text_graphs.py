@@ -11,14 +11,12 @@ folder and read back as text, so the parsers meet real files:
   click, ``Talk:`` for error), view lines get trailing blanks, each signup adds
   a line without a tab; one folder per event type (a multi-path read).
 
-documents (first two words) and pages (host → each href) give two more edge
+documents (first two words of each line) and pages (host → each href) give two more edge
 sets without files.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +27,6 @@ from ..sources.tables import table
 # How each event type is rendered.
 WS_SEP = {"view": " ", "signup": "\t", "click": "\u00a0", "error": " ", "purchase": " \u3000"}
 NAMESPACE = {"click": "Category:", "error": "Talk:"}
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 def successions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,14 +73,17 @@ def tab_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_tab_files(spark: SparkSession, sf_dir: str) -> list[str]:
-    """One folder per event type; returns the folder paths (SRC-4 input)."""
+    """One folder per event type, whatever the types are; returns the written folders (SRC-4 input)."""
     path = scratch_path(spark, "edges-tab")
     tab_lines(spark, sf_dir).write.partitionBy("event_type").text(path)
-    return [os.path.join(path, f"event_type={t}") for t in EVENT_TYPES]
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(str(f.getPath()) for f in listed if f.isDirectory()) or [path]
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    """Every line of every document: ``(doc_id, line, value)``, lines counted from 0."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "value"))
 
 
 def page_link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,13 +62,13 @@ def test_defaults_and_boxes(spark, tmpdir_path):
 
 def test_holdout_and_shards(spark, tmpdir_path):
     df = spark.range(1000).select(F.col("id").alias("doc_id"))
-    h = S.holdout(df, S.key_hash("doc_id"), 350)
+    h = S.holdout(df, "doc_id", 350)
     counts = {r["split"]: r["count"] for r in h.groupBy("split").count().collect()}
     assert counts == {"validation": 350, "train": 650}
-    big = S.holdout(df, S.key_hash("doc_id"), 350)
+    big = S.holdout(df, "doc_id", 350)
     assert sorted(r["doc_id"] for r in big.where("split = 'validation'").collect()) == \
         sorted(r["doc_id"] for r in h.where("split = 'validation'").collect())
-    sh = S.assign_shards(h.withColumn("_h", S.key_hash("doc_id")), "split", "_h", 5)
+    sh = S.assign_shards(h.withColumn("_h", S.key_hash("doc_id", "holdout")), "split", "_h", 5)
     sizes = {(r["split"], r["shard"]): r["count"] for r in sh.groupBy("split", "shard").count().collect()}
     assert sizes[("train", 0)] == 130 and sizes[("validation", 4)] == 70
     path = os.path.join(tmpdir_path, "shards")
@@ -93,17 +93,67 @@ def test_fixed_batches_drop_remainder(spark):
     assert b.select("batch_id").distinct().count() == 10
 
 
-def test_large_holdout_uses_global_sort_and_matches_brute_force(spark):
-    n, k = 30000, 12000                                  # k above the top-k ceiling
-    assert k > S.TOP_K_LIMIT
-    df = spark.range(n).select(F.col("id").alias("doc_id"))
-    got = {r["doc_id"] for r in S.holdout(df, S.key_hash("doc_id"), k).where("split = 'validation'").collect()}
-    h = sorted(range(n), key=lambda i: (i * 2654435761) % 4294967296)
-    assert got == set(h[:k])
+def _hash(key, seed, epoch=0):
+    import hashlib
+    return int(hashlib.md5(f"{key}:{epoch}:{seed}".encode()).hexdigest()[:15], 16)
+
+
+@pytest.mark.parametrize("k", [0, 1, 350, 12000, 30000, 40000])
+def test_holdout_has_one_path_and_matches_brute_force(spark, k):
+    df = spark.range(30000).select(F.col("id").alias("doc_id"))
+    got = {r["doc_id"] for r in S.holdout(df, "doc_id", k).where("split = 'validation'").collect()}
+    assert got == set(sorted(range(30000), key=lambda i: (_hash(i, "holdout"), i))[:k])
 
 
 def test_key_hash_takes_any_key(spark):
-    from lodestar.operators.splits import key_hash
     keys = [0, 1, 77, 65_535, 65_536, 3_470_000_000, 4_000_000_000, 1 << 41, (1 << 62) + 5, -3]
-    got = spark.createDataFrame([(k,) for k in keys], "id long").select("id", key_hash("id").alias("h")).collect()
-    assert {r["id"]: r["h"] for r in got} == {k: k * 2654435761 % (1 << 32) for k in keys}
+    got = spark.createDataFrame([(k,) for k in keys], "id long").select("id", S.key_hash("id", "split", 2).alias("h")).collect()
+    assert {r["id"]: r["h"] for r in got} == {k: _hash(k, "split", 2) for k in keys}
+
+
+def test_epoch_batches_are_full_and_reshuffled(spark):
+    df = spark.range(1 << 41, (1 << 41) + 1000).select(F.col("id").alias("k"))
+    rows = S.epoch_batches(df, "k", 32, epochs=2).collect()
+    order = []
+    for e in range(2):
+        batches = {}
+        for r in rows:
+            if r["epoch"] == e:
+                batches.setdefault(r["batch_id"], []).append(r["k"])
+        assert [len(batches[b]) for b in range(32)] == [32] * 31 + [8]
+        ranked = sorted(range(1 << 41, (1 << 41) + 1000), key=lambda i: _hash(i, "batch", e))
+        assert [sorted(batches[b]) for b in range(32)] == [sorted(ranked[32 * b:32 * b + 32]) for b in range(32)]
+        order.append(ranked)
+    at = order[1].index(order[0][0])
+    assert order[1][at:] + order[1][:at] != order[0]        # not a rotation
+
+
+def test_every_box_is_a_line_and_records_stay_small(spark, tmpdir_path):
+    from lodestar.plans import dataset_queries as D
+    folder = os.path.join(tmpdir_path, "boxes-in")
+    # One hot order with repeated rows, one small order.
+    lines = [(1, i % 7, float(i % 3), 0.1 * (i % 5), float(i), 10.0 * i, "A" if i == 3 else "N", "F") for i in range(101)]
+    lines += [(1, 0, 0.0, 0.0, 0.0, 0.0, "N", "O")] * 3 + [(2, 1, 0.5, 0.25, 3.0, 30.0, "N", "O")]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_discount double, l_tax double, l_quantity double, "
+                          "l_extendedprice double, l_returnflag string, l_linestatus string") \
+        .write.parquet(os.path.join(folder, "lineitem.parquet"))
+    from collections import Counter
+    rec = D.box_records(spark, folder)
+    assert rec.agg(F.max(F.size("ymin"))).first()[0] == D.BOX_CHUNK
+    import numpy as np
+    f = lambda x: float(np.float32(x))
+    want = Counter((k, f(d), f(t), f(q), f(p), n) for k, n, d, t, q, p, *_ in lines)
+    got = Counter((r["l_orderkey"], r["ymin"], r["xmin"], r["ymax"], r["xmax"], r["object_label"])
+                  for r in D.src_boxes(spark, folder).collect())
+    assert got == want
+
+
+def test_unlisted_event_types_are_read(spark, tmpdir_path):
+    from datetime import datetime
+    from lodestar.plans import edge_queries as E
+    folder = os.path.join(tmpdir_path, "events-in")
+    rows = [(i, datetime(2024, 1, 1, 0, i), i, t) for i, t in enumerate(["view", "hover", None, "click", "view"])]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string") \
+        .write.parquet(os.path.join(folder, "events.parquet"))
+    got = {r["value"] for r in E.src_multi_file(spark, folder).collect()}
+    assert got == {"0\t1  ", "1\t2", "2\tCategory:3", "Category:3\t4"}

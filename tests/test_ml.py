@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pytest
 
@@ -51,13 +53,18 @@ def test_direct_and_aggregated_combine_agree(feats):
     assert (a.n, a.hits) == (b.n, b.hits) and abs(a.loss - b.loss) < 1e-9
 
 
-def test_replica_average_equals_full_gradient(feats):
-    m = LIN.Model.zeros(D, K)
-    full = {(r["param"], r["i"], r["j"]): r["g"] for r in LIN.gradient_frame(feats, m).collect()}
+def test_replica_average_is_the_mean_of_the_replicas_means(feats):
+    m = LIN.Model(RNG.standard_normal((D, K)) * 0.1, np.zeros(K))
     avg = {(r["param"], r["i"], r["j"]): r["g"] for r in LIN.replica_average(feats, m, 3).collect()}
-    assert full.keys() == avg.keys()
-    for k in full:
-        assert abs(full[k] - avg[k]) < 1e-12
+    rep = np.array([int(hashlib.md5(f"{i}:0:replica".encode()).hexdigest()[:15], 16) % 3 for i in range(N)])
+    sizes = [int((rep == r).sum()) for r in range(3)]
+    assert min(sizes) > 0 and len(set(sizes)) > 1          # parts of unequal size
+    parts = [np_grad(m.W, m.b, XS[rep == r], YS[rep == r]) for r in range(3)]
+    gW = np.mean([p[0] / n for p, n in zip(parts, sizes)], axis=0)
+    gb = np.mean([p[1] / n for p, n in zip(parts, sizes)], axis=0)
+    assert len(avg) == D * K + K
+    for (param, i, j), g in avg.items():
+        assert abs(g - (gW[i, j] if param == LIN.WEIGHTS else gb[j])) < 1e-10
 
 
 def test_full_fit_matches_numpy(feats):
@@ -84,8 +91,7 @@ def test_local_sgd_one_partition_is_sequential_sgd(spark, feats, arrow_rows):
     W, b = np.zeros((D, K)), np.zeros(K)
     ids = np.arange(N)
     for e in range(2):
-        h = ((ids + e * LIN.EPOCH_STRIDE) * 2654435761) % 4294967296
-        order = np.argsort(h, kind="stable")
+        order = sorted(ids.tolist(), key=lambda i: int(hashlib.md5(f"{i}:{e}:batch".encode()).hexdigest()[:15], 16))
         for s in range(-(-N // 16)):
             idx = order[s * 16:(s + 1) * 16]
             gW, gb, _ = np_grad(W, b, XS[idx], YS[idx])
@@ -130,6 +136,31 @@ def test_array_functions(spark):
     np.testing.assert_allclose(r["z"], (x - x.mean()) / max(x.std(), 1 / np.sqrt(4)))
 
 
+def test_sparse_momentum_replays_every_batch(spark):
+    n = 75
+    rows = spark.createDataFrame([(i, XS[i].tolist(), int(YS[i])) for i in range(n)], "id long, features array<double>, label int")
+    got = MOM.fit_centroids_sparse(rows, lr=0.1, momentum=0.9, batch_size=20, classes=K)
+    order = sorted(range(n), key=lambda i: int(hashlib.md5(f"{i}:0:batch".encode()).hexdigest()[:15], 16))
+    C, V = np.zeros((K, D)), np.zeros((K, D))
+    for s in range(0, n, 20):
+        idx = np.array(order[s:s + 20])
+        for k in set(YS[idx].tolist()):
+            own = idx[YS[idx] == k]
+            V[k] = 0.9 * V[k] + (C[k] - XS[own]).sum(axis=0) / len(idx)
+            C[k] = C[k] - 0.1 * V[k]
+    out = {(r["label"], r["i"]): (r["value"], r["velocity"]) for r in got.collect()}
+    for k in range(K):
+        for i in range(D):
+            np.testing.assert_allclose(out[(k, i)], (C[k, i], V[k, i]), atol=1e-10)
+    assert np.abs(C).sum() > 0
+
+
+def test_empty_checkpoint_is_reported(spark):
+    empty = spark.createDataFrame([], "param string, i int, j int, value double")
+    with pytest.raises(ValueError, match="no checkpoint"):
+        LIN.Model.from_frame(empty)
+
+
 def test_staircase_decay(spark):
     df = spark.range(0, 10).select(A.staircase_decay(0.001, 250.0, 4, 9.0, "id").alias("lr"), "id")
     got = {r["id"]: r["lr"] for r in df.collect()}
