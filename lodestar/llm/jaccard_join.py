@@ -15,10 +15,10 @@ element (two units), make ``h + 1`` units, then a partner ``r`` agrees with ``s`
 * Candidates are verified exactly on the sets.  To spare work on groups of copies, equal sets are one class from the start;
   round one verifies each class against one leader (the one that it shares most hashes with) and joins them to components; round
   two verifies, in each group that still has several components, one member of each against one of the largest, once with members
-  that are the same in all groups and once with others in each group; round three verifies all pairs of a group that are still in different components.  In every round, pairs whose sizes or parity sketches
-  already rule a link out are left (the parities of two sets' 1,024-bit sketches differ in no more bits than the sets do in
-  elements).  Pairs inside a component need no test, so no group is expanded into all its pairs, and no link between
-  components is lost.
+  that are the same in all groups and once with others in each group; round three verifies all pairs of a group that are still in
+  different components.  In every round, pairs whose sizes or parity sketches already rule a link out are left (the parities of
+  two sets' 1,024-bit sketches differ in no more bits than the sets do in elements).  Pairs inside a component need no test, so
+  no group is expanded into all its pairs, and no link between components is lost.
 """
 
 from __future__ import annotations
