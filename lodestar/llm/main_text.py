@@ -1,8 +1,12 @@
 """Operator 9, main text of HTML by two-pass block rules.
 
 Pass one walks the markup, cuts the text into blocks at block-level tags and classifies each block: blocks below
-boilerplate markup (menus, headers, footers, sidebars, notices, adverts, forms, comments) are bad; otherwise link
+boilerplate elements (menus, headers, footers, asides, forms) or hidden ones are bad; otherwise link
 density, length and the density of stop words decide between good, bad and, for short or middling blocks, undecided.
+Class, id and role words (sidebar, notice, advert, comments) only make blocks suspicious: a block's suspicion is the number
+of such elements around it, counted anew inside the outermost article or main element.  The page's level is the least
+suspicion up to which its blocks hold ``MAIN_SHARE`` of its good text; blocks above it are bad, the others as
+pass one finds them.  So a layout element named after the sidebar beside it does not cost the text inside it.
 Inside a page's article or main element long blocks are good whatever their words.  In pass two an undecided block takes
 the label of the nearest decided block, ties going to good; blocks of the article look for neighbours inside the article
 only, and without any decided neighbour a block is kept.
@@ -25,6 +29,7 @@ SHORT = 70            # characters: below, a block is not judged by itself
 LONG = 200
 STOP_LOW, STOP_HIGH = 0.15, 0.25
 LINK_DENSITY = 0.33
+MAIN_SHARE = 0.2      # of the good characters: less is not what a page's markup is judged by
 
 # Common words by language, for the density of stop words.
 STOP_WORDS = {
@@ -53,35 +58,37 @@ _HINT = re.compile(
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def _boiler(name: str, attributes: str, in_article: bool) -> bool:
+def _marks(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is boilerplate, and whether its class, id or role hints at it."""
     if name in BOILER_TAGS or (name == "header" and not in_article):
-        return True
+        return True, False
     if not attributes or name in ("body", "html", "article", "main"):
-        return False
+        return False, False
+    hint = False
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id", "role") and _HINT.search(value):
-            return True
+            hint = True
         if key == "hidden" or (key == "aria-hidden" and value == "true") or \
                 (key == "style" and re.search(r"display\s*:\s*none", value, re.I)):
-            return True
-    return False
+            return True, hint
+    return False, hint
 
 
-def blocks_of(page: str) -> list[tuple[str, int, bool, bool]]:
-    """``(text, characters inside links, below boilerplate, inside an article)`` of each block with text, in page order."""
-    out: list[tuple[str, int, bool, bool]] = []
-    open_: list[tuple[str, bool, bool, bool]] = []   # (tag, below boilerplate, in article, in link)
+def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int]]:
+    """``(text, characters inside links, below boilerplate, inside an article, suspicion)`` of each block with text, in page order."""
+    out: list[tuple[str, int, bool, bool, int]] = []
+    open_: list[tuple[str, bool, bool, int, bool]] = []   # (tag, below boilerplate, in article, suspicion, in link)
     piece: list[str] = []
     linked = 0
-    state = (False, False, False)
+    state = (False, False, 0, False)
 
     def flush() -> None:
         nonlocal piece, linked
         if piece:
             text = " ".join("".join(piece).split())
             if text:
-                out.append((text, linked, state[0], state[1]))
+                out.append((text, linked, *state[:3]))
             piece = []
         linked = 0
 
@@ -89,7 +96,7 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool]]:
         nonlocal linked
         text = entities.unescape(raw) if "&" in raw else raw
         piece.append(text)
-        if state[2]:
+        if state[3]:
             linked += len(text.strip())
 
     def close(names: tuple[str, ...]) -> None:
@@ -100,7 +107,7 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool]]:
                 if any(t in BLOCK for t, *_ in open_[i:]):
                     flush()
                 del open_[i:]
-                state = open_[-1][1:] if open_ else (False, False, False)
+                state = open_[-1][1:] if open_ else (False, False, 0, False)
                 return
 
     at = 0
@@ -144,8 +151,10 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool]]:
                     close(CLOSES[name])
         if name in VOID or attributes.rstrip().endswith("/"):
             continue
-        boiler, article, link = state
-        state = (boiler or _boiler(name, attributes, article), article or name in ARTICLE_TAGS or "articleBody" in attributes, link or name == "a")
+        boiler, article, suspicion, link = state
+        own, hint = _marks(name, attributes, article)
+        enters = name in ARTICLE_TAGS or "articleBody" in attributes
+        state = (boiler or own, article or enters, 0 if enters and not article else suspicion + hint, link or name == "a")
         open_.append((name, *state))
     flush()
     return out
@@ -171,10 +180,30 @@ def _first_pass(text: str, linked: int, boiler: bool, article: bool, stop_words:
     return -1
 
 
+def _level(blocks: list[tuple[str, int, bool, bool, int]], labels: list[int]) -> int:
+    """The least suspicion up to which blocks hold ``MAIN_SHARE`` of the good characters (without any, of the undecided ones)."""
+    size: dict[int, int] = {}
+    for wanted in (1, 0):
+        for b, label in zip(blocks, labels):
+            if label == wanted and not b[2]:
+                size[b[4]] = size.get(b[4], 0) + len(b[0])
+        if size:
+            break
+    held, total = 0, sum(size.values())
+    for suspicion in sorted(size):
+        held += size[suspicion]
+        if held >= MAIN_SHARE * total:
+            return suspicion
+    return 0
+
+
 def main_text(page: str) -> str:
     """The page's main text; empty if there is none."""
     blocks = blocks_of(page)
-    labels = [_first_pass(*b, ALL_STOP_WORDS) for b in blocks]
+    labels = [_first_pass(*b[:4], ALL_STOP_WORDS) for b in blocks]
+    level = _level(blocks, labels)
+    blocks = [(*b[:2], b[2] or b[4] > level, *b[3:]) for b in blocks]
+    labels = [-1 if b[2] else label for b, label in zip(blocks, labels)]
     keep = [False] * len(blocks)
     for inside in (True, False):
         own = [i for i, b in enumerate(blocks) if b[3] == inside]

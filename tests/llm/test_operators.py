@@ -323,6 +323,15 @@ def test_main_text(page, want):
     assert main_text.main_text(page or "") == want
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "layout with-sidebar", "header-fixed wrapper"])
+def test_layout_names_do_not_cost_the_text_inside(name):
+    text, side = PROSE.strip(), f"<div class='sidebar'>{PROSE}</div>"
+    assert main_text.main_text(f"<div class='{name}'><article><p>{PROSE}</p></article></div>") == text
+    assert main_text.main_text(f"<div class='{name}'>{side}<div><p>{PROSE}</p></div></div>") == text
+    assert main_text.main_text(f"<div class='{name}'><main><p>{PROSE}</p>{side}</main></div>") == text
+    assert main_text.main_text(f"<div class='{name}'>{f'<p>{PROSE}</p>' * 9}</div><p>{PROSE}</p>").count(text) == 10
+
+
 def test_main_text_table(spark):
     pages = spark.createDataFrame([(1, "u", None, "t"), (1, "u", None, "t"), (None, None, "<p>plain words", "t")], "page_id long, url string, html string, text string")
     got = sorted(main_text.extract_main_text(pages).collect(), key=lambda r: r["n_chars"])
