@@ -7,9 +7,13 @@ Class, id and role words (sidebar, notice, advert, comments) only make blocks su
 of such elements around it, counted anew inside the outermost article or main element.  The page's level is the least
 suspicion up to which its blocks hold ``MAIN_SHARE`` of its good text; blocks above it are bad, the others as
 pass one finds them.  So a layout element named after the sidebar beside it does not cost the text inside it.
-Inside a page's article or main element long blocks are good whatever their words.  In pass two an undecided block takes
-the label of the nearest decided block, ties going to good; blocks of the article look for neighbours inside the article
-only, and without any decided neighbour a block is kept.
+A page's article or main element is a prior: inside it a block needs fewer characters or stop words to be good, lack of
+stop words alone makes only long blocks bad (and none if no block there is good), and headings are undecided whatever
+their links.  In pass two an undecided block takes
+the label of the nearest decided block, ties going to good, and an article's heading that of the next one; blocks of the
+article look for neighbours inside the article
+only, and without any decided neighbour a block is kept.  Text outside the article is kept by its own label, unless the
+article holds at least as much kept text as all that stands outside.
 """
 
 from __future__ import annotations
@@ -43,6 +47,7 @@ ALL_STOP_WORDS = frozenset(w for ws in STOP_WORDS.values() for w in ws)
 RAW = frozenset("script style textarea template noscript iframe svg math object select title head".split())
 BOILER_TAGS = frozenset("nav footer aside form button menu dialog label fieldset".split())
 ARTICLE_TAGS = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 # An open element that a new one of these closes.
@@ -75,9 +80,9 @@ def _marks(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
     return False, hint
 
 
-def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int]]:
-    """``(text, characters inside links, below boilerplate, inside an article, suspicion)`` of each block with text, in page order."""
-    out: list[tuple[str, int, bool, bool, int]] = []
+def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int, bool]]:
+    """``(text, characters inside links, below boilerplate, inside an article, suspicion, heading)`` of each block with text, in page order."""
+    out: list[tuple[str, int, bool, bool, int, bool]] = []
     open_: list[tuple[str, bool, bool, int, bool]] = []   # (tag, below boilerplate, in article, suspicion, in link)
     piece: list[str] = []
     linked = 0
@@ -88,7 +93,7 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int]]:
         if piece:
             text = " ".join("".join(piece).split())
             if text:
-                out.append((text, linked, *state[:3]))
+                out.append((text, linked, *state[:3], any(t in HEADINGS for t, *_ in open_)))
             piece = []
         linked = 0
 
@@ -160,27 +165,27 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int]]:
     return out
 
 
-def _first_pass(text: str, linked: int, boiler: bool, article: bool, stop_words: frozenset) -> int:
-    """1 good, -1 bad, 0 undecided."""
+def _first_pass(text: str, linked: int, boiler: bool, article: bool, heading: bool, stop_words: frozenset) -> tuple[int, str]:
+    """1 good, -1 bad, 0 undecided; and the rule that says so."""
     if boiler:
-        return -1
+        return -1, "boilerplate"
     n = len(text)
-    if article:
-        return 1 if n >= SHORT else 0
+    if heading and article:
+        return 0, "heading"
     if linked > LINK_DENSITY * n:
-        return -1
+        return -1, "links"
     if n < SHORT:
-        return -1 if linked else 0
+        return (-1, "links") if linked and not article else (0, "short")
     found = _WORD.findall(text.lower())
     density = sum(w in stop_words for w in found) / max(1, len(found))
     if density >= STOP_HIGH:
-        return 1 if n > LONG else 0
+        return (1, "stop words") if article or n > LONG else (0, "middling")
     if density >= STOP_LOW:
-        return 0
-    return -1
+        return (1, "stop words") if article and n > LONG else (0, "middling")
+    return (0, "few stop words") if article and n <= LONG else (-1, "few stop words")
 
 
-def _level(blocks: list[tuple[str, int, bool, bool, int]], labels: list[int]) -> int:
+def _level(blocks: list[tuple[str, int, bool, bool, int, bool]], labels: list[int]) -> int:
     """The least suspicion up to which blocks hold ``MAIN_SHARE`` of the good characters (without any, of the undecided ones)."""
     size: dict[int, int] = {}
     for wanted in (1, 0):
@@ -197,39 +202,52 @@ def _level(blocks: list[tuple[str, int, bool, bool, int]], labels: list[int]) ->
     return 0
 
 
-def main_text(page: str) -> str:
-    """The page's main text; empty if there is none."""
+def judged(page: str) -> list[tuple[str, bool, str]]:
+    """``(text, kept, rule)`` of each block; the rule is that of pass one, "neighbour" or "alone" for pass two, or "outside"."""
     blocks = blocks_of(page)
-    labels = [_first_pass(*b[:4], ALL_STOP_WORDS) for b in blocks]
-    level = _level(blocks, labels)
-    blocks = [(*b[:2], b[2] or b[4] > level, *b[3:]) for b in blocks]
-    labels = [-1 if b[2] else label for b, label in zip(blocks, labels)]
-    keep = [False] * len(blocks)
+    first = [_first_pass(*b[:4], b[5], ALL_STOP_WORDS) for b in blocks]
+    if not any(b[3] and label > 0 for b, (label, _) in zip(blocks, first)):
+        # No block of the article is in a language of the stop words: their lack says nothing there.
+        first = [(0, rule) if b[3] and rule == "few stop words" else (label, rule) for b, (label, rule) in zip(blocks, first)]
+    level = _level(blocks, [label for label, _ in first])
+    first = [(-1, "suspicious") if b[4] > level and label >= 0 else (label, rule) for b, (label, rule) in zip(blocks, first)]
+    labels = [label for label, _ in first]
+    keep, rules = [label > 0 for label in labels], [rule for _, rule in first]
     for inside in (True, False):
         own = [i for i, b in enumerate(blocks) if b[3] == inside]
-        decided = [(k, labels[i]) for k, i in enumerate(own) if labels[i] and not (inside and blocks[i][2])]
+        marks = {k: labels[i] for k, i in enumerate(own) if labels[i]}
         # nearest decided block on either side, in one walk each way
         before: list[tuple[int, int] | None] = []
         last = None
-        marks = dict(decided)
         for k in range(len(own)):
             if k in marks:
                 last = (k, marks[k])
             before.append(last)
-        last = None
+        last = body = None   # body: the next decided block that markup has not ruled out
         for k in range(len(own) - 1, -1, -1):
             i = own[k]
             if k in marks:
                 last = (k, marks[k])
-            if labels[i]:
-                keep[i] = labels[i] > 0
+                if rules[i] not in ("boilerplate", "suspicious"):
+                    body = last
                 continue
-            near = [(abs(k - x[0]), -x[1]) for x in (before[k], last) if x]
+            if rules[i] == "heading" and body:
+                near = [(0, -body[1])]   # a heading belongs to what follows it
+            else:
+                near = [(abs(k - x[0]), -x[1]) for x in (before[k], last) if x]
             keep[i] = not near or min(near)[1] < 0
-    if any(b[3] and k for b, k in zip(blocks, keep)):
-        # A page with an article is that article; what stands outside is not.
+            rules[i] = "neighbour" if near else "alone"
+    inner, outer = (sum(len(b[0]) for b, k in zip(blocks, keep) if k and b[3] == inside) for inside in (True, False))
+    if inner >= outer:
+        # Where the article holds most of the kept text, what stands outside is not the page's; a teaser rules out nothing.
+        rules = ["outside" if k and not b[3] else r for b, k, r in zip(blocks, keep, rules)]
         keep = [k and b[3] for b, k in zip(blocks, keep)]
-    return "\n".join(b[0] for b, k in zip(blocks, keep) if k)
+    return [(b[0], k, r) for b, k, r in zip(blocks, keep, rules)]
+
+
+def main_text(page: str) -> str:
+    """The page's main text; empty if there is none."""
+    return "\n".join(text for text, kept, _ in judged(page) if kept)
 
 
 def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

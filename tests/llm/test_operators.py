@@ -332,6 +332,22 @@ def test_layout_names_do_not_cost_the_text_inside(name):
     assert main_text.main_text(f"<div class='{name}'>{f'<p>{PROSE}</p>' * 9}</div><p>{PROSE}</p>").count(text) == 10
 
 
+LINKS = "".join(f"<li><a href='/{k}'>More about the topic number {k} and all that is in it, with the words of a long title</a></li>" for k in range(5))
+NOISE = "Buy cheap watches online today best prices fast shipping order now limited offer discount coupon " * 3
+
+
+def test_article_blocks_are_judged_by_the_rules():
+    text = PROSE.strip()
+    page = f"<article><h1><a href='/'>Title</a></h1><p>{PROSE}</p><p>Short end.</p><p>{PROSE}</p><ul>{LINKS}</ul><div>{NOISE}</div></article>"
+    assert main_text.main_text(page) == f"Title\n{text}\nShort end.\n{text}"
+    assert [rule for _, _, rule in main_text.judged(page)] == ["neighbour", "stop words", "neighbour", "stop words", *["links"] * 5, "few stop words"]
+    assert main_text.main_text(f"<article><p>{NOISE}</p></article>") == NOISE.strip()   # another language
+    # The article is a teaser: the text in plain divs is kept by its own label, its link list is not.
+    teaser = f"<article><h2>Other</h2><p>A card.</p></article><div>{PROSE}</div><div>{PROSE}</div><ul>{LINKS}</ul>"
+    assert main_text.main_text(teaser).endswith(f"{text}\n{text}")
+    assert main_text.main_text(f"<article><p>{PROSE}</p></article>{f'<div>{PROSE}</div>' * 3}") == "\n".join([text] * 4)
+
+
 def test_main_text_table(spark):
     pages = spark.createDataFrame([(1, "u", None, "t"), (1, "u", None, "t"), (None, None, "<p>plain words", "t")], "page_id long, url string, html string, text string")
     got = sorted(main_text.extract_main_text(pages).collect(), key=lambda r: r["n_chars"])
