@@ -308,6 +308,21 @@ def test_mined_url_rules(spark):
     assert url_filters.mine_rules(spark.createDataFrame([], "url string, blocked boolean")) == []
 
 
+def _mined(spark, rows):
+    return url_filters.mine_rules(spark.createDataFrame(rows, "url string, blocked boolean").repartition(3))
+
+
+def test_mined_url_rules_hold_at_every_size(spark):
+    """A rare host that is always blocked is a rule however many URLs there are; a few rows by chance never are."""
+    plain = [(f"http://{chr(97 + k % 13)}.example.com/{chr(97 + k % 7)}/{k}", k % 4 == 0) for k in range(8000)]
+    rare = [(f"http://bad.example.com/a/{k}", True) for k in range(12)]
+    assert [r[0] for r in _mined(spark, plain + rare)] == [("h:bad",)]
+    assert _mined(spark, plain[:80]) == []
+    pair = [(f"http://{'x' if k % 2 else 'y'}.example.com/{'u' if k % 4 > 1 else 'v'}/{k}", k % 4 == 3) for k in range(400)]   # x and u together
+    mined = _mined(spark, pair)
+    assert ("h:x", "p:u") in [r[0] for r in mined] and all(len(r[0]) == 2 for r in mined)
+
+
 PROSE = "This is the main text of the page, and it has been written with all of the words that are in a sentence of this length. " * 3
 
 
