@@ -323,6 +323,19 @@ def test_mined_url_rules_hold_at_every_size(spark):
     assert ("h:x", "p:u") in [r[0] for r in mined] and all(len(r[0]) == 2 for r in mined)
 
 
+def test_mined_url_rules_see_all_tokens_and_keep_independent_rules(spark):
+    deep = "/".join(f"part{k}" + "x" * (k % 3) for k in range(20))
+    rows = [(f"http://www.example.com/{deep}/{'spam' if k % 2 else 'ham'}?id={k}&{'aff' if k % 2 else 'ref'}=1", k % 2 == 1) for k in range(60)]
+    mined = _mined(spark, rows)
+    assert {("p:spam",), ("q:aff",)} <= {r[0] for r in mined} and len(mined) == 2
+    pages = spark.createDataFrame([(1, rows[1][0]), (2, rows[2][0])], "page_id long, url string")
+    assert [r["verdict"] for r in sorted(url_filters.url_verdicts(pages, mined, ()).collect())] == ["block", "allow"]
+    crowd = [(f"http://h{f}.z{f}.zz{f}/" + "/".join(f"w{f}x{c}" for c in "abcdefgh"), True) for f in range(3) for _ in range(20)]   # 3 sets of 12 tokens
+    mixed = [(f"http://example.org/lose/{k}", k % 20 != 0) for k in range(100)] + [(f"http://example.org/keep/{k}", False) for k in range(300)]
+    got = {r[0]: r[1] for r in _mined(spark, crowd + mixed)}
+    assert got["p:lose",] == 0.95 and got["h:h0",] == 1.0 and all(len(r) == 1 for r in got)
+
+
 PROSE = "This is the main text of the page, and it has been written with all of the words that are in a sentence of this length. " * 3
 
 
