@@ -5,8 +5,15 @@ a difference of two prefixes, brought to position 0; so any two spans compare in
 common extension of two positions is found by binary search.
 
 A fingerprint keeps the length, the hash of the whole text, and the hashes of the prefixes and suffixes whose
-lengths are multiples of a power of two (``GRID`` of each at most).  Of two fingerprints, the longest common prefix and
-suffix are found by binary search on the lengths both hold; their sum over the longer length is the likeness.
+lengths are multiples of a power of two (``GRID`` of each at most); and up to ``SPANS`` places chosen by content, with the
+hash of the prefix before each.  A place is where the hash of the next ``WINDOW`` characters, mixed, ends in enough zero bits,
+so a passage has its places wherever it stands.  Of two fingerprints, the longest common prefix and
+suffix are found by binary search on the lengths both hold, and the spans between neighbouring places compare by their
+hashes, wherever they stand.  What prefix, suffix and shared spans cover of either text, over the longer length, is the likeness.
+
+The likeness errs low by what an edit leaves of the span (at the ends: of the stride, at most a 16th) it falls in: a span is a
+64th to a 32nd of a long text on average, not below some 16 characters, and the one that an edit hits about twice that.  Spans count in runs of ``WINDOW`` characters or more.  Texts
+below that length, and texts of one short repeated piece, have no places, so only prefix and suffix count there.
 
 Each row needs its successor's text.  Rows go once, by the part of their id (``order_parts``), to a task that walks
 them in order; a part's first row also goes to the part before it, so no second join is needed.
@@ -31,6 +38,9 @@ P = np.uint64((1 << 31) - 1)
 BITS = np.uint64(31)
 BASES = (1_000_003, 998_244_353)   # odd, below the modulus; fixed so that equal texts hash alike everywhere
 GRID = 32
+WINDOW = 16            # characters whose hash chooses a place
+SPANS = 64             # places of a fingerprint, at most
+LEAST_ZEROS = 4        # zero bits of a place's hash, at least: a place in 16 characters on average
 
 
 class _Powers:
@@ -108,15 +118,32 @@ def stride(n: int) -> int:
     return 1 << max(0, (n // GRID).bit_length() if n > GRID else 0)
 
 
+def _places(text: Prefixes | Spliced) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Zero bits that at most ``SPANS`` places have at least; the places, their zero bits, and the hash of the prefix before each."""
+    n = text.n
+    prefixes = text.prefix(np.arange(n + 1, dtype=np.int64))
+    windows = (prefixes[WINDOW:] + P - prefixes[:-WINDOW]) % P * _POWERS[0].down[:max(0, n + 1 - WINDOW)] % P
+    mixed = (windows * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+    zeros = LEAST_ZEROS
+    at = np.flatnonzero(mixed[1:] & np.uint64((1 << zeros) - 1) == 0) + 1
+    while len(at) > SPANS:
+        zeros += 1
+        at = at[mixed[at] & np.uint64((1 << zeros) - 1) == 0] if zeros <= 32 else at[:0]
+    own = [int(x) or 1 << 32 for x in mixed[at]]
+    return zeros, at, np.array([(x & -x).bit_length() - 1 for x in own], np.uint8), prefixes[at]
+
+
 def fingerprint(text: Prefixes | Spliced) -> str:
-    """``length:whole:prefix hashes:suffix hashes``, all hexadecimal."""
+    """``length:whole:prefix hashes:suffix hashes:zero bits:places:their zero bits:prefix hashes there``, all hexadecimal."""
     n = text.n
     s = stride(n)
     steps = np.arange(1, n // s + 1, dtype=np.int64) * s
     whole = [int(text.prefix(np.array([n]), k)[0]) for k in range(2)]
     front = text.prefix(steps)
     back = (np.uint64(whole[0]) + P - text.prefix(n - steps)) % P * _POWERS[0].down[n - steps] % P
-    return (f"{n:x}:{whole[0]:08x}{whole[1]:08x}:{front.astype('>u4').tobytes().hex()}:{back.astype('>u4').tobytes().hex()}")
+    zeros, at, depth, before = _places(text)
+    return (f"{n:x}:{whole[0]:08x}{whole[1]:08x}:{front.astype('>u4').tobytes().hex()}:{back.astype('>u4').tobytes().hex()}"
+            f":{zeros:x}:{at.astype('>u4').tobytes().hex()}:{depth.tobytes().hex()}:{before.astype('>u4').tobytes().hex()}")
 
 
 def _common(a: str, b: str, step_a: int, step_b: int, most: int) -> int:
@@ -133,17 +160,66 @@ def _common(a: str, b: str, step_a: int, step_b: int, most: int) -> int:
     return low * wide
 
 
+def _spans(n: int, whole: str, zeros: int, places: str, depth: str, before: str) -> list[tuple[int, int, int]]:
+    """``(start, length, hash)`` of the spans between the places with that many zero bits, first to last character."""
+    at = np.frombuffer(bytes.fromhex(places), ">u4").astype(np.int64)
+    deep = np.frombuffer(bytes.fromhex(depth), np.uint8) >= zeros
+    ends = np.concatenate([[0], at[deep], [n]])
+    sums = np.concatenate([[0], np.frombuffer(bytes.fromhex(before), ">u4")[deep], [int(whole[:8], 16)]]).astype(np.uint64)
+    _POWERS[0].reach(n)
+    hashes = (sums[1:] + P - sums[:-1]) % P * _POWERS[0].down[ends[:-1]] % P
+    return list(zip(ends[:-1].tolist(), np.diff(ends).tolist(), hashes.tolist()))
+
+
+def _shared(one: list[tuple[int, int, int]], two: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """``(start in one, start in two, length)`` of the runs of equal spans; each span counts once, next to the last one if it can."""
+    where: dict[tuple[int, int], list[int]] = {}
+    for j, (_, length, h) in reversed(list(enumerate(two))):
+        where.setdefault((length, h), []).append(j)
+    used: set[int] = set()
+    runs: list[tuple[int, int, int]] = []
+    last = -1   # the span of two that the span before matched
+    for start, length, h in one:
+        free = where.get((length, h), [])
+        if last >= 0 and last + 1 < len(two) and last + 1 not in used and two[last + 1][1:] == (length, h):
+            last += 1
+            a, b, k = runs[-1]
+            runs[-1] = (a, b, k + length)
+        else:
+            while free and free[-1] in used:
+                free.pop()
+            last = free.pop() if free else -1
+            if last >= 0:
+                runs.append((start, two[last][0], length))
+        if last >= 0:
+            used.add(last)
+    return [r for r in runs if r[2] >= WINDOW]
+
+
+def _covered(n: int, head: int, tail: int, runs: list[tuple[int, int]]) -> int:
+    """Characters in the first ``head``, the last ``tail``, or a run ``(start, length)``."""
+    total = upto = 0
+    for start, end in sorted([(0, head), (n - tail, n), *((s, s + k) for s, k in runs)]):
+        total += max(0, end - max(start, upto))
+        upto = max(upto, end)
+    return total
+
+
 def likeness(one: str, two: str) -> float:
-    """1 for equal fingerprints, else common prefix and suffix over the longer length."""
+    """1 for equal fingerprints, else what common prefix, suffix and spans cover (less than all), over the longer length."""
     if one == two:
         return 1.0
-    n1, _, front1, back1 = one.split(":")
-    n2, _, front2, back2 = two.split(":")
+    n1, whole1, front1, back1, zeros1, *places1 = one.split(":")
+    n2, whole2, front2, back2, zeros2, *places2 = two.split(":")
     a, b = int(n1, 16), int(n2, 16)
     most = min(a, b)
     head = _common(front1, front2, stride(a), stride(b), most)
     tail = _common(back1, back2, stride(a), stride(b), most - head)
-    return (head + tail) / max(a, b, 1)
+    zeros = max(int(zeros1, 16), int(zeros2, 16))
+    runs = _shared(_spans(a, whole1, zeros, *places1), _spans(b, whole2, zeros, *places2))
+    covered = min(_covered(a, head, tail, [(i, k) for i, _, k in runs]), _covered(b, head, tail, [(j, k) for _, j, k in runs]))
+    longer = max(a, b, 1)
+    return min(covered, longer - 1) / longer
 
 
 def document_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -143,6 +143,21 @@ def test_common_extension_and_spans():
         assert p.common_extension(i, p, j) == k
 
 
+def test_likeness_finds_interior_and_moved_spans():
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    like = lambda x, y: prefix_hashes.likeness(*(prefix_hashes.fingerprint(prefix_hashes.Prefixes(t)) for t in (x, y)))
+    for n in (2_000, 20_000, 60_000):
+        x = text(n)
+        assert like(x, x[:9] + "#" + x[10:-10] + "#" + x[-9:]) > 0.85            # an edit near either end
+        assert like(x, text(n // 7) + x + text(5)) > 0.8                         # moved by an insertion at the front
+        assert like(x, x[n // 3:] + x[:n // 3]) > 0.85                           # passages in another order
+        assert like(x, text(n)) < 0.05 and like(x, x) == 1.0 and like(x, x[:-1] + "#") < 1.0
+        p, q = prefix_hashes.Prefixes(x), prefix_hashes.Prefixes(x[:n - 99] + text(99))
+        assert prefix_hashes.fingerprint(prefix_hashes.Spliced(p, n - 99, q, 0)) == prefix_hashes.fingerprint(prefix_hashes.Prefixes(x[:n - 99]))
+    assert like("same " * 500, "same " * 400) == pytest.approx(0.8, abs=0.07) and like("", "x") == 0.0 and like("a", "") == 0.0
+
+
 def test_quality_counts(docs, empty):
     import re
     got = {(r["doc_id"] or -1, r["n_words"]): r for r in quality_rules.quality_rules(docs).collect()}
