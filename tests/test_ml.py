@@ -203,3 +203,25 @@ def test_block_loss_and_checkpoint_steps(spark):
     assert MET.checkpoint_steps(251) == [0, 100, 200, 250]
     saved = spark.createDataFrame([(0, 1.0), (2, 3.0)], "step int, value double")
     assert [r["value"] for r in MET.latest(saved).collect()] == [3.0]
+
+
+def test_metrics_of_all_epochs_match_numpy(spark):
+    from lodestar.plans import ml_queries
+
+    sf = "/root/testdata/sf0.1"   # the smallest with several batches an epoch
+    rows = ml_queries.train_rows(spark, sf).select("id", "features", "label").collect()
+    X, y = np.array([r["features"] for r in rows], dtype=np.float64), np.array([r["label"] for r in rows])
+    batches = max(len(rows) // (LIN.SYNC_BATCH_SIZE * LIN.SYNC_WORKERS), 1)
+    W, b, want = np.zeros((X.shape[1], 10)), np.zeros(10), []
+    for e in range(20):
+        at = np.array([int(hashlib.md5(f"{r['id']}:{e}:batch".encode()).hexdigest()[:15], 16) % batches for r in rows])
+        for k in range(batches):
+            own = at == k
+            gW, gb, loss = np_grad(W, b, X[own], y[own])
+            hits = int(((X[own] @ W + b).argmax(1) == y[own]).sum())
+            want.append((e * batches + k, e, int(own.sum()), hits, loss / own.sum()))
+            W, b = W - LIN.LEARNING_RATE * gW / own.sum(), b - LIN.LEARNING_RATE * gb / own.sum()
+    got = ml_queries.ml_metrics(spark, sf).orderBy("step").collect()
+    assert [(r["step"], r["epoch"], r["examples"], r["hits"]) for r in got] == [w[:4] for w in want]
+    np.testing.assert_allclose([r["loss"] for r in got], [w[4] for w in want], rtol=1e-7)
+    assert all(r["seconds"] >= 0 for r in got)
