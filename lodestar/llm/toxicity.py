@@ -18,7 +18,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -111,20 +111,32 @@ def _swapped(text: str, terms: frozenset[str], all_terms: tuple[str, ...]) -> li
     return out
 
 
-def fit_weights(rows: list[tuple[set[int], int]], pairs: list[tuple[list[int], list[int]]], size: int,
+def swap_sums(pairs: Iterable[tuple[list[int], list[int]]]) -> Counter[tuple[int, int]]:
+    """Sum of the outer products of swaps ``(lost, gained)``, by place; their number at (-1, -1)."""
+    out: Counter[tuple[int, int]] = Counter()
+    for lost, gained in pairs:
+        out[-1, -1] += 1
+        signed = [*((i, -1) for i in lost), *((i, 1) for i in gained)]
+        for i, a in signed:
+            for j, b in signed:
+                out[i, j] += a * b
+    return out
+
+
+def fit_weights(rows: list[tuple[set[int], int]], pairs: Iterable[tuple[list[int], list[int]]] | Mapping[tuple[int, int], int], size: int,
                 ridge: float = RIDGE, counterfactual: float = COUNTERFACTUAL, rounds: int = 25) -> np.ndarray:
-    """Weights (the constant last) by Newton steps; ``pairs`` are the (lost, gained) features of swaps."""
+    """Weights (the constant last) by Newton steps; ``pairs`` are the (lost, gained) features of swaps, or their ``swap_sums``."""
     x = np.zeros((len(rows), size + 1))
     y = np.array([t for _, t in rows], float)
     for i, (held, _) in enumerate(rows):
         x[i, list(held)] = 1
     x[:, size] = 1
     d = np.zeros((size + 1, size + 1))
-    for lost, gained in pairs:
-        at = np.array([*lost, *gained], int)
-        sign = np.array([-1.0] * len(lost) + [1.0] * len(gained))
-        d[np.ix_(at, at)] += np.outer(sign, sign)
-    fixed = 2 * counterfactual * d / max(1, len(pairs)) * max(1.0, len(rows) / 100)
+    sums = dict(pairs if isinstance(pairs, Mapping) else swap_sums(pairs))
+    swaps = sums.pop((-1, -1), 0)
+    for (i, j), v in sums.items():
+        d[i, j] = v
+    fixed = 2 * counterfactual * d / max(1, swaps) * max(1.0, len(rows) / 100)
     fixed += np.diag([ridge * 2] * size + [1e-6])
     # Both classes weigh alike up to a factor of three, so that the rarer one is not scored away.
     share = y.mean() if len(y) else 0.5
@@ -203,15 +215,24 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             ys = batch.column(0).to_pylist()
             for at, texts in slices(texts_of(batch.column(1))):
                 sets = [sorted(place[f] for f in own if f in place) for own in _sets(texts)]
-                pairs = [[[sorted(place[f] for f in side if f in place) for side in pair]
-                          for pair in _swapped(t, terms, all_terms)[:64]] if terms and _names(t, terms) else []
-                         for t in texts.to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ys[at:at + len(texts)], pa.int32()), pa.array(sets, pa.list_(pa.int32())),
-                     pa.array(pairs, pa.list_(pa.list_(pa.list_(pa.int32()))))], ["y", "held", "pairs"])
+                    [pa.array(ys[at:at + len(texts)], pa.int32()), pa.array(sets, pa.list_(pa.int32()))], ["y", "held"])
 
-    data = taught.mapInArrow(encode, "y int, held array<int>, pairs array<array<array<int>>>").collect()  # <= fit_rows
-    weights = fit_weights([(set(r["held"]), r["y"]) for r in data], [(p[0], p[1]) for r in data for p in r["pairs"]], len(names))
+    def swap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: Counter[tuple[int, int]] = Counter()
+        for batch in batches:
+            for _, texts in slices(texts_of(batch.column(1))):
+                for t in texts.to_pylist():
+                    if _names(t, terms):
+                        sums.update(swap_sums([[place[f] for f in side if f in place] for side in pair] for pair in _swapped(t, terms, all_terms)))
+        at = list(sums)
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in at], pa.int32()), pa.array([j for _, j in at], pa.int32()),
+                                          pa.array([sums[x] for x in at], pa.int64())], ["i", "j", "v"])
+
+    data = taught.mapInArrow(encode, "y int, held array<int>").collect()  # <= fit_rows
+    # At most the square of the features, whatever the texts hold.
+    swaps = {(r["i"], r["j"]): r["v"] for r in taught.mapInArrow(swap, "i int, j int, v long").groupBy("i", "j").agg(F.sum("v").alias("v")).collect()} if terms else {}
+    weights = fit_weights([(set(r["held"]), r["y"]) for r in data], swaps, len(names))
     return Model({f: float(weights[i]) for f, i in place.items()}, float(weights[-1]))
 
 

@@ -301,6 +301,21 @@ def test_swaps_lower_the_change_of_a_score():
     assert abs(tied[3] - tied[1]) < 0.2 < abs(free[2])
 
 
+def test_every_sentence_of_a_long_text_is_penalised(spark, monkeypatch):
+    seen = {}
+    fit_weights = toxicity.fit_weights
+    monkeypatch.setattr(toxicity, "fit_weights", lambda rows, pairs, size: seen.update(pairs=pairs) or fit_weights(rows, pairs, size))
+    text = " ".join(f"Number {k} of the women came." for k in range(50)) + " A muslim came."
+    rows = [(k, text if k == 0 else f"plain word{k}" if k % 2 else f"nasty word{k}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k > 0 and k % 2 == 0)) for k in range(60)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels)
+    want = toxicity._swapped(text, frozenset(toxicity.IDENTITY_TERMS), toxicity.IDENTITY_TERMS)
+    assert seen["pairs"][-1, -1] == len(want) > 190
+    # each swap takes one term away and brings another, so it adds two or more on the diagonal
+    assert sum(v for (i, j), v in seen["pairs"].items() if i == j >= 0) >= 2 * len(want)
+
+
 URLS = [("http://a.b.net/x", "a.b.net", "/x", "net/", "block"), ("https://EXAMPLE.net/en/1?q#f", "example.net", "/en/1", "example.net/en/", "allow"),
         ("http://example.com/de/", "example.com", "/de/", "example.com/de/", "block"), ("http://x.org/fr/9", "x.org", "/fr/9", "org/fr/", "allow"),
         ("http://x.org", "x.org", "", None, "allow"), ("http://net", "net", "", None, "allow"), ("http://notexample.com/de/", "notexample.com", "/de/", None, "allow"),
