@@ -144,11 +144,20 @@ def mix(docs: DataFrame, budget_share: float = BUDGET_SHARE, max_epochs: int = M
     return full.unionByName(partial)
 
 
-def select_mix(docs: DataFrame, doc_id: str = "doc_id", **settings) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that the mix selects in one epoch at most."""
-    name = unused(docs, "_chosen")
-    chosen = mix(docs, max_epochs=1, doc_id=doc_id, **settings).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(chosen, F.col(doc_id) == F.col(name), "left_semi")
+def select_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", **settings) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that the mix selects in one epoch at most.
+
+    A row is found again by id (null like any other), token count, language and source.  So of rows that share an id only
+    the selected ones stay; rows alike in all four are selected or left together, within the budget, as in ``mix``."""
+    chosen = mix(docs, max_epochs=1, doc_id=doc_id, text=text, lang=lang, source=source, **settings)
+    keys = {"doc_id": F.col(doc_id).cast("long"), "lang": F.coalesce(F.col(lang).cast("string"), F.lit(NONE)),
+            "source": F.coalesce(F.col(source).cast("string"), F.lit(NONE)), "n_tokens": token_count(F.col(text))}
+    names = {k: unused(docs, f"_chosen_{k}") for k in keys}
+    chosen = chosen.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
+    same = F.lit(True)
+    for k, own in keys.items():
+        same = same & own.eqNullSafe(F.col(names[k]))
+    return docs.join(chosen, same, "left_semi")
 
 
 def _case(column: str, weights: Mapping[str, float]) -> str:

@@ -261,6 +261,15 @@ def test_source_mix(spark, docs, empty):
     assert source_mix.select_mix(docs).columns == docs.columns
 
 
+def test_select_mix_keeps_null_and_repeated_ids_as_selected(spark):
+    rows = [(None if k % 3 == 0 else k % 7, "w " * (k + 1), "en", "src1") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    want = sorted((r["doc_id"] or -1, r["n_tokens"]) for r in source_mix.mix(docs, 0.5, max_epochs=1).collect())
+    got = sorted((r["doc_id"] or -1, len(r["text"].split())) for r in source_mix.select_mix(docs, budget_share=0.5).collect())
+    assert got == want and sum(n for _, n in got) <= 0.5 * 1830
+    assert source_mix.select_mix(docs, budget_share=1.0).count() == 60
+
+
 def test_budgets_go_to_siblings_first(spark):
     leaves = spark.createDataFrame([("d0", "en", "a", 10), ("d0", "en", "b", 1000), ("d1", "en", "c", 1000)], "domain string, lang string, source string, tokens long")
     got = {r["source"]: r["budget"] for r in source_mix.leaf_budgets(leaves, 200.0, 1, {}, {}, {}).collect()}
