@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (jaccard_join, main_text, prefix_hashes, quality_rules, sentence_pieces, source_mix, token_counts,  # noqa: F401
-               token_files, toxicity, url_filters)
+from . import (alignment, jaccard_join, main_text, packing, periodic_runs, prefix_hashes, quality_rules, sentence_pieces,  # noqa: F401
+               source_mix, token_counts, token_files, toxicity, url_filters)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
