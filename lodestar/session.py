@@ -22,10 +22,13 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
+SPARK_ARROW_BYTES = "67108864b"   # Spark's own default of the batch bound
+
 
 def get_session(master: str | None = None, app: str = "lodestar",
                 shuffle_partitions: int | None = None,
@@ -47,6 +50,17 @@ def get_session(master: str | None = None, app: str = "lodestar",
     return spark
 
 
+def bound_arrow_batches(spark: SparkSession) -> None:
+    """PRT-5: bound the bytes of an Arrow batch in a session that still has Spark's default.
+
+    A batch is held by the JVM and by a Python worker of every running task at once, so whole
+    rows with long texts need a bound in bytes, not only in rows.  A setting of the user's own stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) in (None, SPARK_ARROW_BYTES):
+        spark.conf.set(key, DEFAULT_CONF[key])
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
