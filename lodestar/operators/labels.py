@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.text import read_lines, read_lines_numbered
 from .joins import broadcast_if_small
-from .sorting import sort_by_keys, with_position
+from .sorting import positions
 
 # Fixed value: the extra class in front of the synset numbering.
 BACKGROUND = (0, "background")
@@ -20,7 +20,7 @@ def index_sorted_names(names: DataFrame, col: str = "name", start: int = 0) -> D
     large vocabulary is never numbered in one task.
     """
     distinct = names.select(F.col(col).alias("name")).where(F.col("name").isNotNull()).distinct()
-    pos = with_position(sort_by_keys(distinct, ["name"]), "label")
+    pos = positions(distinct, ["name"], "label")
     return pos.select((F.col("label") + start).cast("int").alias("label"), "name")
 
 

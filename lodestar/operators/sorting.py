@@ -1,14 +1,18 @@
 """SRT-1: global sort by composite keys, and positions without a global window.
 
 ``orderBy`` plans as range partitioning (sampled bounds) + an external,
-spillable sort per partition.  A row's position is then the number of rows in
-earlier range partitions plus its index inside its own partition: one small
-aggregate (one row per partition) and a broadcast join, never a window over
-all rows.
+spillable sort per partition.
+
+``positions`` numbers rows in key order and writes nothing.  A pass over the
+keys alone range-partitions them and keeps, of each range, its least key and
+its number of rows: a histogram of one row per range.  A row then finds its
+range by a binary search over those least keys, and its position is the
+number of rows of earlier ranges plus its row number inside its own.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +32,75 @@ def sort_by_keys(df: DataFrame, keys: Sequence[str | int], descending: bool = Fa
     return df.orderBy(*[c.desc_nulls_last() if descending else c.asc_nulls_first() for c in cols])
 
 
+# Keys survive JSON exactly: numbers do by themselves, times need all their digits.
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def _range_of(key: Column, kind: str, least: list[str]) -> Column:
+    """Number of the least keys (JSON, ascending) that are not above ``key``: a binary search of one constant."""
+    bounds = F.from_json(F.lit("[" + ",".join(least) + "]"), f"array<{kind}>", _EXACT)
+    steps = [1 << k for k in reversed(range(len(least).bit_length()))]
+    if not steps:
+        return F.lit(0)
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0),
+                       lambda at, step: F.when(F.get(bounds, at + step - 1) <= key, at + step).otherwise(at))
+
+
+def key_ranges(df: DataFrame, cols: Sequence[Column], ranges: int | None = None) -> tuple[Column, list[int], list[str]]:
+    """``(range of a row, rows before each range, least key of each range as JSON)``; one row per range reaches the driver."""
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
+    own = df.select(key.alias("_key"))
+    kind = own.schema["_key"].dataType.simpleString()
+    n = ranges or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = (own.repartitionByRange(n, "_key").groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.min("_key").alias("least"), F.count(F.lit(1)).alias("n"))
+             .select("p", F.to_json("least", _EXACT).alias("least"), "n").collect())
+    found.sort(key=lambda r: r["p"])
+    before, total = [], 0
+    for r in found:
+        before.append(total)
+        total += r["n"]
+    least = [r["least"] for r in found]
+    return _range_of(key, kind, least[1:]), before, least
+
+
+def positions(df: DataFrame, keys: Sequence[str | int], name: str = "position", ranges: int | None = None) -> DataFrame:
+    """Append each row's 0-based position in the order of ``keys`` (ascending, nulls first; ties in any order).
+
+    ``df`` is read twice for its keys (sampled and counted) and once for its rows, so it must give the same rows
+    each time; rows are shuffled once, to their range, and never written.  Rows with equal keys share a range, so keys
+    should tell most rows apart.  ``ranges`` is twice the shuffle partitions by default; an empty table gives an empty table.
+    """
+    cols = key_columns(df, keys)
+    of, before, _ = key_ranges(df, cols, ranges)
+    inside = Window.partitionBy("_range").orderBy(*[c.asc_nulls_first() for c in cols])
+    offsets = F.from_json(F.lit(json.dumps(before or [0])), "array<bigint>")
+    return (df.withColumn("_range", of)
+            .select(*df.columns, (F.get(offsets, F.col("_range")) + F.row_number().over(inside) - 1).alias(name)))
+
+
+def positions_in_group(df: DataFrame, group: str, keys: Sequence[str], name: str = "position", ranges: int | None = None) -> DataFrame:
+    """Append each row's 0-based position inside its ``group`` in the order of ``keys``; a group of any size is spread over ranges.
+
+    Most groups lie in one range, where a row number is the position.  A group that goes on in a later range begins that range, so it is
+    among the least keys; the rows of these groups (at most one for each range) are counted by range, and a row adds those before its range.
+    """
+    spark = df.sparkSession
+    own, cols = F.col(group), key_columns(df, keys)
+    of, _, least = key_ranges(df, [own, *cols], ranges)
+    kind = df.select(group).schema[0].dataType.simpleString()
+    spread = (spark.createDataFrame([(x,) for x in least[1:]], "key string")
+              .select(F.from_json("key", f"k0 {kind}", _EXACT)["k0"].alias("_group")).distinct())
+    met = (df.withColumn("_range", of).join(F.broadcast(spread), own.eqNullSafe(F.col("_group")))
+           .groupBy("_group", "_range").agg(F.count(F.lit(1)).alias("n")))   # each range holds at most two groups that go on
+    earlier = met.select("_group", F.col("_range").alias("_at"),
+                         (F.sum("n").over(Window.partitionBy("_group").orderBy("_range")) - F.col("n")).alias("_before"))
+    inside = Window.partitionBy("_range", group).orderBy(*[c.asc_nulls_first() for c in cols])
+    placed = df.withColumn("_range", of).withColumn("_row", F.row_number().over(inside) - 1)
+    return (placed.join(F.broadcast(earlier), (F.col("_range") == F.col("_at")) & own.eqNullSafe(F.col("_group")), "left")
+            .select(*df.columns, (F.coalesce("_before", F.lit(0)) + F.col("_row")).alias(name)))
+
+
 def with_position(sorted_df: DataFrame, name: str = "position") -> DataFrame:
     """Append the 0-based position of each row in the order of ``sorted_df``.
 

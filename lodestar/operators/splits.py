@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import broadcast_if_small
-from .sorting import sort_by_keys, with_position
+from .sorting import positions, positions_in_group
 
 HASH_RANGE = 1 << 60
 
@@ -35,32 +35,28 @@ def holdout(df: DataFrame, key: str, n_validation: int, seed: str = "holdout",
     hashed = df.withColumn("_h", key_hash(key, seed))
     if n_validation <= 0:
         return hashed.withColumn("split", F.lit(names[1])).drop("_h")
-    ranked = with_position(sort_by_keys(hashed.select("_h", F.col(key).alias("_k")), ["_h", "_k"]), "_pos")
-    last = ranked.where(F.col("_pos") == n_validation - 1).first()
-    if last is None:
+    # A top-k of keys: the last of the first n_validation decides for all rows.
+    first = hashed.select("_h", F.col(key).alias("_k")).orderBy("_h", F.col("_k").asc_nulls_first()).limit(n_validation)
+    last = first.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("_h", "_k")).alias("m")).first()
+    if last["n"] < n_validation:
         return hashed.withColumn("split", F.lit(names[0])).drop("_h")
+    last = last["m"]
     first = (F.col("_h") < F.lit(last["_h"])) | ((F.col("_h") == F.lit(last["_h"])) & (F.col(key) <= F.lit(last["_k"])))
     return hashed.withColumn("split", F.when(first, names[0]).otherwise(names[1])).drop("_h")
 
 
 def position_in_group(df: DataFrame, group: str, order: str | list[str], name: str = "pos") -> DataFrame:
-    """0-based position inside ``group`` in ``order`` without a window over a group.
-
-    Global sort by (group, order) + per-partition offsets, minus the group's
-    first position (one row per group).
-    """
-    pos = with_position(sort_by_keys(df, [group, *([order] if isinstance(order, str) else order)]), "_gpos")
-    start = pos.groupBy(group).agg(F.min("_gpos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    # one row per group: broadcast only when the group count is small
-    return (pos.join(broadcast_if_small(start), group)
-            .select(*df.columns, (F.col("_gpos") - F.col("_start")).alias(name), F.col("_n").alias("group_size")))
+    """0-based position inside ``group`` in ``order``; no task holds a whole group."""
+    return positions_in_group(df, group, [order] if isinstance(order, str) else order, name)
 
 
 def assign_shards(df: DataFrame, group: str, order: str, num_shards: int = 5) -> DataFrame:
     """SNK-4 / SCL-14: contiguous shards of size ``ceil(n / num_shards)`` per group."""
-    p = position_in_group(df, group, order)
-    size = F.ceil(F.col("group_size") / F.lit(num_shards))
-    return p.withColumn("shard", F.floor(F.col("pos") / size).cast("int")).drop("pos", "group_size")
+    placed = position_in_group(df, group, order, "_pos")
+    # one row per group: broadcast only when the group count is small
+    sizes = df.groupBy(F.col(group).alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    sized = placed.join(broadcast_if_small(sizes), F.col(group).eqNullSafe(F.col("_of")))
+    return sized.withColumn("shard", F.floor(F.col("_pos") / F.ceil(F.col("_n") / F.lit(num_shards))).cast("int")).drop("_pos", "_n", "_of")
 
 
 def shard_name(prefix: str, split: Column, shard: Column, num_shards: int) -> Column:
@@ -100,8 +96,8 @@ def write_shards_once(df: DataFrame, path: str, splits: list[str], num_shards: i
 def fixed_batches(df: DataFrame, order: str, batch_size: int) -> DataFrame:
     """ML-13: batches of ``batch_size`` in ``order``; the trailing partial batch
     is dropped (``int(n / batch)`` batches)."""
-    pos = with_position(sort_by_keys(df, [order]), "_pos")
-    total = pos.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    pos = positions(df, [order], "_pos")
+    total = df.count()
     full = (total // batch_size) * batch_size
     return (pos.where(F.col("_pos") < full)
             .withColumn("batch_id", F.floor(F.col("_pos") / batch_size).cast("long")).drop("_pos"))
@@ -112,7 +108,7 @@ def epoch_batches(df: DataFrame, key: str, batch_size: int, epochs: int = 1) ->
     be short) in the epoch's own order of the key hash."""
     rows = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     rows = rows.withColumn("_h", key_hash(key, "batch", F.col("epoch")))
-    pos = with_position(sort_by_keys(rows, ["epoch", "_h", key]), "_pos")
-    n = pos.agg(F.count(F.lit(1)).alias("n")).first()["n"] // epochs
+    pos = positions(rows, ["epoch", "_h", key], "_pos")
+    n = df.count()
     place = F.col("_pos") - F.col("epoch") * F.lit(n)
     return pos.withColumn("batch_id", F.floor(place / batch_size).cast("long")).drop("_h", "_pos")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sorting import sort_by_keys, with_position
+from ..operators.sorting import positions, sort_by_keys
 from ..session import scratch_path
 from ..sinks.files import write_csv
 from ..sources.csv import read_csv_strings, read_csv_with_header
@@ -53,7 +53,7 @@ FROM ({TEXT_SQL})"""
 
 def sorted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_csv_with_header(spark, write_orders_csv(spark, sf_dir, header=True))
-    return with_position(sort_by_keys(rows, SORT_KEYS))
+    return positions(rows, SORT_KEYS)
 
 
 @query("src_csv_scan", oracle=f"""SELECT o_orderkey AS _c0, o_custkey AS _c1, o_orderstatus AS _c2,
@@ -79,6 +79,6 @@ def sort_two_keys(spark, sf_dir):
 def snk_csv_sorted(spark, sf_dir):
     """SNK-1: sorted rows written as CSV with a header, read back (round trip)."""
     path = scratch_path(spark, "sorted-csv")
-    write_csv(sorted_orders(spark, sf_dir), path, header=True)
+    write_csv(sort_by_keys(sorted_orders(spark, sf_dir), ["position"]), path, header=True)
     back = read_csv_with_header(spark, path)
     return back.withColumn("position", F.col("position").cast("long"))

@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 from lodestar.operators import rank as R  # noqa: E402
-from lodestar.operators.sorting import sort_by_keys, with_position  # noqa: E402
+from lodestar.operators.sorting import positions  # noqa: E402
 from lodestar.plans import ml_queries as MQ  # noqa: E402
 from lodestar.plans.graphs import supply_edges  # noqa: E402
 from lodestar.plans.sort_queries import SORT_KEYS, orders_as_text  # noqa: E402
@@ -44,7 +44,7 @@ def main() -> None:
         ("Top-k report: TakeOrderedAndProject, no global sort",
          R.top_ranks(R.initial_ranks(prep).select("id", "rank"), 5)),
         ("Global sort by string keys: range exchange + sort; positions join a one-row-per-partition table",
-         with_position(sort_by_keys(orders_as_text(spark, sf), SORT_KEYS))),
+         positions(orders_as_text(spark, sf), SORT_KEYS)),
         ("Scoring: Arrow-batched numpy over the pruned feature scan",
          MQ.LIN.linear_scores(MQ.features(spark, sf), MQ.LIN.Model.zeros(64, 10))),
         ("Array functions stay in the JVM (higher-order functions, per-row constants outside lambdas)",

@@ -4,7 +4,7 @@ import os
 
 from lodestar.operators.metrics import running_totals
 from lodestar.operators.sequence import next_in_order
-from lodestar.operators.sorting import sort_by_keys, with_position
+from lodestar.operators.sorting import positions, positions_in_group, sort_by_keys, with_position
 from lodestar.sinks.files import write_csv
 from lodestar.sources.csv import read_csv_strings, read_csv_with_header
 
@@ -71,3 +71,37 @@ def test_next_in_order_skips_empty_partitions(spark):
     df = spark.createDataFrame(rows, "k long, u long")
     got = {r["k"]: r["next_u"] for r in next_in_order(df, ["k"], ["u"], partitions=16).collect()}
     assert got == {3: 400, 40: 410, 41: 9000, 900: 50000, 5000: None}
+
+
+def _mixed_rows():
+    import datetime
+    import decimal
+    day = datetime.datetime(2020, 1, 1)
+    return [(None if i % 11 == 0 else f"k{i * 7919 % 13}é", None if i % 7 == 0 else float(i % 5) / 3,
+             day + datetime.timedelta(microseconds=i * 7919 % 97), decimal.Decimal(i * 31 % 17) / 4, i) for i in range(1500)]
+
+
+def _nulls_first(row):
+    return tuple((x is not None, x if x is not None else 0) for x in row)
+
+
+def test_positions_of_mixed_keys_without_a_checkpoint(spark):
+    df = spark.createDataFrame(_mixed_rows(), "a string, b double, c timestamp, d decimal(10,2), _range long").withColumnRenamed("_range", "e").repartition(5)
+    for ranges in (1, 40):
+        got = sorted(positions(df, ["a", "b", "c", "d", "e"], ranges=ranges).collect(), key=lambda r: r["position"])
+        assert [r["position"] for r in got] == list(range(1500))
+        assert [tuple(r[:5]) for r in got] == sorted((tuple(r[:5]) for r in got), key=_nulls_first)
+    assert positions(df.limit(0), ["a"]).count() == 0
+
+
+def test_positions_in_groups_that_span_ranges(spark):
+    rows = [("hot" if i % 3 else None if i % 2 else f"g{i % 40}", i * 7919 % 4001) for i in range(1500)]
+    df = spark.createDataFrame(rows, "g string, v long").repartition(5)
+    want = {}
+    for g in {r[0] for r in rows}:
+        for k, v in enumerate(sorted(v for h, v in rows if h == g)):
+            want[(g, v)] = k
+    for ranges in (1, 3, 60):
+        got = positions_in_group(df, "g", ["v"], ranges=ranges).collect()
+        assert {(r["g"], r["v"]): r["position"] for r in got} == want and len(got) == 1500
+    assert positions_in_group(df.limit(0), "g", ["v"]).count() == 0
