@@ -38,10 +38,8 @@ SYNC_WORKERS = 3
 WEIGHTS = "softmax/weights"
 BIASES = "softmax/biases"
 DIRECT_COMBINE_MAX = 64         # partitions whose partial sums the driver may add itself
-EPOCH_LAYOUT_MIN_BATCHES = 8    # batches per epoch from which epochs are laid out by batch
 
 PARTIAL_SCHEMA = "grp int, param string, i int, j int, v double"
-LOCAL_SCHEMA = "param string, i int, j int, v double"
 
 
 @dataclass
@@ -244,15 +242,6 @@ def feature_dim(features: DataFrame) -> int:
     return int(first["d"])
 
 
-# ------------------------------------------------------------------ batches
-def batch_of(id_col: Column | str, epoch: int, num_batches: int) -> Column:
-    """Seeded batch of a row in an epoch: hash of (id, epoch) modulo
-    ``num_batches``; every row is used once per epoch, batch sizes are
-    ``n / num_batches`` on average.  DuckDB computes the same number."""
-    c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.pmod(key_hash(c, "batch", epoch), F.lit(num_batches)).cast("int")
-
-
 # --------------------------------------------------------------------- fits
 class _Cached:
     """Persist a feature table for the duration of a fit (every step re-reads it)."""
@@ -291,158 +280,6 @@ def _fit_full(features, steps, lr, classes, model, on_step) -> FitResult:
     return res
 
 
-def fit_sync(features: DataFrame, epochs: int = EPOCHS, batch_size: int = SYNC_BATCH_SIZE,
-             workers: int = SYNC_WORKERS, lr: float = LEARNING_RATE, classes: int = 10,
-             on_step: Callable[[Model], None] | None = None,
-             layout: bool | None = None) -> FitResult:
-    """ML-7 / ML-6: synchronous data-parallel SGD.
-
-    Each update averages the gradients of ``workers`` batches of
-    ``batch_size`` rows (one batch of ``workers · batch_size`` rows drawn by
-    the seeded hash); ``int(n / (workers · batch_size))`` updates per epoch.
-    ``workers=1`` with ``batch_size=32`` is the single-machine schedule (ML-6).
-    One job per update.  With many batches per epoch (``layout``; automatic
-    from ``EPOCH_LAYOUT_MIN_BATCHES``) each epoch's rows are cached sorted by
-    batch id, so the cache's per-batch min/max statistics let every update
-    skip all but its own batch instead of filtering every row.
-    """
-    with _Cached(features) as features:
-        return _fit_sync(features, epochs, batch_size, workers, lr, classes, on_step, layout)
-
-
-def _fit_sync(features, epochs, batch_size, workers, lr, classes, on_step, layout=None) -> FitResult:
-    n = features.count()
-    per_step = batch_size * workers
-    nb = max(n // per_step, 1)
-    m = Model.zeros(feature_dim(features), classes)
-    res = FitResult(m)
-    step = 0
-    direct = direct_combine(features)
-    if layout is None:
-        layout = nb >= EPOCH_LAYOUT_MIN_BATCHES
-    for e in range(epochs):
-        tagged = features.withColumn("_batch", batch_of("id", e, nb))
-        if layout:
-            from pyspark import StorageLevel
-            tagged = tagged.sortWithinPartitions("_batch").persist(StorageLevel.MEMORY_AND_DISK)
-        for k in range(nb):
-            t0 = time.time()
-            g = gradient(tagged.where(F.col("_batch") == k), m, direct)
-            if g.n:
-                m = apply_sgd(m, g, lr)
-            res.metrics.append(dict(step=step, epoch=e, loss=g.mean_loss, examples=g.n,
-                                    seconds=time.time() - t0, hits=g.hits))
-            step += 1
-            if on_step:
-                on_step(m)
-        if layout:
-            tagged.unpersist()
-    res.model = m
-    return res
-
-
-def _local_sgd(W: np.ndarray, b: np.ndarray, batch_size: int, lr: float):
-    """Sequential mini-batch SGD over one partition, streamed.
-
-    Rows arrive already sorted by the epoch's seeded hash (a spillable sort
-    inside the partition); Arrow batches are consumed in order and only the
-    leftover partial mini-batch is carried, so memory stays at one Arrow batch
-    plus the model however large the partition is.  The last, short
-    mini-batch of the partition is trained on too, divided by its real size.
-    Parameters are emitted times the rows seen, so that the sum over replicas
-    divided by all rows is their mean weighted by rows.
-    """
-    dim, classes = W.shape
-
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        Wl, bl = W.copy(), b.copy()
-        loss, seen = 0.0, 0
-        cx, cy = np.zeros((0, dim)), np.zeros(0, dtype=np.int64)
-
-        def step(xb: np.ndarray, yb: np.ndarray) -> None:
-            nonlocal Wl, bl, loss, seen
-            P, nlp = _probs(xb, Wl, bl)
-            idx = np.arange(len(yb))
-            loss += float(nlp[idx, yb].sum())
-            seen += len(yb)
-            P[idx, yb] -= 1.0
-            Wl -= lr * (xb.T @ P) / len(yb)
-            bl -= lr * P.sum(axis=0) / len(yb)
-
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            X = np.vstack([cx, _matrix(pdf["features"])])
-            y = np.concatenate([cy, pdf["label"].to_numpy().astype(np.int64)])
-            full = len(y) // batch_size
-            for s in range(full):
-                step(X[s * batch_size:(s + 1) * batch_size], y[s * batch_size:(s + 1) * batch_size])
-            cx, cy = X[full * batch_size:], y[full * batch_size:]
-        if len(cy):
-            step(cx, cy)
-        if not seen:
-            return
-        ii, jj = np.meshgrid(np.arange(dim), np.arange(classes), indexing="ij")
-        yield pd.DataFrame({
-            "param": [WEIGHTS] * (dim * classes) + [BIASES] * classes + ["loss", "n", "replicas"],
-            "i": np.concatenate([ii.ravel(), np.zeros(classes, dtype=int), [0, 0, 0]]).astype(np.int32),
-            "j": np.concatenate([jj.ravel(), np.arange(classes), [0, 0, 0]]).astype(np.int32),
-            "v": np.concatenate([seen * Wl.ravel(), seen * bl, [loss, float(seen), 1.0]]),
-        })
-    return fn
-
-
-def fit_local(features: DataFrame, epochs: int = EPOCHS, batch_size: int = BATCH_SIZE,
-              lr: float = LEARNING_RATE, classes: int = 10, replicas: int | None = None) -> FitResult:
-    """ML-8 re-aimed: local SGD with model averaging, one job per epoch.
-
-    Each partition (a replica) runs mini-batch SGD over its own rows, in the
-    epoch's seeded order, from the current global model; the round's model is
-    the mean of the replicas' models, weighted by their rows.  ``replicas``
-    fixes the partition count by a hash of the id, so that the model does not
-    depend on the cluster; ``None`` keeps the input partitioning.
-    """
-    if replicas:
-        features = features.repartition(replicas, "id")
-    with _Cached(features) as features:
-        return _fit_local(features, epochs, batch_size, lr, classes)
-
-
-def _fit_local(features, epochs, batch_size, lr, classes) -> FitResult:
-    m = Model.zeros(feature_dim(features), classes)
-    direct = direct_combine(features)
-    res = FitResult(m)
-    dim = m.W.shape[0]
-    for e in range(epochs):
-        t0 = time.time()
-        order = key_hash("id", "batch", e)
-        parts = (features.select("id", "features", "label", order.alias("_h"))
-                 .sortWithinPartitions("_h")
-                 .mapInPandas(_local_sgd(m.W, m.b, batch_size, lr), LOCAL_SCHEMA))
-        if not direct:
-            parts = parts.groupBy("param", "i", "j").agg(F.sum("v").alias("v"))
-        rows = parts.collect()
-        stats = {"loss": 0.0, "n": 0.0, "replicas": 0.0}
-        for r in rows:
-            if r["param"] in stats:
-                stats[r["param"]] += r["v"]
-        k = stats.get("n", 0.0)
-        if k:
-            W = np.zeros((dim, classes))
-            b = np.zeros(classes)
-            for r in rows:
-                if r["param"] == WEIGHTS:
-                    W[r["i"], r["j"]] += r["v"] / k
-                elif r["param"] == BIASES:
-                    b[r["j"]] += r["v"] / k
-            m = Model(W, b, m.step + 1)
-        seen = stats.get("n", 0.0)
-        res.metrics.append(dict(step=e, epoch=e, loss=stats.get("loss", 0.0) / seen if seen else float("nan"),
-                                examples=int(seen), seconds=time.time() - t0, hits=0))
-    res.model = m
-    return res
-
-
 # ------------------------------------------------------------------ scoring
 def _scorer(W: np.ndarray, b: np.ndarray):
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

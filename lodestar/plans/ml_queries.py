@@ -16,6 +16,7 @@ from ..operators import linear as LIN
 from ..operators import metrics as MET
 from ..operators import momentum as MOM
 from ..operators import splits as S
+from ..operators import sync_fit as SF
 from ..session import scratch_path
 from ..sources.tables import table
 from . import ml_sql as Q
@@ -24,7 +25,7 @@ from .registry import query
 TEST_CUT = Q.TEST_CUT
 FIT_STEPS = 3
 EVAL_BATCH = 100
-LOCAL_REPLICAS = 8     # replicas of local SGD, whatever the cluster
+LOCAL_ROWS = 256       # rows of a replica of local SGD
 REPLICAS = 3           # replicas whose gradients are averaged
 EVENT_BATCH = 1000
 # Per-group rates and momentum of the reference's optimizer.
@@ -256,19 +257,25 @@ def momentum_sparse(spark, sf_dir):
                         ("value", "velocity"))
 
 
-# ------------------------------------------------- fits (rows-only checks)
-@query("softmax_fit_sync")
+# ------------------------------------------------- synchronous and local fits
+def sync_fit(spark: SparkSession, sf_dir: str) -> SF.SyncFit:
+    """ML-7: the whole schedule, 20 epochs of int(n / 128) updates of 3 x 128 rows."""
+    return SF.fit_sync(train_rows(spark, sf_dir))
+
+
+SYNC_SQL = Q.sync_fit(LIN.EPOCHS, LIN.SYNC_BATCH_SIZE, LIN.SYNC_WORKERS, LIN.LEARNING_RATE)
+
+
+@query("softmax_fit_sync", oracle=SYNC_SQL + "\n" + Q.last_model("SYNC"))
 def softmax_fit_sync(spark, sf_dir):
-    """ML-7: 3 workers × 128 rows per update, 20 epochs; the fitted model."""
-    return _round_model(LIN.fit_sync(train_rows(spark, sf_dir)).model.to_frame(spark))
+    """ML-7: the model after the whole synchronous fit."""
+    return _round_model(sync_fit(spark, sf_dir).model.to_frame(spark))
 
 
-@query("softmax_fit_local")
+@query("softmax_fit_local", oracle=Q.local_fit(LIN.EPOCHS, LIN.BATCH_SIZE, LOCAL_ROWS, LIN.LEARNING_RATE) + "\n" + Q.last_model("LOCAL"))
 def softmax_fit_local(spark, sf_dir):
-    """ML-8 re-aimed: local SGD (batch 32) on one replica per core, models
-    averaged each epoch (no replica holds a fixed share of the data)."""
-    res = LIN.fit_local(train_rows(spark, sf_dir), replicas=LOCAL_REPLICAS)
-    return _round_model(res.model.to_frame(spark))
+    """ML-8 re-aimed: local SGD (batch 32) on replicas of about 256 rows, their models averaged each epoch."""
+    return _round_model(SF.fit_local(train_rows(spark, sf_dir), rows_per_replica=LOCAL_ROWS).model.to_frame(spark))
 
 
 @query("softmax_fit_momentum", oracle=Q.momentum_fit(10, GROUP_RATES[LIN.WEIGHTS], GROUP_RATES[LIN.BIASES], MOMENTUM, REPLICAS)
@@ -281,11 +288,27 @@ def softmax_fit_momentum(spark, sf_dir):
     return _round_model(MOM.fit_momentum(tr, steps=10, groups=groups, replicas=REPLICAS), ("value", "velocity"))
 
 
-@query("ml_metrics")
+@query("ml_metrics", oracle=SYNC_SQL + "\n" + Q.sync_metrics(LIN.SYNC_BATCH_SIZE, LIN.SYNC_WORKERS))
 def ml_metrics(spark, sf_dir):
-    """SNK-8 / SCL-13: per-step metrics of the whole synchronous fit, 20 epochs (clock time included)."""
-    res = LIN.fit_sync(train_rows(spark, sf_dir))
-    return res.metrics_frame(spark)
+    """SNK-8 / SCL-13: loss, examples and hits of every update of the synchronous fit, read back from its written table (which holds the clock too)."""
+    m = sync_fit(spark, sf_dir).metrics(spark)
+    return m.select("step", "epoch", F.round("loss", 6).alias("loss"), "examples", "hits")
+
+
+@query("ml_histograms", oracle=SYNC_SQL + "\n" + Q.sync_histograms(SF.EDGES.tolist(), SF.HISTOGRAM_STEPS))
+def ml_histograms(spark, sf_dir):
+    """SNK-8: value counts of each variable every 10 updates, in fixed buckets that add up; here all updates together."""
+    h = sync_fit(spark, sf_dir).histograms(spark).where(F.col("name").isin(LIN.WEIGHTS, LIN.BIASES))
+    return h.groupBy("name", "bucket").agg(F.sum("count").alias("count"), F.countDistinct("step").alias("steps"))
+
+
+@query("ml_sync_accuracy", oracle=SYNC_SQL + "\n" + Q.sync_accuracy())
+def ml_sync_accuracy(spark, sf_dir):
+    """AGG-7: accuracy per split after the whole synchronous fit, as the trainers end with it."""
+    scored = LIN.linear_scores(features(spark, sf_dir), sync_fit(spark, sf_dir).model)
+    f = scored.withColumn("ok", (A.argmax("scores") == F.col("label")).cast("int"))
+    return f.groupBy("split").agg(F.count(F.lit(1)).alias("examples"), F.sum("ok").alias("correct"),
+                                  F.round(F.avg(F.col("ok").cast("double")), 6).alias("accuracy"))
 
 
 # --------------------------------------------------- checkpoints, evaluation
