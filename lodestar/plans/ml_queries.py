@@ -227,7 +227,7 @@ def total_loss(spark, sf_dir):
 def momentum_step(spark, sf_dir):
     """ML-9 + JN-5: two full-batch momentum steps, per-group rate and momentum."""
     tr = train_rows(spark, sf_dir)
-    groups = MOM.param_groups(spark, [(LIN.WEIGHTS, GROUP_RATES[LIN.WEIGHTS], MOMENTUM),
+    groups = MOM.param_groups([(LIN.WEIGHTS, GROUP_RATES[LIN.WEIGHTS], MOMENTUM),
                                       (LIN.BIASES, GROUP_RATES[LIN.BIASES], MOMENTUM)])
     params = MOM.fit_momentum(tr, steps=2, groups=groups)
     return _round_model(params, ("value", "velocity"))
@@ -283,7 +283,7 @@ def softmax_fit_local(spark, sf_dir):
 def softmax_fit_momentum(spark, sf_dir):
     """ML-11: replicas' gradients averaged, momentum update per group, 10 steps."""
     tr = train_rows(spark, sf_dir)
-    groups = MOM.param_groups(spark, [(LIN.WEIGHTS, GROUP_RATES[LIN.WEIGHTS], MOMENTUM),
+    groups = MOM.param_groups([(LIN.WEIGHTS, GROUP_RATES[LIN.WEIGHTS], MOMENTUM),
                                       (LIN.BIASES, GROUP_RATES[LIN.BIASES], MOMENTUM)])
     return _round_model(MOM.fit_momentum(tr, steps=10, groups=groups, replicas=REPLICAS), ("value", "velocity"))
 
@@ -494,7 +494,7 @@ SELECT P.param, coalesce(G.pattern, 'default') AS "group", coalesce(G.lr, CAST(0
   coalesce(G.m, CAST(0.9 AS DOUBLE)) AS momentum FROM P LEFT JOIN G ON G.g = {_match_sql()}""")
 def param_match(spark, sf_dir):
     """JN-5: exact name, else first pattern found, else ``default`` (0.02, 0.9)."""
-    groups = MOM.param_groups(spark, [(p, lr, m) for p, lr, _f, _n, m in SCHEDULE_GROUPS])
+    groups = MOM.param_groups([(p, lr, m) for p, lr, _f, _n, m in SCHEDULE_GROUPS])
     return MOM.match_params(part_params(spark, sf_dir), groups)
 
 
@@ -507,13 +507,11 @@ def lr_schedule(spark, sf_dir):
     """SCL-6: staircase decay per matched group at step = part key, total = part rows."""
     pp = part_params(spark, sf_dir)
     total = float(pp.count())
-    groups = MOM.param_groups(spark, [(p, lr, m) for p, lr, _f, _n, m in SCHEDULE_GROUPS])
-    matched = MOM.match_params(pp, groups)
+    at = MOM.group_of(F.col("param"), SCHEDULE_GROUPS)
     lr = F.lit(0.02)
-    for p, start, f, n, _m in SCHEDULE_GROUPS:
-        lr = F.when(F.col("group") == p, A.staircase_decay(start, f, n, total, "step")).otherwise(lr)
-    return pp.join(matched.select("param", "group"), "param").select(
-        "param", "step", F.round(lr, 9).alias("learning_rate"))
+    for k, (_p, start, f, n, _m) in enumerate(SCHEDULE_GROUPS):
+        lr = F.when(at == k, A.staircase_decay(start, f, n, total, "step")).otherwise(lr)
+    return pp.select("param", "step", F.round(lr, 9).alias("learning_rate"))
 
 
 # ------------------------------------------------------------- streaming

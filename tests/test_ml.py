@@ -191,14 +191,15 @@ def test_array_functions(spark):
     np.testing.assert_allclose(r["z"], (x - x.mean()) / max(x.std(), 1 / np.sqrt(4)))
 
 
-def test_sparse_momentum_replays_every_batch(spark):
+@pytest.mark.parametrize("batch_size, chunk", [(20, 1024), (4, 1), (4, 3)])
+def test_sparse_momentum_replays_every_batch(spark, batch_size, chunk):
     n = 75
     rows = spark.createDataFrame([(i, XS[i].tolist(), int(YS[i])) for i in range(n)], "id long, features array<double>, label int")
-    got = MOM.fit_centroids_sparse(rows, lr=0.1, momentum=0.9, batch_size=20, classes=K)
+    got = MOM.fit_centroids_sparse(rows, lr=0.1, momentum=0.9, batch_size=batch_size, classes=K + 1, chunk=chunk, fan=2)
     order = sorted(range(n), key=lambda i: int(hashlib.md5(f"{i}:0:batch".encode()).hexdigest()[:15], 16))
     C, V = np.zeros((K, D)), np.zeros((K, D))
-    for s in range(0, n, 20):
-        idx = np.array(order[s:s + 20])
+    for s in range(0, n, batch_size):
+        idx = np.array(order[s:s + batch_size])
         for k in set(YS[idx].tolist()):
             own = idx[YS[idx] == k]
             V[k] = 0.9 * V[k] + (C[k] - XS[own]).sum(axis=0) / len(idx)
@@ -207,7 +208,7 @@ def test_sparse_momentum_replays_every_batch(spark):
     for k in range(K):
         for i in range(D):
             np.testing.assert_allclose(out[(k, i)], (C[k, i], V[k, i]), atol=1e-10)
-    assert np.abs(C).sum() > 0
+    assert np.abs(C).sum() > 0 and len(out) == (K + 1) * D and out[(K, 0)] == (0.0, 0.0)   # a class without rows
 
 
 def test_empty_checkpoint_is_reported(spark):
@@ -227,7 +228,7 @@ def test_staircase_decay(spark):
 def test_param_match_priorities(spark):
     names = spark.createDataFrame([("conv1/weights",), ("fc/biases",), ("other",), ("conv1/biases",)],
                                   "param string")
-    groups = MOM.param_groups(spark, [("weights", 0.001, 0.9), ("biases", 0.002, 0.8),
+    groups = MOM.param_groups([("weights", 0.001, 0.9), ("biases", 0.002, 0.8),
                                       ("conv1/biases", 0.5, 0.1)])
     got = {r["param"]: (r["group"], r["learning_rate"], r["momentum"])
            for r in MOM.match_params(names, groups).collect()}
@@ -235,6 +236,8 @@ def test_param_match_priorities(spark):
     assert got["fc/biases"] == ("biases", 0.002, 0.8)
     assert got["conv1/biases"] == ("conv1/biases", 0.5, 0.1)     # exact name first
     assert got["other"] == ("default", 0.02, 0.9)
+    assert "Join" not in MOM.match_params(names, groups)._jdf.queryExecution().optimizedPlan().toString()
+    assert MOM.match_params(names, []).select("group").distinct().collect() == [("default",)]
 
 
 def test_momentum_dense_sparse_nesterov(spark):
