@@ -34,10 +34,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from .joins import HOT_ROWS, broadcast_if_small, heavy_hitters, join_spread
 from ..sinks.tables import drop_table, write_bucketed, write_table
 
 # Fixed values of the rank recurrence (reference defaults).
@@ -46,9 +47,10 @@ DEFAULT_DAMPING = 0.85
 
 DEFAULT_HOT_SPLIT = 200_000        # edges per salt bucket of one source
 MAX_HOT_SOURCES = 100_000          # rows allowed in the broadcast hot table
+MAX_LIST = 1_000_000               # targets in a row of an adjacency export, about
 DEFAULT_CHECKPOINT_EVERY = 1
 ENCODE_MIN_NAME_LENGTH = 16        # mean name length from which ids are encoded
-LINKS_PER_BUCKET = 100_000         # target links per bucket of the links table
+LINKS_PER_BUCKET = 1_000_000       # target links per bucket of the links table
 
 
 def dedupe_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -61,25 +63,29 @@ def out_degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))
 
 
-def adjacency(edges: DataFrame, max_list: int = 1_000_000) -> DataFrame:
+def adjacency(edges: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     """AGG-2: sorted target list per source, for export.
 
-    A source with more than ``max_list`` targets is emitted as several rows
-    (``part`` 0..n_parts-1, targets spread by a hash) so that no single row or
-    task has to hold an unbounded list.
+    A source with more than ``max_list`` targets is emitted as ``ceil(out_degree / max_list)`` rows
+    (``part``, targets spread by a hash), whatever the rest of the graph holds, so that no single row or
+    task has to hold an unbounded list.  The table of these sources is broadcast if its rows are few, else joined.
     """
-    deg = out_degree(edges)
-    split = choose_hot_split(deg, max_list, MAX_HOT_SOURCES)
-    deg = deg.withColumn("n_parts", F.ceil(F.col("out_degree") / F.lit(split)).cast("int"))
-    hot = _bounded_hot(deg, "n_parts")              # |hot| <= E / split <= MAX_HOT_SOURCES
-    tagged = (edges.join(F.broadcast(hot), "src", "left")
+    parts = F.ceil(F.col("out_degree") / F.lit(max_list)).cast("int")
+    long = out_degree(edges).where(F.col("out_degree") > max_list).select("src", parts.alias("n_parts"))
+    tagged = (edges.join(broadcast_if_small(long, MAX_HOT_SOURCES), "src", "left")
               .withColumn("n_parts", F.coalesce("n_parts", F.lit(1)))
-              .withColumn("part", F.pmod(F.xxhash64("dst"), F.col("n_parts")).cast("int")))
+              .withColumn("part", part_of("dst", F.col("n_parts"))))
     return (tagged.groupBy("src", "part")
             .agg(F.sort_array(F.collect_list("dst")).alias("targets"),
                  F.max("n_parts").alias("n_parts")))
 
 
+def part_of(name: str, parts) -> Column:
+    """Part of a target in a long list: 60 bits of the name's md5, modulo the parts (DuckDB computes the same)."""
+    digest = F.md5(F.col(name).cast("string").cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), parts).cast("int")
+
+
 def _bounded_hot(deg: DataFrame, count_col: str) -> DataFrame:
     """Sources that need more than one bucket; few by construction (see module doc)."""
     return deg.where(F.col(count_col) > 1).select("src", count_col)
@@ -123,12 +129,10 @@ def choose_hot_split(deg: DataFrame, hot_split: int = DEFAULT_HOT_SPLIT,
 
 def bucket_count(spark, edges_total: int, per_bucket: int | None = None) -> int:
     """Buckets for the links: about ``LINKS_PER_BUCKET`` links each, at least
-    the cluster's default parallelism (every core gets a bucket), at most
-    ``spark.sql.shuffle.partitions`` (the cluster's sizing of a stage)."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    floor = spark.sparkContext.defaultParallelism
+    the cluster's default parallelism (every core gets a bucket).  Shares of a bucket
+    are no more than its links, which bounds the hash table that a round builds of them."""
     per = per_bucket or LINKS_PER_BUCKET
-    return max(1, min(cap, max(floor, -(-int(edges_total) // per))))
+    return max(1, spark.sparkContext.defaultParallelism, -(-int(edges_total) // per))
 
 
 def node_dictionary(e: DataFrame, meta: DataFrame) -> DataFrame:
@@ -148,7 +152,7 @@ def node_dictionary(e: DataFrame, meta: DataFrame) -> DataFrame:
 
 def prepare_links(edges: DataFrame, partitions: int | None = None, cache: bool = True,
                   dedupe: bool = True, hot_split: int = DEFAULT_HOT_SPLIT,
-                  max_hot: int = MAX_HOT_SOURCES, encode_ids: bool | None = None) -> Links:
+                  max_hot: int = MAX_HOT_SOURCES, encode_ids: bool | None = None, hot_rows: int = HOT_ROWS) -> Links:
     """Distinct edges with salt buckets and target metadata, placed for repeated joins.
 
     Each link row carries its target's out-degree and salt count, so the
@@ -161,6 +165,9 @@ def prepare_links(edges: DataFrame, partitions: int | None = None, cache: bool =
     of recomputing the edge lineage.  ``partitions`` sets the bucket / hash
     partition count (GR-3).
 
+    Targets (and, with ids, names) that hold many edges are found by a sketch and
+    get their metadata by a broadcast of their few rows; the rest is shuffled.
+
     ``encode_ids`` replaces node names by long ids from a node dictionary
     before the rounds (names come back in one node-sized join at the end);
     ``None`` decides by the mean name length (long names: URLs, titles).
@@ -176,13 +183,15 @@ def prepare_links(edges: DataFrame, partitions: int | None = None, cache: bool =
         encode_ids = mean_len >= ENCODE_MIN_NAME_LENGTH
     meta = deg.select("src", "out_degree",
                       F.ceil(F.col("out_degree") / F.lit(split)).cast("int").alias("n_salts"))
+    hot_targets = heavy_hitters(e, "dst", total, hot_rows)
     names = None
     if encode_ids:
         names = node_dictionary(e, meta)
         src_side = names.select(F.col("name").alias("src"), F.col("nid").alias("sid"), "n_salts")
         dst_side = names.select(F.col("name").alias("dst"), F.col("nid").alias("did"),
                                 F.col("out_degree").alias("dst_degree"), F.col("n_salts").alias("dst_salts"))
-        links = (e.join(src_side, "src").join(dst_side, "dst")
+        links = (join_spread(join_spread(e, src_side, "src", "inner", heavy_hitters(e, "src", total, hot_rows)),
+                             dst_side, "dst", "inner", hot_targets)
                  .select(F.col("sid").alias("src"),
                          F.pmod(F.xxhash64("did"), F.col("n_salts")).cast("int").alias("salt"),
                          F.col("did").alias("dst"), "dst_degree", "dst_salts"))
@@ -192,8 +201,7 @@ def prepare_links(edges: DataFrame, partitions: int | None = None, cache: bool =
         hot = _bounded_hot(meta, "n_salts")            # |hot| <= E / split <= max_hot
         target = meta.select(F.col("src").alias("dst"), F.col("out_degree").alias("dst_degree"),
                              F.col("n_salts").alias("dst_salts"))
-        links = (e.join(F.broadcast(hot), "src", "left")
-                 .join(target, "dst", "left")
+        links = (join_spread(e.join(F.broadcast(hot), "src", "left"), target, "dst", "left", hot_targets)
                  .select("src",
                          F.pmod(F.xxhash64("dst"), F.coalesce("n_salts", F.lit(1))).cast("int").alias("salt"),
                          "dst", "dst_degree", "dst_salts"))

@@ -136,12 +136,16 @@ def out_degree_q(spark, sf_dir):
     return R.out_degree(supply_edges(spark, sf_dir))
 
 
-@query("adjacency", oracle="WITH " + SUPPLY_EDGES_CTE + """
-SELECT src, 0 AS part, list_sort(list(dst)) AS targets, CAST(ceil(count(*) / 1000000) AS INTEGER) AS n_parts
-FROM edges GROUP BY src""")
+ADJACENCY_LIST = 8   # targets in a row of the adjacency queries, so that lists are split on the given tables too
+
+
+@query("adjacency", oracle="WITH " + SUPPLY_EDGES_CTE + f""",
+deg AS (SELECT src, greatest(1, CAST(ceil(count(*) / {ADJACENCY_LIST}) AS INTEGER)) AS n_parts FROM edges GROUP BY src)
+SELECT src, CAST(CAST('0x' || substr(md5(CAST(dst AS VARCHAR)), 1, 15) AS BIGINT) % n_parts AS INTEGER) AS part,
+  list_sort(list(dst)) AS targets, n_parts FROM edges JOIN deg USING (src) GROUP BY src, part, n_parts""")
 def adjacency_q(spark, sf_dir):
-    """AGG-2: sorted adjacency lists (split into parts above 1M targets)."""
-    return R.adjacency(supply_edges(spark, sf_dir))
+    """AGG-2: sorted adjacency lists, split into parts of about 8 targets."""
+    return R.adjacency(supply_edges(spark, sf_dir), ADJACENCY_LIST)
 
 
 @query("snk_rank_text", oracle=rank_ctes(SUPPLY_EDGES_CTE, 10) + """

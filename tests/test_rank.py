@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 
+from lodestar.operators import joins as J
 from lodestar.operators import rank as R
 
 
@@ -96,3 +97,26 @@ def test_adjacency_splits_large_lists_without_losing_targets(spark):
     assert got == sorted(f"t{i:02d}" for i in range(25))
     assert all(list(r["targets"]) == sorted(r["targets"]) for r in hub)
     assert [list(r["targets"]) for r in rows if r["src"] == "x"] == [["hub"]]
+
+
+def test_heavy_hitters_and_spread_joins(spark):
+    rows = [("hub" if i % 3 == 0 else None if i % 50 == 1 else f"n{i % 40}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(4)
+    assert J.heavy_hitters(df, "k", 3000, least=900) == ["hub"] and J.heavy_hitters(df, "k", 3000) == []
+    table = spark.createDataFrame([(f"n{i}", i) for i in range(20)] + [("hub", -1)], "k string, w long")
+    for how in ("left", "inner"):
+        want = sorted(map(str, df.join(table, "k", how).collect()))
+        for hot in (["hub"], ["hub", "n3", "n39", "absent"]):
+            assert sorted(map(str, J.join_spread(df, table, "k", how, hot).collect())) == want
+    plan = J.join_spread(df, table, "k", "left", ["hub"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") >= 1 and "LeftAnti" in plan
+
+
+@pytest.mark.parametrize("encode_ids", [False, True])
+def test_hot_targets_join_apart_with_the_same_ranks(spark, encode_ids):
+    pairs = [(f"n{i}", "hub") for i in range(200)] + [(f"n{i}", f"n{(i * 7 + 3) % 200}") for i in range(200)] + [("hub", "n1")]
+    e = edges(spark, pairs)
+    plain, split = (R.prepare_links(e, cache=False, encode_ids=encode_ids, hot_rows=h) for h in (10**9, 20))
+    assert "LeftAnti" in split.links._jdf.queryExecution().optimizedPlan().toString()
+    a, b = (as_dict(R.decode_ids(p, R.rank_round(p, R.initial_ranks(p)))) for p in (plain, split))
+    assert a == b and len(a) > 100
