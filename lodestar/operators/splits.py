@@ -13,6 +13,9 @@ from .joins import broadcast_if_small
 from .sorting import positions, positions_in_group
 
 HASH_RANGE = 1 << 60
+ROWS_PER_FILE = 1_000_000     # rows of a file in a shard, at most
+MANIFEST = "_manifest"        # below a shard set; readers of the set skip it
+MANIFEST_SCHEMA = "split string, shard int, rows long"
 
 
 def key_hash(c: Column | str, seed: str, epoch: Column | int = 0) -> Column:
@@ -64,17 +67,36 @@ def shard_name(prefix: str, split: Column, shard: Column, num_shards: int) -> Co
     return F.format_string(f"{prefix}_%s_%05d-of-%05d", split, shard, F.lit(num_shards))
 
 
-def write_shards(df: DataFrame, path: str, num_shards: int, mode: str = "ignore") -> str:
-    """SNK-4 / SNK-5: one file per (split, shard) folder; ``ignore`` skips an existing set."""
-    (df.repartition("split", "shard").write.mode(mode)
-       .partitionBy("split", "shard").parquet(path))
+def write_shards(df: DataFrame, path: str, splits: list[str], num_shards: int, rows_per_file: int = ROWS_PER_FILE) -> str:
+    """SNK-4: one folder per (split, shard), each in files of at most ``rows_per_file`` rows; all shuffle partitions write.
+
+    The set is committed by its manifest, which is written last: the rows of every expected shard, empty ones too.
+    """
+    spark = df.sparkSession
+    writers = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // (len(splits) * num_shards))
+    (df.repartition("split", "shard", F.pmod(F.xxhash64(*df.columns), F.lit(writers)))
+     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("split", "shard").parquet(path))
+    sizes = _shard_sizes(spark.read.schema(df.schema).parquet(path))
+    expected = [(s, k, sizes.get((s, k), 0)) for s in splits for k in range(num_shards)]
+    spark.createDataFrame(expected, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/{MANIFEST}")
     return path
 
 
-def shards_complete(df_written: DataFrame, splits: list[str], num_shards: int) -> bool:
-    """SNK-5: every (split, shard) folder is present."""
-    have = df_written.select("split", "shard").distinct().count()
-    return have == len(splits) * num_shards
+def _shard_sizes(written: DataFrame) -> dict[tuple[str, int], int]:
+    """Rows of each shard that has any, from the files' own counts; splits × shards rows."""
+    return {(str(r["split"]), int(r["shard"])): r["n"] for r in written.groupBy("split", "shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def shards_complete(spark, path: str, splits: list[str], num_shards: int) -> bool:
+    """SNK-5: the manifest lists exactly the expected shards and every one of them holds its rows."""
+    if not path_exists(spark, f"{path}/{MANIFEST}/_SUCCESS"):
+        return False
+    listed = {(r["split"], r["shard"]): r["rows"] for r in spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/{MANIFEST}").collect()}
+    if set(listed) != {(s, k) for s in splits for k in range(num_shards)}:
+        return False
+    if not any(listed.values()):
+        return True
+    return _shard_sizes(spark.read.parquet(path)) == {k: n for k, n in listed.items() if n}
 
 
 def path_exists(spark, path: str) -> bool:
@@ -86,10 +108,9 @@ def path_exists(spark, path: str) -> bool:
 def write_shards_once(df: DataFrame, path: str, splits: list[str], num_shards: int) -> bool:
     """SNK-5: skip everything when the complete shard set already exists,
     otherwise (re)write it.  Returns whether anything was written."""
-    spark = df.sparkSession
-    if path_exists(spark, path) and shards_complete(spark.read.parquet(path), splits, num_shards):
+    if shards_complete(df.sparkSession, path, splits, num_shards):
         return False
-    write_shards(df, path, num_shards, mode="overwrite")
+    write_shards(df, path, splits, num_shards)
     return True
 
 

@@ -523,13 +523,12 @@ SELECT CAST(sum(CAST(hit AS BIGINT)) AS BIGINT) AS hits, count(*) AS examples,
 FROM NUM WHERE pos < (n // {EVAL_BATCH}) * {EVAL_BATCH}""")
 def stream_precision(spark, sf_dir):
     """STR-1: scored batches (100 rows by id, rest dropped) written as files, drained
-    by a stream with a stateful global aggregate; the final cumulative row."""
+    in triggers bounded by bytes with a stateful global aggregate; the final cumulative row."""
     from ..streaming.precision import final_row, stream_running_precision
     f = features(spark, sf_dir).select("id", A.top1_hit("features", "label").alias("hit"))
     b = S.fixed_batches(f, "id", EVAL_BATCH)
     src = scratch_path(spark, "scored-batches")
-    # one file per batch, so one trigger (maxFilesPerTrigger=1) is one batch
-    b.repartition("batch_id").write.partitionBy("batch_id").parquet(src)
+    b.write.parquet(src)
     schema = spark.read.parquet(src).schema
     cum = stream_running_precision(spark, src, schema)
     fr = final_row(cum)

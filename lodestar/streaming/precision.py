@@ -1,10 +1,14 @@
 """STR-1: running precision over a queue of scored batches, as a stream.
 
-Scored rows land as parquet files; a file-source stream reads them a few
-files per trigger, a global aggregate keeps the cumulative hit and example
-counts in the state store (complete mode), and ``foreachBatch`` appends the
-cumulative row of every trigger to a table.  ``availableNow`` drains the
-queue and stops, like the reference's loop that ends at ``OutOfRange``.
+Scored rows land as parquet files; a file-source stream reads them in triggers
+bounded by bytes, a global aggregate keeps the cumulative hit and example
+counts in the state store (complete mode), and ``foreachBatch`` writes the
+cumulative row of every trigger.  ``availableNow`` drains the queue and stops,
+like the reference's loop that ends at ``OutOfRange``.
+
+The sink is idempotent: a micro-batch writes a folder named by its id and
+replaces what an earlier attempt at the same id left there, so a trigger that
+is retried after a failure leaves one row.
 """
 
 from __future__ import annotations
@@ -16,25 +20,31 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 
 
+BYTES_PER_TRIGGER = 256 << 20   # of scored files that a trigger reads, about
+SINK_SCHEMA = "hits long, examples long, trigger long"
+
+
+def write_trigger(batch: DataFrame, trigger: int, out: str) -> None:
+    """The cumulative row of a micro-batch, in place of what an earlier attempt at it wrote."""
+    batch.select("hits", "examples").coalesce(1).write.mode("overwrite").parquet(f"{out}/trigger={trigger}")
+
+
 def stream_running_precision(spark: SparkSession, source_dir: str, schema: T.StructType,
-                             hit_col: str = "hit", files_per_trigger: int = 1) -> DataFrame:
+                             hit_col: str = "hit", bytes_per_trigger: int = BYTES_PER_TRIGGER) -> DataFrame:
     """Drain ``source_dir`` and return the per-trigger cumulative table
-    ``(trigger, hits, examples, precision)``."""
+    ``(trigger, hits, examples, precision)``; an empty queue gives an empty table."""
     out = scratch_path(spark, "stream-precision")
     ckpt = scratch_path(spark, "stream-ckpt")
     stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir))
+              .option("maxBytesPerTrigger", bytes_per_trigger).parquet(source_dir))
     totals = stream.groupBy().agg(F.sum(F.col(hit_col).cast("long")).alias("hits"),
                                   F.count(F.lit(1)).alias("examples"))
 
-    def emit(batch: DataFrame, epoch_id: int) -> None:
-        (batch.withColumn("trigger", F.lit(epoch_id).cast("long"))
-         .write.mode("append").parquet(out))
-
-    q = (totals.writeStream.outputMode("complete").foreachBatch(emit)
+    spark.createDataFrame([], SINK_SCHEMA).write.partitionBy("trigger").parquet(out)
+    q = (totals.writeStream.outputMode("complete").foreachBatch(lambda batch, trigger: write_trigger(batch, trigger, out))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    res = spark.read.parquet(out)
+    res = spark.read.schema(SINK_SCHEMA).parquet(out)
     return res.select("trigger", "hits", "examples",
                       (F.col("hits") / F.col("examples")).alias("precision"))
 

@@ -72,18 +72,30 @@ def test_holdout_and_shards(spark, tmpdir_path):
     sizes = {(r["split"], r["shard"]): r["count"] for r in sh.groupBy("split", "shard").count().collect()}
     assert sizes[("train", 0)] == 130 and sizes[("validation", 4)] == 70
     path = os.path.join(tmpdir_path, "shards")
-    S.write_shards(sh.drop("_h"), path, 5)
-    written = spark.read.parquet(path)
-    assert S.shards_complete(written, ["train", "validation"], 5)
-    # SNK-5: a second write with mode ignore leaves the set as it is
-    S.write_shards(sh.drop("_h").limit(1), path, 5)
-    assert spark.read.parquet(path).count() == 1000
-    # complete set: skipped; incomplete set: rewritten
-    assert not S.write_shards_once(sh.drop("_h"), path, ["train", "validation"], 5)
+    splits, rows = ["train", "validation"], sh.drop("_h")
+    S.write_shards(rows, path, splits, 5, rows_per_file=40)
+    assert S.shards_complete(spark, path, splits, 5) and spark.read.parquet(path).count() == 1000
+    files = spark.read.parquet(path).where("split = 'train' and shard = 0").select(F.input_file_name()).distinct().count()
+    assert files > 1                                   # a shard of 130 rows in files of at most 40
+    # complete set: skipped; other expectations or a half-written set: rewritten
+    assert not S.write_shards_once(rows, path, splits, 5)
+    assert not S.shards_complete(spark, path, splits, 6) and not S.shards_complete(spark, path, ["train"], 5)
     part = os.path.join(tmpdir_path, "partial")
-    S.write_shards(sh.drop("_h").where("shard < 2"), part, 5)
-    assert S.write_shards_once(sh.drop("_h"), part, ["train", "validation"], 5)
+    rows.where("shard < 2").write.partitionBy("split", "shard").parquet(part)    # no manifest: the writer died
+    assert S.write_shards_once(rows, part, splits, 5)
     assert spark.read.parquet(part).count() == 1000
+    spark.range(1).select(F.lit(1000).alias("doc_id"), F.lit("train").alias("split"), F.lit(0).alias("shard")) \
+        .write.mode("append").partitionBy("split", "shard").parquet(part)        # rows that the manifest does not know
+    assert S.write_shards_once(rows, part, splits, 5) and spark.read.parquet(part).count() == 1000
+
+
+def test_empty_shards_are_complete(spark, tmpdir_path):
+    rows = spark.createDataFrame([(i, "train", i) for i in range(3)], "doc_id long, split string, shard int")
+    path = os.path.join(tmpdir_path, "few")
+    assert S.write_shards_once(rows, path, ["train", "validation"], 5)
+    assert not S.write_shards_once(rows, path, ["train", "validation"], 5)
+    none = os.path.join(tmpdir_path, "none")
+    assert S.write_shards_once(rows.limit(0), none, ["train"], 2) and not S.write_shards_once(rows.limit(0), none, ["train"], 2)
 
 
 def test_fixed_batches_drop_remainder(spark):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestar.sources import images as IM
-from lodestar.streaming.precision import final_row, stream_running_precision
+from lodestar.streaming.precision import final_row, stream_running_precision, write_trigger
 
 
 def write_png(path, rgb):
@@ -42,11 +42,21 @@ def test_image_dir_scan_decode_and_crop_pad(spark, tmpdir_path):
 
 def test_stream_drains_queue_to_final_totals(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "scored")
-    df = spark.range(0, 250).select(F.col("id"), (F.col("id") % 3 == 0).alias("hit"),
-                                    (F.col("id") / 50).cast("int").alias("batch_id"))
-    df.write.partitionBy("batch_id").parquet(src)
+    df = spark.range(0, 250).select(F.col("id"), (F.col("id") % 3 == 0).alias("hit"))
+    df.repartition(5, "id").write.parquet(src)
     schema = spark.read.parquet(src).schema
-    cum = stream_running_precision(spark, src, schema)
+    cum = stream_running_precision(spark, src, schema, bytes_per_trigger=1000)
     assert cum.count() >= 2                          # one row per trigger
     last = final_row(cum).first()
     assert (last["hits"], last["examples"]) == (84, 250)
+    whole = stream_running_precision(spark, src, schema)
+    assert [tuple(r)[1:3] for r in whole.collect()] == [(84, 250)]    # all bytes fit in one trigger
+
+
+def test_a_retried_trigger_leaves_one_row(spark, tmpdir_path):
+    out = os.path.join(tmpdir_path, "sink")
+    row = lambda hits, examples: spark.createDataFrame([(hits, examples)], "hits long, examples long")
+    for trigger, hits, examples in ((0, 1, 2), (1, 3, 4), (1, 3, 4), (0, 1, 2)):
+        write_trigger(row(hits, examples), trigger, out)
+    got = spark.read.schema("hits long, examples long, trigger long").parquet(out)
+    assert sorted((r["trigger"], r["hits"], r["examples"]) for r in got.collect()) == [(0, 1, 2), (1, 3, 4)]
