@@ -8,10 +8,10 @@ of such elements around it, counted anew inside the outermost article or main el
 suspicion up to which its blocks hold ``MAIN_SHARE`` of its good text; blocks above it are bad, the others as
 pass one finds them.  So a layout element named after the sidebar beside it does not cost the text inside it.
 A page's article or main element is a prior: inside it a block needs fewer characters or stop words to be good, lack of
-stop words alone makes only long blocks bad (and none if no block there is good), and headings are undecided whatever
-their links.  In pass two an undecided block takes
-the label of the nearest decided block, ties going to good, and an article's heading that of the next one; blocks of the
-article look for neighbours inside the article
+stop words makes no block bad, and headings are undecided whatever their links.  A page without any block in a language of the lists is judged by
+length and links, as are long blocks in scripts that no list is for.  In pass two an undecided block takes
+the label of the nearest decided block, ties going to good, and an article's heading that of the next one; a block of the article without links
+is dropped only between two bad ones.  Blocks of the article look for neighbours inside the article
 only, and without any decided neighbour a block is kept.  Text outside the article is kept by its own label, unless the
 article holds at least as much kept text as all that stands outside.
 """
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -54,8 +54,12 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 ENDS_P = BLOCK - {"html", "body", "tbody", "thead", "tfoot", "tr", "td", "th", "option", "optgroup"}
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'<>]|"[^"<]{0,4000}"|'[^'<]{0,4000}'|["'])*)>""", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# One walk over a tag, never back: an attribute is a name and perhaps a value, in quotes or up to white space; a quote that nothing closes is
+# part of a name.  What the end of the page cuts off is a tag to its end.
+_ATTRIBUTES = r"""(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+)*+"""
+_TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})(?:>|\Z)""", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+""", re.S)
+_MARKING = frozenset("class id role style hidden aria-hidden".split())
 _HINT = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice\w*|gdpr|sidebar|side|menu\w*|nav|navbar|navigation|"
     r"breadcrumb\w*|footer|header|masthead|comment\w*|replies|disqus|social|share|sharing|related|recommend\w*|popup|modal|overlay|newsletter|subscribe|"
@@ -72,6 +76,8 @@ def _marks(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
     hint = False
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
+        if key not in _MARKING:
+            continue
         if key in ("class", "id", "role") and _HINT.search(value):
             hint = True
         if key == "hidden" or (key == "aria-hidden" and value == "true") or \
@@ -84,6 +90,8 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int, bool]]:
     """``(text, characters inside links, below boilerplate, inside an article, suspicion, heading)`` of each block with text, in page order."""
     out: list[tuple[str, int, bool, bool, int, bool]] = []
     open_: list[tuple[str, bool, bool, int, bool]] = []   # (tag, below boilerplate, in article, suspicion, in link)
+    places: dict[str, list[int]] = {}   # of the open elements of each tag, so that nothing walks the whole stack
+    headings = 0
     piece: list[str] = []
     linked = 0
     state = (False, False, 0, False)
@@ -93,7 +101,7 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int, bool]]:
         if piece:
             text = " ".join("".join(piece).split())
             if text:
-                out.append((text, linked, *state[:3], any(t in HEADINGS for t, *_ in open_)))
+                out.append((text, linked, *state[:3], headings > 0))
             piece = []
         linked = 0
 
@@ -104,25 +112,31 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int, bool]]:
         if state[3]:
             linked += len(text.strip())
 
-    def close(names: tuple[str, ...]) -> None:
+    def innermost(names: Iterable[str]) -> int:
+        """Place of the innermost open element of these names, or -1."""
+        return max((places[t][-1] for t in names if places.get(t)), default=-1)
+
+    def close(names: Iterable[str]) -> None:
         """Close the innermost open element of these names and all inside it."""
-        nonlocal state
-        for i in range(len(open_) - 1, -1, -1):
-            if open_[i][0] in names:
-                if any(t in BLOCK for t, *_ in open_[i:]):
-                    flush()
-                del open_[i:]
-                state = open_[-1][1:] if open_ else (False, False, 0, False)
-                return
+        nonlocal state, headings
+        i = innermost(names)
+        if i < 0:
+            return
+        gone = [t for t, *_ in open_[i:]]
+        if not BLOCK.isdisjoint(gone):
+            flush()
+        for t in gone:
+            places[t].pop()
+            headings -= t in HEADINGS
+        del open_[i:]
+        state = open_[-1][1:] if open_ else (False, False, 0, False)
 
     at = 0
     while True:
         m = _TAG.search(page, at)
         if m is None:
-            tail = page[at:]
-            cut = re.search(r"<[/!?a-zA-Z][^<>]*\Z", tail)   # a tag that the end of the page cut off
-            if (cut.start() if cut else len(tail)):
-                add(tail[:cut.start()] if cut else tail)
+            if at < len(page):
+                add(page[at:])
             break
         if m.start() > at:
             add(page[at:m.start()])
@@ -132,7 +146,7 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int, bool]]:
             continue
         name, ending, attributes = name.lower(), m.group(1), m.group(3)
         if ending:
-            if name == "p" and not any(t == "p" for t, *_ in open_):
+            if name == "p" and not places.get("p"):
                 flush()
             close((name,))
             continue
@@ -149,17 +163,17 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int, bool]]:
         if name in BLOCK:
             flush()
             if name in ENDS_P:
-                close(("p",)) if any(t == "p" for t, *_ in open_) else None
-            if name in CLOSES and name != "p":
-                inner = next((t for t, *_ in reversed(open_) if t in CLOSES[name] or t in ("ul", "ol", "dl", "table", "select")), None)
-                if inner in CLOSES[name]:
-                    close(CLOSES[name])
+                close(("p",))
+            if name in CLOSES and name != "p" and innermost(CLOSES[name]) > innermost(("ul", "ol", "dl", "table", "select")):
+                close(CLOSES[name])
         if name in VOID or attributes.rstrip().endswith("/"):
             continue
         boiler, article, suspicion, link = state
         own, hint = _marks(name, attributes, article)
         enters = name in ARTICLE_TAGS or "articleBody" in attributes
         state = (boiler or own, article or enters, 0 if enters and not article else suspicion + hint, link or name == "a")
+        places.setdefault(name, []).append(len(open_))
+        headings += name in HEADINGS
         open_.append((name, *state))
     flush()
     return out
@@ -182,7 +196,15 @@ def _first_pass(text: str, linked: int, boiler: bool, article: bool, heading: bo
         return (1, "stop words") if article or n > LONG else (0, "middling")
     if density >= STOP_LOW:
         return (1, "stop words") if article and n > LONG else (0, "middling")
-    return (0, "few stop words") if article and n <= LONG else (-1, "few stop words")
+    if article or (n > LONG and not linked and _foreign(found)):
+        return (1 if not article else 0), "few stop words"   # no stop-word list is for this script; an article's words are its own
+    return -1, "few stop words"
+
+
+def _foreign(found: list[str]) -> bool:
+    """Whether most letters are of a script that no stop-word list is in."""
+    letters = "".join(found)
+    return 2 * sum(c > "\u024f" for c in letters) > len(letters)
 
 
 def _level(blocks: list[tuple[str, int, bool, bool, int, bool]], labels: list[int]) -> int:
@@ -206,9 +228,10 @@ def judged(page: str) -> list[tuple[str, bool, str]]:
     """``(text, kept, rule)`` of each block; the rule is that of pass one, "neighbour" or "alone" for pass two, or "outside"."""
     blocks = blocks_of(page)
     first = [_first_pass(*b[:4], b[5], ALL_STOP_WORDS) for b in blocks]
-    if not any(b[3] and label > 0 for b, (label, _) in zip(blocks, first)):
-        # No block of the article is in a language of the stop words: their lack says nothing there.
-        first = [(0, rule) if b[3] and rule == "few stop words" else (label, rule) for b, (label, rule) in zip(blocks, first)]
+    if not any(label > 0 for label, _ in first):
+        # No block of the page is in a language of the stop words: length and links alone decide.
+        first = [(1 if len(b[0]) > LONG and not b[1] else 0, rule) if rule == "few stop words" else (label, rule)
+                 for b, (label, rule) in zip(blocks, first)]
     level = _level(blocks, [label for label, _ in first])
     first = [(-1, "suspicious") if b[4] > level and label >= 0 else (label, rule) for b, (label, rule) in zip(blocks, first)]
     labels = [label for label, _ in first]
@@ -235,7 +258,11 @@ def judged(page: str) -> list[tuple[str, bool, str]]:
                 near = [(0, -body[1])]   # a heading belongs to what follows it
             else:
                 near = [(abs(k - x[0]), -x[1]) for x in (before[k], last) if x]
-            keep[i] = not near or min(near)[1] < 0
+            if inside and rules[i] != "heading" and not blocks[i][1]:
+                # Text without links inside an article goes only if it stands between two ruled-out blocks.
+                keep[i] = len(near) < 2 or any(x[1] < 0 for x in near)
+            else:
+                keep[i] = not near or min(near)[1] < 0
             rules[i] = "neighbour" if near else "alone"
     inner, outer = (sum(len(b[0]) for b, k in zip(blocks, keep) if k and b[3] == inside) for inside in (True, False))
     if inner >= outer:
