@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..sources.tables import table
 from .arrow_text import distinct, slices, strings, texts_of, words
 from .registry import query
@@ -39,6 +40,8 @@ RIDGE = 0.02
 COUNTERFACTUAL = 4.0     # weight of a squared change of score by a swap
 SWAPS = 4
 THRESHOLD = 0.7
+HELD_FEATURES = 100_000   # features that a task counts before it reports them
+SLICE = 2 << 20
 
 # Names of groups that neutral text mentions; a parameter of the fit.
 IDENTITY_TERMS = tuple("""women men girls boys woman man muslim muslims christian christians jewish jews hindu hindus buddhist
@@ -49,16 +52,14 @@ juden muslime""".split())
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def features_of_words(kinds: list[str]) -> list[list[str]]:
+def features_of_words(kinds: Iterable[str]) -> Iterator[list[str]]:
     """Features of each distinct word: its runs of letters in lower case, and their beginnings."""
-    out = []
     for w in kinds:
         own: list[str] = []
         for run in _LETTERS.findall(w.lower()):
             own.append(run)
             own += [f"{run[:k]}*" for k in BEGINNINGS if len(run) > k]
-        out.append(own)
-    return out
+        yield own
 
 
 def in_fit(doc_id: str = "doc_id"):
@@ -82,7 +83,7 @@ def _sets(texts: pa.Array) -> Iterator[set[str]]:
     """Features of each text."""
     n, flat = words(texts, lower=False)
     kinds, index = distinct(flat)
-    of_kind = features_of_words(strings(kinds))
+    of_kind = list(features_of_words(strings(kinds)))
     at = 0
     for k in n.tolist():
         own: set[str] = set()
@@ -169,8 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         fit_rows: int = FIT_ROWS, identity_terms: tuple[str, ...] = IDENTITY_TERMS) -> Model:
     """The model of at most ``fit_rows`` labelled rows outside the held-out third.
 
-    A document with several labels is toxic if one says so; null labels and null ids teach nothing.  Without rows of both
-    classes every score is the share of toxic rows (0 without any)."""
+    A document with several labels is toxic if one says so; null labels and null ids teach nothing; of rows that repeat an id one teaches (the one with the
+    least text; a null text is empty).  Without rows of both classes every score is the share of toxic rows (0 without any)."""
     chosen = (labels.where(in_fit(doc_id) & F.col(label).isNotNull())
               .groupBy(F.col(doc_id).cast("long").alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
               .orderBy(F.xxhash64("id"), "id").limit(fit_rows))
@@ -181,30 +182,45 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         return flat
     spark = docs.sparkSession
     known = spark.createDataFrame([(r["id"], r["y"]) for r in rows], "id long, y int")
-    taught = (docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-              .join(F.broadcast(known), "id").select("y", "text"))
+    # One row for each labelled id, whatever rows repeat it (the least text), so at most fit_rows of them, written once for the passes below.
+    path = scratch_path(spark, "taught")
+    (docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+     .join(F.broadcast(known), "id").groupBy("id", "y").agg(F.min("text").alias("text")).write.parquet(path))
+    taught = spark.read.parquet(path).select("y", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter[str] = Counter()
         toxic: Counter[str] = Counter()
+
+        def report() -> pa.RecordBatch:
+            names = list(n)
+            out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([n[x] for x in names], pa.int64()),
+                                              pa.array([toxic[x] for x in names], pa.int64())], ["feature", "n", "toxic"])
+            n.clear()
+            toxic.clear()
+            return out
+
         for batch in batches:
             ys = batch.column(0).to_pylist()
-            for at, texts in slices(texts_of(batch.column(1))):
+            for at, texts in slices(texts_of(batch.column(1)), SLICE):
                 for k, own in enumerate(_sets(texts)):
                     n.update(own)
                     if ys[at + k]:
                         toxic.update(own)
-        names = list(n)
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([n[x] for x in names], pa.int64()),
-                                          pa.array([toxic[x] for x in names], pa.int64())], ["feature", "n", "toxic"])
+                    if len(n) >= HELD_FEATURES:
+                        yield report()
+        yield report()
 
-    total, bad = len(rows), sum(r["y"] for r in rows)
+    met = taught.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("toxic")).first()
+    total, bad = met["n"], met["toxic"]
+    if not bad or bad == total:   # the documents hold labelled rows of one class at most
+        return flat
     rate = bad / total
     held = (taught.mapInArrow(count, "feature string, n long, toxic long")
             .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
             .withColumn("z", (F.col("toxic") - F.lit(rate) * F.col("n"))
                         / F.sqrt(F.lit(rate * (1 - rate)) * F.col("n") * (F.lit(1.0) - F.col("n") / F.lit(total + 1.0)) + F.lit(0.5))))
-    strong = (held.where((F.col("n") >= MIN_DOCS) & (F.col("z") >= MIN_Z))
+    strong = (held.where((F.col("n") >= MIN_DOCS) & (F.col("z") >= MIN_Z) & ~F.isnan("z"))
               .orderBy(F.desc("z"), "feature").limit(FEATURES).collect())
     names = list(dict.fromkeys([*(r["feature"] for r in strong), *identity_terms]))
     place = {f: i for i, f in enumerate(names)}
@@ -213,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ys = batch.column(0).to_pylist()
-            for at, texts in slices(texts_of(batch.column(1))):
+            for at, texts in slices(texts_of(batch.column(1)), SLICE):
                 sets = [sorted(place[f] for f in own if f in place) for own in _sets(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ys[at:at + len(texts)], pa.int32()), pa.array(sets, pa.list_(pa.int32()))], ["y", "held"])
@@ -221,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     def swap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: Counter[tuple[int, int]] = Counter()
         for batch in batches:
-            for _, texts in slices(texts_of(batch.column(1))):
+            for _, texts in slices(texts_of(batch.column(1)), SLICE):
                 for t in texts.to_pylist():
                     if _names(t, terms):
                         sums.update(swap_sums([[place[f] for f in side if f in place] for side in pair] for pair in _swapped(t, terms, all_terms)))
@@ -229,7 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in at], pa.int32()), pa.array([j for _, j in at], pa.int32()),
                                           pa.array([sums[x] for x in at], pa.int64())], ["i", "j", "v"])
 
-    data = taught.mapInArrow(encode, "y int, held array<int>").collect()  # <= fit_rows
+    data = taught.mapInArrow(encode, "y int, held array<int>").collect()  # one row for each id, so <= fit_rows
     # At most the square of the features, whatever the texts hold.
     swaps = {(r["i"], r["j"]): r["v"] for r in taught.mapInArrow(swap, "i int, j int, v long").groupBy("i", "j").agg(F.sum("v").alias("v")).collect()} if terms else {}
     weights = fit_weights([(set(r["held"]), r["y"]) for r in data], swaps, len(names))
@@ -265,7 +281,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, texts in slices(texts_of(batch.column(2))):
+            for at, texts in slices(texts_of(batch.column(2)), SLICE):
                 scores = scores_of(texts, known.value)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), pa.array(scores),
@@ -283,7 +299,7 @@ def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: flo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, texts in slices(texts_of(batch.column(at_text))):
+            for at, texts in slices(texts_of(batch.column(at_text)), SLICE):
                 yield batch.slice(at, len(texts)).filter(pa.array(scores_of(texts, known.value) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
