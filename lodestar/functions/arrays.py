@@ -103,8 +103,3 @@ def staircase_decay(start: float, target_factor: float, num_stairs: int, total_s
     rate = (1.0 / target_factor) ** (1.0 / (num_stairs - 1))
     return F.lit(start) * F.pow(F.lit(rate), F.floor(_c(step).cast("double") / F.lit(decay_step)))
 
-
-def ceil_div(a: Column | str, b: Column | str | int) -> Column:
-    """SCL-14: ``(a + b - 1) // b`` for non-negative integers."""
-    bb = F.lit(b) if isinstance(b, int) else _c(b)
-    return F.floor((_c(a) + bb - 1) / bb).cast("long")

@@ -1,4 +1,4 @@
-"""Image-set queries (SRC-6/7/12, SCL-5/10/11/12) on images Spark derives
+"""Image-set queries (SRC-6/7/13, SCL-5/10/11/12) on images Spark derives
 from ``embeddings``: every row becomes an 8×8 RGB PNG in the folder of its
 class (``digit_<label>``), written by the tasks into the shared folder.
 
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..operators import labels as L
 from ..session import local_path, scratch_path
 from ..sources import images as IM
+from ..sources.provider import provide
 from ..sources.tables import table
 from .registry import query
 
@@ -110,35 +111,6 @@ def image_crop_pad(spark, sf_dir):
                       "total", "row_moment", "col_moment", "out_height", "out_width")
 
 
-# ------------------------------------------------------------- synthetic
-SYNTH_SEED = 1234
-
-
-def _synthetic(seed: int, h: int, w: int, summary: bool):
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rng = np.random.default_rng(seed)            # same image and label in every task
-        image = rng.standard_normal((h, w, 3)).astype(np.float32)
-        label = int(rng.integers(0, 1000))
-        total = float(image.astype(np.float64).sum())
-        for pdf in batches:
-            out = pd.DataFrame({"row": pdf["id"], "label": label})
-            if summary:
-                out["total"] = total
-            else:
-                out["image"] = [image.ravel()] * len(pdf)
-            yield out
-    return fn
-
-
-def synthetic_images(spark: SparkSession, rows: int, height: int = 256, width: int = 256,
-                     seed: int = SYNTH_SEED, summary: bool = False) -> DataFrame:
-    """SRC-12: one seeded normal image and one label in [0, 1000) repeated
-    ``rows`` times.  Every task regenerates the image from the seed, so nothing
-    is broadcast or joined."""
-    schema = "row long, label int, " + ("total double" if summary else "image array<float>")
-    return spark.range(rows).mapInPandas(_synthetic(seed, height, width, summary), schema)
-
-
 @query("image_standardize", oracle=f"""WITH P AS (
   SELECT vec_id, CAST(floor(sqrt(len(embedding))) AS INTEGER) AS side,
     CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS k, unnest(embedding) AS v FROM embeddings),
@@ -156,3 +128,39 @@ def image_standardize(spark, sf_dir):
     return out.select(F.regexp_extract(F.regexp_extract("path", r"([^/]+)$", 1), r"^(\d+)\.", 1)
                       .try_cast("long").alias("vec_id"),
                       F.round("pixel_mean", 6).alias("pixel_mean"), F.round("pixel_scale", 6).alias("pixel_scale"))
+
+
+# ------------------------------------------------------------- input provider
+PROVIDER_BATCH, PROVIDER_BATCHES = 32, 20     # rows of a batch, batches of the training run
+_ORDER = "CAST('0x' || substr(md5(vec_id || ':' || epoch || ':provider'), 1, 15) AS BIGINT)"
+
+
+@query("src_provider", oracle=f"""WITH P AS (
+  SELECT vec_id, CAST(floor(sqrt(len(embedding))) AS INTEGER) AS side,
+    CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS k, unnest(embedding) AS v FROM embeddings),
+Q AS (SELECT vec_id, side, {_byte_sql('v')} AS r, {_byte_sql('-v')} AS g,
+    {_byte_sql('CAST(v AS DOUBLE) / 2.0')} AS b FROM P WHERE k < side * side),
+S AS (SELECT vec_id, sum(r + g + b) AS s1, sum(r * r + g * g + b * b) AS s2, 256.0 * 256.0 * 3.0 AS n FROM Q GROUP BY vec_id),
+IMG AS (SELECT E.vec_id, 'digit_' || label AS class_name, round(s1 / n, 6) AS pixel_mean,
+  round(greatest(sqrt(s2 / n - (s1 / n) * (s1 / n)), 1.0 / sqrt(n)), 6) AS pixel_scale FROM S JOIN embeddings E USING (vec_id)),
+N AS (SELECT count(*) AS n FROM IMG),
+RUN AS (SELECT 'train' AS split, ({PROVIDER_BATCH * PROVIDER_BATCHES} + n - 1) // n AS epochs, least({PROVIDER_BATCHES}, ({PROVIDER_BATCH * PROVIDER_BATCHES} + n - 1) // n * n // {PROVIDER_BATCH}) AS whole FROM N
+  UNION ALL SELECT 'validation', 1, n // {PROVIDER_BATCH} FROM N),
+ST AS (SELECT split, whole, epoch, vec_id, row_number() OVER (PARTITION BY split ORDER BY epoch, {_ORDER}, vec_id) - 1 AS pos
+  FROM (SELECT split, whole, CAST(unnest(range(epochs)) AS INTEGER) AS epoch FROM RUN), (SELECT vec_id FROM IMG))
+SELECT split, epoch, pos // {PROVIDER_BATCH} AS batch_id, CAST(pos % {PROVIDER_BATCH} AS INTEGER) AS place, vec_id, class_name, pixel_mean, pixel_scale
+FROM ST JOIN IMG USING (vec_id) WHERE pos < whole * {PROVIDER_BATCH}""")
+def src_provider(spark, sf_dir):
+    """SRC-13: the training run (20 batches of 32 over as many epochs as they take) and one pass of evaluation, all batches full."""
+    root = write_embedding_images(spark, sf_dir)
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    keys = IM.scan_image_dir(spark, root).select(_vec_id().alias("vec_id"))
+    decoded, _bad = IM.read_images(spark, root)
+    images = (decoded.withColumn("file_name", name).withColumn("vec_id", _vec_id())
+              .withColumn("class_name", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)))
+    out = None
+    for split, batches in (("train", PROVIDER_BATCHES), ("validation", None)):
+        own = provide(images, keys, "vec_id", PROVIDER_BATCH, batches, keep=("class_name",), summary=True).withColumn("split", F.lit(split))
+        out = own if out is None else out.unionByName(own)
+    return out.select("split", "epoch", "batch_id", "place", "vec_id", "class_name",
+                      F.round("pixel_mean", 6).alias("pixel_mean"), F.round("pixel_scale", 6).alias("pixel_scale"))

@@ -8,6 +8,8 @@ oracles replay the same fixed number of steps in SQL.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,9 +24,11 @@ from ..sources.tables import table
 from . import ml_sql as Q
 from .registry import query
 
+log = logging.getLogger(__name__)
 TEST_CUT = Q.TEST_CUT
+EVAL_SCHEMA = "batch_id long, hits long, examples long, cum_hits long, cum_examples long, precision double"
 FIT_STEPS = 3
-EVAL_BATCH = 100
+EVAL_BATCH = 32
 LOCAL_ROWS = 256       # rows of a replica of local SGD
 REPLICAS = 3           # replicas whose gradients are averaged
 EVENT_BATCH = 1000
@@ -358,14 +362,22 @@ def _batch_precision(scored: DataFrame, batch: int) -> DataFrame:
                      F.round("precision", 6).alias("precision"))
 
 
+def evaluate(rows: DataFrame, saved: DataFrame) -> DataFrame:
+    """Running precision of the newest saved model; without any, that is logged and the table is empty."""
+    newest = MET.latest(saved)
+    if newest.isEmpty():
+        log.warning("no checkpoint to evaluate")
+        return rows.sparkSession.createDataFrame([], EVAL_SCHEMA)
+    return _batch_precision(LIN.linear_scores(rows, LIN.Model.from_frame(newest)), EVAL_BATCH)
+
+
 @query("evaluate_running", oracle=EVAL_SQL)
 def evaluate_running(spark, sf_dir):
     """ML-12: restore the newest checkpoint, score test rows batch by batch
-    (batches of 100 by id, rest dropped), running precision."""
+    (batches of 32 by id, rest dropped), running precision."""
     saved = spark.read.parquet(saved_checkpoints(spark, sf_dir))
-    model = LIN.Model.from_frame(MET.latest(saved))
     test = features(spark, sf_dir).where(F.col("split") == "test")
-    return _batch_precision(LIN.linear_scores(test, model), EVAL_BATCH)
+    return evaluate(test, saved)
 
 
 RUNNING_SQL = FEAT_ONLY + f""",
@@ -380,7 +392,7 @@ SELECT batch_id, hits, examples, CAST(sum(hits) OVER (ORDER BY batch_id) AS BIGI
 
 @query("running_precision", oracle=RUNNING_SQL)
 def running_precision(spark, sf_dir):
-    """AGG-9: cumulative hits / examples after each batch of 100 (feature values as scores)."""
+    """AGG-9: cumulative hits / examples after each batch of 32 (feature values as scores)."""
     f = features(spark, sf_dir).select("id", "label", F.col("features").alias("scores"))
     return _batch_precision(f, EVAL_BATCH)
 
@@ -522,7 +534,7 @@ SELECT CAST(sum(CAST(hit AS BIGINT)) AS BIGINT) AS hits, count(*) AS examples,
   round(sum(CAST(hit AS BIGINT)) / count(*), 6) AS precision
 FROM NUM WHERE pos < (n // {EVAL_BATCH}) * {EVAL_BATCH}""")
 def stream_precision(spark, sf_dir):
-    """STR-1: scored batches (100 rows by id, rest dropped) written as files, drained
+    """STR-1: scored batches (32 rows by id, rest dropped) written as files, drained
     in triggers bounded by bytes with a stateful global aggregate; the final cumulative row."""
     from ..streaming.precision import final_row, stream_running_precision
     f = features(spark, sf_dir).select("id", A.top1_hit("features", "label").alias("hit"))

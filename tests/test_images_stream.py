@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestar.sources import images as IM
+from lodestar.sources.provider import epochs_needed, provide, stream_places
 from lodestar.streaming.precision import final_row, stream_running_precision, write_trigger
 
 
@@ -60,3 +61,22 @@ def test_a_retried_trigger_leaves_one_row(spark, tmpdir_path):
         write_trigger(row(hits, examples), trigger, out)
     got = spark.read.schema("hits long, examples long, trigger long").parquet(out)
     assert sorted((r["trigger"], r["hits"], r["examples"]) for r in got.collect()) == [(0, 1, 2), (1, 3, 4)]
+
+
+def test_provider_cuts_full_batches_across_epochs(spark, tmpdir_path):
+    rng = np.random.default_rng(5)
+    sizes = {f"{k}.png": (3 + k % 4, 2 + k % 5) for k in range(7)}
+    for name, (h, w) in sizes.items():
+        write_png(os.path.join(tmpdir_path, "rose", name), rng.integers(0, 255, (h, w, 3), dtype=np.uint8))
+    ok, _ = IM.read_images(spark, tmpdir_path)
+    images = ok.withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1))
+    keys = IM.scan_image_dir(spark, tmpdir_path).select(F.col("file_name").alias("name"))
+    rows = provide(images, keys, "name", 4, 5, size=6).collect()          # 20 uses of 7 images: 3 epochs
+    stream = [r for r in sorted(rows, key=lambda r: (r["batch_id"], r["place"]))]
+    assert [(r["batch_id"], r["place"]) for r in stream] == [(k // 4, k % 4) for k in range(20)]
+    order = [r["name"] for r in stream]
+    assert sorted(order[:7]) == sorted(order[7:14]) == sorted(sizes) and order[:7] != order[7:14] and [r["epoch"] for r in stream] == [0] * 7 + [1] * 7 + [2] * 6
+    assert all(len(r["pixels"]) == 6 * 6 * 3 and abs(np.mean(r["pixels"])) < 1e-5 for r in stream)
+    once = provide(images, keys, "name", 4, None, size=6, summary=True).collect()
+    assert len(once) == 4 and {r["epoch"] for r in once} == {0}              # evaluation: one pass, the short batch dropped
+    assert epochs_needed(0, 4, 5) == 0 and stream_places(keys.limit(0), "name", 4, 5).count() == 0

@@ -217,6 +217,17 @@ def test_empty_checkpoint_is_reported(spark):
         LIN.Model.from_frame(empty)
 
 
+def test_evaluation_without_a_checkpoint_is_empty(spark, feats, caplog):
+    from lodestar.plans import ml_queries
+    none = spark.createDataFrame([], "step int, param string, i int, j int, value double")
+    got = ml_queries.evaluate(feats, none)
+    assert got.count() == 0 and "no checkpoint" in caplog.text
+    model = LIN.Model(RNG.standard_normal((D, K)), np.zeros(K)).to_frame(spark)
+    from pyspark.sql import functions as F
+    some = ml_queries.evaluate(feats, model.withColumn("step", F.lit(3)))
+    assert some.columns == got.columns and some.count() == 1
+
+
 def test_staircase_decay(spark):
     df = spark.range(0, 10).select(A.staircase_decay(0.001, 250.0, 4, 9.0, "id").alias("lr"), "id")
     got = {r["id"]: r["lr"] for r in df.collect()}
