@@ -21,6 +21,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from .registry import query
 from .sentence_pieces import MARK, load as load_pieces
 
 COMMON = 1_000_000        # id pairs in the broadcast table
-HELD_PIECES = 150_000     # distinct pieces that a worker keeps
+HELD_PIECES = 300_000     # distinct pieces that a worker keeps
 HELD_PAIRS = 2_000_000    # id pairs that a task counts before it reports them
 PIECES_AT_ONCE = 20_000   # distinct pieces that are coalesced together, at most
 BYTES_AT_ONCE = 1 << 20
@@ -43,8 +44,11 @@ BYTES_AT_ONCE = 1 << 20
 # A space that both tokenizers begin a new token at: not after a space or a literal marker, not before white space or the end.
 CUT = re.compile(f"(?<=[^ {MARK}]) (?=[^\\s\\x85\\u180e\\u200b])")
 
-# Of each distinct piece: tokens of A and of B, groups, links, whether the bytes agree, its id pairs and how often each, its groups as text.
-Aligned = tuple[int, int, int, int, bool, bytes, bytes, str]
+_WHITE = "[\\s\\x0b\\x1c-\\x1f\\x85\\xa0\\x{1680}\\x{180e}\\x{2000}-\\x{200b}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+JOINED = 500   # pieces that A encodes in one call
+
+# Of each distinct piece: tokens of A and of B, groups, links, whether the bytes agree, its id pairs each with how often, its groups as text.
+Aligned = tuple[int, int, int, int, bool, bytes, str]
 
 
 @lru_cache(maxsize=4)
@@ -74,6 +78,21 @@ def piece_bytes(path: str) -> list[bytes]:
             for i in range(sp.get_piece_size())]
 
 
+@lru_cache(maxsize=4)
+def byte_lengths(path: str) -> np.ndarray:
+    return np.array([len(x) for x in load_bytes(path)[1]], np.int64)
+
+
+@lru_cache(maxsize=4)
+def piece_lengths(path: str) -> np.ndarray:
+    return np.array([len(x) for x in piece_bytes(path)], np.int64)
+
+
+@lru_cache(maxsize=1)
+def id_strings() -> pa.Array:
+    return pa.array(np.arange(1 << 16)).cast(pa.string())
+
+
 @lru_cache(maxsize=4)
 def held(a_path: str, b_path: str) -> dict[str, Aligned]:
     """The pieces that this worker has aligned so far."""
@@ -123,22 +142,60 @@ def align_pieces(pieces: list[str], a_path: str, b_path: str) -> list[Aligned]:
     return out
 
 
+def _encode_a(pieces: list[str], own: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """``(ids per piece, ids)`` by A.  Pieces whose only white space is the first character stay apart when they are joined, so many are encoded in a call."""
+    t, entries = load_bytes(path)
+    lens = byte_lengths(path)
+    inner = pc.match_substring_regex(pc.utf8_slice_codeunits(pa.array(pieces, pa.large_string()), 1), _WHITE).to_numpy(zero_copy_only=False)
+    joint, alone = np.flatnonzero(~inner), np.flatnonzero(inner).tolist()
+    n, starts, pool, held_ids = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), [], 0
+    sizes = np.fromiter(map(len, own), np.int64, len(own))
+    for at in range(0, len(joint), JOINED):
+        some = joint[at:at + JOINED]
+        ids = np.array(t.encode("".join([pieces[i] for i in some.tolist()]), add_special_tokens=False).ids, np.int64)
+        ends, cuts = np.cumsum(lens[ids]), np.cumsum(sizes[some])
+        place = np.searchsorted(ends, cuts)
+        if len(ids) and place[-1] < len(ends) and (ends[place] == cuts).all():
+            n[some] = np.diff(place, prepend=-1)
+            starts[some] = held_ids + place + 1 - n[some]
+            pool.append(ids)
+            held_ids += len(ids)
+        else:
+            alone += some.tolist()
+    for i, got in zip(alone, t.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False)):
+        ids = np.array(got.ids, np.int64)
+        n[i], starts[i] = len(ids), held_ids
+        pool.append(ids)
+        held_ids += len(ids)
+    return n, ragged_take(np.concatenate(pool) if pool else np.zeros(0, np.int64), starts, n, np.arange(len(pieces)))
+
+
+def _drop(n: np.ndarray, ids: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.where(good, n, 0), ids[np.repeat(good, n)]
+
+
 def _align_some(pieces: list[str], a_path: str, b_path: str) -> list[Aligned]:
-    t, bytes_a = load_bytes(a_path)
+    _, bytes_a = load_bytes(a_path)
     sp, _ = load_pieces(b_path)
     bytes_b = piece_bytes(b_path)
     if max(len(bytes_a), len(bytes_b)) > 1 << 16:
         raise ValueError("an id pair takes 16 bits a side")
-    lists_a = [e.ids for e in t.encode_batch_fast(pieces, add_special_tokens=False)]
-    lists_b = sp.encode([p[1:] for p in pieces], num_threads=1)
     own = [p.encode() for p in pieces]
-    good = [b"".join([bytes_a[i] for i in x]) == w and b"".join([bytes_b[i] for i in y]) == w for w, x, y in zip(own, lists_a, lists_b)]
-    # Pieces whose bytes differ have no tokens.
-    lists_a = [x if ok else [] for x, ok in zip(lists_a, good)]
-    lists_b = [y if ok else [] for y, ok in zip(lists_b, good)]
-    n_a, n_b = (np.array([len(x) for x in lists], np.int64) for lists in (lists_a, lists_b))
-    flat_a, flat_b = (np.array([i for x in lists for i in x], np.int64) for lists in (lists_a, lists_b))
-    lens = np.array([len(bytes_a[i]) for i in flat_a] + [len(bytes_b[i]) for i in flat_b], np.int64)
+    n_a, flat_a = _encode_a(pieces, own, a_path)
+    lists_b = sp.encode([p[1:] for p in pieces], num_threads=1)
+    n_b = np.fromiter(map(len, lists_b), np.int64, len(lists_b))
+    flat_b = np.fromiter(chain.from_iterable(lists_b), np.int64, int(n_b.sum()))
+    # All bytes at once; piece by piece only if some differ.
+    whole, sizes = b"".join(own), np.fromiter(map(len, own), np.int64, len(own))
+    good = np.ones(len(pieces), bool)
+    for n, flat, entries, path, kind in ((n_a, flat_a, bytes_a, a_path, byte_lengths), (n_b, flat_b, bytes_b, b_path, piece_lengths)):
+        if (segment_sums(kind(path)[flat], n) == sizes).all() and b"".join([entries[i] for i in flat.tolist()]) == whole:
+            continue
+        ends = np.cumsum(n).tolist()
+        good &= np.array([b"".join([entries[i] for i in flat[e - k:e].tolist()]) == w for w, e, k in zip(own, ends, n.tolist())], bool)
+    if not good.all():   # pieces whose bytes differ have no tokens
+        (n_a, flat_a), (n_b, flat_b) = _drop(n_a, flat_a, good), _drop(n_b, flat_b, good)
+    lens = np.concatenate([byte_lengths(a_path)[flat_a], piece_lengths(b_path)[flat_b]])
     # Pieces stand one after another on one line of bytes; both sides cover it without a gap.
     ends = np.concatenate([np.cumsum(lens[:len(flat_a)]), np.cumsum(lens[len(flat_a):])])
     order, group = coalesce(ends - lens, ends)
@@ -146,29 +203,32 @@ def _align_some(pieces: list[str], a_path: str, b_path: str) -> list[Aligned]:
     of[order] = group
     of_a, of_b = of[:len(flat_a)], of[len(flat_a):]
     groups = int(of.max(initial=-1)) + 1
-    piece_a, piece_b = np.repeat(np.arange(len(pieces)), n_a), np.repeat(np.arange(len(pieces)), n_b)
     piece_of = np.zeros(groups, np.int64)
-    piece_of[of_a] = piece_a
+    piece_of[of_a] = np.repeat(np.arange(len(pieces)), n_a)
     n_groups = np.bincount(piece_of, minlength=len(pieces))
     g, a, b, times = links_of(of_a, flat_a, of_b, flat_b, groups)
     keys, where = np.unique(piece_of[g] << 32 | pair_key(a, b), return_inverse=True)
     times = np.bincount(where, weights=times, minlength=len(keys)).astype(np.int64)
-    of_piece = keys >> 32
-    cuts = np.searchsorted(of_piece, np.arange(len(pieces) + 1))
-    pairs = (keys & 0xFFFFFFFF).astype("<u4")
+    cuts = np.searchsorted(keys >> 32, np.arange(len(pieces) + 1))
+    pairs = np.stack([keys & 0xFFFFFFFF, times], axis=1).astype("<u4").tobytes()
     n_links = segment_sums(times, np.diff(cuts)).tolist()
-    said = _spell(of_a, flat_a, of_b, flat_b, groups)
-    first = (np.cumsum(n_groups) - n_groups).tolist()
-    return [(x, y, k, m, ok, pairs[lo:hi].tobytes(), times[lo:hi].astype("<u4").tobytes(), ";".join(said[f:f + k]))
-            for x, y, k, m, ok, lo, hi, f in zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links, good, cuts.tolist(), cuts[1:].tolist(), first)]
+    said = _spell(of_a, flat_a, of_b, flat_b, groups, n_groups)
+    cuts = (8 * cuts).tolist()
+    return list(zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links, good.tolist(), [pairs[lo:hi] for lo, hi in zip(cuts, cuts[1:])], said))
+
+
+def _joined(of: np.ndarray, parts: pa.Array, groups: int, by: str) -> pa.Array:
+    """The strings of each of the ``groups``, in order, joined by ``by``."""
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=groups))])
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), parts), by)
 
 
-def _spell(of_a: np.ndarray, a: np.ndarray, of_b: np.ndarray, b: np.ndarray, groups: int) -> list[str]:
-    """``a1,a2|b1`` of each group."""
-    def side(of: np.ndarray, ids: np.ndarray) -> pa.Array:
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=groups))])
-        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids).cast(pa.string())), ",")
-    return pc.binary_join_element_wise(side(of_a, a), side(of_b, b), "|").to_pylist()
+def _spell(of_a: np.ndarray, a: np.ndarray, of_b: np.ndarray, b: np.ndarray, groups: int, n_groups: np.ndarray) -> list[str]:
+    """The groups of each piece as text: ``a1,a2|b1;a3|b2``."""
+    numbers = id_strings()
+    sides = (_joined(of, numbers.take(pa.array(ids)), groups, ",") for of, ids in ((of_a, a), (of_b, b)))
+    each = pc.binary_join_element_wise(*sides, "|")
+    return _joined(np.repeat(np.arange(len(n_groups)), n_groups), each, len(n_groups), ";").to_pylist()
 
 
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -208,10 +268,10 @@ def _align_slice(texts: pa.Array, cache: PieceCache, apart: bool) -> tuple[np.nd
     sums = np.zeros((len(texts), 4), np.int64)
     for k in range(4):
         sums[at, k] = np.where(bad, 0, segment_sums(figures[index, k], counts))
-    n_pairs = np.fromiter((len(c[5]) for c in codes), np.int64, len(codes)) // 4
-    starts = np.cumsum(n_pairs) - n_pairs
-    keys = ragged_take(np.frombuffer(b"".join(c[5] for c in codes), "<u4"), starts, n_pairs, index)
-    times = ragged_take(np.frombuffer(b"".join(c[6] for c in codes), "<u4"), starts, n_pairs, index)
+    n_pairs = np.fromiter((len(c[5]) for c in codes), np.int64, len(codes)) // 8
+    pool = np.frombuffer(b"".join([c[5] for c in codes]), "<u4").reshape(-1, 2)
+    at_pool = ragged_take(np.arange(len(pool)), np.cumsum(n_pairs) - n_pairs, n_pairs, index)
+    keys, times = pool[at_pool, 0], pool[at_pool, 1]
     row = np.repeat(at, segment_sums(n_pairs[index], counts))
     kept = ~np.isin(row, at[bad]) if bad.any() else np.ones(len(row), bool)
     own, where = np.unique(row[kept].astype(np.int64) << 32 | keys[kept], return_inverse=True)
@@ -219,7 +279,7 @@ def _align_slice(texts: pa.Array, cache: PieceCache, apart: bool) -> tuple[np.nd
     cuts = np.searchsorted(own >> 32, np.arange(len(texts) + 1)).tolist()
     own = (own & 0xFFFFFFFF).astype("<u4")
     said, to = [""] * len(texts), 0
-    spelled = [c[7] for c in codes]
+    spelled = [c[6] for c in codes]
     where = index.tolist()
     for i, k, wrong in zip(at.tolist(), counts.tolist(), bad.tolist()):
         if not wrong:
