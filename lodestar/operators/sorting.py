@@ -36,12 +36,23 @@ def sort_by_keys(df: DataFrame, keys: Sequence[str | int], descending: bool = Fa
 _EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
+TREE_RANGES = 256   # ranges up to which the search is an expression of comparisons, which compiles; beyond, a loop over one constant
+
+
 def _range_of(key: Column, kind: str, least: list[str]) -> Column:
-    """Number of the least keys (JSON, ascending) that are not above ``key``: a binary search of one constant."""
+    """Number of the least keys (JSON, ascending) that are not above ``key``, by binary search."""
     bounds = F.from_json(F.lit("[" + ",".join(least) + "]"), f"array<{kind}>", _EXACT)
+    key = key.cast(kind)
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.get(bounds, F.lit(middle)) <= key, between(middle + 1, high)).otherwise(between(low, middle))
+
+    if len(least) < TREE_RANGES:
+        return between(0, len(least))
     steps = [1 << k for k in reversed(range(len(least).bit_length()))]
-    if not steps:
-        return F.lit(0)
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0),
                        lambda at, step: F.when(F.get(bounds, at + step - 1) <= key, at + step).otherwise(at))
 
