@@ -1,13 +1,13 @@
-"""Operator 4, URL filters by association rules.
+"""Operator 4, URL filters by association rules that FP-growth mines.
 
-A URL is a set of tokens: host labels, host suffixes, words of the path, the query's keys, a mark for numbers.
-Token combinations of labelled URLs are counted level by level, up to ``MAX_PATTERN`` tokens: a level takes only
-combinations whose parts are in ``MIN_COUNT`` blocked URLs at least.  A combination is a rule "these tokens: block" if the
-lower confidence bound (Wilson, ``Z`` standard deviations) of its blocked share is ``MIN_CONFIDENCE`` at least and above the
-share of all labelled URLs, so the same test holds at every size; a rule is dropped if a shorter one inside it has at
-least its bound.  What is counted at the next level is chosen by bit tables of fixed size (a false hit costs a count only),
-redundant rules are dropped in Spark, and all others reach the driver, which the count bounds.  Rules match through an
-inverted index from each rule's rarest token, so a URL looks up its own tokens only, all of them.
+A URL is a set of tokens: host labels, host suffixes, words of the path, the query's keys, a mark for numbers.  Of the labelled
+URLs, tokens in fewer than ``MIN_COUNT`` blocked ones are left; tokens that stand in exactly the same URLs are one *item* (they are told by
+equal sums of hashes of their URLs), so sets that say the same are mined once.  Spark's FP-growth mines the frequent item sets with the label
+as an item of its own, of any length.  A set is a rule "these items: block" if the lower confidence bound (Wilson, ``Z``
+standard deviations) of its blocked share is ``MIN_CONFIDENCE`` at least and above the share of all labelled URLs, so the same test holds at
+every size; a rule is pruned if a shorter one inside it has at least its bound.  The kept rules reach the driver, which their count bounds.
+Rules match through an inverted index from each rule's rarest item, so a URL looks up its own items only, all of them; a URL has an item if
+it holds one of the item's tokens, as each of them alone would have made the same rule.
 
 Explicit rules (host and path prefix) come first; the mined rules judge what no explicit rule fits.
 """
@@ -15,23 +15,27 @@ Explicit rules (host and path prefix) come first; the mined rules judge what no
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import combinations
-from zlib import crc32
+from math import ceil, sqrt
+from typing import NamedTuple
 
-import numpy as np
 import pyarrow as pa
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_small
+from ..session import scratch_path
+from ..sinks.tables import write_table
 from ..sources.tables import table
 from .registry import query
 
 MIN_COUNT = 10           # blocked URLs that hold a rule's tokens
 MIN_CONFIDENCE = 0.5     # least lower bound of a rule's blocked share
 Z = 3.0
-MAX_PATTERN = 3          # tokens of a rule
-TABLE_BITS = 20          # of a bit table: 2^20 places, 128 KB
+MAX_ITEMS = 200_000      # tokens with their items that are broadcast; more are joined
+BLOCKED = "!blocked"     # the label as an item; tokens have a letter and a colon in front
 
 # Fixed rules of the query: (host and path prefix, verdict).
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -79,117 +83,110 @@ def tokens_of(url: str | None) -> list[str]:
     return list(dict.fromkeys(out))
 
 
-def _place(tokens: Sequence[str]) -> int:
-    """Place of a combination in a bit table."""
-    return crc32("\0".join(tokens).encode("utf-8", "surrogatepass")) & ((1 << TABLE_BITS) - 1)
+class Rule(NamedTuple):
+    """URLs that hold one token of each item are blocked; with the blocked share of the labelled ones, and these as a share of all."""
 
+    items: tuple[tuple[str, ...], ...]
+    confidence: float
+    support: float
 
-def _combinations(own: list[str], length: int, tables: list[np.ndarray]) -> Iterator[tuple[str, ...]]:
-    """Combinations of sorted tokens whose parts with one token less are all in the last table."""
-    if tables:
-        own = [t for t in own if tables[0][_place((t,))]]
-    for c in combinations(own, length):
-        if length < 3 or all(tables[-1][_place(part)] for part in combinations(c, length - 1)):
-            yield c
+
+def lower_bound(n: int, bad: int) -> float:
+    """Wilson's lower bound of the blocked share."""
+    share, z2 = bad / n, Z * Z
+    return round((share + z2 / (2 * n) - Z * sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n), 12)
+
+
+def _items(baskets: DataFrame, least: int) -> DataFrame:
+    """``(item, members)``: frequent tokens, those of exactly the same URLs together; the item is named by its least token."""
+    held = baskets.select(F.explode("tokens").alias("token"), F.col("bad").cast("int").alias("bad"),
+                          F.xxhash64("tokens", "bad").alias("a"), F.xxhash64(F.reverse("tokens"), "bad", F.lit(1)).alias("b"))
+    wide = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))
+    counted = (held.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"), wide("a").alias("a"), wide("b").alias("b"))
+               .where(F.col("bad") >= least))
+    return (counted.groupBy("n", "bad", "a", "b").agg(F.sort_array(F.collect_list("token")).alias("members"))   # tokens of one URL
+            .select(F.col("members")[0].alias("item"), "members"))
 
 
 def mine_rules(labelled: DataFrame, url: str = "url", blocked: str = "blocked", min_support: float = 0.0,
-               min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT) -> list[tuple[tuple[str, ...], float, float]]:
-    """``(tokens, confidence, support)`` of the kept rules "these tokens: block", from rows ``(url, blocked)``.
+               min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT) -> list[Rule]:
+    """The kept rules, from rows ``(url, blocked)``.
 
-    Confidence is the blocked share of the labelled URLs with these tokens, support their blocked ones' share of all.  A
-    rule's tokens are in ``min_count`` blocked URLs and in the share ``min_support`` of all at least.  Rows with a null label
-    or without tokens teach nothing."""
+    A rule's items are in ``min_count`` blocked URLs and in the share ``min_support`` of all at least.  Rows with a null label
+    or without tokens teach nothing; repeated rows count each time; without a blocked URL there is no rule."""
     spark = labelled.sparkSession
 
-    def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bad = batch.column(1).to_pylist()
             out = [sorted(tokens_of(u)) if b is not None else [] for u, b in zip(batch.column(0).to_pylist(), bad)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.string())), pa.array(bad, pa.bool_())], ["items", "bad"])
-
-    def level(length: int, tables: list) -> DataFrame:
-        """``(tokens, n, bad)`` of the combinations of this length in enough blocked URLs."""
-        known = [spark.sparkContext.broadcast(t) for t in tables]
-
-        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = [np.unpackbits(t.value) for t in known]
-
-            def batch_of() -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.string())), pa.array(marks, pa.int64())], ["tokens", "bad"])
-
-            out, marks = [], []
-            for batch in batches:
-                for own, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    for c in _combinations(own, length, held):
-                        out.append(c)
-                        marks.append(int(b))
-                        if len(out) >= 10_000:
-                            yield batch_of()
-                            out, marks = [], []
-            if out:
-                yield batch_of()
-
-        return (baskets.mapInArrow(cut, "tokens array<string>, bad long").groupBy("tokens")
-                .agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")).where(F.col("bad") >= least))
-
-    def table_of(counted: DataFrame) -> np.ndarray:
-        """Bit table of the combinations that longer ones may hold.  What is blocked wherever it occurs has no better superset."""
-        place = F.pmod(F.crc32(F.array_join("tokens", "\0").cast("binary")), F.lit(1 << TABLE_BITS)).cast("int")
-        bits = np.zeros(1 << TABLE_BITS, np.uint8)
-        at = counted.where(~is_rule | (F.col("bad") < F.col("n"))).select(place.alias("p")).distinct().toPandas()["p"]   # at most the table's places
-        bits[at.to_numpy(np.int64)] = 1
-        return np.packbits(bits)
-
-    baskets = (labelled.select(F.col(url).cast("string"), F.col(blocked).cast("boolean"))
-               .mapInArrow(items, "items array<string>, bad boolean").where(F.size("items") > 0).persist())
-    levels: list[DataFrame] = []
-    try:
-        total, bad = baskets.agg(F.count(F.lit(1)), F.sum(F.col("bad").cast("long"))).first()
-        if not bad:
-            return []
-        least = max(min_count, int(np.ceil(min_support * total)))
-        share, z2 = F.col("bad") / F.col("n"), Z * Z
-        bound = ((share + z2 / (2 * F.col("n")) - Z * F.sqrt(share * (1 - share) / F.col("n") + z2 / (4 * F.col("n") * F.col("n"))))
-                 / (1 + z2 / F.col("n")))
-        is_rule = (bound >= min_confidence) & (bound > bad / total)
-        tables: list[np.ndarray] = []
-        for length in range(1, MAX_PATTERN + 1):
-            counted = level(length, tables).persist()
-            levels.append(counted)
-            if length == MAX_PATTERN or counted.limit(1).count() == 0:
-                break
-            tables.append(table_of(counted))
-        rules = levels[0]
-        for x in levels[1:]:
-            rules = rules.unionByName(x)
-        rules = rules.where(is_rule).select("tokens", "n", "bad", F.round(bound, 12).alias("bound"))
-        t = F.col("tokens")
-        parts = F.filter(F.array_distinct(F.flatten(F.transform(t, lambda x: F.array(F.array(x), F.array_remove(t, x))))),
-                         lambda p: (F.size(p) > 0) & (F.size(p) < F.size(t)))
-        inside = (rules.select("tokens", "bound", F.explode(parts).alias("part"))
-                  .join(rules.select(F.col("tokens").alias("part"), F.col("bound").alias("other")), "part")
-                  .where(F.col("other") >= F.col("bound")).select("tokens").distinct())
-        found = rules.join(inside, "tokens", "left_anti").collect()
-    finally:
-        for x in (baskets, *levels):
-            x.unpersist()
-    return sorted(((tuple(r["tokens"]), r["bad"] / r["n"], r["bad"] / total) for r in found), key=lambda r: (len(r[0]), -r[1], r[0]))
-
-
-def inverted_index(rules: Sequence[tuple[tuple[str, ...], float, float]]) -> dict[str, list[tuple[frozenset, float]]]:
-    """Rules by their rarest token (the one that the fewest rules hold, ties by name)."""
-    often: dict[str, int] = {}
-    for tokens, _, _ in rules:
-        for t in tokens:
-            often[t] = often.get(t, 0) + 1
-    index: dict[str, list[tuple[frozenset, float]]] = {}
-    for tokens, confidence, _ in rules:
-        index.setdefault(min(tokens, key=lambda t: (often[t], t)), []).append((frozenset(tokens), confidence))
-    return index
-
-
-def url_verdicts(pages: DataFrame, mined: Sequence[tuple[tuple[str, ...], float, float]],
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.string())), pa.array(bad, pa.bool_())], ["tokens", "bad"])
+
+    path = scratch_path(spark, "url-baskets")   # written, so that a lost executor changes no row
+    (labelled.select(F.col(url).cast("string"), F.col(blocked).cast("boolean"))
+     .mapInArrow(cut, "tokens array<string>, bad boolean").where(F.size("tokens") > 0).write.parquet(path))
+    baskets = spark.read.parquet(path)
+    total, bad = baskets.agg(F.count(F.lit(1)), F.sum(F.col("bad").cast("long"))).first()
+    if not bad:
+        return []
+    least = max(min_count, ceil(min_support * total))
+    items = write_table(_items(baskets, least), "url-items")
+    return _kept(_mined(baskets, items, least, total), items, total, bad / total, min_confidence)
+
+
+def _mined(baskets: DataFrame, items: DataFrame, least: int, total: int) -> DataFrame:
+    """``(items, n, bad)`` of every item set that ``least`` blocked URLs hold."""
+    of_token = broadcast_if_small(items.select(F.explode("members").alias("token"), "item"), MAX_ITEMS)
+    known = (baskets.select("tokens", "bad", F.monotonically_increasing_id().alias("uid"))
+             .select("uid", "bad", F.explode("tokens").alias("token")).join(of_token, "token")
+             .groupBy("uid", "bad").agg(F.collect_set("item").alias("own")))
+    mark = F.when(F.col("bad"), F.array(F.lit(BLOCKED))).otherwise(F.array().cast("array<string>"))
+    growth = FPGrowth(itemsCol="basket", minSupport=1.0, minConfidence=1.0)
+    rows = write_table(known.select(F.concat("own", mark).alias("basket")), "url-items-of-rows")
+    size = rows.count()
+    if size < least:
+        return baskets.sparkSession.createDataFrame([], "items array<string>, n long, bad long")
+    found = growth.setMinSupport(min(1.0, (least - 0.5) / size)).fit(rows).freqItemsets   # the library rounds the count up
+    with_mark = F.array_contains("items", BLOCKED)
+    sets = found.where(~with_mark).select(F.sort_array("items").alias("items"), F.col("freq").alias("n"))
+    marked = found.where(with_mark & (F.size("items") > 1)).select(F.sort_array(F.array_remove("items", BLOCKED)).alias("items"), F.col("freq").alias("bad"))
+    return sets.join(marked, "items")
+
+
+def _kept(mined: DataFrame, items: DataFrame, total: int, share: float, min_confidence: float) -> list[Rule]:
+    """Rules by their bound, without those that a shorter rule inside them makes needless."""
+    # What the bound needs at least comes to the driver, in short sets first; the exact test follows there.
+    rows = mined.where(F.col("bad") >= F.lit(max(min_confidence, share)) * F.col("n")).collect()
+    bounds = {frozenset(r["items"]): lower_bound(r["n"], r["bad"]) for r in rows}
+    bounds = {k: v for k, v in bounds.items() if v >= min_confidence and v > share}
+    by_item: dict[str, list[frozenset]] = {}
+    kept: list[frozenset] = []
+    for own in sorted(bounds, key=lambda k: (len(k), sorted(k))):
+        if any(part < own and bounds[part] >= bounds[own] for item in own for part in by_item.get(item, ())):
+            continue
+        kept.append(own)
+        by_item.setdefault(min(own), []).append(own)
+    used = sorted({i for own in kept for i in own})
+    spark = items.sparkSession
+    named = spark.createDataFrame([(i,) for i in used], "item string")
+    members = {r["item"]: tuple(r["members"]) for r in items.join(F.broadcast(named), "item").collect()}
+    counts = {frozenset(r["items"]): (r["n"], r["bad"]) for r in rows}
+    out = [Rule(tuple(members[i] for i in sorted(own)), counts[own][1] / counts[own][0], counts[own][1] / total) for own in kept]
+    return sorted(out, key=lambda r: (len(r.items), -r.confidence, r.items))
+
+
+def inverted_index(rules: Sequence[Rule]) -> tuple[dict[str, int], dict[int, list[tuple[frozenset, float]]]]:
+    """``(item of each token, rules by their rarest item)`` (the one that the fewest rules hold, ties by name)."""
+    place = {item: k for k, item in enumerate(sorted({i for r in rules for i in r.items}))}
+    often = Counter(place[i] for r in rules for i in r.items)
+    index: dict[int, list[tuple[frozenset, float]]] = {}
+    for r in rules:
+        own = frozenset(place[i] for i in r.items)
+        index.setdefault(min(own, key=lambda k: (often[k], k)), []).append((own, r.confidence))
+    return {t: k for item, k in place.items() for t in item}, index
+
+
+def url_verdicts(pages: DataFrame, mined: Sequence[Rule],
                  rules: Sequence[tuple[str, str]] = URL_RULES, page_id: str = "page_id", url: str = "url") -> DataFrame:
     """``(page_id, host, path, rule, verdict, confidence)`` of every row: the longest explicit rule's verdict, else
     "block" with the confidence of the best mined rule that matches, else "allow" (confidence null).
@@ -200,7 +197,7 @@ def url_verdicts(pages: DataFrame, mined: Sequence[tuple[tuple[str, ...], float,
     index = pages.sparkSession.sparkContext.broadcast(inverted_index(mined))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_token = index.value
+        item_of, by_item = index.value
         for batch in batches:
             rows = []
             for u in batch.column(1).to_pylist():
@@ -209,8 +206,8 @@ def url_verdicts(pages: DataFrame, mined: Sequence[tuple[tuple[str, ...], float,
                 if fit:
                     rows.append((host, path, fit[0], fit[1], None))
                     continue
-                own = set(tokens_of(u)) if by_token else set()
-                best = max((c for t in own for need, c in by_token.get(t, ()) if need <= own), default=None)
+                own = {item_of[t] for t in tokens_of(u) if t in item_of} if by_item else set()
+                best = max((c for k in own for need, c in by_item.get(k, ()) if need <= own), default=None)
                 rows.append((host, path, None, "allow" if best is None else "block", best))
             columns = list(zip(*rows)) if rows else [[]] * 5
             kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.float64()]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -103,6 +104,20 @@ def test_token_files(spark, docs, empty, tmp_path):
     assert token_files.read_token_files(spark, path).count() == 0
 
 
+def test_token_files_deal_out_an_id_of_many_rows(spark, tmp_path):
+    rows = [(None if k % 3 else 7 if k % 2 else k, f"word{k} and {k % 11}") for k in range(1500)]
+    hot = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    path = token_files.write_token_files(hot, str(tmp_path / "hot"), BPE, 2)
+    sizes = sorted(r["count"] for r in spark.read.parquet(f"{path}/blocks").selectExpr("part", "size(keys) n").groupBy("part").sum("n").withColumnRenamed("sum(n)", "count").collect())
+    assert sizes[-1] < 100                                  # of 1,000 rows without an id
+    place, order = 0, []
+    for r in sorted(token_files.read_token_files(spark, path, with_ids=True).collect(), key=lambda r: r["start"]):
+        assert r["start"] == place
+        place += r["n_tokens"]
+        order.append((r["doc_id"] is not None, r["doc_id"] or 0))
+    assert order == sorted((i is not None, i or 0) for i, _ in rows)
+
+
 @pytest.mark.parametrize("n", [1, 63, 64, 5000, 40_000])
 def test_rans_round_trip_and_checksum(n):
     ids = np.random.default_rng(n).zipf(1.3, n) % 50_000
@@ -303,17 +318,25 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score(empty, none).count() == 0 and none.weights == {}
 
 
-def test_swaps_lower_the_change_of_a_score():
+def _weights(rows, pairs, size, **settings):
+    x = toxicity.held_matrix((h for h, _ in rows), len(rows), size)
+    return toxicity.fit_weights(x, np.array([y for _, y in rows], float), pairs, **settings)
+
+
+def test_swaps_lower_the_change_of_a_score(monkeypatch):
     rows = [({0, 2} if k % 2 else {0}, k % 2) for k in range(200)] + [({1}, 0)] * 100
-    free = toxicity.fit_weights(rows, [], 4, counterfactual=0.0)
-    tied = toxicity.fit_weights([({*h, 3} if y else h, y) for h, y in rows], [([3], [1])] * 20, 4)
+    free = _weights(rows, [], 4, counterfactual=0.0)
+    tied_rows = [({*h, 3} if y else h, y) for h, y in rows]
+    tied = _weights(tied_rows, [([3], [1])] * 20, 4)
     assert abs(tied[3] - tied[1]) < 0.2 < abs(free[2])
+    monkeypatch.setattr(toxicity, "ROWS_AT_ONCE", 7)      # blocks change nothing
+    np.testing.assert_allclose(_weights(tied_rows, [([3], [1])] * 20, 4), tied, rtol=1e-9)
 
 
 def test_every_sentence_of_a_long_text_is_penalised(spark, monkeypatch):
     seen = {}
     fit_weights = toxicity.fit_weights
-    monkeypatch.setattr(toxicity, "fit_weights", lambda rows, pairs, size: seen.update(pairs=pairs) or fit_weights(rows, pairs, size))
+    monkeypatch.setattr(toxicity, "fit_weights", lambda x, y, pairs: seen.update(pairs=pairs) or fit_weights(x, y, pairs))
     text = " ".join(f"Number {k} of the women came." for k in range(50)) + " A muslim came."
     rows = [(k, text if k == 0 else f"plain word{k}" if k % 2 else f"nasty word{k}") for k in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -341,12 +364,17 @@ def test_url_rules(spark):
 def test_mined_url_rules(spark):
     rows = [(f"http://casino{k % 3}.example.com/{'win' if k % 2 else 'news'}/{k}", k % 2 == 1) for k in range(200)] + [(None, True), ("http://x.com/", None)]
     mined = url_filters.mine_rules(spark.createDataFrame(rows, "url string, blocked boolean"), min_support=0.05, min_confidence=0.9)
-    assert ("p:win",) in [r[0] for r in mined] and len(mined) < 10
+    assert ("p:win",) in _expanded(mined) and len(mined) < 10
     pages = spark.createDataFrame([(1, "http://other.com/win/2"), (2, "http://other.com/news/2")], "page_id long, url string")
     assert [r["verdict"] for r in sorted(url_filters.url_verdicts(pages, mined).collect())] == ["block", "allow"]
     assert url_filters.mine_rules(spark.createDataFrame([], "url string, blocked boolean")) == []
 
 
+def _expanded(mined):
+    """Every token set that the rules stand for, with its confidence."""
+    return {tuple(sorted(c)): r.confidence for r in mined for c in itertools.product(*r.items)}
+
+
 def _mined(spark, rows):
     return url_filters.mine_rules(spark.createDataFrame(rows, "url string, blocked boolean").repartition(3))
 
@@ -355,26 +383,53 @@ def test_mined_url_rules_hold_at_every_size(spark):
     """A rare host that is always blocked is a rule however many URLs there are; a few rows by chance never are."""
     plain = [(f"http://{chr(97 + k % 13)}.example.com/{chr(97 + k % 7)}/{k}", k % 4 == 0) for k in range(8000)]
     rare = [(f"http://bad.example.com/a/{k}", True) for k in range(12)]
-    assert [r[0] for r in _mined(spark, plain + rare)] == [("h:bad",)]
+    assert list(_expanded(_mined(spark, plain + rare))) == [("h:bad",)]
     assert _mined(spark, plain[:80]) == []
     pair = [(f"http://{'x' if k % 2 else 'y'}.example.com/{'u' if k % 4 > 1 else 'v'}/{k}", k % 4 == 3) for k in range(400)]   # x and u together
     mined = _mined(spark, pair)
-    assert ("h:x", "p:u") in [r[0] for r in mined] and all(len(r[0]) == 2 for r in mined)
+    assert ("h:x", "p:u") in _expanded(mined) and all(len(r.items) == 2 for r in mined)
 
 
 def test_mined_url_rules_see_all_tokens_and_keep_independent_rules(spark):
     deep = "/".join(f"part{k}" + "x" * (k % 3) for k in range(20))
     rows = [(f"http://www.example.com/{deep}/{'spam' if k % 2 else 'ham'}?id={k}&{'aff' if k % 2 else 'ref'}=1", k % 2 == 1) for k in range(60)]
     mined = _mined(spark, rows)
-    assert {("p:spam",), ("q:aff",)} <= {r[0] for r in mined} and len(mined) == 2
+    assert set(_expanded(mined)) == {("p:spam",), ("q:aff",)} and len(mined) == 1
     pages = spark.createDataFrame([(1, rows[1][0]), (2, rows[2][0])], "page_id long, url string")
     assert [r["verdict"] for r in sorted(url_filters.url_verdicts(pages, mined, ()).collect())] == ["block", "allow"]
     crowd = [(f"http://h{f}.z{f}.zz{f}/" + "/".join(f"w{f}x{c}" for c in "abcdefgh"), True) for f in range(3) for _ in range(20)]   # 3 sets of 12 tokens
     mixed = [(f"http://example.org/lose/{k}", k % 20 != 0) for k in range(100)] + [(f"http://example.org/keep/{k}", False) for k in range(300)]
-    got = {r[0]: r[1] for r in _mined(spark, crowd + mixed)}
+    got = _expanded(_mined(spark, crowd + mixed))
     assert got["p:lose",] == 0.95 and got["h:h0",] == 1.0 and all(len(r) == 1 for r in got)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_mined_rules_against_brute_force(spark, seed):
+    """All token sets of any length, those of URLs with up to seven tokens."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(500):
+        own = [rng.choice("abc"), *rng.sample("defgh", rng.randint(1, 4))]
+        bad = {"a", "d"} <= set(own) or {"b", "e", "f", "g"} <= set(own) or rng.random() < 0.1
+        rows.append((f"http://{own[0]}/{'/'.join(own[1:])}" + (f"?{own[0]}x=1" if own[0] == "a" else ""), bad))
+    got = _mined(spark, rows)
+    baskets = [(frozenset(url_filters.tokens_of(u)), b) for u, b in rows]
+    share = sum(b for _, b in baskets) / len(baskets)
+    rules = {}
+    for c in {c for own, b in baskets if b for k in range(1, len(own) + 1) for c in map(frozenset, itertools.combinations(own, k))}:
+        n, bad = sum(c <= own for own, _ in baskets), sum(c <= own and b for own, b in baskets)
+        bound = url_filters.lower_bound(n, bad)
+        if bad >= url_filters.MIN_COUNT and bound >= url_filters.MIN_CONFIDENCE and bound > share:
+            rules[c] = (bound, bad / n)
+    want = {tuple(sorted(c)): conf for c, (bound, conf) in rules.items() if not any(p < c and rules[p][0] >= bound for p in rules)}
+    assert _expanded(got) == want and want
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows)], "page_id long, url string")
+    verdicts = {r["page_id"]: (r["verdict"], r["confidence"]) for r in url_filters.url_verdicts(pages, got, ()).collect()}
+    for k, (own, _) in enumerate(baskets):
+        best = max((conf for c, conf in want.items() if set(c) <= own), default=None)
+        assert verdicts[k] == ("allow" if best is None else "block", best)
+
+
 PROSE = "This is the main text of the page, and it has been written with all of the words that are in a sentence of this length. " * 3
 
 
