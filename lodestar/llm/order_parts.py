@@ -6,6 +6,7 @@ binary search over a bounded array and a part's first row is known by its id.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,15 +19,21 @@ MOST_PARTS = 100_000
 
 @dataclass(frozen=True)
 class Parts:
-    """Ascending first ids of parts 1, 2, ...; ``least`` is the smallest id (None for an empty table)."""
+    """Ascending first ids of parts 1, 2, ...; ``least`` is the smallest id (None for an empty table); ``hot`` are ids of more rows than a shuffle partition's share."""
 
     bounds: np.ndarray
     least: int | None
+    hot: tuple[int, ...] = ()
 
     @property
     def count(self) -> int:
         return len(self.bounds) + 1
 
+    def with_hot_apart(self) -> Parts:
+        """The same parts, but a hot id is a part of its own."""
+        cuts = {k for h in self.hot for k in (h, h + 1) if k != self.least and k < 1 << 63}
+        return Parts(np.array(sorted({*self.bounds.tolist(), *cuts}), np.int64), self.least, self.hot)
+
     def of(self, keys: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bounds, keys, side="right")
 
@@ -43,4 +50,6 @@ def parts_of(docs: DataFrame, doc_id: str = "doc_id", per_task: int = 8) -> Part
     row = keys.agg(F.min("k").alias("least"),
                    F.percentile_approx("k", quantiles, 10 * want).alias("bounds")).first()
     bounds = sorted({b for b in (row["bounds"] or []) if b > row["least"]})
-    return Parts(np.array(bounds, np.int64), row["least"])
+    # An id that several quantiles fall on holds as many parts' rows.
+    hot = sorted(k for k, n in Counter(row["bounds"] or []).items() if n > per_task)
+    return Parts(np.array(bounds, np.int64), row["least"], tuple(hot))

@@ -30,6 +30,8 @@ from .registry import query
 
 BLOCK_IDS = 1 << 19   # a block is closed by the document that brings it to so many ids
 
+HOT_PARTS = 64        # parts of an id that holds more rows than a shuffle partition's share
+
 BLOCK_SCHEMA = ("part int, first_key long, uid long, n_ids long, keys array<long>, lens array<long>, payload binary")
 
 
@@ -55,10 +57,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
     """Write ``path/table`` (id, frequency count) and ``path/blocks`` (``BLOCK_SCHEMA``); return ``path``.
 
     Null texts are empty (only the end id); null ids come first; rows with the same id stay rows of their own, in the
-    order of their ids' bytes; an empty table writes no blocks.  Other columns are not read.
+    order of their ids' bytes (an id of very many rows is dealt out to ``HOT_PARTS`` parts by a hash of the text, which come one after another);
+    an empty table writes no blocks.  Other columns are not read.
     """
     spark = docs.sparkSession
-    parts = parts_of(docs, doc_id)
+    parts = parts_of(docs, doc_id).with_hot_apart()
     known = spark.sparkContext.broadcast(parts)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,8 +69,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
         end = np.array([] if end_id is None else [end_id], np.uint32)
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
-            part = known.value.of(keys).astype(np.int32)
+            part = (known.value.of(keys) * HOT_PARTS).astype(np.int32)
+            hot = np.isin(keys, known.value.hot)
             for at, texts in slices(texts_of(batch.column(1)), 8 << 20):
+                for i in np.flatnonzero(hot[at:at + len(texts)]).tolist():
+                    part[at + i] += zlib.crc32(texts[i].as_py().encode("utf-8", "surrogatepass")) % HOT_PARTS
                 n, ids = ids_of(texts, tokenizer, cache)
                 ends = np.cumsum(n)
                 packed = [_pack(np.concatenate([ids[e - k:e], end])) for e, k in zip(ends.tolist(), n.tolist())]
