@@ -21,7 +21,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_small
 from ..session import scratch_path
+from ..sinks.tables import write_table
 from ..sources.tables import table
 from .jaccard_join import unused
 from .registry import query
@@ -34,6 +36,7 @@ DEFAULT_WEIGHT = 1.0
 BUDGET_SHARE = 0.6       # of the corpus' tokens
 MAX_EPOCHS = 2
 SEED = 17
+MAX_LEAVES = 100_000     # rows of a leaf table that is broadcast; a larger one is joined by shuffling
 RANGES = 4096            # hash ranges; 12 of the 60 hash bits
 NONE = "none"            # of a null language or source
 LEAF = ["domain", "lang", "source"]
@@ -124,6 +127,8 @@ def mix(docs: DataFrame, budget_share: float = BUDGET_SHARE, max_epochs: int = M
     plan = (leaf_budgets(leaves, budget_share * total, max_epochs, domain_weights, lang_weights, source_weights)
             .select(*LEAF, F.floor(F.col("budget") / F.col("tokens")).cast("int").alias("whole"),
                     (F.col("budget") % F.col("tokens")).alias("rest")))
+    # A row for each leaf: written once, and broadcast if they are few, so that the rows of a large leaf stay where they are.
+    plan = broadcast_if_small(write_table(plan, "mix-plan"), MAX_LEAVES)
     placed = (rows.join(plan, LEAF).withColumn("h", order_hash(F.col("doc_id"), F.col("whole"), seed))
               .withColumn("range", F.shiftright(F.col("h"), 48).cast("int")))
     # Where the budget ends: one row for each leaf and hash range, at most RANGES a leaf.
@@ -132,7 +137,7 @@ def mix(docs: DataFrame, budget_share: float = BUDGET_SHARE, max_epochs: int = M
     ends = (sums.withColumn("upto", F.sum("n").over(in_leaf)).where(F.col("upto") > F.col("rest"))
             .groupBy(*LEAF).agg(F.min_by(F.struct(F.col("range").alias("end_range"), (F.col("upto") - F.col("n")).alias("used")), "range").alias("e"))
             .select(*LEAF, "e.end_range", "e.used"))
-    placed = placed.join(ends, LEAF)
+    placed = placed.join(broadcast_if_small(write_table(ends, "mix-ends"), MAX_LEAVES), LEAF)
     inside = placed.where(F.col("range") < F.col("end_range"))
     edge = placed.where(F.col("range") == F.col("end_range"))
     run = Window.partitionBy(*LEAF).orderBy("h", "doc_id", "n_tokens").rangeBetween(Window.unboundedPreceding, Window.currentRow)
