@@ -10,17 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.llm import jaccard_join, quality_rules, sentence_pieces, source_mix, toxicity as toxic
-from lodestar.session import scratch_path
+from lodestar.session import bound_arrow_batches, scratch_path
 from lodestar.sources.tables import table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the counterfactual-regularised classifier predicts to be toxic."""
+    bound_arrow_batches(spark)   # whole rows go through Python from here on
     return toxic.drop_toxic(docs, toxic.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the base rules or stray from the references of their language."""
+    bound_arrow_batches(spark)
     return quality_rules.keep_good(docs)
 
 
@@ -37,6 +39,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document by piece_bpe_32k.model, with digests of the ids and of the decoded text."""
     import public_tokenizers
+    bound_arrow_batches(spark)
     return sentence_pieces.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True).drop("decoded")
 
 

@@ -6,7 +6,9 @@ does not depend on the size of its partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,22 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.
         to = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield at, texts.slice(at, to - at)
         at = to
+    give_back()
+
+
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):   # another C library
+        return None
+
+
+def give_back() -> None:
+    """Return freed memory to the system; a worker serves many tasks, and what one of them needed at most would stay with it."""
     pa.default_memory_pool().release_unused()
+    if (trim := _trim()) is not None:
+        trim(0)
 
 
 def has_space_runs(texts: pa.Array) -> np.ndarray:

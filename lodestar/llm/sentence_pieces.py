@@ -2,8 +2,8 @@
 
 In this model no piece holds the white-space marker behind another character, so no merge crosses from
 one word into the next word's marker, and a text's ids are the ids of its marked words one after another
-(checked when the model is loaded; a model with crossing pieces is encoded text by text).  Each worker keeps
-the distinct words of its parts in a table, segments each of them once, and joins the ids back by position
+(checked when the model is loaded; a model with crossing pieces is encoded text by text).  Each task keeps
+distinct words of its texts in a table, segments each of them once, and joins the ids back by position
 with one gather per slice of texts.  Words are not shuffled: a table of all words with their positions would
 be several times the size of the input.
 """
@@ -26,6 +26,8 @@ from .arrow_text import PieceCache, distinct, ragged_take, segment_sums, slices,
 from .registry import query
 
 MARK = "▁"
+HELD_WORDS = 100_000   # distinct words that a task keeps
+SLICE = 1 << 20
 # A marked word: its markers and what follows up to the next marker, or markers that end the text.
 MARKED_WORD = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -42,12 +44,6 @@ def load(path: str):
     return sp, apart and "".join(probe) == f"{MARK}a{MARK}{MARK}b{MARK}"
 
 
-@lru_cache(maxsize=4)
-def held(path: str) -> dict[str, bytes]:
-    """The words that this worker has segmented so far."""
-    return {}
-
-
 def encode_words(path: str, words: list[str]) -> list[bytes]:
     """Ids (unsigned 32-bit, little-endian) of marked words, each given without its first marker."""
     sp, _ = load(path)
@@ -96,9 +92,9 @@ def encode_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp, _ = load(path)
         begin, end = np.array([sp.bos_id()], "<u4"), np.array([sp.eos_id()], "<u4")
-        cache = PieceCache(lambda xs: encode_words(path, xs), held(path), cap=300_000)
+        cache = PieceCache(lambda xs: encode_words(path, xs), cap=HELD_WORDS)   # goes with the task
         for batch in batches:
-            for at, texts in slices(texts_of(batch.column(1))):
+            for at, texts in slices(texts_of(batch.column(1)), SLICE):
                 counts, ids = encode_texts(texts, path, cache)
                 ends = np.cumsum(counts)
                 digests, decoded, lists, plain = [], [], [], []

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from .arrow_text import distinct, slices, strings, texts_of, words
+from .arrow_text import distinct, give_back, slices, strings, texts_of, words
 from .registry import query
 
 FIT_ROWS = 20_000        # labelled rows that a fit may use
@@ -42,6 +42,7 @@ SWAPS = 4
 THRESHOLD = 0.7
 HELD_FEATURES = 100_000   # features that a task counts before it reports them
 SLICE = 2 << 20
+ROWS_AT_ONCE = 2000      # labelled rows in a block of the fit
 
 # Names of groups that neutral text mentions; a parameter of the fit.
 IDENTITY_TERMS = tuple("""women men girls boys woman man muslim muslims christian christians jewish jews hindu hindus buddhist
@@ -124,35 +125,50 @@ def swap_sums(pairs: Iterable[tuple[list[int], list[int]]]) -> Counter[tuple[int
     return out
 
 
-def fit_weights(rows: list[tuple[set[int], int]], pairs: Iterable[tuple[list[int], list[int]]] | Mapping[tuple[int, int], int], size: int,
+def held_matrix(rows: Iterable[Iterable[int]], n: int, size: int) -> np.ndarray:
+    """One byte for each row and feature, whether the row holds it; the last column, of the constant, is always held."""
+    x = np.zeros((n, size + 1), bool)
+    for i, held in enumerate(rows):
+        x[i, list(held)] = True
+    x[:, size] = True
+    return x
+
+
+def fit_weights(x: np.ndarray, y: np.ndarray, pairs: Iterable[tuple[list[int], list[int]]] | Mapping[tuple[int, int], int],
                 ridge: float = RIDGE, counterfactual: float = COUNTERFACTUAL, rounds: int = 25) -> np.ndarray:
-    """Weights (the constant last) by Newton steps; ``pairs`` are the (lost, gained) features of swaps, or their ``swap_sums``."""
-    x = np.zeros((len(rows), size + 1))
-    y = np.array([t for _, t in rows], float)
-    for i, (held, _) in enumerate(rows):
-        x[i, list(held)] = 1
-    x[:, size] = 1
+    """Weights (the constant last) by Newton steps over a ``held_matrix``; ``pairs`` are the (lost, gained) features of swaps, or their ``swap_sums``.
+
+    Sums over rows go block by block, so the driver holds a byte for each row and feature and little else."""
+    n, size = len(x), x.shape[1] - 1
     d = np.zeros((size + 1, size + 1))
     sums = dict(pairs if isinstance(pairs, Mapping) else swap_sums(pairs))
     swaps = sums.pop((-1, -1), 0)
     for (i, j), v in sums.items():
         d[i, j] = v
-    fixed = 2 * counterfactual * d / max(1, swaps) * max(1.0, len(rows) / 100)
+    fixed = 2 * counterfactual * d / max(1, swaps) * max(1.0, n / 100)
     fixed += np.diag([ridge * 2] * size + [1e-6])
     # Both classes weigh alike up to a factor of three, so that the rarer one is not scored away.
-    share = y.mean() if len(y) else 0.5
+    share = y.mean() if n else 0.5
     heavy = np.where(y == 1, min(3.0, max(1.0, (1 - share) / max(share, 1e-9))), 1.0)
+    blocks = [slice(at, at + ROWS_AT_ONCE) for at in range(0, n, ROWS_AT_ONCE)]
     w = np.zeros(size + 1)
 
+    row, column = (at.astype(np.int32) for at in np.nonzero(x))   # few features are held by a row
+
+    def sums_of(v: np.ndarray) -> np.ndarray:
+        return np.bincount(row, weights=v[column], minlength=n)
+
     def loss(v: np.ndarray) -> float:
-        z = x @ v
+        z = sums_of(v)
         return float((heavy * (np.logaddexp(0, z) - y * z)).sum() + 0.5 * v @ fixed @ v)
 
     now = loss(w)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        slope = x.T @ (heavy * (p - y)) + fixed @ w
-        curve = (x * (heavy * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + fixed
+        p = 1 / (1 + np.exp(-np.clip(sums_of(w), -40, 40)))
+        slope, curve = fixed @ w + np.bincount(column, weights=(heavy * (p - y))[row], minlength=size + 1), fixed.copy()
+        for at in blocks:
+            part = x[at].astype(float)
+            curve += (part * (heavy * np.maximum(p * (1 - p), 1e-6))[at][:, None]).T @ part
         step = np.linalg.solve(curve + 1e-9 * np.eye(size + 1), slope)
         scale = 1.0
         while scale > 1e-4 and (new := loss(w - scale * step)) > now:
@@ -245,10 +261,17 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in at], pa.int32()), pa.array([j for _, j in at], pa.int32()),
                                           pa.array([sums[x] for x in at], pa.int64())], ["i", "j", "v"])
 
-    data = taught.mapInArrow(encode, "y int, held array<int>").collect()  # one row for each id, so <= fit_rows
+    data = taught.mapInArrow(encode, "y int, held array<int>").toArrow()  # one row for each id, so <= fit_rows
+    held_by = data["held"].combine_chunks()
+    x = np.zeros((len(data), len(names) + 1), bool)
+    x[np.repeat(np.arange(len(data)), np.diff(held_by.offsets.to_numpy())), held_by.flatten().to_numpy()] = True
+    x[:, -1] = True
+    y = data["y"].to_numpy().astype(float)
     # At most the square of the features, whatever the texts hold.
     swaps = {(r["i"], r["j"]): r["v"] for r in taught.mapInArrow(swap, "i int, j int, v long").groupBy("i", "j").agg(F.sum("v").alias("v")).collect()} if terms else {}
-    weights = fit_weights([(set(r["held"]), r["y"]) for r in data], swaps, len(names))
+    weights = fit_weights(x, y, swaps)
+    del x, y, data, held_by, rows
+    give_back()   # the driver serves other work
     return Model({f: float(weights[i]) for f, i in place.items()}, float(weights[-1]))
 
 
