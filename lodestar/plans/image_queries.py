@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from ..operators import labels as L
 from ..session import local_path, scratch_path
 from ..sources import images as IM
-from ..sources.provider import provide
+from ..sinks.tables import write_table
+from ..sources.provider import at_places, stream_places
 from ..sources.tables import table
 from .registry import query
 
@@ -154,13 +155,15 @@ def src_provider(spark, sf_dir):
     """SRC-13: the training run (20 batches of 32 over as many epochs as they take) and one pass of evaluation, all batches full."""
     root = write_embedding_images(spark, sf_dir)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    keys = IM.scan_image_dir(spark, root).select(_vec_id().alias("vec_id"))
+    # The folders are listed once: counts and numbering read the written keys.
+    keys = write_table(IM.scan_image_dir(spark, root).select(_vec_id().alias("vec_id")), "image-keys")
     decoded, _bad = IM.read_images(spark, root)
     images = (decoded.withColumn("file_name", name).withColumn("vec_id", _vec_id())
               .withColumn("class_name", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)))
-    out = None
+    places = None
     for split, batches in (("train", PROVIDER_BATCHES), ("validation", None)):
-        own = provide(images, keys, "vec_id", PROVIDER_BATCH, batches, keep=("class_name",), summary=True).withColumn("split", F.lit(split))
-        out = own if out is None else out.unionByName(own)
+        own = stream_places(keys, "vec_id", PROVIDER_BATCH, batches).withColumn("split", F.lit(split))
+        places = own if places is None else places.unionByName(own)
+    out = at_places(images, places, "vec_id", keep=("class_name",), summary=True)
     return out.select("split", "epoch", "batch_id", "place", "vec_id", "class_name",
                       F.round("pixel_mean", 6).alias("pixel_mean"), F.round("pixel_scale", 6).alias("pixel_scale"))

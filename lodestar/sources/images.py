@@ -71,11 +71,16 @@ def read_images(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
 def _crop_pad(h: int, w: int, th: int, tw: int, img: np.ndarray) -> np.ndarray:
     """Centre crop where larger, centre zero-pad where smaller (per axis)."""
     out = np.zeros((th, tw, img.shape[2]), dtype=np.float32)
+    part, dy, dx = _crop(h, w, th, tw, img)
+    out[dy:dy + part.shape[0], dx:dx + part.shape[1]] = part
+    return out
+
+
+def _crop(h: int, w: int, th: int, tw: int, img: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """The part of the image that stays, and its row and column in the target."""
     ch, cw = min(h, th), min(w, tw)
     sy, sx = max((h - th) // 2, 0), max((w - tw) // 2, 0)
-    dy, dx = max((th - h) // 2, 0), max((tw - w) // 2, 0)
-    out[dy:dy + ch, dx:dx + cw] = img[sy:sy + ch, sx:sx + cw]
-    return out
+    return img[sy:sy + ch, sx:sx + cw], max((th - h) // 2, 0), max((tw - w) // 2, 0)
 
 
 def crop_or_pad(images: DataFrame, height: int = TARGET_SIZE, width: int = TARGET_SIZE,
@@ -105,8 +110,26 @@ def crop_or_pad(images: DataFrame, height: int = TARGET_SIZE, width: int = TARGE
     def _one(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
         stats = []
+        lines, columns = np.arange(height, dtype=np.float64), np.arange(width, dtype=np.float64)
+        size = height * width * 3
         for h, w, c, data in zip(pdf["height"], pdf["width"], pdf["channels"], pdf["data"]):
             bgr = np.frombuffer(data, dtype=np.uint8).reshape(int(h), int(w), int(c))
+            if summary:
+                # Sums over the cropped part alone: the padding adds zeros.  Bytes are whole numbers, so these sums are exact.
+                part, top, left = _crop(int(h), int(w), height, width, bgr.astype(np.float64))
+                plane = part.sum(axis=2)
+                by_line, by_column = plane.sum(axis=1), plane.sum(axis=0)
+                total = float(plane.sum())
+                sums = (total, float(by_line @ lines[top:top + len(by_line)]), float(by_column @ columns[left:left + len(by_column)]))
+                mu = total / size
+                variance = max(float((part * part).sum()) / size - mu * mu, 0.0)
+                scale = max(float(np.sqrt(variance)), 1.0 / np.sqrt(size))
+                stats.append((mu, scale))
+                if standardize:
+                    whole = (size, 3.0 * width * lines.sum(), 3.0 * height * columns.sum())
+                    sums = tuple((s - mu * n) / scale for s, n in zip(sums, whole))
+                rows.append(sums)
+                continue
             out = _crop_pad(int(h), int(w), height, width, bgr[:, :, ::-1].astype(np.float32))
             o64 = out.astype(np.float64)
             mu = float(o64.mean())
@@ -114,13 +137,7 @@ def crop_or_pad(images: DataFrame, height: int = TARGET_SIZE, width: int = TARGE
             stats.append((mu, scale))
             if standardize:
                 out = ((o64 - mu) / scale).astype(np.float32)
-            if summary:
-                rr = np.arange(height, dtype=np.float64)[:, None, None]
-                cc = np.arange(width, dtype=np.float64)[None, :, None]
-                o = out.astype(np.float64)
-                rows.append((float(o.sum()), float((o * rr).sum()), float((o * cc).sum())))
-            else:
-                rows.append(out.ravel())
+            rows.append(out.ravel())
         res = pdf[keep].copy()
         if summary:
             res["total"], res["row_moment"], res["col_moment"] = zip(*rows) if rows else ([], [], [])

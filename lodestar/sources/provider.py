@@ -42,5 +42,10 @@ def provide(images: DataFrame, keys: DataFrame, key: str, batch_size: int, batch
     ``images`` are decoded rows with the ``key``; ``keys`` lists the same keys without the bytes (a folder listing), so that numbering reads
     none of them.  ``summary`` gives sums and moments in place of the pixels.
     """
+    return at_places(images, stream_places(keys, key, batch_size, batches), key, size, keep, summary)
+
+
+def at_places(images: DataFrame, places: DataFrame, key: str, size: int = TARGET_SIZE, keep: tuple[str, ...] = (), summary: bool = False) -> DataFrame:
+    """``provide`` at given places, of several runs too: each image is prepared once for all of them."""
     ready = crop_or_pad(images, size, size, keep=[key, *keep], summary=summary, standardize=True)
-    return ready.join(stream_places(keys, key, batch_size, batches), key)
+    return ready.join(places, key)

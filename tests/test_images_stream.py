@@ -80,3 +80,25 @@ def test_provider_cuts_full_batches_across_epochs(spark, tmpdir_path):
     once = provide(images, keys, "name", 4, None, size=6, summary=True).collect()
     assert len(once) == 4 and {r["epoch"] for r in once} == {0}              # evaluation: one pass, the short batch dropped
     assert epochs_needed(0, 4, 5) == 0 and stream_places(keys.limit(0), "name", 4, 5).count() == 0
+
+
+def test_summaries_equal_those_of_the_pixels_and_images_are_prepared_once(spark, tmpdir_path):
+    from lodestar.sources.provider import at_places
+    rng = np.random.default_rng(8)
+    for k, (h, w) in enumerate([(3, 9), (12, 4), (8, 8), (11, 13)]):
+        write_png(os.path.join(tmpdir_path, "rose", f"{k}.png"), rng.integers(0, 255, (h, w, 3), dtype=np.uint8))
+    ok, _ = IM.read_images(spark, tmpdir_path)
+    for standardize in (False, True):
+        full = {r["path"]: r for r in IM.crop_or_pad(ok, 8, 8, standardize=standardize).collect()}
+        for r in IM.crop_or_pad(ok, 8, 8, summary=True, standardize=standardize).collect():
+            f = full[r["path"]]
+            x = np.asarray(f["pixels"], np.float64).reshape(8, 8, 3)
+            at = np.arange(8.0)
+            want = (x.sum(), (x * at[:, None, None]).sum(), (x * at[None, :, None]).sum(), f["pixel_mean"], f["pixel_scale"])
+            np.testing.assert_allclose((r["total"], r["row_moment"], r["col_moment"], r["pixel_mean"], r["pixel_scale"]), want, rtol=1e-6, atol=1e-3)
+    images = ok.withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1))
+    keys = IM.scan_image_dir(spark, tmpdir_path).select(F.col("file_name").alias("name"))
+    places = stream_places(keys, "name", 2, 3).withColumn("split", F.lit("a")).unionByName(stream_places(keys, "name", 2).withColumn("split", F.lit("b")))
+    df = at_places(images, places, "name", 8, summary=True)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
+    assert sorted((r["split"], r["batch_id"], r["place"]) for r in df.collect()) == [("a", k // 2, k % 2) for k in range(6)] + [("b", k // 2, k % 2) for k in range(4)]
