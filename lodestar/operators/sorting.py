@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from .joins import HOT_ROWS, heavy_hitters
 
 
 def key_columns(df: DataFrame, keys: Sequence[str | int]) -> list[Column]:
@@ -95,8 +96,15 @@ def positions_in_group(df: DataFrame, group: str, keys: Sequence[str], name: str
 
     Most groups lie in one range, where a row number is the position.  A group that goes on in a later range begins that range, so it is
     among the least keys; the rows of these groups (at most one for each range) are counted by range, and a row adds those before its range.
+
+    Without ``ranges``, groups are first looked through for large ones by a sketch; if there are none, a plain row number does.
     """
     spark = df.sparkSession
+    if ranges is None:
+        total = df.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(group)).alias("named")).first()
+        if total["n"] - total["named"] <= HOT_ROWS and not heavy_hitters(df, group, total["n"]):
+            order = [c.asc_nulls_first() for c in key_columns(df, keys)]
+            return df.withColumn(name, (F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1).cast("long"))
     own, cols = F.col(group), key_columns(df, keys)
     of, _, least = key_ranges(df, [own, *cols], ranges)
     kind = df.select(group).schema[0].dataType.simpleString()

@@ -105,3 +105,12 @@ def test_positions_in_groups_that_span_ranges(spark):
         got = positions_in_group(df, "g", ["v"], ranges=ranges).collect()
         assert {(r["g"], r["v"]): r["position"] for r in got} == want and len(got) == 1500
     assert positions_in_group(df.limit(0), "g", ["v"]).count() == 0
+
+
+def test_small_groups_are_numbered_without_ranges(spark):
+    from lodestar.operators.sorting import positions_in_group
+    rows = [(k % 40 if k % 11 else None, -k) for k in range(400)]
+    df = spark.createDataFrame(rows, "g int, v int").repartition(5)
+    plain, ranged = (positions_in_group(df, "g", ["v"], "pos", n) for n in (None, 6))
+    assert "Join" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, plain.collect())) == sorted(map(str, ranged.collect())) and plain.schema == ranged.schema
