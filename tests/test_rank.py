@@ -120,3 +120,46 @@ def test_hot_targets_join_apart_with_the_same_ranks(spark, encode_ids):
     assert "LeftAnti" in split.links._jdf.queryExecution().optimizedPlan().toString()
     a, b = (as_dict(R.decode_ids(p, R.rank_round(p, R.initial_ranks(p)))) for p in (plain, split))
     assert a == b and len(a) > 100
+
+
+def test_edges_of_wide_sources_meet_at_their_target(spark):
+    pairs = [(f"s{i}", f"c{j}") for i in range(12) for j in range(90) if (i + j) % 3]
+    e = edges(spark, pairs + [(b, a) for a, b in pairs])
+    prep = R.prepare_links(e, dedupe=False, partitions=6)
+    to_c = prep.links.where("src like 's%'").groupBy("dst").agg({"src_salt": "min", "src_salt": "max"})
+    assert to_c.count() == 90
+    spread = prep.links.where("src like 's%'").select("dst", "src_salt").distinct().count()
+    assert spread == 90                                 # all edges of a customer from the suppliers lie in one bucket
+    back = prep.links.where("src like 'c%'").select("src", "src_salt").distinct().count()
+    assert back == 90                                   # a narrow source lies in one bucket
+    # A round sums per bucket before the shuffle: one row per customer, six per supplier at most.
+    got = as_dict(R.rank_round(prep, R.initial_ranks(prep)))
+    prep.release()
+    assert spark.conf.get(R.SUBSET_KEYS) == "true"
+    deg = {}
+    for a, b in pairs + [(b, a) for a, b in pairs]:
+        deg[a] = deg.get(a, 0) + 1
+    want = {}
+    for a, b in pairs + [(b, a) for a, b in pairs]:
+        want[b] = want.get(b, 0.0) + 1.0 / deg[a]
+    assert got == {k: round(v * 0.85 + 0.15, 10) for k, v in want.items()}
+
+
+def test_large_buckets_are_written_by_several_tasks(spark, monkeypatch):
+    from lodestar.sinks import tables as T
+    monkeypatch.setattr(T, "ROWS_PER_WRITE", 50)
+    rows = spark.range(400).selectExpr("cast(id % 2 as int) AS b", "id")
+    df, name, path = T.write_bucketed(rows, 2, ["b"], "t", 400, "id")
+    assert df.count() == 400 and len(df.inputFiles()) > 4
+    T.drop_table(spark, name, path)
+
+
+def test_pairs_and_edges_are_dealt_out_by_rows(spark, monkeypatch, tmpdir_path):
+    from lodestar.plans import graphs as G, rank_queries as Q
+    spark.range(300).selectExpr("id % 60 AS l_orderkey", "id % 7 AS l_suppkey").write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    spark.range(60).selectExpr("id AS o_orderkey", "id % 9 AS o_custkey").write.parquet(f"{tmpdir_path}/orders.parquet")
+    monkeypatch.setattr(G, "ROWS_PER_TASK", 20)
+    df = Q.edges_distinct(spark, tmpdir_path)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 3 and ", 30)" in plan       # 600 edges, 20 to a task
+    assert df.count() == df.distinct().count() > 0
