@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, free_shuffles
 
 MAX_ROUNDS = 60
 
@@ -45,6 +45,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if mark == tuple(seen):
             break
         mark = tuple(seen)
+        free_shuffles(edges.sparkSession)
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(

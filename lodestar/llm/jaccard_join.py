@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import free_shuffles, scratch_path
 from ..sources.tables import table
 from .arrow_text import distinct, slices, texts_of, words
 from .components import connected_components
@@ -428,6 +428,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
      .mapInArrow(_shared, "sig long, role int, key long").dropDuplicates(["sig", "role", "key"])
      .write.parquet(group_path))
     groups = spark.read.schema("sig long, role int, key long").parquet(group_path)
+    del rows
+    free_shuffles(spark)
 
     # Round one: each class against the leader that it shares most hashes with.
     is_probe, is_index = F.col("role").bitwiseAND(PROBE) > 0, F.col("role").bitwiseAND(INDEX) > 0
@@ -452,6 +454,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         tested = pairs if tested is None else tested.unionByName(pairs)
         _verified(read, pairs, classes, size, percent).write.parquet(f"{step_path}/links-{name}")
         links = spark.read.schema("a long, b long").parquet(f"{step_path}/links-{name}")
+        free_shuffles(spark)
         if parts is None:
             parts = connected_components(links)
         elif not links.isEmpty():
@@ -474,6 +477,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                  .agg(F.min_by(F.struct("sig", "m"), "sig").alias("g"))
                  .select("g.sig", F.col("g.m.component").alias("main"), F.col("g.m.pick").alias("leader")))
         placed.join(apart, "sig").write.parquet(f"{step_path}/apart-{name}")
+        free_shuffles(spark)
         return spark.read.parquet(f"{step_path}/apart-{name}")
 
     link(_possible(chosen, classes, percent), "1")

@@ -498,3 +498,12 @@ def test_swap_sums_are_the_outer_products():
         want += np.outer(v, v)
     got = toxicity.swap_sums(pairs)
     assert got.pop((-1, -1)) == 40 and all(want[i, j] == n for (i, j), n in got.items()) and np.count_nonzero(want) <= len(got)
+
+
+def test_components_free_the_shuffles_of_earlier_rounds(spark, monkeypatch):
+    from lodestar.llm import components as C
+    freed = []
+    monkeypatch.setattr(C, "free_shuffles", lambda s: freed.append(s))
+    chain = spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")
+    got = C.connected_components(chain).collect()
+    assert {r["component"] for r in got} == {0} and len(got) == 21 and len(freed) >= 2
