@@ -8,8 +8,11 @@ the library takes out first, stay whole inside a piece.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -42,9 +45,86 @@ def held(path: str, kind: str) -> dict[str, bytes]:
 AT_ONCE = 2000   # pieces that are encoded in one call
 
 
+@lru_cache(maxsize=4)
+def _byte_level(path: str) -> bool:
+    """Whether the tokenizer is a plain byte-level BPE: texts as they are, the library's ByteLevel pattern, its BPE model."""
+    t = load(path)
+    if t.normalizer is not None or t.pre_tokenizer is None or type(t.model).__name__ != "BPE" or t.model.dropout:
+        return False
+    how = json.loads(t.pre_tokenizer.__getstate__())
+    return how.get("type") == "ByteLevel" and not how.get("add_prefix_space") and how.get("use_regex", True)
+
+
+@lru_cache(maxsize=1)
+def _pre_tokens() -> re.Pattern:
+    """Pre-tokens of a piece by the ByteLevel pattern of the library, over settled characters only; others are left out.
+
+    Settled are the space, the line feed, and letters, numbers and other visible characters of the basic plane that Unicode 3.2 knew
+    as such already, so every later version of its tables, the library's among them, agrees."""
+    old = unicodedata.ucd_3_2_0
+    kinds: dict[str, list[int]] = {"L": [], "N": [], "other": []}
+    for c in range(0x21, 0xD800):
+        kind = unicodedata.category(chr(c))[0]
+        if kind == old.category(chr(c))[0] and kind in "LNMPS":
+            kinds[kind if kind in "LN" else "other"].append(c)
+
+    def ranges(chars: list[int]) -> str:
+        ends = [i for i in range(len(chars)) if i + 1 == len(chars) or chars[i + 1] > chars[i] + 1]
+        return "".join(f"\\u{chars[i]:04x}-\\u{chars[j]:04x}" for i, j in zip([0, *(e + 1 for e in ends)], ends))
+
+    letter, number, other = (ranges(kinds[k]) for k in ("L", "N", "other"))
+    return re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{letter}]+| ?[{number}]+| ?[{other}]+|[ \\n]+(?![^ \\n])|[ \\n]+")
+
+
+@lru_cache(maxsize=1)
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if visible, else one from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+HELD_PRE_TOKENS = 300_000   # in a worker
+
+
+def _by_model(path: str, pieces: list[str]) -> list[bytes | None]:
+    """Ids of each piece of settled characters, by the library's model; None for the others."""
+    split, tokenize, shown, known = _pre_tokens().findall, load(path).model.tokenize, _byte_characters(), held(path, "pre-tokens")
+    out: list[bytes | None] = []
+    for piece in pieces:
+        codes, size = [], 0
+        for w in split(piece):
+            size += len(w)
+            code = known.get(w)
+            if code is None:
+                as_bytes = w.replace(" ", shown[32]).replace("\n", shown[10]) if w.isascii() else w.encode().decode("latin-1").translate(shown)
+                ids = [x.id for x in tokenize(as_bytes)]
+                code = struct.pack(f"<{len(ids)}I", *ids)
+                if len(known) < HELD_PRE_TOKENS:
+                    known[w] = code
+            codes.append(code)
+        out.append(None if size != len(piece) else codes[0] if len(codes) == 1 else b"".join(codes))
+    return out
+
+
 def encode_pieces(path: str, pieces: list[str]) -> list[bytes]:
-    """Ids of each piece as little-endian unsigned 32-bit integers.  Many are encoded at once, parted by a special string: the library takes that out first, so
-    the pieces stay apart, and its id parts theirs."""
+    """Ids of each piece as little-endian unsigned 32-bit integers.
+
+    Pieces of a byte-level BPE that hold common characters only go to the library's model by their pre-tokens.  Of the others many are encoded
+    at once, parted by a special string: the library takes that out first, so the pieces stay apart, and its id parts theirs."""
+    t = load(path)
+    specials = t.get_added_tokens_decoder()
+    if _byte_level(path):
+        whole = "\n".join(pieces)
+        held_specials = [x.content for x in specials.values() if x.content in whole]
+        out = _by_model(path, pieces)
+        rest = [i for i, x in enumerate(out) if x is None or held_specials and any(s in pieces[i] for s in held_specials)]
+        for i, code in zip(rest, _encode_parted(path, [pieces[i] for i in rest])):
+            out[i] = code
+        return out
+    return _encode_parted(path, pieces)
+
+
+def _encode_parted(path: str, pieces: list[str]) -> list[bytes]:
     t = load(path)
     specials = t.get_added_tokens_decoder()
     parting = next(((i, x.content) for i, x in specials.items()

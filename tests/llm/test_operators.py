@@ -77,6 +77,21 @@ def test_pieces_of_both_tokenizers(text):
     assert ids.tolist() == sp.encode(text)
 
 
+def test_common_pieces_go_to_the_model_and_others_to_the_whole_library():
+    t = _library()
+    common = ["word", " word", " word,", " don't", " 'tis", "x1y22", " ###", " été", " один2", "日本語", " end.\n\nNext", " \n  two ", "\u0301a", "\uac00!"]
+    rare = ["tab\tx", " a\x85", "\u200bz", "\U0001f600!", " \u0870x", "a\x00b", "\u3000w", " \xad", "x\r\ny"]
+    special = [" x<|endoftext|>y", "<|endoftext|>"]
+    by_model = public_bpe._by_model(BPE, common + rare)
+    assert all(x is not None for x in by_model[:len(common)]) and by_model[len(common):] == [None] * len(rare)
+    pieces = common + rare + special
+    got = [np.frombuffer(x, "<u4").tolist() for x in public_bpe.encode_pieces(BPE, pieces)]
+    assert got == [t.encode(x, add_special_tokens=False).ids for x in pieces]
+    assert public_bpe._by_model(BPE, common) == by_model[:len(common)]   # once more, from what is held
+    other = public_tokenizers.path("word_bpe_49k.json")   # normalises, so its pieces stay with the library
+    assert not public_bpe._byte_level(other)
+
+
 def test_sentence_pieces(docs, empty):
     sp, _ = sentence_pieces.load(PIECES)
     want = []
