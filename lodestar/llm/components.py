@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star rounds.
 
-Every round is a grouped minimum with a join, so a node of any degree is spread over the tasks of its edges; nothing is
-collected.  Rounds are cut with reliable checkpoints.
+Every round is two grouped minima with a join each, so a node of any degree is spread over the tasks of its edges; nothing is
+collected.  Rounds are cut by written tables, whose small files are read by few tasks, and joins stay shuffled: the driver
+then keeps no broadcast tables, and few tasks and exchanges, of rounds that may be many.
 """
 
 from __future__ import annotations
@@ -9,44 +10,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, free_shuffles
+from ..session import free_shuffles, scratch_path
+from ..sinks.tables import delete_path
 
 MAX_ROUNDS = 60
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Each node links its larger neighbours to the least of its neighbourhood."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return (both.join(least, "a").where(F.col("b") > F.col("a"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b")).distinct())
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Each node links itself and its smaller neighbours to the least of them."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    linked = down.join(least, "a")
-    return (linked.select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(least.select("a", F.col("m").alias("b"))).where(F.col("a") != F.col("b")).distinct())
+def _least(edges: DataFrame) -> DataFrame:
+    """Of each node: the least of its neighbourhood, and whether it is the centre of a star or hangs on one centre only."""
+    smaller, larger = F.count_if(F.col("b") < F.col("a")), F.count_if(F.col("b") > F.col("a"))
+    return _both_ways(edges).groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"),
+                                              ((smaller == 0) | ((smaller == 1) & (larger == 0))).alias("star"))
+
+
+def _large_star(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Each node links its larger neighbours to the least of its neighbourhood: a row for each edge, its end ``a`` the larger."""
+    return (_both_ways(edges).where(F.col("b") > F.col("a")).join(least.select("a", "m").hint("merge"), "a")
+            .select(F.col("b").alias("a"), F.col("m").alias("b")))
+
+
+def _small_star(down: DataFrame) -> DataFrame:
+    """Each node ``a`` links itself and its smaller neighbours ``b`` to the least of them."""
+    linked = down.join(down.groupBy("a").agg(F.min("b").alias("m")).hint("merge"), "a")
+    return (linked.select(F.inline(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))))
+            .where(F.col("a") != F.col("b")).distinct())
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` of every node of the edges ``(a, b)``; a component is named by its least node.
 
     Loops and repeated edges are harmless; an empty edge table gives an empty table."""
-    checkpoint_dir(edges.sparkSession)
-    now = edges.select("a", "b").where(F.col("a") != F.col("b")).distinct().checkpoint(eager=True)
-    mark = None
-    for _ in range(MAX_ROUNDS):
-        now = _small_star(_large_star(now)).checkpoint(eager=True)
-        # A star forest is a fixed point: the same edges come out again.
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == tuple(seen):
-            break
-        mark = tuple(seen)
-        free_shuffles(edges.sparkSession)
-    else:
-        raise RuntimeError("components did not settle")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    spark = edges.sparkSession
+    path = scratch_path(spark, "components")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    now = written(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+                  "edges-0")
+    for i in range(MAX_ROUNDS):
+        least = written(_least(now), f"least-{i}")
+        # Where every component is a star, its least node is the centre: a further round would give the same edges.
+        if least.agg(F.coalesce(F.bool_and("star"), F.lit(True))).first()[0]:
+            delete_path(spark, f"{path}/edges-{i}")
+            return least.select(F.col("a").alias("node"), F.col("m").alias("component"))
+        now = written(_small_star(_large_star(now, least)), f"edges-{i + 1}")
+        for name in ("edges", "least"):
+            delete_path(spark, f"{path}/{name}-{i}")
+        free_shuffles(spark)
+    raise RuntimeError("components did not settle")

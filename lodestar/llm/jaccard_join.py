@@ -335,10 +335,11 @@ def _stand_in():
     return F.lit(NO_ID) + F.col("key").bitwiseAND(F.lit((1 << 61) - 1))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Edges ``(a, b)`` between class ids, of the key pairs ``(x, y)`` whose sets reach the similarity."""
-    wanted = (pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct()
-              .join(classes.select("key", "id"), "key"))
+def _verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Edges ``(a, b)`` between class ids, of the pairs ``(x, a, y, b)`` of keys and class ids whose sets reach the similarity."""
+    wanted = pairs.select(F.inline(F.array(F.struct(F.col("x").alias("key"), F.col("a").alias("id")),
+                                           F.struct(F.col("y").alias("key"), F.col("b").alias("id"))))).distinct()
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in slices(texts_of(batch.column(1)), SLICE):
@@ -362,18 +363,15 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int,
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for a, b in zip(batch.column(2), batch.column(3)):
+            for a, b in zip(batch.column("xs"), batch.column("ys")):
                 a, b = np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8")
                 at = np.searchsorted(a, b)
                 same = int((a[np.minimum(at, len(a) - 1)] == b).sum())
                 good.append(100 * same >= percent * (len(a) + len(b) - same))
             mask = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["x", "y"])
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
-    linked = both.select("x", "y", "xs", "ys").mapInArrow(check, "x long, y long").distinct()
-    ids = classes.select("key", "id")
-    return (linked.join(ids.withColumnsRenamed({"key": "x", "id": "a"}), "x").join(ids.withColumnsRenamed({"key": "y", "id": "b"}), "y")
-            .select("a", "b"))
+    return both.select("a", "b", "xs", "ys").mapInArrow(check, "a long, b long")
 
 
 BLOOM_WORDS = 1 << 18    # of 64 bits: 16 million bits in at most so many rows, whatever the input
@@ -446,13 +444,15 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     def link(pairs: DataFrame, name: str) -> None:
         """Verify the pairs that were not tested before, and join what they link to the components so far."""
         nonlocal tested, parts
-        pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        one, other = F.struct("x", "a"), F.struct(F.col("y").alias("x"), F.col("b").alias("a"))
+        pairs = (pairs.select(F.least(one, other).alias("l"), F.greatest(one, other).alias("g"))
+                 .select(F.col("l.x").alias("x"), F.col("l.a").alias("a"), F.col("g.x").alias("y"), F.col("g.a").alias("b")).distinct())
         if tested is not None:
-            pairs = pairs.join(tested, ["x", "y"], "left_anti")
+            pairs = pairs.join(tested, ["x", "a", "y", "b"], "left_anti")
         pairs.write.parquet(f"{step_path}/pairs-{name}")
-        pairs = spark.read.schema("x long, y long").parquet(f"{step_path}/pairs-{name}")
+        pairs = spark.read.schema("x long, a long, y long, b long").parquet(f"{step_path}/pairs-{name}")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        _verified(read, pairs, classes, size, percent).write.parquet(f"{step_path}/links-{name}")
+        _verified(read, pairs, size, percent).write.parquet(f"{step_path}/links-{name}")
         links = spark.read.schema("a long, b long").parquet(f"{step_path}/links-{name}")
         free_shuffles(spark)
         if parts is None:
@@ -490,13 +490,14 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                      .agg(F.min_by("key", order).alias("x"), F.first("leader").alias("y")).select("x", "y").distinct())
         link(_possible(delegates, classes, percent), name)
     # Round three: all pairs of a group that are still apart; at least one of them is outside the main component.
-    apart = members(apart, "3", F.col("key")).join(classes.select("key", "n", *MARKS), "key")
+    apart = members(apart, "3", F.col("key")).join(classes.select("key", "id", "n", *MARKS), "key")
     a, b = apart.where(F.col("component") != F.col("main")).alias("a"), apart.alias("b")
     roles = ((F.col("a.role").bitwiseAND(PROBE) > 0) & (F.col("b.role").bitwiseAND(INDEX) > 0)) | \
         ((F.col("a.role").bitwiseAND(INDEX) > 0) & (F.col("b.role").bitwiseAND(PROBE) > 0))
     once = (F.col("b.component") == F.col("b.main")) | (F.col("a.key") < F.col("b.key"))
     link(a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.component") != F.col("b.component")) & roles & once
-                & _may_link("a", "b", percent)).select(F.col("a.key").alias("x"), F.col("b.key").alias("y")), "3")
+                & _may_link("a", "b", percent))
+         .select(F.col("a.key").alias("x"), F.col("a.id").alias("a"), F.col("b.key").alias("y"), F.col("b.id").alias("b")), "3")
 
     component = F.coalesce("component", "id")
     of_class = (classes.select("key", "key2", "n", "id").join(parts.withColumnRenamed("node", "id"), "id", "left")
@@ -514,9 +515,10 @@ def _may_link(a: str, b: str, percent: int):
 
 
 def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    marks = classes.select("key", "n", *MARKS)
+    """``(x, a, y, b)``: the pairs of keys ``(x, y)`` that may link, with the ids of their classes."""
+    marks = classes.select("key", "id", "n", *MARKS)
     return (pairs.alias("p").join(marks.alias("a"), F.col("p.x") == F.col("a.key")).join(marks.alias("b"), F.col("p.y") == F.col("b.key"))
-            .where(_may_link("a", "b", percent)).select("p.x", "p.y").distinct())
+            .where(_may_link("a", "b", percent)).select("p.x", F.col("a.id").alias("a"), "p.y", F.col("b.id").alias("b")))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

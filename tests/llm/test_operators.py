@@ -522,3 +522,45 @@ def test_components_free_the_shuffles_of_earlier_rounds(spark, monkeypatch):
     chain = spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")
     got = C.connected_components(chain).collect()
     assert {r["component"] for r in got} == {0} and len(got) == 21 and len(freed) >= 2
+
+
+def test_components_of_random_edges_are_those_of_a_union_find(spark):
+    rng = np.random.default_rng(11)
+    edges = [tuple(map(int, e)) for e in rng.integers(-30, 120, (90, 2))] + [(5, 500 + i) for i in range(40)] + [(None, 3), (7, None)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            lo, hi = sorted((find(a), find(b)))
+            root[hi] = lo
+    got = components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert dict(map(tuple, got)) == {x: find(x) for x in root} and len(got) == len(root)
+
+
+def test_components_that_are_stars_take_no_round(spark, monkeypatch):
+    from lodestar.llm import components as C
+
+    def fail(*_):
+        raise AssertionError("a round over stars")
+
+    monkeypatch.setattr(C, "_small_star", fail)
+    stars = spark.createDataFrame([(k, 10 * (k // 10)) for k in range(40)] + [(10, 13), (20, 20)], "a long, b long")
+    assert dict(map(tuple, C.connected_components(stars).collect())) == {k: 10 * (k // 10) for k in range(40)}
+    assert C.connected_components(stars.where("a < 0")).collect() == []
+
+
+def test_a_round_of_components_broadcasts_nothing_and_leaves_one_table(spark, monkeypatch, tmp_path):
+    from lodestar.llm import components as C
+    monkeypatch.setattr(C, "scratch_path", lambda *_: str(tmp_path / "rounds"))
+    plans, small = [], C._small_star
+    monkeypatch.setattr(C, "_small_star", lambda down: plans.append(small(down)) or plans[-1])
+    chain = spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")
+    assert len(C.connected_components(chain).collect()) == 21
+    text = plans[0]._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+    assert len(list((tmp_path / "rounds").iterdir())) == 1        # the tables of earlier rounds are deleted
