@@ -7,6 +7,10 @@ then keeps no broadcast tables, and few tasks and exchanges, of rounds that may
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +18,7 @@ from ..session import free_shuffles, scratch_path
 from ..sinks.tables import delete_path
 
 MAX_ROUNDS = 60
+BLOCK = 1_000_000    # edges that a task contracts at once
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -40,6 +45,50 @@ def _small_star(down: DataFrame) -> DataFrame:
             .where(F.col("a") != F.col("b")).distinct())
 
 
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each node to the least node of its component, of the components of these edges."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[:len(a)], at[len(a):]
+    own = np.arange(len(nodes))
+    root, before = own.copy(), None
+    while before is None or (root != before).any():
+        before, low = root.copy(), np.minimum(root[x], root[y])
+        np.minimum.at(root, before[x], low)
+        np.minimum.at(root, before[y], low)
+        while (root[root] != root).any():
+            root = root[root]
+    hung = root != own
+    return nodes[hung], nodes[root[hung]]
+
+
+def contracted(edges: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Edges ``(a, b)`` with the components of ``edges``: each block of at most ``block`` edges is replaced by its stars.
+
+    Components over edges that fit one block then take no round, others fewer.  ``edges`` are counted first, so they
+    should be a written table; a task holds one block at a time."""
+    tasks = max(1, -(-edges.count() // block))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def stars() -> pa.RecordBatch:
+            a, b = (np.concatenate([x.column(i).to_numpy(zero_copy_only=False) for x in held]) for i in range(2))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(v) for v in _stars(a, b)], ["a", "b"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, block):
+                piece = batch.slice(at, block)
+                if held and sum(x.num_rows for x in held) + piece.num_rows > block:
+                    yield stars()
+                held.append(piece)
+        if held:
+            yield stars()
+
+    return (edges.select("a", "b").where(F.col("a") != F.col("b")).coalesce(tasks)
+            .mapInArrow(run, "a long, b long"))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` of every node of the edges ``(a, b)``; a component is named by its least node.
 

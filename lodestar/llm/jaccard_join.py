@@ -14,9 +14,8 @@ element (two units), make ``h + 1`` units, then a partner ``r`` agrees with ``s`
 * Rows meet by their hash; only hashes with a lookup and two different sets are kept (``groups``).
 * Candidates are verified exactly on the sets.  To spare work on groups of copies, equal sets are one class from the start;
   round one verifies each class against one leader (the one that it shares most hashes with) and joins them to components; round
-  two verifies, in each group that still has several components, one member of each against one of the largest, once with members
-  that are the same in all groups and once with others in each group; round three verifies all pairs of a group that are still in
-  different components.  In every round, pairs whose sizes or parity sketches already rule a link out are left (the parities of
+  two verifies, in each group that still has several components, two members of each against two of the largest, one the same in all
+  groups and one that changes with the group; round three verifies all pairs of a group that are still in different components.  In every round, pairs whose sizes or parity sketches already rule a link out are left (the parities of
   two sets' 1,024-bit sketches differ in no more bits than the sets do in elements).  Pairs inside a component need no test, so
   no group is expanded into all its pairs, and no link between components is lost.
 """
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import free_shuffles, scratch_path
 from ..sources.tables import table
 from .arrow_text import distinct, slices, texts_of, words
-from .components import connected_components
+from .components import connected_components, contracted
 from .registry import query
 
 SLICE = 4 << 20          # bytes of text that a task works on at once
@@ -356,9 +355,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
              .where(F.col("doc_id").isNull() | F.col("_perhaps")).select("doc_id", "text")
              .mapInArrow(sets, "doc_id long, key long, items binary")
              .select("key", F.coalesce("doc_id", _stand_in()).alias("id"), "items")
-             .join(wanted, ["key", "id"], "left_semi").groupBy("key").agg(F.first("items").alias("items")))
-    left = pairs.join(items.select(F.col("key").alias("x"), F.col("items").alias("xs")), "x")
-    both = left.join(items.select(F.col("key").alias("y"), F.col("items").alias("ys")), "y")
+             .join(wanted, ["key", "id"], "left_semi").groupBy("key", "id").agg(F.first("items").alias("items")))
+    left = pairs.join(items.select(F.col("key").alias("x"), F.col("id").alias("a"), F.col("items").alias("xs")), ["x", "a"])
+    both = left.join(items.select(F.col("key").alias("y"), F.col("id").alias("b"), F.col("items").alias("ys")), ["y", "b"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -456,41 +455,41 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         links = spark.read.schema("a long, b long").parquet(f"{step_path}/links-{name}")
         free_shuffles(spark)
         if parts is None:
-            parts = connected_components(links)
+            parts = connected_components(contracted(links))
         elif not links.isEmpty():
-            parts = connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
-
-    def members(rows: DataFrame, name: str, order) -> DataFrame:
-        """Rows of the groups that still have several components, with their component, the group's main (largest) one and its
-        first member in ``order``."""
-        named = (classes.select("key", "id").join(parts.withColumnRenamed("node", "id"), "id", "left")
-                 .select("key", F.coalesce("component", "id").alias("component")))
-        placed = rows.select("sig", "role", "key").join(named, "key")
+            parts = connected_components(contracted(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)))
+
+    def members(rows: DataFrame, name: str) -> DataFrame:
+        """Rows ``(sig, role, key, id)`` of the groups that still have several components, with their component, the group's main
+        (largest) one and its first member in each of two orders."""
+        placed = (rows.select("sig", "role", "key", "id").join(parts.withColumnRenamed("node", "id"), "id", "left")
+                  .withColumn("component", F.coalesce("component", "id")))
         # Groups of the same rows would give the same pairs: one of them is enough.
         per_part = placed.groupBy("sig", "component").agg(
-            F.count(F.lit(1)).alias("c"), F.min_by("key", order).alias("pick"),
+            F.count(F.lit(1)).alias("c"), F.min("key").alias("pick"), F.min_by("key", other).alias("pick2"),
             *[F.bit_xor(F.xxhash64("key", "role", F.lit(i))).alias(f"f{i}") for i in range(2)])
         apart = (per_part.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum("c").alias("c"),
-                                             F.max_by(F.struct("component", "pick"), F.struct("c", "component")).alias("m"),
+                                             F.max_by(F.struct("component", "pick", "pick2"), F.struct("c", "component")).alias("m"),
                                              *[F.bit_xor(f"f{i}").alias(f"f{i}") for i in range(2)])
                  .where(F.col("lo") != F.col("hi")).groupBy("c", "f0", "f1")
                  .agg(F.min_by(F.struct("sig", "m"), "sig").alias("g"))
-                 .select("g.sig", F.col("g.m.component").alias("main"), F.col("g.m.pick").alias("leader")))
+                 .select("g.sig", F.col("g.m.component").alias("main"), F.col("g.m.pick").alias("leader"),
+                         F.col("g.m.pick2").alias("leader2")))
         placed.join(apart, "sig").write.parquet(f"{step_path}/apart-{name}")
         free_shuffles(spark)
         return spark.read.parquet(f"{step_path}/apart-{name}")
 
     link(_possible(chosen, classes, percent), "1")
-    # Round two, twice: of each other component of a group, one member against one of the main component.  First the same member in
-    # all groups of a set, so that few pairs are made, then one that changes with the group, so that a set meets several others.
-    apart = groups
-    for name, order in (("2", F.col("key")), ("2b", F.xxhash64("key", "sig"))):
-        apart = members(apart, name, order)
-        delegates = (apart.where(F.col("component") != F.col("main")).groupBy("sig", "component")
-                     .agg(F.min_by("key", order).alias("x"), F.first("leader").alias("y")).select("x", "y").distinct())
-        link(_possible(delegates, classes, percent), name)
+    # Round two: of each other component of a group, two members against two of the main component.  One is the same in all groups
+    # of a set, so that few pairs are made, the other changes with the group, so that a set meets several others.
+    other = F.xxhash64("key", "sig")
+    apart = members(groups.join(classes.select("key", "id"), "key"), "2")
+    delegates = (apart.where(F.col("component") != F.col("main")).groupBy("sig", "component")
+                 .agg(F.min("key").alias("x"), F.first("leader").alias("y"), F.min_by("key", other).alias("x2"), F.first("leader2").alias("y2"))
+                 .select(F.inline(F.array(F.struct("x", "y"), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))))).distinct())
+    link(_possible(delegates, classes, percent), "2")
     # Round three: all pairs of a group that are still apart; at least one of them is outside the main component.
-    apart = members(apart, "3", F.col("key")).join(classes.select("key", "id", "n", *MARKS), "key")
+    apart = members(apart, "3").join(classes.select("key", "id", "n", *MARKS), ["key", "id"])
     a, b = apart.where(F.col("component") != F.col("main")).alias("a"), apart.alias("b")
     roles = ((F.col("a.role").bitwiseAND(PROBE) > 0) & (F.col("b.role").bitwiseAND(INDEX) > 0)) | \
         ((F.col("a.role").bitwiseAND(INDEX) > 0) & (F.col("b.role").bitwiseAND(PROBE) > 0))

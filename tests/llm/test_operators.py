@@ -564,3 +564,36 @@ def test_a_round_of_components_broadcasts_nothing_and_leaves_one_table(spark, mo
     text = plans[0]._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" in text and "Broadcast" not in text
     assert len(list((tmp_path / "rounds").iterdir())) == 1        # the tables of earlier rounds are deleted
+
+
+def test_contracted_edges_keep_the_components_and_take_no_round_in_one_block(spark, monkeypatch, tmp_path):
+    from lodestar.llm import components as C
+    rng = np.random.default_rng(5)
+    edges = [tuple(map(int, e)) for e in rng.integers(-40, 200, (150, 2))] + [(i, i + 1) for i in range(300, 400)] + [(None, 3), (7, None), (9, 9)]
+    spark.createDataFrame(edges, "a long, b long").write.parquet(str(tmp_path / "edges"))
+    written = spark.read.parquet(str(tmp_path / "edges"))
+    expected = sorted(map(tuple, C.connected_components(written).collect()))
+    several = C.contracted(written, block=20)
+    assert sorted(map(tuple, C.connected_components(several).collect())) == expected
+    assert C.contracted(written).rdd.getNumPartitions() == 1 and C.contracted(written.where("a > 1000")).collect() == []
+
+    def fail(*_):
+        raise AssertionError("a round over one block")
+
+    monkeypatch.setattr(C, "_small_star", fail)
+    assert sorted(map(tuple, C.connected_components(C.contracted(written)).collect())) == expected
+
+
+def test_the_join_verifies_three_times_and_takes_no_round_of_components(spark, monkeypatch):
+    """A chain of texts that each link to the next only: its links alone would take rounds."""
+    from lodestar.llm import components as C
+    names = [f"w{i}" for i in range(260)]
+    rows = [(100 + i, " ".join(names[12 * i:12 * i + 120])) for i in range(12)] + [(7, ""), (8, "other text"), (9, "other text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = _brute_components(rows)
+    calls, small, verified = [], C._small_star, jaccard_join._verified
+    monkeypatch.setattr(C, "_small_star", lambda down: calls.append("round") or small(down))
+    monkeypatch.setattr(jaccard_join, "_verified", lambda *a: calls.append("verified") or verified(*a))
+    got = sorted(tuple(r) for r in jaccard_join.similar_documents(docs).collect())
+    assert got == expected and len({r[2] for r in got}) < len(got)
+    assert calls.count("round") == 0 and calls.count("verified") == 3
