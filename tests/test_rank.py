@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import re
+import time
+
 import pytest
 
 from lodestar.operators import joins as J
 from lodestar.operators import rank as R
+from lodestar.session import SHUFFLE_CLEANUP
 
 
 def edges(spark, pairs):
@@ -164,3 +168,36 @@ def test_pairs_and_edges_are_dealt_out_by_rows(spark, monkeypatch, tmpdir_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_NUM") == 3 and ", 30)" in plan       # 600 edges, 20 to a task
     assert df.count() == df.distinct().count() > 0
+
+
+def shuffles_on_disk(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return set(re.findall(r"shuffle_(\d+)_\d+_\d+\.data", files))
+
+
+def test_rounds_without_cached_links_leave_no_shuffle_files(spark):
+    own = spark.conf.get(SHUFFLE_CLEANUP)
+    e = edges(spark, [(f"n{i}", f"n{(i * k + 3) % 60}") for i in range(60) for k in (3, 7, 11)])
+    before = shuffles_on_disk(spark)
+    ranks = R.rank(e, rounds=8, cache=False)
+    for _ in range(50):                                 # executors delete in the background
+        if len(left := shuffles_on_disk(spark) - before) < 8:
+            break
+        time.sleep(0.2)
+    assert len(left) < 8                                # those of the degrees, not some of each round
+    assert spark.conf.get(SHUFFLE_CLEANUP) == own
+    assert as_dict(ranks) == as_dict(R.rank(e, rounds=8))
+
+
+def test_links_derived_each_round_move_once(spark):
+    pairs = [(f"s{i}", f"c{j}") for i in range(12) for j in range(30) if (i + j) % 3]
+    e = edges(spark, pairs + [(b, a) for a, b in pairs] + [("s1", None), (None, "c1"), ("c2", "end")])
+    ranks = []
+    for carry in (True, False):
+        prep = R.prepare_links(e, partitions=4, cache=False, hot_split=5, encode_ids=False, carry=carry)
+        assert ("dst_degree" in prep.links.columns) == carry and (prep.targets is None) == carry
+        one = R.rank_round(prep, R.initial_ranks(prep)).checkpoint()
+        two = R.rank_round(prep, one)
+        ranks.append([{r["id"]: (round(r["rank"], 10), r["out_degree"], r["n_salts"]) for r in df.collect()} for df in (one, two)])
+        prep.release()
+    assert ranks[0] == ranks[1] and ranks[0][0]["end"][1:] == (None, None) and None in ranks[0][0]
